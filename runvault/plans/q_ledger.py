@@ -1 +1,87 @@
-"""Registered queries."""
+"""Registered run-ledger queries (orders + lineitem as runs, events as metric writes)."""
+
+from __future__ import annotations
+
+from runvault.operators import ledger as lg
+from runvault.plans import views as v
+from runvault.plans.registry import query
+
+_E = f"WITH e AS ({v.RUN_ENTITIES_SQL})"
+
+
+@query("ledger_lineage", v.RUN_ENTITIES_SQL)
+def ledger_lineage(spark, sf_dir):
+    """Every input and output entity of every run."""
+    return lg.lineage(v.runs(spark, sf_dir))
+
+
+@query("ledger_dependencies", f"""{_E}
+SELECT i.run_id AS consumer_run, i.name AS input_name, i.url, o.run_id AS producer_run,
+       o.name AS output_name
+FROM e i LEFT JOIN e o ON o.direction = 'output' AND o.url = i.url
+WHERE i.direction = 'input'""")
+def ledger_dependencies(spark, sf_dir):
+    """Producer -> consumer edges through shared entity urls."""
+    return lg.dependencies(v.runs(spark, sf_dir))
+
+
+@query("run_summary", f"""{_E},
+t AS (SELECT run_id, direction,
+             string_agg('- ' || name || ' : ' || url, chr(10) ORDER BY name) AS txt,
+             CAST(count(*) AS INTEGER) AS n
+      FROM e GROUP BY ALL)
+SELECT r.run_id,
+       '#### Step ' || r.pipeline || '/' || r.step || '/' || r.commit
+         || ' has been built and checked' AS header,
+       coalesce(i.txt, '') AS inputs_text, coalesce(o.txt, '') AS outputs_text,
+       coalesce(i.n, 0) AS n_inputs, coalesce(o.n, 0) AS n_outputs,
+       r.start_time, r.duration_s
+FROM ({v.RUNS_SQL}) r
+LEFT JOIN t i ON i.run_id = r.run_id AND i.direction = 'input'
+LEFT JOIN t o ON o.run_id = r.run_id AND o.direction = 'output'""")
+def run_summary(spark, sf_dir):
+    """One summary record per run (header, entity lists, start, duration)."""
+    return lg.run_summary(v.runs(spark, sf_dir))
+
+
+@query("ledger_last_run", f"""
+SELECT pipeline, regexp_extract(max(file_name), '.*(run-.*?)_', 1) AS run_id,
+       max(file_name) AS file_name
+FROM (SELECT pipeline, run_id || '_' || module || '.runinfo.json' AS file_name
+      FROM ({v.RUNS_SQL}) r) GROUP BY pipeline""")
+def ledger_last_run(spark, sf_dir):
+    """L1: newest run per pipeline by run-info file name."""
+    r = v.runs(spark, sf_dir).select("pipeline", lg.runinfo_file_name().alias("file_name"))
+    return lg.last_run(r, by=["pipeline"])
+
+
+@query("report_check", f"""{_E},
+m AS (SELECT r.run_id, r.module, e.url
+      FROM ({v.RUNS_SQL}) r LEFT JOIN e ON e.run_id = r.run_id AND e.direction = 'output'
+           AND ends_with(e.name, '.reports.' || r.module))
+SELECT run_id, module, CAST(count(url) AS INTEGER) AS n_reports,
+       CASE WHEN count(url) = 1 THEN max(url) END AS report_url, count(url) = 1 AS ok
+FROM m GROUP BY run_id, module""")
+def report_check(spark, sf_dir):
+    """Every run must carry exactly one ``*.reports.<module>`` output."""
+    return lg.report_outputs(v.runs(spark, sf_dir))
+
+
+@query("metric_last", f"""
+SELECT run_id, name, arg_max(value, (ts, seq)) AS value, count(*) AS n_writes
+FROM ({v.METRIC_LOG_SQL}) m GROUP BY run_id, name""")
+def metric_last(spark, sf_dir):
+    """A5: last write wins per (run, metric)."""
+    return lg.last_metrics(v.metric_log(spark, sf_dir))
+
+
+@query("metric_snapshot", f"""
+SELECT run_id, CAST(count(*) AS INTEGER) AS n_metrics,
+       string_agg(name || '=' || CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR), ';'
+                  ORDER BY name) AS snapshot
+FROM (SELECT run_id, name, arg_max(value, (ts, seq)) AS value
+      FROM ({v.METRIC_LOG_SQL}) m GROUP BY run_id, name) GROUP BY run_id""")
+def metric_snapshot(spark, sf_dir):
+    """Each run's final metrics as one record."""
+    snap = lg.metric_snapshot(lg.last_metrics(v.metric_log(spark, sf_dir)))
+    return snap.select("run_id", "n_metrics", "snapshot")

@@ -152,3 +152,112 @@ REQUESTS_SQL = f"""
 ENV_PATHS = {"user": "/data/user", "test": "/data/test", "prod": "/data/prod"}
 ENV_PATHS_SQL = ("(VALUES " + ", ".join(f"('{k}', '{v}')" for k, v in ENV_PATHS.items())
                  + ") AS env_paths(env, env_path)")
+
+
+# ---------------------------------------------------------------- ledger
+
+_STATUS = {"F": "COMPLETE", "O": "RUNNING", "P": "FAILED"}
+
+
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run records: one per order; its lineitems give the run's entities.
+
+    inputs   ``supp_<s>`` -> ``/store/run-<s>/main``   (main output of run s)
+    outputs  ``part_<p>`` -> ``/store/<run_id>/part_<p>``, ``main`` -> ``/store/<run_id>/main``
+             and ``<pipeline>.reports.<module>`` -> ``/store/<run_id>/reports_<module>``
+             (orders with key % 7 = 0 have no report, key % 11 = 0 have two).
+    """
+    o = table(spark, sf_dir, "orders")
+    li = table(spark, sf_dir, "lineitem")
+    run_key = lambda c: F.concat(F.lit("run-"), F.lpad(F.col(c).cast("string"), 8, "0"))
+    ent = li.groupBy("l_orderkey").agg(
+        F.map_from_entries(F.collect_set(F.struct(
+            F.concat(F.lit("supp_"), F.col("l_suppkey").cast("string")),
+            F.concat(F.lit("/store/"), run_key("l_suppkey"), F.lit("/main"))))).alias("inputs"),
+        F.map_from_entries(F.collect_set(F.struct(
+            F.concat(F.lit("part_"), F.col("l_partkey").cast("string")),
+            F.concat(F.lit("/store/"), run_key("l_orderkey"), F.lit("/part_"),
+                     F.col("l_partkey").cast("string"))))).alias("parts"))
+    status = F.create_map(*[x for k, s in _STATUS.items() for x in (F.lit(k), F.lit(s))])
+    empty = F.create_map().cast("map<string,string>")
+    r = o.join(ent, o.o_orderkey == ent.l_orderkey, "left").select(
+        run_key("o_orderkey").alias("run_id"),
+        F.concat(F.lit("m"), (F.col("o_custkey") % 4).cast("string")).alias("module"),
+        F.col("o_orderpriority").alias("pipeline"),
+        F.concat(F.lit("step_"), (F.col("o_custkey") % 10).cast("string")).alias("step"),
+        F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("commit"),
+        status[F.col("o_orderstatus")].alias("status"),
+        F.col("o_orderdate").alias("start_time"),
+        (F.col("o_totalprice") / 100).alias("duration_s"),
+        F.coalesce("inputs", empty).alias("inputs"),
+        F.coalesce("parts", empty).alias("parts"),
+        "o_orderkey")
+    rid, mod = F.col("run_id"), F.col("module")
+    main = F.create_map(F.lit("main"), F.concat(F.lit("/store/"), rid, F.lit("/main")))
+    rep_key = F.concat(F.col("pipeline"), F.lit(".reports."), mod)
+    rep_url = F.concat(F.lit("/store/"), rid, F.lit("/reports_"), mod)
+    reports = (F.when(F.col("o_orderkey") % 7 == 0, empty)
+               .when(F.col("o_orderkey") % 11 == 0,
+                     F.create_map(rep_key, rep_url, F.concat(F.lit("copy."), rep_key),
+                                  F.concat(rep_url, F.lit("_copy"))))
+               .otherwise(F.create_map(rep_key, rep_url)))
+    return r.select(*[c for c in r.columns if c not in ("parts", "o_orderkey")],
+                    F.map_concat("parts", main, reports).alias("outputs"))
+
+
+RUNS_SQL = """
+    SELECT 'run-' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS run_id,
+           'm' || CAST(o_custkey % 4 AS VARCHAR) AS module,
+           o_orderpriority AS pipeline,
+           'step_' || CAST(o_custkey % 10 AS VARCHAR) AS step,
+           'c' || CAST(o_custkey AS VARCHAR) AS commit,
+           CASE o_orderstatus WHEN 'F' THEN 'COMPLETE' WHEN 'O' THEN 'RUNNING'
+                WHEN 'P' THEN 'FAILED' END AS status,
+           o_orderdate AS start_time, o_totalprice / 100 AS duration_s, o_orderkey
+    FROM orders
+"""
+
+# (run_id, direction, name, url) of every run entity, as plain rows.
+RUN_ENTITIES_SQL = """
+    SELECT DISTINCT 'run-' || lpad(CAST(l_orderkey AS VARCHAR), 8, '0') AS run_id,
+           'input' AS direction, 'supp_' || CAST(l_suppkey AS VARCHAR) AS name,
+           '/store/run-' || lpad(CAST(l_suppkey AS VARCHAR), 8, '0') || '/main' AS url
+    FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+    UNION ALL
+    SELECT DISTINCT 'run-' || lpad(CAST(l_orderkey AS VARCHAR), 8, '0'), 'output',
+           'part_' || CAST(l_partkey AS VARCHAR),
+           '/store/run-' || lpad(CAST(l_orderkey AS VARCHAR), 8, '0') || '/part_'
+             || CAST(l_partkey AS VARCHAR)
+    FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+    UNION ALL
+    SELECT 'run-' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0'), 'output', 'main',
+           '/store/run-' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') || '/main'
+    FROM orders
+    UNION ALL
+    SELECT 'run-' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0'), 'output',
+           o_orderpriority || '.reports.m' || CAST(o_custkey % 4 AS VARCHAR),
+           '/store/run-' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') || '/reports_m'
+             || CAST(o_custkey % 4 AS VARCHAR)
+    FROM orders WHERE o_orderkey % 7 <> 0
+    UNION ALL
+    SELECT 'run-' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0'), 'output',
+           'copy.' || o_orderpriority || '.reports.m' || CAST(o_custkey % 4 AS VARCHAR),
+           '/store/run-' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') || '/reports_m'
+             || CAST(o_custkey % 4 AS VARCHAR) || '_copy'
+    FROM orders WHERE o_orderkey % 7 <> 0 AND o_orderkey % 11 = 0
+"""
+
+
+def metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metric writes: run = user, name = event type, ordered by (ts, event_id)."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select(
+        F.concat(F.lit("run-"), F.lpad(F.col("user_id").cast("string"), 8, "0")).alias("run_id"),
+        F.col("event_type").alias("name"), "value", "ts", F.col("event_id").alias("seq"))
+
+
+METRIC_LOG_SQL = """
+    SELECT 'run-' || lpad(CAST(user_id AS VARCHAR), 8, '0') AS run_id, event_type AS name,
+           value, ts, event_id AS seq
+    FROM events
+"""
