@@ -1 +1,117 @@
-"""Registered queries."""
+"""Registered run-diff queries (events as commits / modules, documents as texts)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from runvault.operators import diff as df_
+from runvault.plans import views as v
+from runvault.plans.registry import query
+
+LOOKBACK = 10
+
+_TOP_TAG_SQL = f"""
+WITH c AS (SELECT * FROM (
+             SELECT *, row_number() OVER (PARTITION BY branch ORDER BY ts DESC, seq DESC) AS pos
+             FROM ({v.COMMITS_SQL})) WHERE pos <= {LOOKBACK}),
+t AS (SELECT * FROM ({v.TAGS_SQL}) WHERE starts_with(tag_name, 'run-')),
+j AS (SELECT c.branch, c.pos, t.* FROM c JOIN t USING (commit_id))
+SELECT branch,
+       arg_max(tag_name, (-pos, tag_name)) AS run_id,
+       arg_max(message, (-pos, tag_name)) AS run_path,
+       arg_max(commit_id, (-pos, tag_name)) AS commit_id,
+       CAST(arg_max(pos, (-pos, tag_name)) AS INTEGER) AS pos
+FROM j GROUP BY branch"""
+
+
+@query("diff_top_tag", _TOP_TAG_SQL)
+def diff_top_tag(spark, sf_dir):
+    """Newest run-tagged commit in the last 10 commits of every branch."""
+    return df_.top_tagged_run(v.commits(spark, sf_dir), v.tags(spark, sf_dir), LOOKBACK)
+
+
+_MOD_DIFF_SQL = f"""
+WITH m AS ({v.MODULES_SQL}),
+n AS (SELECT DISTINCT pair, side, module FROM m),
+r AS (SELECT pair, max(CASE WHEN side = 'curr' THEN run_id END) AS curr_run,
+             max(CASE WHEN side = 'target' THEN run_id END) AS target_run,
+             max(CASE WHEN side = 'curr' THEN run_path END) AS curr_run_path,
+             max(CASE WHEN side = 'target' THEN run_path END) AS target_run_path
+      FROM m GROUP BY pair),
+d AS (SELECT pair, module, 'added' AS status FROM n WHERE side = 'curr'
+        AND (pair, module) NOT IN (SELECT (pair, module) FROM n WHERE side = 'target')
+      UNION ALL
+      SELECT pair, module, 'removed' FROM n WHERE side = 'target'
+        AND (pair, module) NOT IN (SELECT (pair, module) FROM n WHERE side = 'curr')
+      UNION ALL
+      SELECT pair, module, 'changed' FROM n WHERE side = 'curr'
+        AND (pair, module) IN (SELECT (pair, module) FROM n WHERE side = 'target'))
+SELECT d.pair, d.module, d.status, r.curr_run, r.target_run, r.curr_run_path, r.target_run_path
+FROM d LEFT JOIN r USING (pair)"""
+
+
+@query("diff_modules", _MOD_DIFF_SQL)
+def diff_modules(spark, sf_dir):
+    """Modules added, removed and present in both runs of each pair."""
+    return df_.module_diff(v.modules(spark, sf_dir))
+
+
+@query("diff_manifest", f"""
+WITH x AS ({_MOD_DIFF_SQL})
+SELECT pair, module, status, 'diff.' || curr_run || '.' || target_run AS diff_id,
+       curr_run_path || '/diff.' || curr_run || '.' || target_run AS diff_dir,
+       CASE WHEN status <> 'removed' THEN curr_run_path || '/' || module || '/report.ipynb' END
+         AS curr_source,
+       CASE WHEN status <> 'added' THEN target_run_path || '/' || module || '/report.ipynb' END
+         AS target_source,
+       curr_run_path || '/diff.' || curr_run || '.' || target_run || '/'
+         || split_part(module, '.', 2)
+         || CASE status WHEN 'added' THEN '.added.html' WHEN 'removed' THEN '.removed.html'
+                 ELSE '.diff.txt' END AS report_file
+FROM x""")
+def diff_manifest(spark, sf_dir):
+    """D3: diff id, folder and per-module report files."""
+    return df_.diff_manifest(df_.module_diff(v.modules(spark, sf_dir)))
+
+
+@query("diff_pending", f"""
+SELECT DISTINCT pair, curr_run, target_run, diff_id FROM ({v.DIFF_REQUESTS_SQL}) r
+WHERE diff_id NOT IN (SELECT diff_id FROM ({v.DIFF_EXISTING_SQL}) e)""")
+def diff_pending(spark, sf_dir):
+    """Requested diffs not already committed."""
+    req = v.diff_requests(spark, sf_dir).distinct()
+    return df_.pending_diffs(req, v.diff_requests(spark, sf_dir, only_type="signup"))
+
+
+@query("diff_pairs", f"""
+WITH t AS ({v.TEXTS_SQL})
+SELECT c.pair, md5(c.text) AS curr_md5, md5(g.text) AS target_md5, c.text = g.text AS same
+FROM t c JOIN t g ON c.pair = g.pair AND c.side = 'curr' AND g.side = 'target'""")
+def diff_pairs(spark, sf_dir):
+    """Current and target contents of every module common to both runs."""
+    p = df_.paired_texts(v.texts(spark, sf_dir))
+    return p.select("pair", F.md5("curr_text").alias("curr_md5"),
+                    F.md5("target_text").alias("target_md5"),
+                    (F.col("curr_text") == F.col("target_text")).alias("same"))
+
+
+@query("diff_lines", f"""
+WITH t AS ({v.TEXTS_SQL}),
+b AS (SELECT pair, side, string_split(text, chr(10)) AS ls FROM t),
+l AS (SELECT pair, side, unnest(ls[1:greatest(len(ls) - 1, 0)]) AS line FROM b),
+pl AS (SELECT pair, line, count(*) FILTER (WHERE side = 'curr') AS c,
+              count(*) FILTER (WHERE side = 'target') AS t
+       FROM l GROUP BY pair, line)
+SELECT pair, CAST(sum(greatest(c - t, 0)) AS BIGINT) AS lines_added,
+       CAST(sum(greatest(t - c, 0)) AS BIGINT) AS lines_removed,
+       CAST(sum(least(c, t)) AS BIGINT) AS lines_kept
+FROM pl GROUP BY pair""")
+def diff_lines(spark, sf_dir):
+    """Order-free line diff of every text pair (last line ignored)."""
+    return df_.line_multiset_diff(v.texts(spark, sf_dir))
+
+
+@query("diff_unified")
+def diff_unified(spark, sf_dir):
+    """Ordered unified diff of every text pair (rows-only check)."""
+    return df_.unified_line_diff(v.texts(spark, sf_dir))

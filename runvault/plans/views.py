@@ -261,3 +261,118 @@ METRIC_LOG_SQL = """
            value, ts, event_id AS seq
     FROM events
 """
+
+
+# ---------------------------------------------------------------- diff
+
+def _branch():
+    return F.concat(F.col("event_type"), F.lit("-u"), (F.col("user_id") % 30).cast("string"))
+
+
+def commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Commits: one per event, on branch ``<event_type>-u<user % 30>``."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select(_branch().alias("branch"), F.col("event_id").alias("commit_id"), "ts",
+                     F.col("event_id").alias("seq"))
+
+
+def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tags: value >= 95 tags a run; >= 200 adds a second run tag on the same
+    commit; >= 150 adds a non-run ``diff.`` tag."""
+    ev = table(spark, sf_dir, "events")
+    rid = run_id_of("ts")
+    path = F.concat(F.lit("/data/user/"), F.col("event_type"), F.lit("/zone/"), rid)
+    a = ev.filter(F.col("value") >= 95).select(
+        F.col("event_id").alias("commit_id"), rid.alias("tag_name"), path.alias("message"))
+    b = ev.filter(F.col("value") >= 200).select(
+        F.col("event_id").alias("commit_id"), F.concat(rid, F.lit("b")).alias("tag_name"),
+        F.concat(path, F.lit("b")).alias("message"))
+    c = ev.filter(F.col("value") >= 150).select(
+        F.col("event_id").alias("commit_id"),
+        F.concat(F.lit("diff."), F.col("event_id").cast("string")).alias("tag_name"),
+        F.lit("").alias("message"))
+    return a.unionByName(b).unionByName(c)
+
+
+COMMITS_SQL = """
+    SELECT event_type || '-u' || CAST(user_id % 30 AS VARCHAR) AS branch,
+           event_id AS commit_id, ts, event_id AS seq
+    FROM events
+"""
+TAGS_SQL = """
+    SELECT event_id AS commit_id, strftime(ts, 'run-%y-%m-%d-%H%M%S') AS tag_name,
+           '/data/user/' || event_type || '/zone/' || strftime(ts, 'run-%y-%m-%d-%H%M%S') AS message
+    FROM events WHERE value >= 95
+    UNION ALL
+    SELECT event_id, strftime(ts, 'run-%y-%m-%d-%H%M%S') || 'b',
+           '/data/user/' || event_type || '/zone/' || strftime(ts, 'run-%y-%m-%d-%H%M%S') || 'b'
+    FROM events WHERE value >= 200
+    UNION ALL
+    SELECT event_id, 'diff.' || CAST(event_id AS VARCHAR), '' FROM events WHERE value >= 150
+"""
+
+
+def modules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report modules of two runs per pair: value > 100 -> current run,
+    value < 10 -> target run; module = ``reports.<event_type>_u<user div 10>``."""
+    ev = table(spark, sf_dir, "events")
+    side = F.when(F.col("value") > 100, "curr").when(F.col("value") < 10, "target")
+    pair = F.concat(F.lit("pair_"), (F.col("user_id") % 10).cast("string"))
+    x = ev.select(pair.alias("pair"), side.alias("side"), run_id_of("ts").alias("run_id"),
+                  F.concat(F.lit("reports."), F.col("event_type"), F.lit("_u"),
+                           (F.col("user_id") / 10).cast("long").cast("string")).alias("module"))
+    x = x.filter(F.col("side").isNotNull())
+    return x.select("pair", "side", "run_id",
+                    F.concat(F.lit("/data/user/diffs/zone/"), F.col("pair"), F.lit("/"),
+                             F.col("run_id")).alias("run_path"), "module")
+
+
+MODULES_SQL = """
+    SELECT pair, side, run_id, '/data/user/diffs/zone/' || pair || '/' || run_id AS run_path, module
+    FROM (SELECT 'pair_' || CAST(user_id % 10 AS VARCHAR) AS pair,
+                 CASE WHEN value > 100 THEN 'curr' WHEN value < 10 THEN 'target' END AS side,
+                 strftime(ts, 'run-%y-%m-%d-%H%M%S') AS run_id,
+                 'reports.' || event_type || '_u' || CAST(user_id // 10 AS VARCHAR) AS module
+          FROM events) WHERE side IS NOT NULL
+"""
+
+
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Module contents: documents paired by ``doc_id div 2`` (even = current)."""
+    d = table(spark, sf_dir, "documents")
+    return d.select((F.col("doc_id") / 2).cast("long").alias("pair"),
+                    F.when(F.col("doc_id") % 2 == 0, "curr").otherwise("target").alias("side"),
+                    "text")
+
+
+TEXTS_SQL = """
+    SELECT doc_id // 2 AS pair, CASE WHEN doc_id % 2 = 0 THEN 'curr' ELSE 'target' END AS side, text
+    FROM documents
+"""
+
+
+def diff_requests(spark: SparkSession, sf_dir: str, only_type: str | None = None) -> DataFrame:
+    """Diff requests: each event asks for its run against the run one day earlier."""
+    ev = table(spark, sf_dir, "events")
+    if only_type:
+        ev = ev.filter(F.col("event_type") == only_type)
+    cur = run_id_of("ts")
+    tgt = run_id_of(F.col("ts") - F.expr("INTERVAL 1 DAY"))
+    return ev.select(F.concat(F.lit("pair_"), (F.col("user_id") % 10).cast("string")).alias("pair"),
+                     cur.alias("curr_run"), tgt.alias("target_run"),
+                     F.concat(F.lit("diff."), cur, F.lit("."), tgt).alias("diff_id"))
+
+
+def _diff_requests_sql(where: str = "") -> str:
+    return f"""
+    SELECT 'pair_' || CAST(user_id % 10 AS VARCHAR) AS pair,
+           strftime(ts, 'run-%y-%m-%d-%H%M%S') AS curr_run,
+           strftime(ts - INTERVAL 1 DAY, 'run-%y-%m-%d-%H%M%S') AS target_run,
+           'diff.' || strftime(ts, 'run-%y-%m-%d-%H%M%S') || '.'
+             || strftime(ts - INTERVAL 1 DAY, 'run-%y-%m-%d-%H%M%S') AS diff_id
+    FROM events {where}
+"""
+
+
+DIFF_REQUESTS_SQL = _diff_requests_sql()
+DIFF_EXISTING_SQL = _diff_requests_sql("WHERE event_type = 'signup'")
