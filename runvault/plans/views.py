@@ -376,3 +376,77 @@ def _diff_requests_sql(where: str = "") -> str:
 
 DIFF_REQUESTS_SQL = _diff_requests_sql()
 DIFF_EXISTING_SQL = _diff_requests_sql("WHERE event_type = 'signup'")
+
+
+# ---------------------------------------------------------------- params / cells
+
+def param_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parameter layers per event: defaults < file (props) < sent < override.
+
+    sent: click -> {k: user % 7}; signup -> {pipeline_name: signup_pipe} and
+    replaces the file layer.  override: value > 200 -> zone; user % 13 = 0 ->
+    empty env_name.
+    """
+    from runvault.operators.params import parse_params
+    ev = table(spark, sf_dir, "events")
+    defaults = F.create_map(F.lit("env_name"), F.lit("user"), F.lit("k"), F.lit("0"),
+                            F.lit("zone"), F.lit("zone"))
+    sent = (F.when(F.col("event_type") == "click",
+                   F.create_map(F.lit("k"), (F.col("user_id") % 7).cast("string")))
+            .when(F.col("event_type") == "signup",
+                  F.create_map(F.lit("pipeline_name"), F.lit("signup_pipe"))))
+    zone = F.when(F.col("value") > 200, F.create_map(
+        F.lit("zone"), F.concat(F.lit("zone_"), (F.col("user_id") % 2).cast("string"))))
+    env = F.when(F.col("user_id") % 13 == 0, F.create_map(F.lit("env_name"), F.lit("")))
+    from runvault.operators.params import merge_layers
+    return ev.select(
+        "event_id", "event_type", "user_id", "value",
+        defaults.alias("defaults"), parse_params("props").alias("file_params"),
+        sent.alias("sent_params"), merge_layers(zone, env).alias("override_params"),
+        (F.col("event_type") == "signup").alias("replace_file"))
+
+
+PARAMS_MERGED_SQL = """
+    SELECT event_id,
+           CASE WHEN user_id % 13 = 0 THEN '' ELSE 'user' END AS env_name,
+           CASE WHEN event_type = 'signup' THEN '0'
+                WHEN event_type = 'click' THEN CAST(user_id % 7 AS VARCHAR)
+                ELSE coalesce(json_extract_string(props, '$.k'), '0') END AS k,
+           CASE WHEN value > 200 THEN 'zone_' || CAST(user_id % 2 AS VARCHAR) ELSE 'zone' END AS zone,
+           CASE WHEN event_type = 'signup' THEN 'signup_pipe' END AS pipeline_name
+    FROM events
+"""
+
+
+def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notebook cells: one per conversation turn (see FIXTURES.md)."""
+    c = table(spark, sf_dir, "conversations")
+    tag_opts = F.array(
+        F.col("role"),
+        F.when((F.col("turn") == 1) & (F.col("conv_id") % 7 != 0),
+               F.when(F.col("conv_id") % 3 == 0, F.lit("PARAMETERS")).otherwise(F.lit("parameters"))),
+        F.when((F.col("turn") == 3) & (F.col("conv_id") % 5 == 0), F.lit("parameters")),
+        F.when((F.col("role") == "assistant") & (F.col("turn") % 4 == 1),
+               F.lit("business_report")))
+    return c.select(
+        F.col("conv_id").alias("nb_id"), F.col("turn").alias("pos"),
+        F.when(F.col("role") == "system", "markdown").otherwise("code").alias("cell_type"),
+        F.filter(tag_opts, lambda x: x.isNotNull()).alias("tags"),
+        F.col("text").alias("source"),
+        F.when(F.col("role") == "assistant", F.array(F.substring("text", 1, 30)))
+        .otherwise(F.array().cast("array<string>")).alias("outputs"))
+
+
+CELLS_SQL = """
+    SELECT conv_id AS nb_id, turn AS pos,
+           CASE WHEN role = 'system' THEN 'markdown' ELSE 'code' END AS cell_type,
+           list_filter([role,
+                        CASE WHEN turn = 1 AND conv_id % 7 <> 0 THEN
+                             CASE WHEN conv_id % 3 = 0 THEN 'PARAMETERS' ELSE 'parameters' END END,
+                        CASE WHEN turn = 3 AND conv_id % 5 = 0 THEN 'parameters' END,
+                        CASE WHEN role = 'assistant' AND turn % 4 = 1 THEN 'business_report' END],
+                       lambda x: x IS NOT NULL) AS tags,
+           text AS source,
+           CASE WHEN role = 'assistant' THEN [substr(text, 1, 30)] ELSE []::VARCHAR[] END AS outputs
+    FROM conversations
+"""
