@@ -2,13 +2,145 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import hashlib
+import io
+import threading
+
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runvault.functions.names import strip_prefix
+from runvault.functions.names import clean_file_name, strip_prefix
 
 
 def subset_by_prefix(files: DataFrame, prefix: str, path_col: str = "rel_path") -> DataFrame:
     """Keep file rows under a literal folder prefix and make paths relative to it."""
     return (files.filter(F.col(path_col).startswith(prefix))
             .withColumn(path_col, strip_prefix(path_col, prefix)))
+
+
+# Fixed artefact kinds and profile names.
+KIND_TEXT, KIND_JSON, KIND_BINARY = "text", "json", "binary"
+PROFILE_KEY = "bentoservice_profile"
+PROFILES = ("SinaraOnnxBentoService", "SinaraPytorchBentoService", "SinaraBinaryBentoService")
+# Upper bound on classes x features of a model that is shipped by broadcast.
+MAX_MODEL_CELLS = 50_000_000
+
+
+def _c(x):
+    return F.col(x) if isinstance(x, str) else x
+
+
+def artifact_kind(explicit: str | Column, value_type: str | Column) -> Column:
+    """Kind: an explicit kind wins; else str -> text, dict -> json, anything else binary."""
+    vt = _c(value_type)
+    return F.coalesce(_c(explicit), F.when(vt == "str", KIND_TEXT)
+                      .when(vt == "dict", KIND_JSON).otherwise(KIND_BINARY))
+
+
+def normalize_extension(ext: str | Column) -> Column:
+    """Binary file extensions carry a leading dot; empty stays empty."""
+    e = F.coalesce(_c(ext), F.lit(""))
+    return F.when((e == "") | e.startswith("."), e).otherwise(F.concat(F.lit("."), e))
+
+
+def artifact_file_path(base_path: str | Column, name: str | Column,
+                       ext: str | Column) -> Column:
+    """A base path whose last part has a dot is a file path and is used as is;
+    otherwise ``base/clean(name) + ext``."""
+    b = _c(base_path)
+    last = F.element_at(F.split(b, "/"), -1)
+    return F.when(F.instr(last, ".") > 0, b).otherwise(
+        F.concat(b, F.lit("/"), clean_file_name(name), normalize_extension(ext)))
+
+
+def service_version(given: str | Column, env, pipeline, zone, name, run_id) -> Column:
+    """Given version, else ``env.pipeline.zone.name.run_id``; null when neither."""
+    parts = [_c(x) for x in (env, pipeline, zone, name, run_id)]
+    derived = F.when(F.greatest(*[p.isNull().cast("int") for p in parts]) == 0,
+                     F.concat_ws(".", *parts))
+    return F.coalesce(_c(given), derived)
+
+
+def profile(name: str | Column, params: str | Column) -> Column:
+    """``{bentoservice_profile: {name, params}}`` as a struct column."""
+    return F.struct(F.struct(_c(name).alias("name"), _c(params).alias("params"))
+                    .alias(PROFILE_KEY))
+
+
+# ------------------------------------------------------------------ G6 model
+
+def train_centroids(features: DataFrame, vec: str = "embedding", label: str = "label") -> DataFrame:
+    """Nearest-centroid model: mean feature vector per label.
+
+    ``(label, i)`` means aggregate with map-side partials; each label's
+    vector is then gathered from ``dim`` values.
+    """
+    x = features.select(label, F.posexplode(vec).alias("i", "v"))
+    m = x.groupBy(label, "i").agg(F.avg(F.col("v").cast("double")).alias("c"))
+    return m.groupBy(label).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("i", "c"))), lambda s: s["c"])
+        .alias("centroid"))
+
+
+def pack_centroid_model(centroids: DataFrame, label: str = "label") -> bytes:
+    """Serialise a centroid table to model bytes (``npz``: labels, W, b).
+
+    The table is collected only after its size (labels x dim) is checked.
+    """
+    n = centroids.count()
+    dim = centroids.select(F.max(F.size("centroid"))).first()[0] or 0
+    if n * dim > MAX_MODEL_CELLS:
+        raise ValueError(f"model too large to ship ({n} x {dim})")
+    rows = centroids.orderBy(label).collect()
+    labels = np.array([r[label] for r in rows], dtype=np.int64)
+    w = np.array([r["centroid"] for r in rows], dtype=np.float64).reshape(len(rows), dim)
+    b = -0.5 * (w * w).sum(axis=1)
+    buf = io.BytesIO()
+    np.savez(buf, labels=labels, w=w, b=b)
+    return buf.getvalue()
+
+
+_MODEL_CACHE: dict = {}
+_MODEL_LOCK = threading.Lock()
+
+
+def _load_model(key, payload: bytes):
+    """One decoded model per worker process, shared by its tasks."""
+    with _MODEL_LOCK:
+        m = _MODEL_CACHE.get(key)
+        if m is None:
+            z = np.load(io.BytesIO(payload))
+            m = (z["labels"], z["w"], z["b"])
+            _MODEL_CACHE[key] = m
+        return m
+
+
+def score_linear(spark: SparkSession, features: DataFrame, model: bytes,
+                 vec: str = "embedding", keep: tuple[str, ...] = ("vec_id", "label")) -> DataFrame:
+    """Batch-score ``features`` with a linear model: ``argmax(W x + b)``.
+
+    Model bytes travel once per executor as a broadcast variable and are
+    decoded once per Python worker; rows move as Arrow batches through
+    ``mapInPandas``.
+    """
+    bc = spark.sparkContext.broadcast(model)
+    key = ("linear", hashlib.sha1(model).hexdigest())
+    cols = list(keep)
+    fields = ", ".join(f"{c} {features.schema[c].dataType.simpleString()}" for c in cols)
+    schema = f"{fields}, predicted long, score double"
+
+    def run(batches):
+        labels, w, b = _load_model(key, bc.value)
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            x = np.stack(pdf[vec].to_numpy()).astype(np.float64)
+            s = x @ w.T + b
+            k = s.argmax(axis=1)
+            out = pdf[cols].copy()
+            out["predicted"] = labels[k]
+            out["score"] = s[np.arange(len(k)), k]
+            yield out
+
+    return features.select(*cols, vec).mapInPandas(run, schema)

@@ -1 +1,53 @@
-"""Registered queries."""
+"""Registered model-artefact queries (documents as artefacts, embeddings as features)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from runvault.operators import artifacts as ar
+from runvault.plans import views as v
+from runvault.plans.registry import query
+
+_A = f"WITH a AS ({v.ARTIFACTS_SQL})"
+
+
+@query("artifact_table", f"""{_A}
+SELECT bundle, name, kind, ext, file_path, version, profile_name,
+       CAST(octet_length(content) AS BIGINT) AS n_bytes, md5(content) AS md5
+FROM a""")
+def artifact_table(spark, sf_dir):
+    """Kind dispatch, extension, file path, service version, profile, bytes."""
+    a = v.artifacts(spark, sf_dir)
+    return a.select("bundle", "name", "kind", "ext", "file_path", "version",
+                    F.col("profile.bentoservice_profile.name").alias("profile_name"),
+                    F.octet_length("content").cast("long").alias("n_bytes"),
+                    F.md5("content").alias("md5"))
+
+
+@query("artifact_extract", f"""{_A}
+SELECT substr(file_path, length('/bundles/src3/artifacts/') + 1) AS rel_path,
+       CAST(octet_length(content) AS BIGINT) AS n_bytes, md5(content) AS md5
+FROM a WHERE starts_with(file_path, '/bundles/src3/artifacts/')""")
+def artifact_extract(spark, sf_dir):
+    """Only the artefacts of one service, paths relative to its folder."""
+    a = v.artifacts(spark, sf_dir).select(F.col("file_path").alias("rel_path"), "content")
+    sub = ar.subset_by_prefix(a, "/bundles/src3/artifacts/")
+    return sub.select("rel_path", F.octet_length("content").cast("long").alias("n_bytes"),
+                      F.md5("content").alias("md5"))
+
+
+@query("model_score", """
+WITH x AS (SELECT vec_id, label, embedding, generate_subscripts(embedding, 1) AS i FROM embeddings),
+x2 AS (SELECT vec_id, label, i, CAST(embedding[i] AS DOUBLE) AS v FROM x),
+cen AS (SELECT label AS cl, i, avg(v) AS c FROM x2 GROUP BY label, i),
+nrm AS (SELECT cl, sum(c * c) AS n2 FROM cen GROUP BY cl),
+sc AS (SELECT x2.vec_id, cen.cl, sum(x2.v * cen.c) AS dot FROM x2 JOIN cen ON x2.i = cen.i
+       GROUP BY x2.vec_id, cen.cl)
+SELECT e.vec_id, e.label, CAST(arg_max(sc.cl, sc.dot - 0.5 * nrm.n2) AS BIGINT) AS predicted
+FROM embeddings e JOIN sc ON sc.vec_id = e.vec_id JOIN nrm ON nrm.cl = sc.cl
+GROUP BY e.vec_id, e.label""")
+def model_score(spark, sf_dir):
+    """Nearest-centroid model trained on embeddings, shipped as bytes, batch-scored."""
+    feats = v.table(spark, sf_dir, "embeddings")
+    model = ar.pack_centroid_model(ar.train_centroids(feats))
+    return ar.score_linear(spark, feats, model).select("vec_id", "label", "predicted")

@@ -450,3 +450,59 @@ CELLS_SQL = """
            CASE WHEN role = 'assistant' THEN [substr(text, 1, 30)] ELSE []::VARCHAR[] END AS outputs
     FROM conversations
 """
+
+
+# ---------------------------------------------------------------- artefacts
+
+def artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model artefacts: one per document, bundled by source (see FIXTURES.md)."""
+    from runvault.operators import artifacts as ar
+    d = table(spark, sf_dir, "documents")
+    did = F.col("doc_id")
+    kind = ar.artifact_kind(F.when(did % 10 == 0, F.lit("binary")),
+                            F.when(F.col("lang") == "en", "str")
+                            .when(F.col("lang") == "fr", "dict").otherwise("bytes"))
+    raw_ext = F.when(F.col("lang") == "de", F.lit("bin")).otherwise(F.lit(".dat"))
+    base = F.concat(F.lit("/bundles/"), F.col("source"), F.lit("/artifacts"),
+                    F.when(did % 4 == 0, F.lit("/model.onnx")).otherwise(F.lit("")))
+    name = F.concat(F.lit("doc "), did.cast("string"), F.lit("#v1"))
+    x = d.select("doc_id", F.col("source").alias("bundle"), name.alias("name"),
+                 kind.alias("kind"), raw_ext.alias("raw_ext"), base.alias("base_path"),
+                 F.when(did % 3 == 0, F.concat(F.lit("v"), did.cast("string"))).alias("given"),
+                 F.concat(F.lit("run-"), F.lpad((did % 50).cast("string"), 8, "0")).alias("run_id"),
+                 F.element_at(F.array(*[F.lit(p) for p in ar.PROFILES]),
+                              (did % 3 + 1).cast("int")).alias("profile_name"),
+                 F.concat(F.lit('{"doc": '), did.cast("string"), F.lit("}")).alias("profile_params"),
+                 F.encode("text", "UTF-8").alias("content"))
+    ext = (F.when(F.col("kind") == "text", F.lit(".txt"))
+           .when(F.col("kind") == "json", F.lit(".json"))
+           .otherwise(ar.normalize_extension("raw_ext")))
+    return x.select(
+        "doc_id", "bundle", "name", "kind", ext.alias("ext"),
+        ar.artifact_file_path("base_path", "name", ext).alias("file_path"),
+        ar.service_version("given", F.lit("user"), F.lit("models"), F.lit("zone"), "bundle",
+                           "run_id").alias("version"),
+        ar.profile("profile_name", "profile_params").alias("profile"), "content")
+
+
+ARTIFACTS_SQL = """
+    SELECT doc_id, bundle, name, kind, ext,
+           CASE WHEN instr(split_part(base_path, '/', -1), '.') > 0 THEN base_path
+                ELSE base_path || '/' || regexp_replace(name, '[^-a-zA-Z0-9_.() ]+', '', 'g') || ext
+           END AS file_path,
+           coalesce(given, 'user.models.zone.' || bundle || '.' || run_id) AS version,
+           profile_name, encode(text) AS content
+    FROM (SELECT doc_id, text, source AS bundle, 'doc ' || CAST(doc_id AS VARCHAR) || '#v1' AS name,
+                 CASE WHEN doc_id % 10 = 0 THEN 'binary' WHEN lang = 'en' THEN 'text'
+                      WHEN lang = 'fr' THEN 'json' ELSE 'binary' END AS kind,
+                 CASE WHEN doc_id % 10 <> 0 AND lang = 'en' THEN '.txt'
+                      WHEN doc_id % 10 <> 0 AND lang = 'fr' THEN '.json'
+                      WHEN lang = 'de' THEN '.bin' ELSE '.dat' END AS ext,
+                 '/bundles/' || source || '/artifacts'
+                   || CASE WHEN doc_id % 4 = 0 THEN '/model.onnx' ELSE '' END AS base_path,
+                 CASE WHEN doc_id % 3 = 0 THEN 'v' || CAST(doc_id AS VARCHAR) END AS given,
+                 'run-' || lpad(CAST(doc_id % 50 AS VARCHAR), 8, '0') AS run_id,
+                 ['SinaraOnnxBentoService', 'SinaraPytorchBentoService',
+                  'SinaraBinaryBentoService'][CAST(doc_id % 3 AS INTEGER) + 1] AS profile_name
+          FROM documents) a
+"""
