@@ -50,8 +50,9 @@ FILES_SQL = """
 
 # ---------------------------------------------------------------- entities
 
-_ENV_BY_USER = F.element_at(F.array(F.lit("user"), F.lit("test"), F.lit("prod")),
-                            (F.col("user_id") % 3 + 1).cast("int"))
+def _env_by_user():
+    return F.element_at(F.array(F.lit("user"), F.lit("test"), F.lit("prod")),
+                        (F.col("user_id") % 3 + 1).cast("int"))
 
 
 def entity_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +60,7 @@ def entity_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("long")
     return ev.select(
-        _ENV_BY_USER.alias("env"),
+        _env_by_user().alias("env"),
         F.col("event_type").alias("pipeline"),
         F.concat(F.lit("zone_"), (F.col("user_id") % 2).cast("string")).alias("zone"),
         F.concat(F.lit("step_"), (F.col("user_id") % 10).cast("string")).alias("step"),
