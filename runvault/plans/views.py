@@ -171,14 +171,16 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     li = table(spark, sf_dir, "lineitem")
     run_key = lambda c: F.concat(F.lit("run-"), F.lpad(F.col(c).cast("string"), 8, "0"))
-    ent = li.groupBy("l_orderkey").agg(
-        F.map_from_entries(F.collect_set(F.struct(
-            F.concat(F.lit("supp_"), F.col("l_suppkey").cast("string")),
-            F.concat(F.lit("/store/"), run_key("l_suppkey"), F.lit("/main"))))).alias("inputs"),
-        F.map_from_entries(F.collect_set(F.struct(
-            F.concat(F.lit("part_"), F.col("l_partkey").cast("string")),
-            F.concat(F.lit("/store/"), run_key("l_orderkey"), F.lit("/part_"),
-                     F.col("l_partkey").cast("string"))))).alias("parts"))
+    ent = li.groupBy("l_orderkey").agg(F.collect_set("l_suppkey").alias("supps"),
+                                       F.collect_set("l_partkey").alias("parts"))
+    rid_of = lambda k: F.concat(F.lit("run-"), F.lpad(k.cast("string"), 8, "0"))
+    inputs = F.map_from_arrays(
+        F.transform("supps", lambda s: F.concat(F.lit("supp_"), s.cast("string"))),
+        F.transform("supps", lambda s: F.concat(F.lit("/store/"), rid_of(s), F.lit("/main"))))
+    parts = F.map_from_arrays(
+        F.transform("parts", lambda p: F.concat(F.lit("part_"), p.cast("string"))),
+        F.transform("parts", lambda p: F.concat(F.lit("/store/"), rid_of(F.col("o_orderkey")),
+                                                F.lit("/part_"), p.cast("string"))))
     status = F.create_map(*[x for k, s in _STATUS.items() for x in (F.lit(k), F.lit(s))])
     empty = F.create_map().cast("map<string,string>")
     r = o.join(ent, o.o_orderkey == ent.l_orderkey, "left").select(
@@ -190,8 +192,8 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         status[F.col("o_orderstatus")].alias("status"),
         F.col("o_orderdate").alias("start_time"),
         (F.col("o_totalprice") / 100).alias("duration_s"),
-        F.coalesce("inputs", empty).alias("inputs"),
-        F.coalesce("parts", empty).alias("parts"),
+        F.coalesce(inputs, empty).alias("inputs"),
+        F.coalesce(parts, empty).alias("parts"),
         "o_orderkey")
     rid, mod = F.col("run_id"), F.col("module")
     main = F.create_map(F.lit("main"), F.concat(F.lit("/store/"), rid, F.lit("/main")))
