@@ -134,3 +134,15 @@ def test_chunk_property(spark):
             assert b"".join(p[3] for p in parts) == data
             assert [p[1] for p in parts] == [i * row for i in range(len(parts))]
     prop()
+
+
+def test_restore_guard_keeps_row_without_content(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([("/small", b"abc"), ("/large", b"x" * 50)],
+                               "rel_path string, content binary")
+    df = df.select("rel_path", F.octet_length("content").cast("long").alias("length"), "content")
+    out = {r.rel_path: r for r in ch.restore_files(ch.chunk_files(df, 8), max_file_bytes=10)
+           .collect()}
+    assert bytes(out["/small"].content) == b"abc"
+    assert out["/large"].content is None and out["/large"].length == 50
+    assert out["/large"].n_chunks == 7
