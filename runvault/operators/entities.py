@@ -119,7 +119,8 @@ def declaration_violations(decls: DataFrame, kind_col: str = "kind",
     keys = F.map_keys(decl_col)
     kind = F.col(kind_col)
     missing = F.array_except(F.coalesce(req[kind], F.array().cast("array<string>")), keys)
-    extra = F.array_except(keys, F.coalesce(allowed[kind], F.array().cast("array<string>")))
+    extra = F.when(allowed[kind].isNotNull(), F.array_except(keys, allowed[kind])).otherwise(
+        F.array().cast("array<string>"))
     bad_name = F.when(F.instr(F.col(decl_col)[ENTITY_NAME], "/") > 0,
                       F.array(F.lit(ENTITY_NAME))).otherwise(F.array().cast("array<string>"))
     unknown_kind = F.when(req[kind].isNull(), F.array(kind)).otherwise(
