@@ -144,3 +144,45 @@ def score_linear(spark: SparkSession, features: DataFrame, model: bytes,
             yield out
 
     return features.select(*cols, vec).mapInPandas(run, schema)
+
+
+# ------------------------------------------------------------------ K7 / G4 bundles
+
+ARTIFACT_COLUMNS = ("bundle", "version", "name", "kind", "ext", "file_path", "content")
+
+
+def publish_bundle(artifacts: DataFrame, url: str) -> str:
+    """Publish an artefact table as one immutable bundle version at ``url``.
+
+    Written with the output committer, so ``_SUCCESS`` marks it complete.
+    """
+    from runvault.sinks.publish import publish
+    cols = [c for c in ARTIFACT_COLUMNS if c in artifacts.columns]
+    return publish(artifacts.select(*cols), url)
+
+
+def load_bundle(spark: SparkSession, url: str) -> DataFrame:
+    """Read a bundle; refuses one without the commit marker."""
+    from runvault.functions.names import COMMIT_MARKER
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{url.rstrip('/')}/{COMMIT_MARKER}")
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        raise FileNotFoundError(f"bundle at {url} is not committed")
+    return spark.read.parquet(url)
+
+
+def latest_bundles(artifacts: DataFrame) -> DataFrame:
+    """Newest version of every bundle and its artefact count."""
+    per = artifacts.groupBy("bundle", "version").agg(F.count(F.lit(1)).alias("n_artifacts"))
+    return per.groupBy("bundle").agg(F.max_by(F.struct("version", "n_artifacts"), "version")
+                                     .alias("b")).select(
+        "bundle", F.col("b.version").alias("version"), F.col("b.n_artifacts").alias("n_artifacts"))
+
+
+def export_artifacts(artifacts: DataFrame, dest_root: str, row_size: int = 1024 * 1024) -> None:
+    """Write artefact bytes to ``dest_root/<file_path>`` (chunked, ordered writes)."""
+    from runvault.operators.chunks import chunk_files
+    from runvault.sinks.archive import write_files
+    files = artifacts.select(F.col("file_path").alias("rel_path"),
+                             F.octet_length("content").cast("long").alias("length"), "content")
+    write_files(chunk_files(files, row_size), dest_root)

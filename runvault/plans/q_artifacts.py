@@ -51,3 +51,12 @@ def model_score(spark, sf_dir):
     feats = v.table(spark, sf_dir, "embeddings")
     model = ar.pack_centroid_model(ar.train_centroids(feats))
     return ar.score_linear(spark, feats, model).select("vec_id", "label", "predicted")
+
+
+@query("bundle_latest", f"""{_A}
+SELECT bundle, arg_max(version, version) AS version, arg_max(n, version) AS n_artifacts
+FROM (SELECT bundle, version, count(*) AS n FROM a GROUP BY bundle, version)
+GROUP BY bundle""")
+def bundle_latest(spark, sf_dir):
+    """K7: newest version of every artefact bundle."""
+    return ar.latest_bundles(v.artifacts(spark, sf_dir))

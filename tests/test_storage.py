@@ -120,3 +120,24 @@ def test_select_files(spark, tmp_path):
 def test_checkpoint_cut(spark):
     df = spark.range(10).withColumn("y", F.col("id") + 1)
     assert pub.cut_lineage(df).count() == 10
+
+
+def test_bundle_publish_load_export(spark, tmp_path):
+    from runvault.operators import artifacts as ar
+    arts = spark.createDataFrame(
+        [("svc", "v1", "model", "binary", ".bin", "/svc/artifacts/model.bin", b"\x00\x01"),
+         ("svc", "v1", "cfg", "json", ".json", "/svc/artifacts/cfg.json", b"{}")],
+        "bundle string, version string, name string, kind string, ext string, "
+        "file_path string, content binary")
+    url = str(tmp_path / "bundles" / "svc" / "v1")
+    ar.publish_bundle(arts, url)
+    back = ar.load_bundle(spark, url)
+    assert back.count() == 2
+    os.makedirs(str(tmp_path / "uncommitted"))
+    with pytest.raises(FileNotFoundError):
+        ar.load_bundle(spark, str(tmp_path / "uncommitted"))
+    ar.export_artifacts(ar.subset_by_prefix(back.withColumnRenamed("file_path", "rel_path"),
+                                            "/svc/artifacts/")
+                        .withColumnRenamed("rel_path", "file_path"), str(tmp_path / "out"))
+    assert (tmp_path / "out" / "model.bin").read_bytes() == b"\x00\x01"
+    assert ar.latest_bundles(back).first().n_artifacts == 2
