@@ -180,7 +180,7 @@ def resolve_inputs(requests: DataFrame, versions: DataFrame,
 
     call = ["consumer", "step_name"]
     per_call = r.groupBy(*call).agg(
-        F.countDistinct("r_zone").alias("n_zones"),
+        F.size(F.collect_set("r_zone")).alias("n_zones"),
         F.max((F.col("passes") & (F.col("r_zone") == F.col("call_zone"))).cast("int"))
         .alias("has_cur_zone"))
     r = r.filter("passes").join(per_call, call, "left")

@@ -8,7 +8,7 @@ from runvault.operators import diff as df_
 from runvault.plans import views as v
 from runvault.plans.registry import query
 
-LOOKBACK = 10
+LOOKBACK = df_.DEFAULT_LOOKBACK
 
 _TOP_TAG_SQL = f"""
 WITH c AS (SELECT * FROM (
@@ -26,7 +26,7 @@ FROM j GROUP BY branch"""
 
 @query("diff_top_tag", _TOP_TAG_SQL)
 def diff_top_tag(spark, sf_dir):
-    """Newest run-tagged commit in the last 10 commits of every branch."""
+    """Newest run-tagged commit in the last 100 commits of every branch."""
     return df_.top_tagged_run(v.commits(spark, sf_dir), v.tags(spark, sf_dir), LOOKBACK)
 
 

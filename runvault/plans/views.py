@@ -316,15 +316,17 @@ TAGS_SQL = """
 
 
 def modules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Report modules of two runs per pair: value > 100 -> current run,
-    value < 10 -> target run; module = ``reports.<event_type>_u<user div 10>``."""
+    """Report modules of two runs per pair (every event is one module write):
+    pair = ``pair_<user % 10>``; value > 55 -> current run, else target run;
+    module = ``reports.<event_type>_v<value div 10>``, so the sides overlap in
+    one value band and differ elsewhere."""
     ev = table(spark, sf_dir, "events")
-    side = F.when(F.col("value") > 100, "curr").when(F.col("value") < 10, "target")
+    side = F.when(F.col("value") > 55, "curr").otherwise("target")
     pair = F.concat(F.lit("pair_"), (F.col("user_id") % 10).cast("string"))
     x = ev.select(pair.alias("pair"), side.alias("side"), run_id_of("ts").alias("run_id"),
-                  F.concat(F.lit("reports."), F.col("event_type"), F.lit("_u"),
-                           (F.col("user_id") / 10).cast("long").cast("string")).alias("module"))
-    x = x.filter(F.col("side").isNotNull())
+                  F.concat(F.lit("reports."), F.col("event_type"), F.lit("_v"),
+                           F.floor(F.col("value") / 10).cast("long").cast("string"))
+                  .alias("module"))
     return x.select("pair", "side", "run_id",
                     F.concat(F.lit("/data/user/diffs/zone/"), F.col("pair"), F.lit("/"),
                              F.col("run_id")).alias("run_path"), "module")
@@ -333,10 +335,11 @@ def modules(spark: SparkSession, sf_dir: str) -> DataFrame:
 MODULES_SQL = """
     SELECT pair, side, run_id, '/data/user/diffs/zone/' || pair || '/' || run_id AS run_path, module
     FROM (SELECT 'pair_' || CAST(user_id % 10 AS VARCHAR) AS pair,
-                 CASE WHEN value > 100 THEN 'curr' WHEN value < 10 THEN 'target' END AS side,
+                 CASE WHEN value > 55 THEN 'curr' ELSE 'target' END AS side,
                  strftime(ts, 'run-%y-%m-%d-%H%M%S') AS run_id,
-                 'reports.' || event_type || '_u' || CAST(user_id // 10 AS VARCHAR) AS module
-          FROM events) WHERE side IS NOT NULL
+                 'reports.' || event_type || '_v' || CAST(CAST(floor(value / 10) AS BIGINT) AS VARCHAR)
+                   AS module
+          FROM events)
 """
 
 
