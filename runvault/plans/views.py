@@ -108,7 +108,8 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     Consumer = a pipeline's reporting substep (``report_<pipeline>``) running
     in env ``user``, zone ``zone_0``.  It declares every distinct key of the
     producers (raw, possibly dotted, entity names), leaving optional keys
-    unset by rule and pinning one run of ``step_7``.  Its call to
+    unset by rule and pinning one run of ``step_7``; some ``step_5`` / ``step_3``
+    declarations name another zone so the zone rule applies.  Its call to
     ``inputs(step_name=...)`` carries filters that differ per pipeline.
     """
     e = entity_events(spark, sf_dir)
@@ -125,12 +126,16 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("entity_decl").alias("entity"),
         F.when(stepn % 3 != 0, F.col("env")).alias("env"),
         F.when(ent_n != 1, F.col("pipeline")).alias("pipeline"),
-        F.when(stepn % 4 != 0, F.col("zone")).alias("zone"),
+        F.when(stepn % 4 == 0, F.lit(None))
+         .when((stepn == 5) & (ent_n == 2), F.lit("zone_0"))
+         .when((stepn == 3) & (ent_n == 0), F.lit("zone_2"))
+         .otherwise(F.col("zone")).alias("zone"),
         F.when(stepn == 7, F.col("first_run")).alias("run_id"),
         F.when(F.col("pipeline") == "click", F.lit("prod")).alias("f_env"),
         F.when(F.col("pipeline") == "view", F.lit("view")).alias("f_pipeline"),
         F.when(F.col("pipeline") == "purchase", F.lit("zone_1")).alias("f_zone"),
-        F.lit(None).cast("string").alias("f_run"),
+        F.when((F.col("pipeline") == "signup") & (stepn == 7),
+               F.lit("run-24-01-02-000000")).alias("f_run"),
     )
 
 
@@ -139,12 +144,18 @@ REQUESTS_SQL = f"""
            'zone_0' AS cur_zone, step AS step_name, entity_decl AS entity,
            CASE WHEN CAST(substr(step, 6) AS INTEGER) % 3 <> 0 THEN env END AS env,
            CASE WHEN CAST(substr(entity_decl, 5) AS INTEGER) <> 1 THEN pipeline END AS pipeline,
-           CASE WHEN CAST(substr(step, 6) AS INTEGER) % 4 <> 0 THEN zone END AS zone,
+           CASE WHEN CAST(substr(step, 6) AS INTEGER) % 4 = 0 THEN NULL
+                WHEN CAST(substr(step, 6) AS INTEGER) = 5
+                     AND CAST(substr(entity_decl, 5) AS INTEGER) = 2 THEN 'zone_0'
+                WHEN CAST(substr(step, 6) AS INTEGER) = 3
+                     AND CAST(substr(entity_decl, 5) AS INTEGER) = 0 THEN 'zone_2'
+                ELSE zone END AS zone,
            CASE WHEN CAST(substr(step, 6) AS INTEGER) = 7 THEN first_run END AS run_id,
            CASE WHEN pipeline = 'click' THEN 'prod' END AS f_env,
            CASE WHEN pipeline = 'view' THEN 'view' END AS f_pipeline,
            CASE WHEN pipeline = 'purchase' THEN 'zone_1' END AS f_zone,
-           CAST(NULL AS VARCHAR) AS f_run
+           CASE WHEN pipeline = 'signup' AND CAST(substr(step, 6) AS INTEGER) = 7
+                THEN 'run-24-01-02-000000' END AS f_run
     FROM (SELECT env, pipeline, zone, step, entity_decl, min(run_id) AS first_run
           FROM ({ENTITY_EVENTS_SQL}) ee GROUP BY ALL) k
 """
