@@ -21,9 +21,15 @@ from runvault.sources.files import list_files, read_ranges
 
 
 def pack_frame(spark: SparkSession, src_root: str, row_size: int = DEFAULT_ROW_SIZE,
-               block_size: int = DEFAULT_BLOCK_SIZE, cores: int | None = None) -> DataFrame:
-    """Chunk rows of every file under ``src_root``, repartitioned for writing."""
-    files = exclude_split_helpers(list_files(spark, src_root)).persist()
+               block_size: int = DEFAULT_BLOCK_SIZE, cores: int | None = None,
+               files: DataFrame | None = None) -> DataFrame:
+    """Chunk rows of every file under ``src_root``, repartitioned for writing.
+
+    The partition count follows the archive size (``archive_sizing``): one
+    aggregate row reaches the driver.
+    """
+    if files is None:
+        files = exclude_split_helpers(list_files(spark, src_root))
     cores = cores or max(1, spark.sparkContext.defaultParallelism)
     n = archive_sizing(files, block_size, cores).first()["n_partitions"]
     plan = chunk_plan(files, row_size).repartition(int(n))
@@ -36,10 +42,15 @@ def pack(spark: SparkSession, src_root: str, store_path: str,
     """Archive ``src_root`` into Parquet at ``store_path`` (row groups of ``block_size``).
 
     The default mode refuses to overwrite: published versions are immutable.
+    The listing is kept for the sizing pass and the write, then released.
     """
-    chunks = pack_frame(spark, src_root, row_size, block_size, cores)
-    (chunks.write.option("parquet.block.size", int(block_size)).mode(mode)
-     .parquet(store_path))
+    files = exclude_split_helpers(list_files(spark, src_root)).persist()
+    try:
+        chunks = pack_frame(spark, src_root, row_size, block_size, cores, files=files)
+        (chunks.write.option("parquet.block.size", int(block_size)).mode(mode)
+         .parquet(store_path))
+    finally:
+        files.unpersist()
 
 
 def read_archive(spark: SparkSession, store_path: str) -> DataFrame:
@@ -65,7 +76,8 @@ def write_files(chunks: DataFrame, dest_root: str, n_partitions: int | None = No
     to add up to ``file_length``.
     """
     spark = chunks.sparkSession
-    n = n_partitions or max(1, spark.sparkContext.defaultParallelism)
+    n = n_partitions or max(spark.sparkContext.defaultParallelism,
+                            int(spark.conf.get("spark.sql.shuffle.partitions")))
     ordered = (chunks.select("rel_path", "part", "length", "file_length", "content")
                .repartition(n, "rel_path").sortWithinPartitions("rel_path", "part"))
     root = dest_root.rstrip("/")
