@@ -61,24 +61,25 @@ def module_names(modules: DataFrame) -> DataFrame:
 
 
 def module_diff(modules: DataFrame) -> DataFrame:
-    """Added / removed / changed modules of each pair (one full outer join).
+    """Added / removed / changed modules of each pair.
 
+    One aggregation on (pair, module) with side flags (combined map-side)
+    replaces the two set differences and the intersection; run ids and paths
+    per pair come from a second aggregation joined on pair.
     Output: pair, module, status, curr_run, target_run, curr_run_path,
     target_run_path.  ``changed`` = present in both runs.
     """
+    is_c, is_t = F.col("side") == "curr", F.col("side") == "target"
     runs = modules.groupBy("pair").agg(
-        F.max(F.when(F.col("side") == "curr", F.col("run_id"))).alias("curr_run"),
-        F.max(F.when(F.col("side") == "target", F.col("run_id"))).alias("target_run"),
-        F.max(F.when(F.col("side") == "curr", F.col("run_path"))).alias("curr_run_path"),
-        F.max(F.when(F.col("side") == "target", F.col("run_path"))).alias("target_run_path"))
-    names = module_names(modules)
-    c = names.filter(F.col("side") == "curr").select("pair", "module", F.lit(True).alias("in_c"))
-    t = names.filter(F.col("side") == "target").select("pair", "module",
-                                                      F.lit(True).alias("in_t"))
-    j = c.join(t, ["pair", "module"], "full")
+        F.max(F.when(is_c, F.col("run_id"))).alias("curr_run"),
+        F.max(F.when(is_t, F.col("run_id"))).alias("target_run"),
+        F.max(F.when(is_c, F.col("run_path"))).alias("curr_run_path"),
+        F.max(F.when(is_t, F.col("run_path"))).alias("target_run_path"))
+    sides = modules.groupBy("pair", "module").agg(F.max(is_c).alias("in_c"),
+                                                  F.max(is_t).alias("in_t"))
     status = (F.when(F.col("in_c") & F.col("in_t"), "changed")
               .when(F.col("in_c"), "added").otherwise("removed"))
-    return j.select("pair", "module", status.alias("status")).join(runs, "pair", "left")
+    return sides.select("pair", "module", status.alias("status")).join(runs, "pair", "left")
 
 
 def diff_manifest(diff: DataFrame) -> DataFrame:
