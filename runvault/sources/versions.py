@@ -3,10 +3,11 @@
 Versioned layout: ``{env_path}/{pipeline}/{zone}/{step}/{run_id}/{entity}``;
 a version is committed when its folder holds the ``_SUCCESS`` marker.
 
-DataFrame readers skip ``_``-names, so markers are found through Hadoop's
-``FileSystem.globStatus`` on the driver.  This returns metadata only and is
-the repair / bootstrap path; the scalable catalogue is the ledger table
-written by :mod:`runvault.sinks.publish` (one row per published version).
+DataFrame readers skip ``_``-names, so markers are found by walking the
+folder levels on executors (:func:`scan_versions`); the single-entity
+helpers use Hadoop's ``globStatus`` on the driver (metadata of one entity's
+runs).  The scan is the repair / bootstrap path; the catalogue at scale is
+the ledger table written by :mod:`runvault.sinks.publish`.
 """
 
 from __future__ import annotations
@@ -38,14 +39,60 @@ def scan_versions(spark: SparkSession, env: str, env_path: str, pipeline: str =
                   zone: str = "*", step: str = "*", entity: str = "*") -> DataFrame:
     """Stored versions under one environment as ``entity_versions`` rows.
 
+    The driver lists only the pipeline folders; executors walk
+    zone / step / run / entity folders level by level and stat each commit
+    marker, so no data file is listed and no version row passes through the
+    driver.  Schemes pyarrow cannot open fall back to Hadoop's glob.
     Output: env, pipeline, zone, step, entity, run_id, committed, url.
     """
     base = env_path.rstrip("/")
-    pat = f"{base}/{pipeline}/{zone}/{step}/*/{entity}"
-    folders = _glob(spark, pat)
-    markers = {p.rsplit("/", 1)[0] for p in _glob(spark, f"{pat}/{COMMIT_MARKER}")}
-    rows = [(p, p in markers) for p in folders]
-    df = spark.createDataFrame(rows, VERSION_SCHEMA)
+    try:
+        from pyarrow import fs as pafs
+        fs, root = pafs.FileSystem.from_uri(base)
+    except Exception:  # noqa: BLE001
+        return _scan_versions_glob(spark, env, base, pipeline, zone, step, entity)
+    import fnmatch
+    prefix = base[: len(base) - len(root)] if base.endswith(root) else ""
+    tops = [i.path for i in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
+            if i.type == pafs.FileType.Directory
+            and fnmatch.fnmatchcase(i.base_name, pipeline)]
+    n = max(1, spark.sparkContext.defaultParallelism * 4)
+
+    def walker(pats, final):
+        def walk(batches):
+            import pandas as pd
+            from pyarrow import fs as pafs2
+            fs2, _ = pafs2.FileSystem.from_uri(base)
+            for pdf in batches:
+                level = list(pdf["dir"])
+                for pat in pats:
+                    nxt = []
+                    for d in level:
+                        for i in fs2.get_file_info(pafs2.FileSelector(d, allow_not_found=True)):
+                            if (i.type == pafs2.FileType.Directory
+                                    and fnmatch.fnmatchcase(i.base_name, pat)):
+                                nxt.append(i.path)
+                    level = nxt
+                if not level:
+                    continue
+                if not final:
+                    yield pd.DataFrame({"dir": level})
+                    continue
+                marks = fs2.get_file_info([f"{d}/{COMMIT_MARKER}" for d in level])
+                yield pd.DataFrame({"path": [prefix + d for d in level],
+                                    "committed": [m.type == pafs2.FileType.File for m in marks]})
+        return walk
+
+    # stage 1: pipeline -> zone -> step folders; stage 2 (rebalanced): run ->
+    # entity folders and their markers, so a large pipeline spreads over tasks
+    dirs = spark.createDataFrame([(t,) for t in tops], "dir string").repartition(
+        max(1, min(len(tops), n)))
+    steps = dirs.mapInPandas(walker([zone, step], False), "dir string").repartition(n)
+    found = steps.mapInPandas(walker(["*", entity], True), "path string, committed boolean")
+    return _version_columns(found, env)
+
+
+def _version_columns(df: DataFrame, env: str) -> DataFrame:
     return df.select(
         F.lit(env).alias("env"), path_part("path", -5).alias("pipeline"),
         path_part("path", -4).alias("zone"), path_part("path", -3).alias("step"),
@@ -53,6 +100,14 @@ def scan_versions(spark: SparkSession, env: str, env_path: str, pipeline: str =
         "committed", F.col("path").alias("url"))
 
 
+def _scan_versions_glob(spark, env, base, pipeline, zone, step, entity):
+    pat = f"{base}/{pipeline}/{zone}/{step}/*/{entity}"
+    folders = _glob(spark, pat)
+    markers = {p.rsplit("/", 1)[0] for p in _glob(spark, f"{pat}/{COMMIT_MARKER}")}
+    df = spark.createDataFrame([(p, p in markers) for p in folders], VERSION_SCHEMA)
+    return _version_columns(df, env)
+
+
 def committed_run_ids(spark: SparkSession, step_path: str, entity: str) -> DataFrame:
     """Run ids of ``{step_path}/*/{entity}`` that carry the commit marker."""
     paths = _glob(spark, f"{step_path.rstrip('/')}/*/{entity}/{COMMIT_MARKER}")
