@@ -71,9 +71,11 @@ def write_files(chunks: DataFrame, dest_root: str, n_partitions: int | None = No
     """Write chunk rows back as files under ``dest_root``.
 
     Chunks are hash-partitioned by file and sorted by part, so each file is
-    written by one task as a stream of ordered appends.  A retried task
-    rewrites its files from the start; parts are checked to be contiguous and
-    to add up to ``file_length``.
+    written by one task as a stream of ordered appends.  On file systems
+    with atomic rename a file is written under a hidden attempt-specific name
+    and renamed when complete, so a lost task never leaves a partial file
+    under the real name; a retried task rewrites its files from the start.
+    Parts are checked to be contiguous and to add up to ``file_length``.
     """
     spark = chunks.sparkSession
     n = n_partitions or max(spark.sparkContext.defaultParallelism,
@@ -84,22 +86,32 @@ def write_files(chunks: DataFrame, dest_root: str, n_partitions: int | None = No
 
     def writer(rows):
         from pyarrow import fs as pafs
+        from pyspark import TaskContext
         fs, base = pafs.FileSystem.from_uri(root)
-        cur, out, expect_part, written, total = None, None, 0, 0, 0
+        # file systems with atomic rename get a temp name first; object
+        # stores publish an object only when its upload completes
+        via_tmp = fs.type_name in ("local", "hdfs")
+        tc = TaskContext.get()
+        attempt = f"{tc.stageId()}-{tc.partitionId()}-{tc.attemptNumber()}" if tc else "0"
+        cur, out, expect_part, written, total, target, tmp = None, None, 0, 0, 0, None, None
 
         def close():
             if out is not None:
                 out.close()
                 if written != total:
                     raise IOError(f"{cur}: wrote {written} of {total} bytes")
+                if via_tmp:
+                    fs.move(tmp, target)
 
         for r in rows:
             if r.rel_path != cur:
                 close()
                 cur = r.rel_path
                 target = posixpath.join(base, _safe_rel(cur))
-                fs.create_dir(posixpath.dirname(target), recursive=True)
-                out = fs.open_output_stream(target)
+                parent, name = posixpath.split(target)
+                fs.create_dir(parent, recursive=True)
+                tmp = posixpath.join(parent, f".{name}.inprogress-{attempt}") if via_tmp else target
+                out = fs.open_output_stream(tmp)
                 expect_part, written, total = 0, 0, int(r.file_length)
             if r.part != expect_part:
                 raise IOError(f"{cur}: part {r.part} where {expect_part} was expected")
