@@ -134,3 +134,43 @@ def archive_files(spark: SparkSession, store_path: str) -> DataFrame:
     a = read_archive(spark, store_path)
     return a.groupBy("rel_path").agg(F.sum(F.col("length").cast("long")).alias("n_bytes"),
                                      F.count(F.lit(1)).cast("int").alias("n_chunks"))
+
+
+def _name_matches(path_col: str, globs: list[str]):
+    from runvault.functions.names import glob_regex
+    name = F.element_at(F.split(path_col, "/"), -1)
+    cond = F.lit(False)
+    for g in globs:
+        cond = cond | name.rlike(glob_regex(g))
+    return cond
+
+
+def pack_selected(spark: SparkSession, folder: str, globs: list[str] | str, store_path: str,
+                  row_size: int = DEFAULT_ROW_SIZE, block_size: int = DEFAULT_BLOCK_SIZE,
+                  mode: str = "errorifexists") -> None:
+    """Archive the files directly in ``folder`` that match any glob (no sub-folders).
+
+    Raises when no file matches.
+    """
+    from runvault.sources.files import select_files
+    globs = [globs] if isinstance(globs, str) else list(globs)
+    files = select_files(spark, folder, globs).persist()
+    try:
+        chunks = pack_frame(spark, folder, row_size, block_size, files=files)
+        (chunks.write.option("parquet.block.size", int(block_size)).mode(mode)
+         .parquet(store_path))
+    finally:
+        files.unpersist()
+
+
+def unpack_selected(spark: SparkSession, store_path: str, dest_root: str,
+                    globs: list[str] | str) -> None:
+    """Restore only the archived files whose names match any glob.
+
+    Raises when no file matches.
+    """
+    globs = [globs] if isinstance(globs, str) else list(globs)
+    chunks = read_archive(spark, store_path).filter(_name_matches("rel_path", globs))
+    if chunks.select("rel_path").isEmpty():
+        raise FileNotFoundError(f"no archived file matches {globs}")
+    write_files(chunks, dest_root)

@@ -146,3 +146,23 @@ def test_restore_guard_keeps_row_without_content(spark):
     assert bytes(out["/small"].content) == b"abc"
     assert out["/large"].content is None and out["/large"].length == 50
     assert out["/large"].n_chunks == 7
+
+
+def test_pack_and_unpack_selected(spark, tmp_path):
+    root = tmp_path / "flat"
+    root.mkdir()
+    for n in ("a.csv", "b.csv", "c.txt"):
+        (root / n).write_text(n * 50)
+    (root / "sub").mkdir()
+    (root / "sub" / "d.csv").write_text("nested")
+    store, dest = str(tmp_path / "store"), str(tmp_path / "dest")
+    archive.pack_selected(spark, str(root), ["*.csv"], store, row_size=16)
+    assert {r.rel_path for r in archive.archive_files(spark, store).collect()} == {
+        "/a.csv", "/b.csv"}
+    archive.unpack_selected(spark, store, dest, "a.*")
+    assert sorted(os.listdir(dest)) == ["a.csv"]
+    assert open(os.path.join(dest, "a.csv")).read() == "a.csv" * 50
+    with pytest.raises(FileNotFoundError):
+        archive.pack_selected(spark, str(root), ["*.none"], str(tmp_path / "s2"))
+    with pytest.raises(FileNotFoundError):
+        archive.unpack_selected(spark, store, dest, ["*.none"])
