@@ -193,3 +193,48 @@ def file_manifest(files: DataFrame, row_size: int = DEFAULT_ROW_SIZE) -> DataFra
     return files.select("rel_path", F.col("length").cast("long").alias("n_bytes"),
                         part_count("length", row_size).alias("n_chunks"),
                         F.md5("content").alias("md5"))
+
+
+FILE_MD5_SCHEMA = "rel_path string, n_bytes long, n_chunks int, md5 string"
+
+
+def file_md5(chunks: DataFrame, n_partitions: int | None = None) -> DataFrame:
+    """Exact whole-file md5 for files of any size, without building them.
+
+    Chunks are hash-partitioned by file and sorted by part; one pass per
+    partition feeds each file's chunks in order into an incremental md5
+    (state carries across Arrow batches).  Memory per task is one batch.
+    Output: rel_path, n_bytes, n_chunks, md5.
+    """
+    spark = chunks.sparkSession
+    n = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = (chunks.select("rel_path", "part", "content")
+               .repartition(n, "rel_path").sortWithinPartitions("rel_path", "part"))
+
+    def run(batches):
+        import hashlib
+
+        import pandas as pd
+        cur, h, nbytes, nparts, expect = None, None, 0, 0, 0
+        done = []
+        for pdf in batches:
+            for path, part, content in zip(pdf["rel_path"], pdf["part"], pdf["content"]):
+                if path != cur:
+                    if cur is not None:
+                        done.append((cur, nbytes, nparts, h.hexdigest()))
+                    cur, h, nbytes, nparts, expect = path, hashlib.md5(), 0, 0, 0
+                if part != expect:
+                    raise IOError(f"{path}: part {part} where {expect} was expected")
+                if content is not None:
+                    h.update(content)
+                    nbytes += len(content)
+                nparts += 1
+                expect += 1
+            if done:
+                yield pd.DataFrame(done, columns=["rel_path", "n_bytes", "n_chunks", "md5"])
+                done = []
+        if cur is not None:
+            yield pd.DataFrame([(cur, nbytes, nparts, h.hexdigest())],
+                               columns=["rel_path", "n_bytes", "n_chunks", "md5"])
+
+    return ordered.mapInPandas(run, FILE_MD5_SCHEMA)

@@ -25,6 +25,16 @@ def archive_manifest(spark, sf_dir):
                            F.md5("content").alias("md5"))
 
 
+@query("archive_md5", f"""{_FILES}
+SELECT rel_path, length AS n_bytes,
+       CAST(greatest(1, (length + {ROW - 1}) // {ROW}) AS INTEGER) AS n_chunks,
+       md5(content) AS md5
+FROM files""")
+def archive_md5(spark, sf_dir):
+    """Whole-file md5 streamed over ordered chunks (any file size, no reassembly)."""
+    return ch.file_md5(ch.chunk_files(v.files(spark, sf_dir), ROW))
+
+
 @query("archive_chunks", f"""{_FILES},
 c AS (SELECT rel_path, length AS file_length, content,
              unnest(range(0, greatest(1, (length + {ROW - 1}) // {ROW}))) AS part

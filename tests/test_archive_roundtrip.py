@@ -89,6 +89,8 @@ def test_many_parts_numeric_order(spark, tmp_path):
     store, dest = str(tmp_path / "store"), str(tmp_path / "dest")
     archive.pack(spark, root, store, row_size=4, cores=2)
     assert archive.archive_files(spark, store).first().n_chunks == 10_050
+    m = ch.file_md5(archive.read_archive(spark, store)).first()
+    assert (m.n_bytes, m.n_chunks, m.md5) == (len(data), 10_050, hashlib.md5(data).hexdigest())
     archive.unpack(spark, store, dest)
     assert open(os.path.join(dest, "big.bin"), "rb").read() == data
 
