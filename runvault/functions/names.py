@@ -38,7 +38,7 @@ def run_id_of(ts: str | Column) -> Column:
 def path_part(path: str | Column, k: int) -> Column:
     """``path.split('/')[k]`` with Python-style negative ``k``."""
     idx = k + 1 if k >= 0 else k
-    return F.element_at(F.split(col_(path), "/"), idx)
+    return F.try_element_at(F.split(col_(path), "/"), F.lit(idx))
 
 
 def strip_slashes(c: str | Column) -> Column:

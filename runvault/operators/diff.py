@@ -92,7 +92,7 @@ def diff_manifest(diff: DataFrame) -> DataFrame:
     """
     diff_id = F.concat(F.lit("diff."), "curr_run", F.lit("."), "target_run")
     diff_dir = F.concat(F.col("curr_run_path"), F.lit("/"), diff_id)
-    short = F.element_at(F.split("module", r"\."), 2)
+    short = F.try_element_at(F.split("module", r"\."), F.lit(2))
     src_curr = F.concat(F.col("curr_run_path"), F.lit("/"), "module", F.lit("/report.ipynb"))
     src_target = F.concat(F.col("target_run_path"), F.lit("/"), "module",
                           F.lit("/report.ipynb"))
