@@ -176,7 +176,13 @@ def resolve_inputs(requests: DataFrame, versions: DataFrame,
               | (F.col("f_env").isNotNull() & (F.col("r_env") == F.col("f_env")))
               | (F.col("f_pipeline").isNotNull() & (F.col("r_pipeline") == F.col("f_pipeline")))
               | (F.col("f_zone").isNotNull() & (F.col("r_zone") == F.col("f_zone"))))
-    r = r.withColumn("passes", passes)
+    r = r.withColumn("passes", passes).withColumn("entity_key", normalize_entity("entity"))
+    key_l = [F.col("r_env"), F.col("r_pipeline"), F.col("r_zone"), F.col("step_name"),
+             F.col("entity_key")]
+    # Only versions of requested keys matter: a semi join (broadcast by AQE
+    # when the requested keys are few) cuts the version table before the
+    # per-key aggregation and the pinned-version lookup.
+    wanted = r.filter("passes").select(*[c.alias(k) for c, k in zip(key_l, KEY)]).distinct()
 
     call = ["consumer", "step_name"]
     per_call = r.groupBy(*call).agg(
@@ -185,14 +191,12 @@ def resolve_inputs(requests: DataFrame, versions: DataFrame,
         .alias("has_cur_zone"))
     r = r.filter("passes").join(per_call, call, "left")
 
-    r = r.withColumn("entity_key", normalize_entity("entity"))
     r = r.withColumn("pin", F.coalesce("f_run", "decl_run"))
-    key_l = [F.col("r_env"), F.col("r_pipeline"), F.col("r_zone"), F.col("step_name"),
-             F.col("entity_key")]
-
-    latest = latest_committed(versions).select(
-        *[F.col(c).alias(f"l_{c}") for c in KEY], F.col("run_id").alias("latest_run"))
-    pinned = (versions.filter(F.col("committed")).select(*KEY, "run_id").distinct()
+    relevant = (versions.filter(F.col("committed")).select(*KEY, "run_id")
+                .join(wanted, KEY, "left_semi"))
+    latest = (relevant.groupBy(*KEY).agg(F.max("run_id").alias("latest_run"))
+              .select(*[F.col(c).alias(f"l_{c}") for c in KEY], "latest_run"))
+    pinned = (relevant.distinct()
               .select(*[F.col(c).alias(f"p_{c}") for c in KEY],
                       F.col("run_id").alias("pinned_run")))
     cond_l = [a == F.col(f"l_{c}") for a, c in zip(key_l, KEY)]
