@@ -6,7 +6,7 @@ helpers exist for tests, the bench and the driver entry point.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -48,17 +48,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names shared storage and is only read.  Only
-    when it is unset (local tests) a scratch folder is created and set.
+    On a cluster this setting names shared storage and is only read; without
+    it the call fails, since a folder of one machine is of no use there.  Only
+    a single-process local session gets a scratch folder when it is unset.
     """
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
+    context = spark.sparkContext
+    if current := context.getCheckpointDir():
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
-        conf = tempfile.mkdtemp(prefix="runvault-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(conf)
-    return spark.sparkContext.getCheckpointDir() or conf
+        if not re.match(r"local(\[|$)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        conf = tempfile.mkdtemp(prefix="runvault-ckpt-")
+    context.setCheckpointDir(conf)
+    return context.getCheckpointDir() or conf
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

@@ -4,11 +4,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as se
+from runvault.plans.registry import ORACLES as REGISTERED_SQL, QUERIES as REGISTERED, load_all
 from tools.oracle_check import TABLES, value_hash
 from tests.conftest import SF_ORACLE, SF_SMALL
 
-QUERIES = se.queries()
-ORACLES = se.oracle_sql()
+# the library's own queries; those of the llm subpackage are tested in tests/llm
+load_all()
+ORACLES = dict(REGISTERED_SQL)
+QUERIES = dict(REGISTERED)
 
 
 @pytest.fixture(scope="module")
