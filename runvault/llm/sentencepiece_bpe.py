@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 import string
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +31,7 @@ from runvault.llm.common import pick
 from runvault.llm.registry import query, table
 
 MARK = "▁"
-CACHED_WORDS, CACHED_PAIRS = 400_000, 1_000_000
+CACHED_WORDS, CACHED_PAIRS = 200_000, 500_000
 _NEVER = float("inf")
 
 
@@ -70,8 +71,8 @@ class PieceBpe:
         self.segments = re.compile(f"{word}\n|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+")
         self._steps: dict[int, tuple] = {}
         self._pairs: dict[int, bool] = {}
-        self._words: dict[str, list[int]] = {}
-        self._older: dict[str, list[int]] = {}
+        self._words: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
         self._bytes = [b"" if i in self.silent else bytes([self.byte_of[i]]) if i in self.byte_of
                        else " ⁇ ".encode() if i == self.unknown else p.replace(MARK, " ").encode()
                        for i, p in enumerate(self.pieces)]
@@ -162,20 +163,20 @@ class PieceBpe:
         ids.reverse()
         return ids
 
-    def encode(self, text: str | None) -> list[int]:
+    def encode(self, text: str | None) -> np.ndarray:
         if not text:
-            return []
+            return np.empty(0, dtype=np.int32)
         words, out = self._words, []
         for segment in self.segments.findall(MARK + text.replace(" ", MARK)):
             ids = words.get(segment)
             if ids is None:
-                ids = self._older.get(segment) or self.encode_segment(segment)
+                ids = self._older.get(segment) or array("i", self.encode_segment(segment)).tobytes()
                 if len(segment) <= 64:
                     if len(words) >= CACHED_WORDS:  # words not met since go
                         self._older, self._words = words, (words := {})
                     words[segment] = ids
-            out += ids
-        return out
+            out.append(ids)
+        return np.frombuffer(b"".join(out), dtype=np.int32)
 
     # -- decoding -----------------------------------------------------------
     def decode(self, ids) -> str:
