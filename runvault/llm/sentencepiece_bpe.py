@@ -25,6 +25,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from runvault.llm.common import pick
@@ -32,6 +34,7 @@ from runvault.llm.registry import query, table
 
 MARK = "▁"
 CACHED_WORDS, CACHED_PAIRS = 200_000, 500_000
+SLICE = 2 << 20  # bytes of text
 _NEVER = float("inf")
 
 
@@ -262,10 +265,34 @@ def decode_column(ids: Column | str, model_path: str | None = None) -> Column:
     return decode(F.col(ids) if isinstance(ids, str) else ids)
 
 
+def _code(model_path: str | None):
+    """Arrow batches of (doc_id, text) to (doc_id, ids, decoded), a few texts at a time, so that
+    a worker holds little beside its batch."""
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = tokenizer(model_path or default_model())
+        for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()
+            ends = np.searchsorted(sizes.cumsum(), np.arange(SLICE, sizes.sum() + SLICE, SLICE)) + 1
+            start = 0
+            for end in [*dict.fromkeys(np.minimum(ends, len(sizes)).tolist()), len(sizes)]:
+                if end == start:
+                    continue
+                some = batch.slice(start, end - start)
+                ids = [model.encode(t) for t in some.column(1).to_pylist()]
+                offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids))),
+                     pa.array([model.decode(x) for x in ids], pa.string())], names=["doc_id", "ids", "decoded"])
+                start = end
+    return code
+
+
 def encode_documents(docs: DataFrame, model_path: str | None = None) -> DataFrame:
     """(doc_id, ids, decoded) for every row of ``docs`` (doc_id, text); rows are never merged."""
-    ids = pick(docs, "doc_id", "text").select("doc_id", encode_column("text", model_path).alias("ids"))
-    return ids.select("doc_id", "ids", decode_column("ids", model_path).alias("decoded"))
+    rows = pick(docs, "doc_id", "text")
+    out = T.StructType([rows.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType())),
+                        T.StructField("decoded", T.StringType())])
+    return rows.mapInArrow(_code(model_path), out)
 
 
 def digests(docs: DataFrame, model_path: str | None = None) -> DataFrame:
