@@ -132,9 +132,11 @@ class Model:
 
 
 def train(docs: DataFrame, target_ids: DataFrame) -> Model:
-    """Models of ``docs`` (doc_id, text), the target being the rows whose doc_id is in ``target_ids``."""
+    """Models of ``docs`` (doc_id, text), the target being the rows whose doc_id is in ``target_ids``.
+
+    Target ids grow with the corpus, so they always meet the texts in a sort-merge join."""
     ids = pick(target_ids, "doc_id").distinct().withColumn("is_target", F.lit(True))
-    rows = pick(docs, "doc_id", "text").join(ids, "doc_id", "left").select(
+    rows = pick(docs, "doc_id", "text").join(ids.hint("merge"), "doc_id", "left").select(
         F.coalesce("text", F.lit("")).alias("text"), F.coalesce("is_target", F.lit(False)).alias("is_target"))
     partial = rows.mapInArrow(count_partition, "gram int, target long, everything long")
     counts = cut(partial.groupBy("gram").agg(F.sum("target").alias("target"), F.sum("everything").alias("everything")))
