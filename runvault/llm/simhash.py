@@ -135,13 +135,12 @@ def covering_links(fps: DataFrame, radius: int, bucket: int = 512) -> DataFrame:
         large = shared.filter(F.col("n") > bucket)
         if large.isEmpty():
             break
-        # at most (2^(radius+1) - 1)^level masks, whatever the data
-        finer = _refined(masks, radius)
+        # a list of masks, not of data: only those with a large bucket are refined
+        finer = _refined(sorted(r.mask & (1 << BITS) - 1 for r in large.select("mask").distinct().collect()), radius)
         pairs = fps.sparkSession.createDataFrame(
             [(_signed(m), [_signed(x) for x in xs]) for m, xs in finer.items()], "mask long, finer array<long>")
         rows = cut(keyed.join(large.select("mask", "key"), ["mask", "key"]).join(F.broadcast(pairs), "mask")
                    .select("fp", F.explode("finer").alias("mask")).distinct())
-        masks = sorted({x for xs in finer.values() for x in xs})
     out = found[0]
     for more in found[1:]:
         out = out.union(more)
@@ -180,7 +179,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, bucket:
     roots = cut(components(covering_links(fps.select("fp"), radius, bucket)))
     member = fps.join(roots, fps.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     member = cut(member)
-    heads = member.groupBy("root").agg(F.min("first").alias("component_id"))
+    # written, so that the join deals both sides anew and can split a large component
+    heads = cut(member.groupBy("root").agg(F.min("first").alias("component_id")))
     return rows.join(cut(member.join(heads, "root").select("fp", "root", "component_id")), "fp").select(
         "doc_id", *keep, "fp", "root", "component_id")
 
