@@ -22,7 +22,6 @@ def subset_by_prefix(files: DataFrame, prefix: str, path_col: str = "rel_path")
 # Fixed artefact kinds and profile names.
 KIND_TEXT, KIND_JSON, KIND_BINARY = "text", "json", "binary"
 PROFILE_KEY = "bentoservice_profile"
-PROFILES = ("SinaraOnnxBentoService", "SinaraPytorchBentoService", "SinaraBinaryBentoService")
 # Upper bound on classes x features of a model that is shipped by broadcast.
 MAX_MODEL_CELLS = 50_000_000
 

@@ -125,31 +125,22 @@ def archive_sizing(files: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE,
                    F.lit(PARTITIONS_PER_CORE * cores).cast("long")).alias("n_partitions"))
 
 
-# Files above this size are never gathered into one value (see write_files).
-DEFAULT_MAX_INLINE_BYTES = 512 * 1024 * 1024
-
-
-def restore_files(chunks: DataFrame,
-                  max_file_bytes: int = DEFAULT_MAX_INLINE_BYTES) -> DataFrame:
+def restore_files(chunks: DataFrame) -> DataFrame:
     """Reassemble chunk rows into file rows ``(rel_path, length, n_chunks, content)``.
 
     Parts are ordered numerically inside each group; bytes are concatenated in
-    linear time through hex (``aggregate(concat)`` would be quadratic).  Files
-    larger than ``max_file_bytes`` keep their row (length, chunk count) but
-    get ``content = null``: their chunks are not collected, so a huge file
-    never lands in one task's memory; write those with
-    :func:`runvault.sinks.archive.write_files`, which streams them.
+    linear time through hex (``aggregate(concat)`` would be quadratic).  Every
+    file gets its whole content, so a task holds several times its largest
+    file; to restore or digest larger files use
+    :func:`runvault.sinks.archive.write_files` and :func:`file_md5`, which
+    stream the parts.
     """
-    small = F.col("file_length") <= F.lit(int(max_file_bytes))
     g = (chunks.groupBy("rel_path")
-         .agg(F.sort_array(F.collect_list(F.when(small, F.struct("part", "content"))))
-              .alias("parts"),
+         .agg(F.sort_array(F.collect_list(F.struct("part", "content"))).alias("parts"),
               F.sum(F.col("length").cast("long")).alias("length"),
-              F.max("file_length").alias("file_length"),
               F.count(F.lit(1)).alias("n_chunks"),
               F.max("modification_time").alias("modification_time")))
-    content = F.when(F.col("file_length") <= F.lit(int(max_file_bytes)), F.unhex(
-        F.array_join(F.transform("parts", lambda p: F.hex(p["content"])), "")))
+    content = F.unhex(F.array_join(F.transform("parts", lambda p: F.hex(p["content"])), ""))
     return g.select("rel_path", "length", F.col("n_chunks").cast("int").alias("n_chunks"),
                     "modification_time", content.alias("content"))
 

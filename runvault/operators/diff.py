@@ -122,24 +122,25 @@ def paired_texts(texts: DataFrame) -> DataFrame:
     return c.join(t, "pair")
 
 
-def _body_lines(text_col: str = "text", drop_last: bool = True):
-    """Lines of a text; with ``drop_last`` its final line (trailer) is ignored."""
+def _body_lines(text_col: str = "text", drop_last: bool = False):
+    """Lines of a text; with ``drop_last`` without its final line."""
     lines = F.split(F.col(text_col), "\n")
     if drop_last:
         lines = F.slice(lines, 1, F.greatest(F.size(lines) - 1, F.lit(0)))
     return lines
 
 
-def line_multiset_diff(texts: DataFrame, drop_last: bool = True) -> DataFrame:
+def line_multiset_diff(texts: DataFrame, drop_last: bool = False) -> DataFrame:
     """Order-free line diff per pair: lines added, removed and kept.
 
     A line occurring c times in the current text and t times in the target
-    counts max(c - t, 0) added, max(t - c, 0) removed, min(c, t) kept.
+    counts max(c - t, 0) added, max(t - c, 0) removed, min(c, t) kept.  A pair
+    without any line stays, with zeros.
     """
-    lines = texts.select("pair", "side", F.explode(_body_lines("text", drop_last)).alias("line"))
+    lines = texts.select("pair", "side", F.explode_outer(_body_lines("text", drop_last)).alias("line"))
     per_line = lines.groupBy("pair", "line").agg(
-        F.count_if(F.col("side") == "curr").alias("c"),
-        F.count_if(F.col("side") == "target").alias("t"))
+        F.count_if((F.col("side") == "curr") & F.col("line").isNotNull()).alias("c"),
+        F.count_if((F.col("side") == "target") & F.col("line").isNotNull()).alias("t"))
     return per_line.groupBy("pair").agg(
         F.sum(F.greatest(F.col("c") - F.col("t"), F.lit(0))).alias("lines_added"),
         F.sum(F.greatest(F.col("t") - F.col("c"), F.lit(0))).alias("lines_removed"),
@@ -160,7 +161,7 @@ def _unified_one(target: str | None, curr: str | None, drop_last: bool):
     return added, removed, "\n".join(out)
 
 
-def unified_line_diff(texts: DataFrame, drop_last: bool = True) -> DataFrame:
+def unified_line_diff(texts: DataFrame, drop_last: bool = False) -> DataFrame:
     """Ordered unified diff (target -> current) per pair, one row per pair.
 
     The two sides are joined into one row per pair (a pair missing a side

@@ -17,9 +17,10 @@ EMPTY_MAP = "map<string,string>"
 
 
 def parse_params(json_col: str | Column) -> Column:
-    """JSON object text -> ``map<string,string>`` (nested values stay JSON text)."""
+    """JSON object text -> ``map<string,string>`` (nested values stay JSON text); malformed
+    text is an error, null stays null."""
     c = F.col(json_col) if isinstance(json_col, str) else json_col
-    return F.from_json(c, EMPTY_MAP)
+    return F.from_json(c, EMPTY_MAP, {"mode": "FAILFAST"})
 
 
 def _m(c):

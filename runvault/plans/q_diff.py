@@ -98,16 +98,16 @@ def diff_pairs(spark, sf_dir):
 @query("diff_lines", f"""
 WITH t AS ({v.TEXTS_SQL}),
 b AS (SELECT pair, side, string_split(text, chr(10)) AS ls FROM t),
-l AS (SELECT pair, side, unnest(ls[1:greatest(len(ls) - 1, 0)]) AS line FROM b),
-pl AS (SELECT pair, line, count(*) FILTER (WHERE side = 'curr') AS c,
-              count(*) FILTER (WHERE side = 'target') AS t
+l AS (SELECT pair, side, unnest(coalesce(ls, [NULL])) AS line FROM b),
+pl AS (SELECT pair, line, count(line) FILTER (WHERE side = 'curr') AS c,
+              count(line) FILTER (WHERE side = 'target') AS t
        FROM l GROUP BY pair, line)
 SELECT pair, CAST(sum(greatest(c - t, 0)) AS BIGINT) AS lines_added,
        CAST(sum(greatest(t - c, 0)) AS BIGINT) AS lines_removed,
        CAST(sum(least(c, t)) AS BIGINT) AS lines_kept
 FROM pl GROUP BY pair""")
 def diff_lines(spark, sf_dir):
-    """Order-free line diff of every text pair (last line ignored)."""
+    """Order-free line diff of every text pair."""
     return df_.line_multiset_diff(v.texts(spark, sf_dir))
 
 

@@ -181,10 +181,10 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     o = table(spark, sf_dir, "orders")
     li = table(spark, sf_dir, "lineitem")
-    run_key = lambda c: F.concat(F.lit("run-"), F.lpad(F.col(c).cast("string"), 8, "0"))
+    run_key = lambda c: F.concat(F.lit("run-"), F.lpad(F.col(c).cast("string"), 19, "0"))
     ent = li.groupBy("l_orderkey").agg(F.collect_set("l_suppkey").alias("supps"),
                                        F.collect_set("l_partkey").alias("parts"))
-    rid_of = lambda k: F.concat(F.lit("run-"), F.lpad(k.cast("string"), 8, "0"))
+    rid_of = lambda k: F.concat(F.lit("run-"), F.lpad(k.cast("string"), 19, "0"))
     inputs = F.map_from_arrays(
         F.transform("supps", lambda s: F.concat(F.lit("supp_"), s.cast("string"))),
         F.transform("supps", lambda s: F.concat(F.lit("/store/"), rid_of(s), F.lit("/main"))))
@@ -220,7 +220,7 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 RUNS_SQL = """
-    SELECT 'run-' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS run_id,
+    SELECT 'run-' || lpad(CAST(o_orderkey AS VARCHAR), 19, '0') AS run_id,
            'm' || CAST(o_custkey % 4 AS VARCHAR) AS module,
            o_orderpriority AS pipeline,
            'step_' || CAST(o_custkey % 10 AS VARCHAR) AS step,
@@ -233,30 +233,30 @@ RUNS_SQL = """
 
 # (run_id, direction, name, url) of every run entity, as plain rows.
 RUN_ENTITIES_SQL = """
-    SELECT DISTINCT 'run-' || lpad(CAST(l_orderkey AS VARCHAR), 8, '0') AS run_id,
+    SELECT DISTINCT 'run-' || lpad(CAST(l_orderkey AS VARCHAR), 19, '0') AS run_id,
            'input' AS direction, 'supp_' || CAST(l_suppkey AS VARCHAR) AS name,
-           '/store/run-' || lpad(CAST(l_suppkey AS VARCHAR), 8, '0') || '/main' AS url
+           '/store/run-' || lpad(CAST(l_suppkey AS VARCHAR), 19, '0') || '/main' AS url
     FROM lineitem JOIN orders ON o_orderkey = l_orderkey
     UNION ALL
-    SELECT DISTINCT 'run-' || lpad(CAST(l_orderkey AS VARCHAR), 8, '0'), 'output',
+    SELECT DISTINCT 'run-' || lpad(CAST(l_orderkey AS VARCHAR), 19, '0'), 'output',
            'part_' || CAST(l_partkey AS VARCHAR),
-           '/store/run-' || lpad(CAST(l_orderkey AS VARCHAR), 8, '0') || '/part_'
+           '/store/run-' || lpad(CAST(l_orderkey AS VARCHAR), 19, '0') || '/part_'
              || CAST(l_partkey AS VARCHAR)
     FROM lineitem JOIN orders ON o_orderkey = l_orderkey
     UNION ALL
-    SELECT 'run-' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0'), 'output', 'main',
-           '/store/run-' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') || '/main'
+    SELECT 'run-' || lpad(CAST(o_orderkey AS VARCHAR), 19, '0'), 'output', 'main',
+           '/store/run-' || lpad(CAST(o_orderkey AS VARCHAR), 19, '0') || '/main'
     FROM orders
     UNION ALL
-    SELECT 'run-' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0'), 'output',
+    SELECT 'run-' || lpad(CAST(o_orderkey AS VARCHAR), 19, '0'), 'output',
            o_orderpriority || '.reports.m' || CAST(o_custkey % 4 AS VARCHAR),
-           '/store/run-' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') || '/reports_m'
+           '/store/run-' || lpad(CAST(o_orderkey AS VARCHAR), 19, '0') || '/reports_m'
              || CAST(o_custkey % 4 AS VARCHAR)
     FROM orders WHERE o_orderkey % 7 <> 0
     UNION ALL
-    SELECT 'run-' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0'), 'output',
+    SELECT 'run-' || lpad(CAST(o_orderkey AS VARCHAR), 19, '0'), 'output',
            'copy.' || o_orderpriority || '.reports.m' || CAST(o_custkey % 4 AS VARCHAR),
-           '/store/run-' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') || '/reports_m'
+           '/store/run-' || lpad(CAST(o_orderkey AS VARCHAR), 19, '0') || '/reports_m'
              || CAST(o_custkey % 4 AS VARCHAR) || '_copy'
     FROM orders WHERE o_orderkey % 7 <> 0 AND o_orderkey % 11 = 0
 """
@@ -266,12 +266,12 @@ def metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metric writes: run = user, name = event type, ordered by (ts, event_id)."""
     ev = table(spark, sf_dir, "events")
     return ev.select(
-        F.concat(F.lit("run-"), F.lpad(F.col("user_id").cast("string"), 8, "0")).alias("run_id"),
+        F.concat(F.lit("run-"), F.lpad(F.col("user_id").cast("string"), 19, "0")).alias("run_id"),
         F.col("event_type").alias("name"), "value", "ts", F.col("event_id").alias("seq"))
 
 
 METRIC_LOG_SQL = """
-    SELECT 'run-' || lpad(CAST(user_id AS VARCHAR), 8, '0') AS run_id, event_type AS name,
+    SELECT 'run-' || lpad(CAST(user_id AS VARCHAR), 19, '0') AS run_id, event_type AS name,
            value, ts, event_id AS seq
     FROM events
 """
@@ -450,7 +450,7 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("role") == "system", "markdown").otherwise("code").alias("cell_type"),
         F.filter(tag_opts, lambda x: x.isNotNull()).alias("tags"),
         F.col("text").alias("source"),
-        F.when(F.col("role") == "assistant", F.array(F.substring("text", 1, 30)))
+        F.when(F.col("role") == "assistant", F.array(F.col("text")))
         .otherwise(F.array().cast("array<string>")).alias("outputs"))
 
 
@@ -464,7 +464,7 @@ CELLS_SQL = """
                         CASE WHEN role = 'assistant' AND turn % 4 = 1 THEN 'business_report' END],
                        lambda x: x IS NOT NULL) AS tags,
            text AS source,
-           CASE WHEN role = 'assistant' THEN [substr(text, 1, 30)] ELSE []::VARCHAR[] END AS outputs
+           CASE WHEN role = 'assistant' THEN [text] ELSE []::VARCHAR[] END AS outputs
     FROM conversations
 """
 
@@ -486,8 +486,8 @@ def artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = d.select("doc_id", F.col("source").alias("bundle"), name.alias("name"),
                  kind.alias("kind"), raw_ext.alias("raw_ext"), base.alias("base_path"),
                  F.when(did % 3 == 0, F.concat(F.lit("v"), did.cast("string"))).alias("given"),
-                 F.concat(F.lit("run-"), F.lpad((did % 50).cast("string"), 8, "0")).alias("run_id"),
-                 F.element_at(F.array(*[F.lit(p) for p in ar.PROFILES]),
+                 F.concat(F.lit("run-"), F.lpad((did % 50).cast("string"), 19, "0")).alias("run_id"),
+                 F.element_at(F.array(*[F.lit(p) for p in ("onnx_service", "pytorch_service", "binary_service")]),
                               (did % 3 + 1).cast("int")).alias("profile_name"),
                  F.concat(F.lit('{"doc": '), did.cast("string"), F.lit("}")).alias("profile_params"),
                  F.encode("text", "UTF-8").alias("content"))
@@ -518,8 +518,7 @@ ARTIFACTS_SQL = """
                  '/bundles/' || source || '/artifacts'
                    || CASE WHEN doc_id % 4 = 0 THEN '/model.onnx' ELSE '' END AS base_path,
                  CASE WHEN doc_id % 3 = 0 THEN 'v' || CAST(doc_id AS VARCHAR) END AS given,
-                 'run-' || lpad(CAST(doc_id % 50 AS VARCHAR), 8, '0') AS run_id,
-                 ['SinaraOnnxBentoService', 'SinaraPytorchBentoService',
-                  'SinaraBinaryBentoService'][CAST(doc_id % 3 AS INTEGER) + 1] AS profile_name
+                 'run-' || lpad(CAST(doc_id % 50 AS VARCHAR), 19, '0') AS run_id,
+                 ['onnx_service', 'pytorch_service', 'binary_service'][CAST(doc_id % 3 AS INTEGER) + 1] AS profile_name
           FROM documents) a
 """

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runvault.operators.chunks import (CHUNK_SCHEMA, DEFAULT_BLOCK_SIZE, DEFAULT_ROW_SIZE,
-                                       archive_sizing, chunk_plan, exclude_split_helpers)
+                                       archive_sizing, chunk_plan)
 from runvault.sources.files import list_files, read_ranges
 
 
@@ -29,7 +29,7 @@ def pack_frame(spark: SparkSession, src_root: str, row_size: int = DEFAULT_ROW_S
     aggregate row reaches the driver.
     """
     if files is None:
-        files = exclude_split_helpers(list_files(spark, src_root))
+        files = list_files(spark, src_root)
     cores = cores or max(1, spark.sparkContext.defaultParallelism)
     n = archive_sizing(files, block_size, cores).first()["n_partitions"]
     plan = chunk_plan(files, row_size).repartition(int(n))
@@ -44,7 +44,7 @@ def pack(spark: SparkSession, src_root: str, store_path: str,
     The default mode refuses to overwrite: published versions are immutable.
     The listing is kept for the sizing pass and the write, then released.
     """
-    files = exclude_split_helpers(list_files(spark, src_root)).persist()
+    files = list_files(spark, src_root).persist()
     try:
         chunks = pack_frame(spark, src_root, row_size, block_size, cores, files=files)
         (chunks.write.option("parquet.block.size", int(block_size)).mode(mode)

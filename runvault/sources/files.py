@@ -11,9 +11,10 @@ every file, of any size, so files are handled in two steps:
    length, ...)`` become chunk rows with ``content``, read with seek + read
    by executor tasks.  A large file's ranges are spread over many tasks.
 
-Storage access goes through ``pyarrow.fs`` (local, S3, GCS, HDFS...).  For a
-scheme pyarrow cannot open, :func:`list_files` falls back to Spark's
-``binaryFile`` metadata scan (content pruned), with its hidden-file caveat.
+Storage access goes through ``pyarrow.fs`` (local, S3, GCS, HDFS...).  The
+file system is opened from the root once a task; ``path`` is a path in that
+file system, never parsed again, so names may hold any character.  A root that
+pyarrow cannot open is an error.
 """
 
 from __future__ import annotations
@@ -49,7 +50,7 @@ def _norm_root(root: str) -> str:
     return root.rstrip("/") or "/"
 
 
-def _info_rows(infos, fs_root: str, uri_prefix: str) -> list[tuple]:
+def _info_rows(infos, fs_root: str) -> list[tuple]:
     from pyarrow import fs as pafs
     rows = []
     for i in infos:
@@ -58,21 +59,10 @@ def _info_rows(infos, fs_root: str, uri_prefix: str) -> list[tuple]:
         rel = "/" + posixpath.relpath(i.path, fs_root)
         mtime = (datetime.fromtimestamp(i.mtime_ns / 1e9, tz=timezone.utc)
                  if i.mtime_ns is not None else None)
-        rows.append((uri_prefix + i.path, rel, int(i.size or 0), mtime))
+        rows.append((i.path, rel, int(i.size or 0), mtime))
     return rows
 
 
-def _uri_prefix(root: str, fs_path: str) -> str:
-    """What to put before a pyarrow path to get back a URI like ``root``."""
-    if "://" in root:
-        scheme = root.split("://", 1)[0]
-        if scheme == "file":
-            return "file://"
-        # e.g. s3://bucket/key -> pyarrow path 'bucket/key'
-        return f"{scheme}://"
-    return ""
-
-
 def list_files(spark: SparkSession, root: str, recursive: bool = True,
                glob: str | None = None) -> DataFrame:
     """Every file under ``root`` as metadata rows, hidden and empty files included.
@@ -82,14 +72,10 @@ def list_files(spark: SparkSession, root: str, recursive: bool = True,
     ``pathGlobFilter``.
     """
     root = _norm_root(root)
-    try:
-        fs, base = _fs(root)
-    except Exception:  # noqa: BLE001 - unsupported scheme: Spark metadata scan
-        return _list_with_spark(spark, root, recursive, glob)
+    fs, base = _fs(root)
     from pyarrow import fs as pafs
-    prefix = _uri_prefix(root, base)
     top = fs.get_file_info(pafs.FileSelector(base, recursive=False, allow_not_found=False))
-    top_files = _info_rows(top, base, prefix)
+    top_files = _info_rows(top, base)
     sub_dirs = [i.path for i in top if i.type == pafs.FileType.Directory] if recursive else []
 
     parts = [spark.createDataFrame(top_files, LISTING_SCHEMA)]
@@ -102,7 +88,7 @@ def list_files(spark: SparkSession, root: str, recursive: bool = True,
             for pdf in batches:
                 for d in pdf["dir"]:
                     infos = fs2.get_file_info(pafs.FileSelector(d, recursive=True))
-                    rows = _info_rows(infos, base2, prefix)
+                    rows = _info_rows(infos, base2)
                     if rows:
                         yield pd.DataFrame(rows, columns=["path", "rel_path", "length",
                                                           "modification_time"])
@@ -116,16 +102,6 @@ def list_files(spark: SparkSession, root: str, recursive: bool = True,
     return out
 
 
-def _list_with_spark(spark, root, recursive, glob):
-    r = (spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
-         .option("pathGlobFilter", glob or "*").load(root))
-    prefix = root if "://" in root else "file:" + root
-    return r.select(
-        "path", F.when(F.col("path").startswith(prefix),
-                       F.substring("path", len(prefix) + 1, 1 << 30)).otherwise(F.col("path"))
-        .alias("rel_path"), "length", F.col("modificationTime").alias("modification_time"))
-
-
 def select_files(spark: SparkSession, folder: str, globs: list[str]) -> DataFrame:
     """Files directly in ``folder`` matching any of ``globs`` (no sub-folders).
 
@@ -142,12 +118,13 @@ def select_files(spark: SparkSession, folder: str, globs: list[str]) -> DataFram
     return out
 
 
-def read_ranges(plan: DataFrame, root: str | None = None,
+def read_ranges(plan: DataFrame, root: str = "/",
                 keep: tuple[str, ...] = ("rel_path", "part", "offset", "length",
                                          "file_length", "modification_time")) -> DataFrame:
     """Chunk plan rows -> chunk rows with ``content`` read from storage.
 
-    Each range is opened by path (seek + read).  Output batches are capped at
+    ``path`` is a path in the file system of ``root``; a file stays open while its
+    ranges follow each other.  Output batches are capped at
     ``READ_BATCH_BYTES`` so a task never holds more than that many bytes.
     """
     cols = [c for c in keep if c in plan.columns]
@@ -155,26 +132,21 @@ def read_ranges(plan: DataFrame, root: str | None = None,
                               + [T.StructField("content", T.BinaryType(), True)])
 
     def reader(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs as pafs
-        cache: dict = {}
+        fs, _ = _fs(_norm_root(root))
+        name, handle = None, None
         buf, size = [], 0
         for pdf in batches:
             for row in pdf.itertuples(index=False):
-                path = row.path
-                fs, p = cache.get(path, (None, None))
-                if fs is None:
-                    fs, p = pafs.FileSystem.from_uri(path) if ("://" in path or path.startswith("/")) \
-                        else pafs.FileSystem.from_uri(posixpath.join(root or "/", path))
-                    cache.clear()
-                    cache[path] = (fs, p)
                 n = int(row.length)
+                data = b""
                 if n > 0:
-                    with fs.open_input_file(p) as f:
-                        data = f.read_at(n, int(row.offset))
+                    if row.path != name:
+                        if handle is not None:
+                            handle.close()
+                        name, handle = row.path, fs.open_input_file(row.path)
+                    data = handle.read_at(n, int(row.offset))
                     if len(data) != n:
-                        raise IOError(f"short read {path}@{row.offset}: {len(data)} of {n}")
-                else:
-                    data = b""
+                        raise IOError(f"short read {row.path}@{row.offset}: {len(data)} of {n}")
                 rec = {c: getattr(row, c) for c in cols}
                 rec["content"] = bytes(data)
                 buf.append(rec)
@@ -182,6 +154,8 @@ def read_ranges(plan: DataFrame, root: str | None = None,
                 if size >= READ_BATCH_BYTES:
                     yield pd.DataFrame(buf, columns=cols + ["content"])
                     buf, size = [], 0
+        if handle is not None:
+            handle.close()
         if buf:
             yield pd.DataFrame(buf, columns=cols + ["content"])
 

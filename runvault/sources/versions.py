@@ -42,15 +42,12 @@ def scan_versions(spark: SparkSession, env: str, env_path: str, pipeline: str =
     The driver lists only the pipeline folders; executors walk
     zone / step / run / entity folders level by level and stat each commit
     marker, so no data file is listed and no version row passes through the
-    driver.  Schemes pyarrow cannot open fall back to Hadoop's glob.
+    driver.  A root that pyarrow cannot open is an error.
     Output: env, pipeline, zone, step, entity, run_id, committed, url.
     """
     base = env_path.rstrip("/")
-    try:
-        from pyarrow import fs as pafs
-        fs, root = pafs.FileSystem.from_uri(base)
-    except Exception:  # noqa: BLE001
-        return _scan_versions_glob(spark, env, base, pipeline, zone, step, entity)
+    from pyarrow import fs as pafs
+    fs, root = pafs.FileSystem.from_uri(base)
     import fnmatch
     prefix = base[: len(base) - len(root)] if base.endswith(root) else ""
     tops = [i.path for i in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
@@ -100,14 +97,6 @@ def _version_columns(df: DataFrame, env: str) -> DataFrame:
         "committed", F.col("path").alias("url"))
 
 
-def _scan_versions_glob(spark, env, base, pipeline, zone, step, entity):
-    pat = f"{base}/{pipeline}/{zone}/{step}/*/{entity}"
-    folders = _glob(spark, pat)
-    markers = {p.rsplit("/", 1)[0] for p in _glob(spark, f"{pat}/{COMMIT_MARKER}")}
-    df = spark.createDataFrame([(p, p in markers) for p in folders], VERSION_SCHEMA)
-    return _version_columns(df, env)
-
-
 def committed_run_ids(spark: SparkSession, step_path: str, entity: str) -> DataFrame:
     """Run ids of ``{step_path}/*/{entity}`` that carry the commit marker."""
     paths = _glob(spark, f"{step_path.rstrip('/')}/*/{entity}/{COMMIT_MARKER}")

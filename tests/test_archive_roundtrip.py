@@ -138,16 +138,27 @@ def test_chunk_property(spark):
     prop()
 
 
-def test_restore_guard_keeps_row_without_content(spark):
+def test_restore_gives_every_file_whole(spark):
     from pyspark.sql import functions as F
-    df = spark.createDataFrame([("/small", b"abc"), ("/large", b"x" * 50)],
+    df = spark.createDataFrame([("/small", b"abc"), ("/large", b"x" * 50_000)],
                                "rel_path string, content binary")
     df = df.select("rel_path", F.octet_length("content").cast("long").alias("length"), "content")
-    out = {r.rel_path: r for r in ch.restore_files(ch.chunk_files(df, 8), max_file_bytes=10)
-           .collect()}
+    out = {r.rel_path: r for r in ch.restore_files(ch.chunk_files(df, 8)).collect()}
     assert bytes(out["/small"].content) == b"abc"
-    assert out["/large"].content is None and out["/large"].length == 50
-    assert out["/large"].n_chunks == 7
+    assert bytes(out["/large"].content) == b"x" * 50_000 and out["/large"].n_chunks == 6250
+
+
+@pytest.mark.parametrize("scheme", ["", "file://"])
+def test_any_file_name_survives(spark, tmp_path, scheme):
+    names = ["a b.txt", "c%20d.txt", "e#f.txt", "g?h.txt", "i=j.txt", ".hidden", "empty", "model.parts", "set.parts/x.bin"]
+    root = tmp_path / "src"
+    for n in names:
+        (root / n).parent.mkdir(parents=True, exist_ok=True)
+        (root / n).write_bytes(b"" if n == "empty" else n.encode() * 40)
+    archive.pack(spark, f"{scheme}{root}", f"{scheme}{tmp_path}/store", row_size=64)
+    archive.unpack(spark, f"{scheme}{tmp_path}/store", f"{scheme}{tmp_path}/dest")
+    for n in names:
+        assert (tmp_path / "dest" / n).read_bytes() == (root / n).read_bytes()
 
 
 def test_pack_and_unpack_selected(spark, tmp_path):

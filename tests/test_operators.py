@@ -164,13 +164,26 @@ def test_line_diffs(spark):
     t = spark.createDataFrame([(1, "curr", "a\nb\nb\nx\ntrailer"),
                                (1, "target", "a\nb\nc\ntrailer2")],
                               "pair long, side string, text string")
-    r = df_.line_multiset_diff(t).first()
+    r = df_.line_multiset_diff(t, drop_last=True).first()
     assert (r.lines_added, r.lines_removed, r.lines_kept) == (2, 1, 2)
-    u = df_.unified_line_diff(t).first()
+    u = df_.unified_line_diff(t, drop_last=True).first()
     assert (u.n_added, u.n_removed) == (2, 1)
     assert "+x" in u.diff and "-c" in u.diff and "trailer" not in u.diff
 
 
+def test_line_diff_keeps_every_pair_and_line(spark):
+    t = spark.createDataFrame([(1, "curr", "only"), (1, "target", "only"), (2, "curr", None), (2, "target", None),
+                               (3, "curr", "a\nb"), (3, "target", "a\nc")], "pair long, side string, text string")
+    got = {r.pair: (r.lines_added, r.lines_removed, r.lines_kept) for r in df_.line_multiset_diff(t).collect()}
+    assert got == {1: (0, 0, 1), 2: (0, 0, 0), 3: (1, 1, 1)}
+
+
+def test_malformed_parameters_are_an_error(spark):
+    df = spark.createDataFrame([("{bad",)], "j string")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        df.select(pa.parse_params("j")).collect()
+
+
 def test_last_metrics_last_write_wins(spark):
     t = datetime(2024, 1, 1)
     log = spark.createDataFrame([("r", "acc", 0.1, t, 1), ("r", "acc", 0.9, t, 2),
