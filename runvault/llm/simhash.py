@@ -187,15 +187,24 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, bucket:
 
 def one_of_each(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
     """The rows of ``docs`` with one row of each component: the one with the smallest doc_id
-    (null last; of equal ones, the first read)."""
-    at = "_row_at"
-    while at in docs.columns:
-        at += "_"
-    placed = docs.withColumn(at, F.monotonically_increasing_id())
-    found = near_duplicates(placed, shingle, radius, keep=(at,))
-    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(at))
-    stay = cut(found.groupBy("root").agg(F.min(order).alias("s")).select(F.col(f"s.{at}").alias(at)))
-    return placed.join(stay, at, "left_semi").drop(at)
+    (null last), then the smallest hash of its text; of rows equal in both any one.
+
+    Rows are named by what they hold, not by their place, so both scans of ``docs`` agree
+    also if executors come or go between them.
+    """
+    whole = docs.toDF(*[f"_in{i}" for i in range(len(docs.columns))])
+    doc_id, text = (F.col(f"_in{docs.columns.index(n)}") for n in ("doc_id", "text"))
+    named = whole.withColumn("_doc", doc_id).withColumn("_hash", F.xxhash64(F.coalesce(text, F.lit(""))))
+    found = near_duplicates(named.select(doc_id.alias("doc_id"), text.alias("text"), "_hash"), shingle, radius, keep=("_hash",))
+    rows = found.groupBy("root", "doc_id", "_hash").agg(F.count("*").alias("n"))
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_hash", "n")).alias("s")
+    stay = cut(rows.groupBy("root").agg(best).select(F.col("s.doc_id").alias("_d"), F.col("s._hash").alias("_h"), "s.n"))
+    kept = named.join(stay, F.col("_doc").eqNullSafe(F.col("_d")) & (F.col("_hash") == F.col("_h")))
+    out = kept.filter("n = 1").select(*whole.columns)
+    if not stay.filter("n > 1").isEmpty():
+        repeated = kept.filter("n > 1").groupBy("_doc", "_hash").agg(F.first(F.struct(*whole.columns)).alias("r"))
+        out = out.union(repeated.select("r.*"))
+    return out.toDF(*docs.columns)
 
 
 @query("op10_simhash")

@@ -69,9 +69,9 @@ def page_urn(page_id) -> str:
     return f"<urn:page:{'none' if page_id is None else page_id}>"
 
 
-def record(page_id, url: str | None, payload: bytes, digest: str, refers_to, revisit: bool) -> bytes:
-    """One record; ``digest`` is base32.  A revisit holds the HTTP header only."""
-    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
+def record(page_id, url: str | None, payload: bytes, size: int, digest: str, refers_to, revisit: bool) -> bytes:
+    """One record; ``digest`` is base32.  A revisit holds the HTTP header only, with the payload's ``size``."""
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % size
     block = http if revisit else http + payload
     head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {page_urn(page_id)}",
             f"WARC-Target-URI: {(url or '').strip().replace(chr(10), '%0A').replace(chr(13), '%0D')}",
@@ -119,15 +119,36 @@ _CAPTURE_NAMES = ["key", "page_id", "row", "file", "offset", "length"]
 
 
 def with_roles(pages: DataFrame, least: int = 0) -> DataFrame:
-    """``pages`` (page_id, url, html) with payload, digest (hex), and of rows with an equal
-    payload of at least ``least`` bytes the first (smallest page_id) as ``head``."""
-    rows = pick(pages, "page_id", "url", "html").select(
-        "page_id", "url", F.coalesce("html", F.lit("")).alias("payload"), F.monotonically_increasing_id().alias("row"))
-    rows = rows.withColumn("sha1", F.sha1("payload"))
-    first = F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "row")).alias("head")
-    heads = (rows.filter(F.octet_length("payload") >= least).groupBy("sha1").agg(first, F.count("*").alias("n"))
-             .filter("n > 1").select("sha1", "head"))
-    return rows.join(cut(heads), "sha1", "left")
+    """(page_id, url, payload, size, sha1, revisit, refers_to) for every row of ``pages`` (page_id, url,
+    html).  Of rows with an equal payload of at least ``least`` bytes the one with the smallest
+    page_id (then hash of its URL) is no revisit and the others refer to it.
+
+    Rows are named by what they hold, not by their place, so that scans agree also if executors
+    come or go between them.  Rows equal in everything are told apart by number: one is taken,
+    and the others, which need no payload, are made from their count.
+    """
+    rows = pick(pages, "page_id", "url", "html").select("page_id", "url", F.coalesce("html", F.lit("")).alias("payload"))
+    rows = rows.withColumn("size", F.octet_length("payload").cast("long")).withColumn("sha1", F.sha1("payload")).withColumn(
+        "url_hash", F.xxhash64("url"))
+    equal = rows.filter(F.col("size") >= least).groupBy("sha1", "page_id", "url_hash").agg(F.count("*").alias("n"))
+    first = F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "url_hash", "n")).alias("head")
+    heads = cut(equal.groupBy("sha1").agg(first, F.sum("n").alias("all")).filter("all > 1").select("sha1", "head"))
+    all_rows = rows.join(heads, "sha1", "left")
+    is_head = (F.col("head").isNotNull() & F.col("page_id").eqNullSafe(F.col("head.page_id"))
+               & (F.col("url_hash") == F.col("head.url_hash")))
+    several = is_head & F.coalesce(F.col("head.n") > 1, F.lit(False))
+    columns = ["page_id", "url", "payload", "size", "sha1", "revisit", "refers_to"]
+    refers_to = F.col("head.page_id").alias("refers_to")
+    out = all_rows.withColumn("revisit", F.col("head").isNotNull() & ~is_head).select(
+        *columns[:-1], refers_to, several.alias("several")).filter("not several").select(*columns)
+    if heads.filter("head.n > 1").isEmpty():
+        return out
+    some = all_rows.filter(several).groupBy("sha1").agg(
+        *[F.first(c).alias(c) for c in ("page_id", "url", "payload", "size", "head")])
+    again = some.select("page_id", "url", F.lit("").alias("payload"), "size", "sha1", F.lit(True).alias("revisit"), refers_to,
+                        F.explode(F.sequence(F.lit(2).cast("long"), F.col("head.n"))).alias("k")).repartition("sha1", "k")
+    return (out.union(some.withColumn("revisit", F.lit(False)).select(*columns[:-1], refers_to))
+            .union(again.select(*columns)))
 
 
 def write_archives(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
@@ -143,9 +164,8 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
                     name, offset = f"{uuid.uuid4().hex}.warc.gz", 0
                     fs.create_dir(posixpath.join(base, "warc"), recursive=True)
                     out = fs.open_output_stream(posixpath.join(base, "warc", name), compression=None)
-                revisit = r["head_row"] is not None and r["head_row"] != r["row"]
                 digest = base64.b32encode(bytes.fromhex(r["sha1"])).decode()
-                data = _gzip(record(r["page_id"], r["url"], r["payload"].encode(), digest, r["head_page"], revisit))
+                data = _gzip(record(r["page_id"], r["url"], r["payload"].encode(), r["size"], digest, r["refers_to"], r["revisit"]))
                 out.write(data)
                 found.append((url_key(r["url"]), r["page_id"], r["row"], name, offset, len(data)))
                 offset += len(data)
@@ -153,8 +173,7 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
             found = []
         if out is not None:
             out.close()
-    rows = with_roles(pages, least).select("page_id", "url", "payload", "row", "sha1", F.col("head.row").alias("head_row"),
-                                           F.col("head.page_id").alias("head_page"))
+    rows = with_roles(pages, least).withColumn("row", F.monotonically_increasing_id())  # names a capture
     rows.mapInArrow(write, CAPTURE).write.parquet(f"{folder}/captures")
     return pages.sparkSession.read.schema(CAPTURE).parquet(f"{folder}/captures")
 

@@ -133,6 +133,16 @@ def test_near_duplicates_rows(spark, odd):
     assert simhash.near_duplicates(empty(odd)).collect() == []
 
 
+def test_one_of_each_names_rows_by_what_they_hold(spark):
+    """The choice does not hang on how the rows are spread; rows equal in doc_id and text leave one."""
+    rows = [(i, f"text number {i // 3} of the same few words {i // 3}", i) for i in range(60)]
+    rows += [(None, "no id here at all", 1), (None, "no id here at all", 2), (7, rows[7][1], 7), (0, rows[0][1], 99)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, DOC_ID long")
+    spread = [sorted(str(r[0]) for r in simhash.one_of_each(df.repartition(n)).collect()) for n in (1, 5)]
+    ids = simhash.near_duplicates(df).select("component_id").distinct().collect()
+    assert spread[0] == spread[1] == sorted(str(r[0]) for r in ids)
+
+
 def test_query_equals_all_pairs(spark):
     rows = simhash.op10_simhash(spark, SF_SMALL).collect()
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
@@ -257,6 +267,8 @@ def test_archives_round_trip(spark, monkeypatch):
         assert got[want] == n
     payloads = {r.page_id: bytes(r.payload).decode() for r in rows if r.record_type == "response"}
     assert all(payloads[i] == (h or "") for i, _, h in pages if i in payloads)
+    many = warc.with_roles(spark.createDataFrame([(1, "u", "p", "x")] * 9 + [(1, "v", "p", "x")], df.schema)).collect()
+    assert sorted((r.revisit, r.refers_to, r.size) for r in many) == [(False, 1, 1)] + [(True, 1, 1)] * 9
     small = warc.archive_and_read(spark, df, scratch_dir(spark, "warc-test"), least=5).collect()
     assert [r for r in small if r.record_type == "revisit"] == []
     assert warc.archive_and_read(spark, empty(df), scratch_dir(spark, "warc-test")).collect() == []
