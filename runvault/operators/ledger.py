@@ -9,7 +9,7 @@ metric_log  run_id, name, value, ts, seq   (one row per metric write)
 
 Every operator is linear in its input: lineage is exploded to one row per
 (run, entity) rather than input x output pairs, and producer -> consumer
-edges join on the url, which names exactly one producing run.
+edges join on the url after producers are reduced to one run per url.
 """
 
 from __future__ import annotations
@@ -20,8 +20,7 @@ from pyspark.sql import types as T
 
 # Report entity prefix and the summary header / line formats.
 REPORTS_PREFIX = "reports."
-SUMMARY_HEADER = "#### Step {pipeline}/{step}/{commit} has been built and checked"
-SUMMARY_ITEM = "- {name} : {url}"
+SUMMARY_START, SUMMARY_END = "#### Step ", " has been built and checked"
 
 RUN_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()),
@@ -68,26 +67,30 @@ def metric_snapshot(last: DataFrame, decimals: int = 2) -> DataFrame:
 
 def lineage(runs: DataFrame) -> DataFrame:
     """``run_id, direction ('input'|'output'), name, url`` for every entity."""
-    ins = runs.select("run_id", F.lit("input").alias("direction"),
-                      F.explode("inputs").alias("name", "url"))
-    outs = runs.select("run_id", F.lit("output").alias("direction"),
-                       F.explode("outputs").alias("name", "url"))
-    return ins.unionByName(outs)
+    def entries(direction, m):
+        rows = F.transform(F.map_entries(m), lambda e: F.struct(
+            F.lit(direction).alias("direction"), e["key"].alias("name"), e["value"].alias("url")))
+        return F.coalesce(rows, F.array().cast(
+            "array<struct<direction:string,name:string,url:string>>"))
+    return runs.select("run_id", F.inline(F.concat(entries("input", "inputs"),
+                                                   entries("output", "outputs"))))
 
 
 def dependencies(runs: DataFrame) -> DataFrame:
     """Producer -> consumer edges: a run's input url equals another run's output url.
 
     ``consumer_run, input_name, url, producer_run, output_name``; inputs with
-    no known producer keep a null producer.  Urls of versioned outputs name
-    their run, so each url has one producer and the join never fans out.
+    no known producer keep a null producer.  A custom url can be written by
+    many runs: its producer is the one with the greatest run id (then output
+    name), so the join never fans out.
     """
     ins = runs.select(F.col("run_id").alias("consumer_run"),
                       F.explode("inputs").alias("input_name", "url"))
     outs = runs.select(F.col("run_id").alias("producer_run"),
                        F.explode("outputs").alias("output_name", "url"))
-    return ins.join(outs, "url", "left").select(
-        "consumer_run", "input_name", "url", "producer_run", "output_name")
+    newest = outs.groupBy("url").agg(F.max(F.struct("producer_run", "output_name")).alias("p"))
+    return ins.join(newest, "url", "left").select(
+        "consumer_run", "input_name", "url", "p.producer_run", "p.output_name")
 
 
 # ------------------------------------------------------------------ A7
@@ -100,9 +103,8 @@ def _entries_text(m):
 
 def run_summary(runs: DataFrame) -> DataFrame:
     """One summary per run: header, input / output lists, start, duration."""
-    header = F.concat(F.lit("#### Step "), "pipeline", F.lit("/"), "step", F.lit("/"),
-                      F.coalesce("commit", F.lit("")),
-                      F.lit(" has been built and checked"))
+    header = F.concat(F.lit(SUMMARY_START), "pipeline", F.lit("/"), "step", F.lit("/"),
+                      F.coalesce("commit", F.lit("")), F.lit(SUMMARY_END))
     return runs.select(
         "run_id", header.alias("header"),
         _entries_text("inputs").alias("inputs_text"),

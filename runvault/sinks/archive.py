@@ -103,23 +103,32 @@ def write_files(chunks: DataFrame, dest_root: str, n_partitions: int | None = No
                 if via_tmp:
                     fs.move(tmp, target)
 
-        for r in rows:
-            if r.rel_path != cur:
-                close()
-                cur = r.rel_path
-                target = posixpath.join(base, _safe_rel(cur))
-                parent, name = posixpath.split(target)
-                fs.create_dir(parent, recursive=True)
-                tmp = posixpath.join(parent, f".{name}.inprogress-{attempt}") if via_tmp else target
-                out = fs.open_output_stream(tmp)
-                expect_part, written, total = 0, 0, int(r.file_length)
-            if r.part != expect_part:
-                raise IOError(f"{cur}: part {r.part} where {expect_part} was expected")
-            if r.content:
-                out.write(r.content)
-                written += len(r.content)
-            expect_part += 1
-        close()
+        try:
+            for r in rows:
+                if r.rel_path != cur:
+                    close()
+                    cur = r.rel_path
+                    target = posixpath.join(base, _safe_rel(cur))
+                    parent, name = posixpath.split(target)
+                    fs.create_dir(parent, recursive=True)
+                    tmp = (posixpath.join(parent, f".{name}.inprogress-{attempt}") if via_tmp
+                           else target)
+                    out = fs.open_output_stream(tmp, compression=None)
+                    expect_part, written, total = 0, 0, int(r.file_length)
+                if r.part != expect_part:
+                    raise IOError(f"{cur}: part {r.part} where {expect_part} was expected")
+                if r.content:
+                    out.write(r.content)
+                    written += len(r.content)
+                expect_part += 1
+            close()
+        except BaseException:
+            # a failed attempt takes its unfinished file along
+            if out is not None and via_tmp and tmp is not None:
+                out.close()
+                if fs.get_file_info(tmp).type == pafs.FileType.File:
+                    fs.delete_file(tmp)
+            raise
 
     ordered.foreachPartition(writer)
 

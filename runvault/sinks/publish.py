@@ -6,8 +6,9 @@
   allowed); :func:`cut_lineage` checkpoints into ``spark.checkpoint.dir``.
 * :func:`append_runs` appends run records to a ledger table partitioned by
   pipeline, so later scans prune by partition.
-* :func:`collect_event_logs` copies event logs into
-  ``{dest}/{log}/{run_id}/{file}`` through range reads + ordered writes.
+* :func:`read_ledger` gives the current record of each run.
+* :func:`collect_event_logs` copies event logs between the tmp and the stored
+  layout through range reads + ordered writes.
 """
 
 from __future__ import annotations
@@ -72,23 +73,52 @@ def run_records(runs: DataFrame) -> DataFrame:
 
 
 def append_runs(runs: DataFrame, ledger_path: str, partition_by=("pipeline",)) -> None:
-    """Append run records to the ledger (Parquet, partitioned by pipeline)."""
+    """Append run records to the ledger (Parquet, partitioned by pipeline).
+
+    A run may be appended again, e.g. at its start and at its end, or by a
+    repeated job: :func:`read_ledger` keeps its current record.
+    """
     runs.write.mode("append").partitionBy(*partition_by).parquet(ledger_path)
 
 
+def current_records(records: DataFrame) -> DataFrame:
+    """One record per run (and pipeline and module, where present).
+
+    A finished record beats an unfinished one, a later stop an earlier one.
+    Partial maxima are taken before the shuffle.
+    """
+    key = [c for c in ("pipeline", "run_id", "module") if c in records.columns]
+    order = [F.col(c) for c in ("stop_time", "start_time") if c in records.columns]
+    done = order[0].isNotNull() if "stop_time" in records.columns else F.lit(True)
+    last = records.groupBy(*key).agg(F.max_by(F.struct(*records.columns), F.struct(
+        done.alias("done"), *order)).alias("r"))
+    return last.select("r.*")
+
+
 def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
-    return spark.read.parquet(ledger_path)
+    """Current record of every run in the ledger."""
+    return current_records(spark.read.parquet(ledger_path))
 
 
 def collect_event_logs(spark: SparkSession, src_root: str, dest_root: str,
-                       row_size: int = 1024 * 1024) -> None:
-    """Copy ``.../{log}/{run_id}/events.out*`` to ``{dest}/{log}/{run_id}/{file}``."""
+                       row_size: int = 1024 * 1024, src_layout: str = "tmp",
+                       dest_layout: str = "tmp") -> None:
+    """Copy event logs from one layout to another: ``tmp`` is ``{log}/{run_id}/{file}``,
+    ``stored`` is ``{run_id}/tensorboard/{log}/{file}``.
+
+    Files that meet in one target (one log, run and name below several folders) are an error.
+    """
     from runvault.operators.chunks import chunk_plan
     from runvault.sinks.archive import write_files
     from runvault.sources.files import read_ranges
-    from runvault.sources.versions import event_logs
-    logs = event_logs(spark, src_root).select(
-        "path", F.concat_ws("/", F.lit(""), "log_name", "run_id", "file_name").alias("rel_path"),
-        "length")
+    from runvault.sources.versions import EVENT_FOLDER, event_logs
+    if dest_layout not in ("tmp", "stored"):
+        raise ValueError(f"unknown event-log layout: {dest_layout}")
+    parts = (["log_name", "run_id"] if dest_layout == "tmp"
+             else ["run_id", F.lit(EVENT_FOLDER), "log_name"])
+    logs = event_logs(spark, src_root, layout=src_layout).select(
+        "path", F.concat_ws("/", F.lit(""), *parts, "file_name").alias("rel_path"), "length")
+    if not logs.groupBy("rel_path").count().filter("count > 1").isEmpty():
+        raise ValueError(f"several event logs below {src_root} have the same log, run and name")
     plan = chunk_plan(logs, row_size).repartition(max(1, spark.sparkContext.defaultParallelism))
     write_files(read_ranges(plan, src_root), dest_root)

@@ -135,15 +135,26 @@ def read_custom(spark: SparkSession, path: str, fmt: str = "parquet", **options)
     return spark.read.format(fmt).options(**options).load(path)
 
 
-def event_logs(spark: SparkSession, root: str, pattern: str = "events.out*") -> DataFrame:
-    """Event-log files under ``root``: ``.../{log}/{run_id}/events.out*``.
+# Fixed value: folder that holds a run's event logs in the store.
+EVENT_FOLDER = "tensorboard"
+
+
+def event_logs(spark: SparkSession, root: str, pattern: str = "events.out*",
+               layout: str = "tmp") -> DataFrame:
+    """Event-log files under ``root``, of the ``tmp`` layout ``.../{log}/{run_id}/{file}``
+    or the ``stored`` layout ``.../{run_id}/tensorboard/{log}/{file}``.
 
     Metadata only (content is never read here).  Output: path, rel_path,
     length, log_name, run_id, file_name.
     """
     from runvault.sources.files import list_files
+    if layout not in ("tmp", "stored"):
+        raise ValueError(f"unknown event-log layout: {layout}")
     files = list_files(spark, root, glob=pattern)
+    log, run = (-3, -2) if layout == "tmp" else (-2, -4)
+    if layout == "stored":
+        files = files.filter(path_part("rel_path", -3) == EVENT_FOLDER)
     return files.select("path", "rel_path", "length",
-                        path_part("rel_path", -3).alias("log_name"),
-                        path_part("rel_path", -2).alias("run_id"),
+                        path_part("rel_path", log).alias("log_name"),
+                        path_part("rel_path", run).alias("run_id"),
                         path_part("rel_path", -1).alias("file_name"))

@@ -77,3 +77,13 @@ def test_hot_url_dependencies_whole(spark):
     d = lg.dependencies(runs)
     assert d.count() == N
     assert d.filter("url = '/u/0' AND producer_run = 'run-0'").count() == N // 3
+
+
+def test_shared_custom_url_has_one_producer(spark):
+    """Many runs write one fixed path and many read it: one edge for each reader."""
+    runs = spark.createDataFrame(
+        [(f"run-{i:03}", {"in": "/fixed"}, {"out": "/fixed"}) for i in range(40)] + [("run-x", None, {"o": "/own"})],
+        "run_id string, inputs map<string,string>, outputs map<string,string>")
+    edges = lg.dependencies(runs).collect()
+    assert len(edges) == 40 and {(e.producer_run, e.output_name) for e in edges} == {("run-039", "out")}
+    assert lg.lineage(runs).count() == 81

@@ -71,7 +71,11 @@ def test_ledger_append_and_records(spark, tmp_path):
     assert got["run-1"] == ("COMPLETE", 90.0) and got["run-2"][0] == "RUNNING"
     pub.append_runs(recs, ledger)
     pub.append_runs(recs, ledger)
-    assert pub.read_ledger(spark, ledger).filter("pipeline = 'p1'").count() == 2
+    ended = recs.filter("run_id = 'run-2'").withColumn("stop_time", F.lit("2024-01-01 00:00:09"))
+    pub.append_runs(pub.run_records(ended.drop("status").withColumn("status", F.lit("FAILED"))), ledger)
+    now = {r.run_id: r.status for r in pub.read_ledger(spark, ledger).collect()}
+    assert now == {"run-1": "COMPLETE", "run-2": "FAILED"}
+    assert pub.read_ledger(spark, ledger).count() == 2
     # run-record JSON files
     d = tmp_path / "tmp"
     d.mkdir()
@@ -103,6 +107,33 @@ def test_event_logs(spark, tmp_path):
     dest = tmp_path / "out"
     pub.collect_event_logs(spark, str(src), str(dest), row_size=64)
     assert (dest / "eval" / "run-2" / "events.out.tfevents.1").read_bytes() == b"eval-run-2" * 100
+    # into the store and back
+    store, back = tmp_path / "store", tmp_path / "back"
+    pub.collect_event_logs(spark, str(src), str(store), dest_layout="stored")
+    assert (store / "run-1" / "tensorboard" / "train" / "events.out.tfevents.1").exists()
+    got = vs.event_logs(spark, str(store), layout="stored").collect()
+    assert {(r.log_name, r.run_id) for r in got} == {
+        ("train", "run-1"), ("train", "run-2"), ("eval", "run-1"), ("eval", "run-2")}
+    pub.collect_event_logs(spark, str(store), str(back), src_layout="stored")
+    assert (back / "eval" / "run-2" / "events.out.tfevents.1").read_bytes() == b"eval-run-2" * 100
+    # two zones with the same log, run and file name would overwrite each other
+    twin = src / "zone2" / "train" / "run-1"
+    twin.mkdir(parents=True)
+    (twin / "events.out.tfevents.1").write_bytes(b"x")
+    with pytest.raises(ValueError):
+        pub.collect_event_logs(spark, str(src), str(tmp_path / "no"))
+
+
+def test_failed_write_leaves_no_file(spark, tmp_path):
+    from runvault.sinks.archive import write_files
+    rows = spark.createDataFrame([("/a.bin", 1, 3, 3, b"abc")],
+                                 "rel_path string, part int, length int, file_length long, content binary")
+    good = spark.createDataFrame([("/b.gz", 0, 3, 3, b"abc")], rows.schema)
+    write_files(good, str(tmp_path / "good"), 1)
+    assert (tmp_path / "good" / "b.gz").read_bytes() == b"abc"
+    with pytest.raises(Exception, match="part 1 where 0"):
+        write_files(rows, str(tmp_path / "bad"), 1)
+    assert [p for p in (tmp_path / "bad").rglob("*") if p.is_file()] == []
 
 
 def test_select_files(spark, tmp_path):
