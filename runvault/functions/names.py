@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 RUN_ID_PATTERN = "'run-'yy-MM-dd-HHmmss"
 # Characters kept in artefact file names; everything else is removed.
 FILE_NAME_DROP = r"[^-a-zA-Z0-9_.() ]+"
-# Built-in environment names.
-BUILTIN_ENVS = ("user", "test", "prod")
 # Defaults when a substep does not set them.
 DEFAULT_ENV = "user"
 DEFAULT_ZONE = "zone"

@@ -22,7 +22,7 @@ def subset_by_prefix(files: DataFrame, prefix: str, path_col: str = "rel_path")
 # Fixed artefact kinds and profile names.
 KIND_TEXT, KIND_JSON, KIND_BINARY = "text", "json", "binary"
 PROFILE_KEY = "bentoservice_profile"
-# Upper bound on classes x features of a model that is shipped by broadcast.
+# Default upper bound on classes x features of a model that is shipped by broadcast.
 MAX_MODEL_CELLS = 50_000_000
 
 
@@ -82,16 +82,23 @@ def train_centroids(features: DataFrame, vec: str = "embedding", label: str = "l
         .alias("centroid"))
 
 
-def pack_centroid_model(centroids: DataFrame, label: str = "label") -> bytes:
+def pack_centroid_model(centroids: DataFrame, label: str = "label",
+                        max_cells: int | None = None) -> bytes:
     """Serialise a centroid table to model bytes (``npz``: labels, W, b).
 
-    The table is collected only after its size (labels x dim) is checked.
+    The table is trained once and read partition by partition; a model of more
+    than ``max_cells`` numbers (default ``MAX_MODEL_CELLS``) is an error as soon
+    as the bound is passed, so the driver never holds more.
     """
-    n = centroids.count()
-    dim = centroids.select(F.max(F.size("centroid"))).first()[0] or 0
-    if n * dim > MAX_MODEL_CELLS:
-        raise ValueError(f"model too large to ship ({n} x {dim})")
-    rows = centroids.orderBy(label).collect()
+    limit = MAX_MODEL_CELLS if max_cells is None else max_cells
+    rows, cells = [], 0
+    for r in centroids.toLocalIterator():
+        cells += len(r["centroid"])
+        if cells > limit:
+            raise ValueError(f"model too large to ship (more than {limit} numbers)")
+        rows.append(r)
+    rows.sort(key=lambda r: r[label])
+    dim = max((len(r["centroid"]) for r in rows), default=0)
     labels = np.array([r[label] for r in rows], dtype=np.int64)
     w = np.array([r["centroid"] for r in rows], dtype=np.float64).reshape(len(rows), dim)
     b = -0.5 * (w * w).sum(axis=1)

@@ -83,12 +83,13 @@ def module_diff(modules: DataFrame) -> DataFrame:
 
 
 def diff_manifest(diff: DataFrame) -> DataFrame:
-    """Paths of a diff report: diff id, folder and per-module files.
+    """Files of a diff report, one row per file: diff id, folder, sources, file.
 
     ``diff.{curr_run}.{target_run}`` under the current run path; module files
-    are ``{short}.added.html`` / ``.removed.html`` / ``.curr.html`` +
-    ``.target.html`` + ``.diff.txt`` where ``short`` is the module name after
-    its first dot.
+    are ``{short}.added.html``, ``{short}.removed.html``, or all of
+    ``{short}.curr.html``, ``.target.html`` and ``.diff.txt`` for a changed
+    module, where ``short`` is the second dotted part of the module name.
+    ``info_file`` holds the two run paths.
     """
     diff_id = F.concat(F.lit("diff."), "curr_run", F.lit("."), "target_run")
     diff_dir = F.concat(F.col("curr_run_path"), F.lit("/"), diff_id)
@@ -101,10 +102,14 @@ def diff_manifest(diff: DataFrame) -> DataFrame:
         "pair", "module", "status", diff_id.alias("diff_id"), diff_dir.alias("diff_dir"),
         F.when(st != "removed", src_curr).alias("curr_source"),
         F.when(st != "added", src_target).alias("target_source"),
-        F.concat(diff_dir, F.lit("/"), short,
-                 F.when(st == "added", F.lit(".added.html"))
-                 .when(st == "removed", F.lit(".removed.html"))
-                 .otherwise(F.lit(".diff.txt"))).alias("report_file"))
+        F.concat(diff_dir, F.lit("/diff_info.json")).alias("info_file"),
+        F.concat(diff_dir, F.lit("/"), short).alias("stem"),
+        F.explode(F.when(st == "added", F.array(F.lit(".added.html")))
+                  .when(st == "removed", F.array(F.lit(".removed.html")))
+                  .otherwise(F.array(F.lit(".curr.html"), F.lit(".target.html"),
+                                     F.lit(".diff.txt")))).alias("ending")).select(
+        "pair", "module", "status", "diff_id", "diff_dir", "curr_source", "target_source",
+        "info_file", F.concat("stem", "ending").alias("report_file"))
 
 
 def pending_diffs(requested: DataFrame, existing: DataFrame, key: str = "diff_id") -> DataFrame:
@@ -147,6 +152,24 @@ def line_multiset_diff(texts: DataFrame, drop_last: bool = False) -> DataFrame:
         F.sum(F.least("c", "t")).alias("lines_kept"))
 
 
+def cell_multiset_diff(cells: DataFrame) -> DataFrame:
+    """Order-free diff of two notebooks' cells: ``cells`` has pair, side, pos, cell_type, source.
+
+    The last cell of each notebook does not count, nor do outputs.  A pair
+    without other cells stays, with zeros.  Only one row per notebook and one
+    per distinct cell are shuffled after partial aggregation.
+    """
+    last = cells.groupBy("pair", "side").agg(F.max("pos").alias("last"))
+    body = cells.join(last, ["pair", "side"]).withColumn("counts", F.col("pos") < F.col("last"))
+    per_cell = body.groupBy("pair", "cell_type", "source").agg(
+        F.count_if((F.col("side") == "curr") & F.col("counts")).alias("c"),
+        F.count_if((F.col("side") == "target") & F.col("counts")).alias("t"))
+    return per_cell.groupBy("pair").agg(
+        F.sum(F.greatest(F.col("c") - F.col("t"), F.lit(0))).alias("cells_added"),
+        F.sum(F.greatest(F.col("t") - F.col("c"), F.lit(0))).alias("cells_removed"),
+        F.sum(F.least("c", "t")).alias("cells_kept"))
+
+
 UNIFIED_DIFF_SCHEMA = "pair long, n_added long, n_removed long, diff string"
 
 

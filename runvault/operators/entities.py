@@ -20,8 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from runvault.functions.names import (BUILTIN_ENVS, entity_full_name, entity_url,
-                                      normalize_entity)
+from runvault.functions.names import entity_full_name, entity_url, normalize_entity
 
 KEY = ["env", "pipeline", "zone", "step", "entity"]
 
@@ -72,14 +71,14 @@ def last_versions(versions: DataFrame, n: int, key: list[str] = KEY,
 
 # ------------------------------------------------------------------ P4 / P5 / J2
 
-def env_paths_frame(spark: SparkSession, overrides: dict[str, str] | None = None,
-                    base: dict[str, str] | None = None) -> DataFrame:
-    """Environment -> base path table: built-ins, then overrides (right wins).
+def env_paths_frame(spark: SparkSession, base: dict[str, str],
+                    overrides: dict[str, str] | None = None) -> DataFrame:
+    """Environment -> base path table: ``base``, then overrides (right wins).
 
     Built from a driver-side config dict, so its size is bounded by the
     number of configured environments; joins may broadcast it safely.
     """
-    merged = dict(base or {e: f"/data/{e}" for e in BUILTIN_ENVS})
+    merged = dict(base)
     merged.update(overrides or {})
     return spark.createDataFrame(sorted(merged.items()), "env string, env_path string")
 

@@ -64,11 +64,12 @@ SELECT pair, module, status, 'diff.' || curr_run || '.' || target_run AS diff_id
          AS curr_source,
        CASE WHEN status <> 'added' THEN target_run_path || '/' || module || '/report.ipynb' END
          AS target_source,
+       curr_run_path || '/diff.' || curr_run || '.' || target_run || '/diff_info.json' AS info_file,
        curr_run_path || '/diff.' || curr_run || '.' || target_run || '/'
-         || split_part(module, '.', 2)
-         || CASE status WHEN 'added' THEN '.added.html' WHEN 'removed' THEN '.removed.html'
-                 ELSE '.diff.txt' END AS report_file
-FROM x""")
+         || split_part(module, '.', 2) || ending AS report_file
+FROM x JOIN (VALUES ('added', '.added.html'), ('removed', '.removed.html'),
+                    ('changed', '.curr.html'), ('changed', '.target.html'),
+                    ('changed', '.diff.txt')) AS f(kind, ending) ON f.kind = x.status""")
 def diff_manifest(spark, sf_dir):
     """D3: diff id, folder and per-module report files."""
     return df_.diff_manifest(df_.module_diff(v.modules(spark, sf_dir)))
@@ -111,6 +112,26 @@ def diff_lines(spark, sf_dir):
     return df_.line_multiset_diff(v.texts(spark, sf_dir))
 
 
+@query("diff_cells", f"""
+WITH x AS (SELECT nb_id // 2 AS pair, CASE WHEN nb_id % 2 = 0 THEN 'curr' ELSE 'target' END AS side,
+             pos, cell_type, source FROM ({v.CELLS_SQL})),
+l AS (SELECT *, pos < max(pos) OVER (PARTITION BY pair, side) AS counts FROM x),
+p AS (SELECT pair, cell_type, source, count(*) FILTER (WHERE counts AND side = 'curr') AS c,
+             count(*) FILTER (WHERE counts AND side = 'target') AS t
+      FROM l GROUP BY pair, cell_type, source)
+SELECT pair, CAST(sum(greatest(c - t, 0)) AS BIGINT) AS cells_added,
+       CAST(sum(greatest(t - c, 0)) AS BIGINT) AS cells_removed,
+       CAST(sum(least(c, t)) AS BIGINT) AS cells_kept
+FROM p GROUP BY pair""")
+def diff_cells(spark, sf_dir):
+    """Order-free cell diff of paired notebooks, without last cells and outputs."""
+    c = v.cells(spark, sf_dir).select(
+        F.expr("nb_id div 2").alias("pair"),
+        F.when(F.col("nb_id") % 2 == 0, "curr").otherwise("target").alias("side"),
+        "pos", "cell_type", "source")
+    return df_.cell_multiset_diff(c)
+
+
 @query("diff_unified")
 def diff_unified(spark, sf_dir):
     """Ordered unified diff of every text pair (rows-only check)."""

@@ -156,10 +156,20 @@ def test_module_diff_and_manifest(spark):
     got = {(r.module, r.status, r.report_file)
            for r in df_.diff_manifest(df_.module_diff(m)).collect()}
     assert got == {("reports.a", "added", "/r/run-2/diff.run-2.run-1/a.added.html"),
-                   ("reports.b", "changed", "/r/run-2/diff.run-2.run-1/b.diff.txt"),
+                   *[("reports.b", "changed", f"/r/run-2/diff.run-2.run-1/b{e}")
+                     for e in (".curr.html", ".target.html", ".diff.txt")],
                    ("reports.c", "removed", "/r/run-2/diff.run-2.run-1/c.removed.html")}
 
 
+def test_cell_diff(spark):
+    rows = [(1, "curr", 0, "code", "a"), (1, "curr", 1, "code", "a"), (1, "curr", 2, "code", "last"),
+            (1, "target", 0, "code", "a"), (1, "target", 1, "markdown", "a"), (1, "target", 2, "code", None),
+            (1, "target", 3, "code", "a"), (2, "curr", 0, "code", "x"), (2, "target", 0, "code", "y")]
+    c = spark.createDataFrame(rows, "pair long, side string, pos int, cell_type string, source string")
+    got = {r.pair: tuple(r)[1:] for r in df_.cell_multiset_diff(c).collect()}
+    assert got == {1: (1, 2, 1), 2: (0, 0, 0)}
+
+
 def test_line_diffs(spark):
     t = spark.createDataFrame([(1, "curr", "a\nb\nb\nx\ntrailer"),
                                (1, "target", "a\nb\nc\ntrailer2")],
