@@ -5,8 +5,7 @@ zero-length files, and loads each file whole (2 GB cap).  Archives must keep
 every file, of any size, so files are handled in two steps:
 
 1. :func:`list_files` - metadata rows ``(path, rel_path, length,
-   modification_time)``.  The driver lists only the root folder (bounded by
-   its fan-out); every sub-folder is listed recursively by an executor task.
+   modification_time)``.  Executor tasks list the folders, level by level.
 2. :func:`read_ranges` - chunk plan rows ``(path, rel_path, part, offset,
    length, ...)`` become chunk rows with ``content``, read with seek + read
    by executor tasks.  A large file's ranges are spread over many tasks.
@@ -29,13 +28,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from runvault.functions.names import glob_regex
+from runvault.session import ensure_checkpoint_dir
 
-LISTING_SCHEMA = T.StructType([
-    T.StructField("path", T.StringType(), False),
-    T.StructField("rel_path", T.StringType(), False),
-    T.StructField("length", T.LongType(), False),
-    T.StructField("modification_time", T.TimestampType(), True),
-])
+LISTING_BATCH = 10_000  # rows a task gives on at once
+_LISTING_COLUMNS = ["path", "rel_path", "length", "modification_time", "is_folder"]
 _LISTING_DDL = "path string, rel_path string, length long, modification_time timestamp"
 # Bytes per yielded Arrow batch when reading ranges (bounds worker memory).
 READ_BATCH_BYTES = 64 * 1024 * 1024
@@ -54,12 +50,12 @@ def _info_rows(infos, fs_root: str) -> list[tuple]:
     from pyarrow import fs as pafs
     rows = []
     for i in infos:
-        if i.type != pafs.FileType.File:
+        if i.type not in (pafs.FileType.File, pafs.FileType.Directory):
             continue
         rel = "/" + posixpath.relpath(i.path, fs_root)
         mtime = (datetime.fromtimestamp(i.mtime_ns / 1e9, tz=timezone.utc)
                  if i.mtime_ns is not None else None)
-        rows.append((i.path, rel, int(i.size or 0), mtime))
+        rows.append((i.path, rel, int(i.size or 0), mtime, i.type == pafs.FileType.Directory))
     return rows
 
 
@@ -67,6 +63,9 @@ def list_files(spark: SparkSession, root: str, recursive: bool = True,
                glob: str | None = None) -> DataFrame:
     """Every file under ``root`` as metadata rows, hidden and empty files included.
 
+    Folders are listed by executor tasks, one level of the tree after the
+    other; each level's folders are spread anew, so one large sub-tree is
+    shared by many tasks.  Levels are kept in the checkpoint folder.
     ``rel_path`` is ``/``-prefixed and relative to ``root`` (a literal prefix,
     never a regex).  ``glob`` filters on the file name, like
     ``pathGlobFilter``.
@@ -74,29 +73,29 @@ def list_files(spark: SparkSession, root: str, recursive: bool = True,
     root = _norm_root(root)
     fs, base = _fs(root)
     from pyarrow import fs as pafs
-    top = fs.get_file_info(pafs.FileSelector(base, recursive=False, allow_not_found=False))
-    top_files = _info_rows(top, base)
-    sub_dirs = [i.path for i in top if i.type == pafs.FileType.Directory] if recursive else []
-
-    parts = [spark.createDataFrame(top_files, LISTING_SCHEMA)]
-    if sub_dirs:
-        n = max(1, min(len(sub_dirs), spark.sparkContext.defaultParallelism * 4))
-        dirs = spark.createDataFrame([(d,) for d in sub_dirs], "dir string").repartition(n)
-
-        def lister(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            fs2, base2 = _fs(root)
-            for pdf in batches:
-                for d in pdf["dir"]:
-                    infos = fs2.get_file_info(pafs.FileSelector(d, recursive=True))
-                    rows = _info_rows(infos, base2)
-                    if rows:
-                        yield pd.DataFrame(rows, columns=["path", "rel_path", "length",
-                                                          "modification_time"])
+    if fs.get_file_info(base).type != pafs.FileType.Directory:
+        raise FileNotFoundError(f"not a folder: {root}")
+    ensure_checkpoint_dir(spark)
 
-        parts.append(dirs.mapInPandas(lister, _LISTING_DDL))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    def lister(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs2, base2 = _fs(root)
+        for pdf in batches:
+            for folder in pdf["path"]:
+                infos = fs2.get_file_info(pafs.FileSelector(folder, recursive=False))
+                for at in range(0, len(infos), LISTING_BATCH):
+                    rows = _info_rows(infos[at:at + LISTING_BATCH], base2)
+                    if rows:
+                        yield pd.DataFrame(rows, columns=_LISTING_COLUMNS)
+
+    n = max(1, spark.sparkContext.defaultParallelism * 4)
+    level, out = spark.createDataFrame([(base,)], "path string"), None
+    while True:
+        listed = level.mapInPandas(lister, _LISTING_DDL + ", is_folder boolean").checkpoint()
+        files = listed.filter("not is_folder").drop("is_folder")
+        out = files if out is None else out.union(files)
+        level = listed.filter("is_folder").select("path").repartition(n)
+        if not recursive or level.isEmpty():
+            break
     if glob:
         out = out.filter(F.element_at(F.split("rel_path", "/"), -1).rlike(glob_regex(glob)))
     return out

@@ -4,9 +4,8 @@ Versioned layout: ``{env_path}/{pipeline}/{zone}/{step}/{run_id}/{entity}``;
 a version is committed when its folder holds the ``_SUCCESS`` marker.
 
 DataFrame readers skip ``_``-names, so markers are found by walking the
-folder levels on executors (:func:`scan_versions`); the single-entity
-helpers use Hadoop's ``globStatus`` on the driver (metadata of one entity's
-runs).  The scan is the repair / bootstrap path; the catalogue at scale is
+folder levels on executors (:func:`scan_versions`), for one entity too
+(:func:`committed_run_ids`).  The scan is the repair / bootstrap path; the catalogue at scale is
 the ledger table written by :mod:`runvault.sinks.publish`.
 """
 
@@ -24,17 +23,6 @@ VERSION_SCHEMA = T.StructType([
 ])
 
 
-def _glob(spark: SparkSession, pattern: str) -> list[str]:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(pattern)
-    fs = p.getFileSystem(conf)
-    st = fs.globStatus(p)
-    if st is None:
-        return []
-    return [s.getPath().toString() for s in st]
-
-
 def scan_versions(spark: SparkSession, env: str, env_path: str, pipeline: str = "*",
                   zone: str = "*", step: str = "*", entity: str = "*") -> DataFrame:
     """Stored versions under one environment as ``entity_versions`` rows.
@@ -97,18 +85,40 @@ def _version_columns(df: DataFrame, env: str) -> DataFrame:
         "committed", F.col("path").alias("url"))
 
 
+def _run_ids(spark: SparkSession, step_path: str, entity: str, committed: bool) -> DataFrame:
+    """Run ids of the entity's versions: a task lists the runs, many check them."""
+    root = step_path.rstrip("/")
+
+    def runs(batches):
+        import pandas as pd
+        from pyarrow import fs as pafs
+        fs, base = pafs.FileSystem.from_uri(root)
+        for _ in batches:
+            found = fs.get_file_info(pafs.FileSelector(base, allow_not_found=True))
+            yield pd.DataFrame({"run_id": [i.base_name for i in found
+                                           if i.type == pafs.FileType.Directory]}, dtype=object)
+
+    def check(batches):
+        from pyarrow import fs as pafs
+        fs, base = pafs.FileSystem.from_uri(root)
+        for pdf in batches:
+            ending = f"{entity}/{COMMIT_MARKER}" if committed else entity
+            infos = fs.get_file_info([f"{base}/{r}/{ending}" for r in pdf["run_id"]])
+            yield pdf[[i.type != pafs.FileType.NotFound for i in infos]]
+
+    n = max(1, spark.sparkContext.defaultParallelism * 4)
+    listed = spark.range(1, numPartitions=1).mapInPandas(runs, "run_id string")
+    return listed.repartition(n).mapInPandas(check, "run_id string")
+
+
 def committed_run_ids(spark: SparkSession, step_path: str, entity: str) -> DataFrame:
     """Run ids of ``{step_path}/*/{entity}`` that carry the commit marker."""
-    paths = _glob(spark, f"{step_path.rstrip('/')}/*/{entity}/{COMMIT_MARKER}")
-    df = spark.createDataFrame([(p,) for p in paths], "path string")
-    return df.select(path_part("path", -3).alias("run_id"))
+    return _run_ids(spark, step_path, entity, committed=True)
 
 
 def tmp_run_ids(spark: SparkSession, step_cache_path: str, entity: str) -> DataFrame:
     """Run ids of ``{step_cache_path}/*/{entity}`` (no marker needed)."""
-    paths = _glob(spark, f"{step_cache_path.rstrip('/')}/*/{entity}")
-    df = spark.createDataFrame([(p,) for p in paths], "path string")
-    return df.select(path_part("path", -2).alias("run_id"))
+    return _run_ids(spark, step_cache_path, entity, committed=False)
 
 
 def read_run_records(spark: SparkSession, pattern: str) -> DataFrame:
