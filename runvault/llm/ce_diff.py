@@ -1,22 +1,33 @@
 """LM scoring by cross-entropy difference.
 
 Two n-gram models, one of the target documents and one of all documents, share
-one vocabulary: the 256 byte values, so no word is unknown, no cut-off is
-needed, and a model of order three has at most 2^24 entries whatever the
-corpus.  Both use the same order and interpolated Witten-Bell smoothing, and
-the background is matched to the target's size: its counts are thinned to the
-target's total in expectation (a count c becomes s c, and is seen at all with
-chance 1 - (1 - s)^c), so that smoothing weighs both alike.  A document's
-score is the mean over its tokens of target loss minus background loss, in
-bits: low scores look like the target.
-
-Counts cover every document: each partition adds up its trigrams, the partial
-counts are shuffled by trigram and summed, and the model, bounded by its
-vocabulary, goes to all workers.
+one vocabulary: the 256 byte values, so nothing is unknown.  A token is a word
+with the white space byte after it (more white space: tokens of one byte), and
+has two n-grams to lean on:
+
+* whole words: how often the token occurs in the corpus.  Every distinct word
+  of the corpus is counted, with no cut-off, so these counts grow with it.
+* spelling: the product of interpolated byte trigrams (at most 2^24 counts
+  whatever the corpus), which also gives unseen words their share.
+
+Both levels use Witten-Bell smoothing, and the background is matched to the
+target's size: its counts are thinned to the target's total in expectation (a
+count c becomes s c, and is seen at all with chance 1 - (1 - s)^c), so that
+smoothing weighs both alike.  A document's own words are left out of both word
+counts when it is scored, so rare words do not give away which model has seen
+the document.  The score is the mean over its tokens of target loss minus
+background loss, in bits: low scores look like the target.
+
+Documents are dealt by a hash of doc_id to blocks of about ``BLOCK`` bytes of
+text.  A block reports its distinct words and trigrams once, the reports are
+summed by key, and each block gets back the sums of its own words alone; only
+the trigrams, bounded by the vocabulary, go to all workers.  So no word is held
+by one task more often than there are blocks, and no task holds more than its
+block.  Words are keyed by 64-bit hashes.
 
 Null texts count as empty.  Texts without a token have null scores.  Repeated
-rows count as often as they occur.  With no target document both models are
-uniform and all scores are 0.
+rows count as often as they occur.  A null doc_id is no target.  With no target
+document all scores are 0.
 """
 
 from __future__ import annotations
@@ -24,60 +35,99 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.window import Window
 
-from runvault.llm.common import cut, pick
+from runvault.llm.common import pick
 from runvault.llm.registry import query, table
+from runvault.session import scratch_dir
 
 SIZE, CELLS = 256, 256 ** 3
-BUFFER = 8 << 20
-LEAD = b"\n\n"  # what stands before every text
-
-
-def trigrams(text: str) -> np.ndarray:
-    """Index of each token with its two predecessors."""
-    b = np.frombuffer(LEAD + text.encode(), dtype=np.uint8).astype(np.uint32)
-    return b[:-2] << np.uint32(16) | b[1:-1] << np.uint32(8) | b[2:]
-
-
-def count_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(gram, target, everything) of one partition's rows (text, is_target)."""
-    totals = np.zeros((2, CELLS), dtype=np.uint32)  # emptied before a cell can overflow
-    waiting: list[list] = [[], []]
-    held, since = 0, 0
-
-    def add():
+BLOCK = 32 << 20  # bytes of text in a block, on average
+SLICE = 4 << 20   # bytes of text looked at at once
+LEAD, END = b"\n\n", b"\n"  # what stands before and after every text
+_SEPARATOR = np.isin(np.arange(SIZE), [32, *range(9, 14)])
+_VALUE = np.random.Generator(np.random.PCG64(7)).integers(0, 1 << 64, SIZE, dtype=np.uint64)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+COUNTS = "block int, word boolean, key long, target long, everything long"
+SCORES = "n_tokens long, target_loss double, background_loss double"
+
+
+class Tokens:
+    """Some texts as bytes: trigrams of every byte, and where tokens begin.
+
+    ``doc`` is the place of a token's text among the texts, ``key`` its hash.
+    """
+
+    def __init__(self, texts: list[bytes]):
+        sizes = np.array([len(t) + len(END) if t else 0 for t in texts], dtype=np.int64)
+        raw = np.frombuffer(b"".join(LEAD + t + END for t in texts if t), dtype=np.uint8)
+        inside = np.ones(len(raw), dtype=bool)
+        some = sizes[sizes > 0] + len(LEAD)
+        heads = np.cumsum(some) - some
+        inside[heads] = inside[heads + 1] = False
+        at = np.flatnonzero(inside)
+        here = raw[at]
+        self.grams = raw[at - 2].astype(np.uint32) << np.uint32(16) | raw[at - 1].astype(np.uint32) << np.uint32(8) | here
+        ends = np.flatnonzero(_SEPARATOR[here])
+        self.begins = np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends
+        lengths = ends - self.begins + 1
+        place = np.arange(len(here)) - np.repeat(self.begins, lengths)
+        power = np.cumprod(np.full(lengths.max(initial=0) + 1, _STEP, dtype=np.uint64))
+        self.key = self.sums(_VALUE[here] * power[place]).view(np.int64)
+        self.doc = np.searchsorted(np.cumsum(sizes), self.begins, side="right")
+
+    def sums(self, per_byte: np.ndarray) -> np.ndarray:
+        """Per token, the sum over its bytes."""
+        return np.add.reduceat(per_byte, self.begins) if len(self.begins) else per_byte[:0]
+
+
+def slices(texts: pa.ChunkedArray) -> Iterator[tuple[int, list[bytes]]]:
+    """(place of the first, texts) of consecutive texts of about ``SLICE`` bytes, none cut."""
+    start, held, some = 0, 0, []
+    for at, text in enumerate(texts):
+        some.append(text.as_py().encode())
+        held += len(some[-1])
+        if held >= SLICE:
+            yield start, some
+            start, held, some = at + 1, 0, []
+    if some:
+        yield start, some
+
+
+def texts_and_marks(rows: pa.Table) -> tuple[pa.Table, np.ndarray]:
+    """The texts of a block, and which of them the block's marks (rows without text) name."""
+    is_text = pc.is_valid(rows["text"])
+    found, marks = rows.filter(is_text), rows.filter(pc.invert(is_text))["doc_id"]
+    return found, pc.is_in(found["doc_id"], value_set=marks.combine_chunks(), skip_nulls=True).to_numpy()
+
+
+def count_block(rows: pa.Table) -> pa.Table:
+    """Rows ``COUNTS`` of the distinct words and trigrams of one block."""
+    found, is_target = texts_and_marks(rows)
+    grams = np.zeros((2, CELLS), dtype=np.uint32)
+    keys, hits = [], []
+    for start, some in slices(found["text"]):
+        tokens = Tokens(some)
+        hit = is_target[start + tokens.doc]
+        keys.append(tokens.key)
+        hits.append(hit)
+        spelled = np.repeat(hit, np.diff(tokens.begins, append=len(tokens.grams)))
         for which in (0, 1):
-            if waiting[which]:
-                totals[which] += np.bincount(np.concatenate(waiting[which]), minlength=CELLS).astype(np.uint32)
-                waiting[which].clear()
-
-    def give():
-        seen = np.flatnonzero(totals[0] + totals[1])
-        for at in range(0, len(seen), 1 << 16):
-            some = seen[at:at + (1 << 16)]
-            yield pa.RecordBatch.from_pydict({
-                "gram": pa.array(some.astype(np.int32)), "target": pa.array(totals[1][some].astype(np.int64)),
-                "everything": pa.array((totals[0][some].astype(np.int64) + totals[1][some]))})
-
-    for batch in batches:
-        for text, is_target in zip(batch.column(0), batch.column(1)):
-            grams = trigrams(text.as_py() or "")
-            waiting[bool(is_target.as_py())].append(grams)
-            held += len(grams)
-            since += len(grams)
-            if held >= BUFFER:
-                add()
-                held = 0
-            if since >= 1 << 30:
-                add()
-                held = since = 0
-                yield from give()
-                totals[:] = 0
-    add()
-    yield from give()
+            np.add.at(grams[which], tokens.grams[spelled == which], np.uint32(1))
+    key, which = np.unique(np.concatenate(keys or [np.empty(0, dtype=np.int64)]), return_inverse=True)
+    target = np.bincount(which, np.concatenate(hits or [np.empty(0)]), len(key)).astype(np.int64)
+    seen = np.flatnonzero(grams.any(axis=0))
+    n = len(key) + len(seen)
+    block = rows["block"][0].as_py()
+    return pa.table({
+        "block": pa.array(np.full(n, block, dtype=np.int32)), "word": pa.array(np.arange(n) < len(key)),
+        "key": pa.array(np.concatenate([key, seen])),
+        "target": pa.array(np.concatenate([target, grams[1][seen].astype(np.int64)])),
+        "everything": pa.array(np.concatenate([np.bincount(which, minlength=len(key)),
+                                               grams[:, seen].sum(axis=0, dtype=np.int64)]))})
 
 
 class Losses:
@@ -111,11 +161,17 @@ class Losses:
 
 
 class Model:
-    """Sparse counts; workers expand them once."""
+    """Sparse trigram counts, expanded once by each worker, and totals of the word counts.
+
+    ``words`` and ``kinds`` are the tokens and distinct words of the target and
+    of the thinned background; ``thinned`` is the share s.
+    """
 
-    def __init__(self, grams: np.ndarray, target: np.ndarray, everything: np.ndarray):
+    def __init__(self, grams: np.ndarray, target: np.ndarray, everything: np.ndarray,
+                 words: tuple[float, float], kinds: tuple[float, float], thinned: float):
         order = np.argsort(grams)
         self.grams, self.target, self.everything = grams[order], target[order], everything[order]
+        self.words, self.kinds, self.thinned = words, kinds, thinned
         self.tables = None
 
     def __getstate__(self):
@@ -130,44 +186,88 @@ class Model:
                            Losses(self.grams[:0], self.everything[:0], 1.0).table)
         return self.tables
 
+    def word_losses(self, which: int, counts: np.ndarray, left_out: np.ndarray, spelling: np.ndarray) -> np.ndarray:
+        """Loss in bits of tokens with these counts; ``left_out`` tokens are taken from the total."""
+        kinds = self.kinds[which]
+        if not kinds:
+            return spelling
+        total = np.maximum(self.words[which] - left_out, 0) + kinds
+        p = (counts + kinds * np.exp2(-spelling)) / total
+        unseen = spelling + np.log2(total / kinds)  # exact also where the spelling's chance is too small for a float
+        return np.where(counts > 0, -np.log2(np.where(counts > 0, p, 1)), unseen)
+
+    def score_block(self, rows: pa.Table, counts: pa.Table) -> pa.Table:
+        """(doc_id, ``SCORES``) of one block's texts, given the corpus counts of its words."""
+        found, is_target = texts_and_marks(rows)
+        key, target, everything = (counts[c].to_numpy() for c in ("key", "target", "everything"))
+        order = np.argsort(key)
+        key, target, everything = key[order], target[order], everything[order]
+        n, sums = np.zeros(len(found), dtype=np.int64), np.zeros((2, len(found)))
+        for start, some in slices(found["text"]):
+            tokens = Tokens(some)
+            at = np.searchsorted(key, tokens.key)
+            size = np.bincount(tokens.doc, minlength=len(some))
+            _, same, often = np.unique(tokens.doc * len(key) + at, return_inverse=True, return_counts=True)
+            own, hit = often[same], is_target[start + tokens.doc]
+            others = (target[at] - own * hit, (everything[at] - own) * self.thinned)
+            left_out = ((size * is_target[start:start + len(some)])[tokens.doc], size[tokens.doc] * self.thinned)
+            for which, table in enumerate(self.losses()):
+                spelling = tokens.sums(table[tokens.grams].astype(np.float64))
+                loss = self.word_losses(which, others[which], left_out[which], spelling)
+                sums[which, start:start + len(some)] = np.bincount(tokens.doc, loss, len(some))
+            n[start:start + len(some)] = size
+        mean = [pa.array(s / np.maximum(n, 1), mask=n == 0) for s in sums]
+        return pa.table({"doc_id": found["doc_id"], "n_tokens": pa.array(n), "target_loss": mean[0], "background_loss": mean[1]})
+
+
+def blocks(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
+    """(block, doc_id, text): every text (null: empty), and a row without text for every target id."""
+    texts = pick(docs, "doc_id", "text")
+    kind = texts.schema["doc_id"].dataType
+    total = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    n = max(1, -(-total // BLOCK))
+    marks = pick(target_ids, "doc_id").select(F.col("doc_id").cast(kind)).where("doc_id is not null").distinct()
+    rows = texts.withColumn("text", F.coalesce("text", F.lit(""))).unionByName(
+        marks.withColumn("text", F.lit(None).cast("string")))
+    by = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
+    return rows.select(F.pmod(by, F.lit(n)).cast("int").alias("block"), "doc_id", "text")
+
+
+def train(rows: DataFrame) -> tuple[Model, DataFrame]:
+    """The model of ``blocks``, and (block, key, target, everything): corpus counts of each block's words."""
+    partial = rows.groupBy("block").applyInArrow(count_block, COUNTS)
+    same = Window.partitionBy("word", "key")  # at most one row a block
+    summed = partial.select("block", "word", "key", F.sum("target").over(same).alias("target"),
+                            F.sum("everything").over(same).alias("everything"),
+                            (F.min("block").over(same) == F.col("block")).alias("first"))
+    folder = scratch_dir(rows.sparkSession, "ce-counts")
+    summed.write.parquet(folder)
+    counts = rows.sparkSession.read.parquet(folder)
+    once = counts.filter("first and word")
+    in_target, in_all, kinds = once.agg(F.coalesce(F.sum("target"), F.lit(0)), F.coalesce(F.sum("everything"), F.lit(0)),
+                                        F.count_if(F.col("target") > 0)).first()
+    thinned = in_target / max(in_all, 1)
+    seen = once.agg(F.sum(1 - F.pow(F.lit(1 - thinned), F.col("everything")))).first()[0] or 0.0
+    grams = counts.filter("first and not word").select("key", "target", "everything").toArrow()  # at most 2^24 rows
+    model = Model(*[grams.column(c).to_numpy() for c in ("key", "target", "everything")],
+                  (in_target, in_all * thinned), (kinds, seen), thinned)
+    return model, counts.filter("word").select("block", "key", "target", "everything")
 
-def train(docs: DataFrame, target_ids: DataFrame) -> Model:
-    """Models of ``docs`` (doc_id, text), the target being the rows whose doc_id is in ``target_ids``.
-
-    Target ids grow with the corpus, so they always meet the texts in a sort-merge join."""
-    ids = pick(target_ids, "doc_id").distinct().withColumn("is_target", F.lit(True))
-    rows = pick(docs, "doc_id", "text").join(ids.hint("merge"), "doc_id", "left").select(
-        F.coalesce("text", F.lit("")).alias("text"), F.coalesce("is_target", F.lit(False)).alias("is_target"))
-    partial = rows.mapInArrow(count_partition, "gram int, target long, everything long")
-    counts = cut(partial.groupBy("gram").agg(F.sum("target").alias("target"), F.sum("everything").alias("everything")))
-    found = counts.toArrow()  # at most 2^24 rows: the vocabulary's trigrams
-    return Model(*[found.column(c).to_numpy() for c in ("gram", "target", "everything")])
 
+def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
+    """(doc_id, n_tokens, target_loss, background_loss, score) for every row of ``docs`` (doc_id, text).
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, n_tokens, target_loss, background_loss, score) for every row of ``docs``."""
+    The target is the rows whose doc_id is in ``target_ids`` (doc_id)."""
+    rows = blocks(docs, target_ids)
+    model, counts = train(rows)
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    kind = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("target_loss", T.DoubleType()),
-                         T.StructField("background_loss", T.DoubleType())])
-
-    @F.pandas_udf(kind)
-    def losses(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        target, background = sent.value.losses()
-        for texts in batches:
-            rows = []
-            for text in texts:
-                grams = trigrams(text)
-                n = len(grams)
-                rows.append((n, float(target[grams].sum(dtype=np.float64) / n), float(background[grams].sum(dtype=np.float64) / n))
-                            if n else (0, None, None))
-            yield pd.DataFrame(rows, columns=["n_tokens", "target_loss", "background_loss"])
 
-    out = pick(docs, "doc_id", "text").select("doc_id", losses(F.coalesce("text", F.lit(""))).alias("s"))
-    return out.select("doc_id", "s.*", (F.col("s.target_loss") - F.col("s.background_loss")).alias("score"))
+    def scores(texts: pa.Table, words: pa.Table) -> pa.Table:
+        return sent.value.score_block(texts, words)
 
-
-def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
-    return score(docs, train(docs, target_ids))
+    out = rows.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(
+        scores, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {SCORES}")
+    return out.withColumn("score", F.col("target_loss") - F.col("background_loss"))
 
 
 @query("op9_ce_difference")

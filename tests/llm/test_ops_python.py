@@ -1,6 +1,7 @@
 """Codec, SimHash, chunk fingerprints, sharding, LM scores and WARC against plain Python."""
 
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -219,13 +220,78 @@ def test_shards(spark, odd):
 
 # -- LM scores ------------------------------------------------------------------
 def test_losses_are_distributions():
-    text = "the cat sat on the mat " * 20
-    grams, counts = np.unique(ce_diff.trigrams(text), return_counts=True)
+    text = b"the cat sat on the mat " * 20
+    grams, counts = np.unique(ce_diff.Tokens([text]).grams, return_counts=True)
     for thinned in (1.0, 0.3):
         table = ce_diff.Losses(grams.astype(np.int64), counts.astype(np.int64), thinned).table.reshape(-1, 256)
         assert np.allclose((2.0 ** -table[[0, 2570, (ord("t") << 8) | ord("h")]]).sum(axis=1), 1, atol=1e-4)
 
 
+def words_of(text):
+    """A word with the white space after it; the end of a text counts as a line feed."""
+    return re.findall(rb"[^\t-\r ]*[\t-\r ]", text.encode() + b"\n") if text else []
+
+
+def test_tokens():
+    texts = [b"the cat  the", b"", b"\nthe cat", "Ünï 的".encode()]
+    tokens = ce_diff.Tokens(texts)
+    expected = [(d, w) for d, t in enumerate(texts) for w in words_of(t.decode())]
+    assert list(tokens.doc) == [d for d, _ in expected]
+    keys = dict(zip([w for _, w in expected], tokens.key))
+    assert len(set(keys.values())) == len(keys) and [keys[w] for _, w in expected] == list(tokens.key)
+    assert list(tokens.sums(np.ones(len(tokens.grams), dtype=np.int64))) == [len(w) for _, w in expected]
+
+
+def plain_scores(docs, ids):
+    """The same models from whole lists of words, one document after the other."""
+    texts = [(i, t or "") for i, t in docs]
+    counted = [(i in ids, words_of(t), b"\n\n" + t.encode() + b"\n") for i, t in texts]
+    words, grams = (Counter(), Counter()), (Counter(), Counter())
+    for hit, found, raw in counted:
+        for which in (0, 1) if hit else (1,):
+            words[which].update(found)
+            if found:
+                grams[which].update(raw[k:k + 3] for k in range(len(raw) - 2))
+    share = sum(words[0].values()) / max(sum(words[1].values()), 1)
+    gram_share = sum(grams[0].values()) / max(sum(grams[1].values()), 1)
+    kinds = len(words[0]), sum(1 - (1 - share) ** c for c in words[1].values())
+    total = sum(words[0].values()), share * sum(words[1].values())
+    index = [np.array([int.from_bytes(g, "big") for g in sorted(grams[w])]) for w in (0, 1)]
+    tables = [ce_diff.Losses(index[w], np.array([grams[w][g] for g in sorted(grams[w])]), s).table
+              for w, s in ((0, 1.0), (1, gram_share))]
+    out = []
+    for (i, _), (hit, found, raw) in zip(texts, counted):
+        loss, at, own = [0.0, 0.0], 0, Counter(found)
+        for word in found:
+            for w in (0, 1):
+                spelled = sum(float(tables[w][int.from_bytes(raw[k:k + 3], "big")]) for k in range(at, at + len(word)))
+                c = words[0][word] - own[word] * hit if w == 0 else share * (words[1][word] - own[word])
+                n = total[w] - (len(found) * hit if w == 0 else share * len(found)) + kinds[w]
+                loss[w] += -np.log2((c + kinds[w] * 2.0 ** -spelled) / n) if c else spelled + np.log2(n / kinds[w])
+            at += len(word)
+        out.append((str(i), len(found), *[round(x / len(found), 4) if found else None for x in loss]))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("block", [1 << 25, 200])
+def test_scores_equal_plain_counts(spark, odd, monkeypatch, block):
+    monkeypatch.setattr(ce_diff, "BLOCK", block)
+    for ids in ({1}, {4, 6}, {1, 3, 5, 99}):
+        rows = ce_diff.cross_entropy_difference(odd, spark.createDataFrame([(i,) for i in ids], "doc_id int")).collect()
+        got = [(str(r.doc_id), r.n_tokens, *[None if x is None else round(x, 4) for x in (r.target_loss, r.background_loss)])
+               for r in rows]
+        for a, b in zip(sorted(got, key=str), plain_scores(ODD, ids), strict=True):
+            assert a[:2] == b[:2] and a[2:] == pytest.approx(b[2:], abs=2e-3)
+
+
+def test_counted_words_grow_with_the_corpus(spark):
+    def kinds(share):
+        docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").filter(f"doc_id % 4 < {share}")
+        ids = docs.filter("doc_id % 8 = 0").select("doc_id")
+        return ce_diff.train(ce_diff.blocks(docs, ids))[1].count()
+    assert kinds(4) > 1.5 * kinds(1)
+
+
 def test_scores_tell_held_out_quality(spark):
     """Trained on the labels of even doc_ids, the score separates those of odd ones."""
     sf = SF_SMALL.replace("0.001", "0.01")
@@ -240,7 +306,7 @@ def test_scores_tell_held_out_quality(spark):
 def test_scores_of_odd_rows(spark, odd):
     ids = spark.createDataFrame([(1,), (1,), (None,)], "doc_id long")
     rows = ce_diff.cross_entropy_difference(odd, ids).collect()
-    assert Counter((r.doc_id, r.n_tokens) for r in rows) == Counter((i, len((t or "").encode())) for i, t in ODD)
+    assert Counter((r.doc_id, r.n_tokens) for r in rows) == Counter((i, len(words_of(t))) for i, t in ODD)
     assert all(r.score is None for r in rows if r.n_tokens == 0) and all(r.score is not None for r in rows if r.n_tokens)
     assert ce_diff.cross_entropy_difference(empty(odd), ids).collect() == []
     assert {r.score for r in ce_diff.cross_entropy_difference(odd, empty(ids)).collect()} == {None, 0.0}
