@@ -45,8 +45,8 @@ from runvault.llm.registry import query, table
 from runvault.session import scratch_dir
 
 SIZE, CELLS = 256, 256 ** 3
-BLOCK = 32 << 20  # bytes of text in a block, on average
-SLICE = 4 << 20   # bytes of text looked at at once
+BLOCK = 16 << 20  # bytes of text in a block, on average
+SLICE = 1 << 20   # bytes of text looked at at once
 LEAD, END = b"\n\n", b"\n"  # what stands before and after every text
 _SEPARATOR = np.isin(np.arange(SIZE), [32, *range(9, 14)])
 _VALUE = np.random.Generator(np.random.PCG64(7)).integers(0, 1 << 64, SIZE, dtype=np.uint64)
