@@ -19,7 +19,8 @@ the document.  The score is the mean over its tokens of target loss minus
 background loss, in bits: low scores look like the target.
 
 Documents are dealt by a hash of doc_id to blocks of about ``BLOCK`` bytes of
-text.  A block reports its distinct words and trigrams once, the reports are
+text (smaller ones where that gives fewer blocks than shuffle partitions; no
+score depends on it).  A block reports its distinct words and trigrams once, the reports are
 summed by key, and each block gets back the sums of its own words alone; only
 the trigrams, bounded by the vocabulary, go to all workers.  So no word is held
 by one task more often than there are blocks, and no task holds more than its
@@ -225,7 +226,7 @@ def blocks(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
     texts = pick(docs, "doc_id", "text")
     kind = texts.schema["doc_id"].dataType
     total = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    n = max(1, -(-total // BLOCK))
+    n = max(-(-total // BLOCK), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     marks = pick(target_ids, "doc_id").select(F.col("doc_id").cast(kind)).where("doc_id is not null").distinct()
     rows = texts.withColumn("text", F.coalesce("text", F.lit(""))).unionByName(
         marks.withColumn("text", F.lit(None).cast("string")))
