@@ -20,11 +20,11 @@ background loss, in bits: low scores look like the target.
 
 Documents are dealt by a hash of doc_id to blocks of about ``BLOCK`` bytes of
 text (smaller ones where that gives fewer blocks than shuffle partitions; no
-score depends on it).  A block reports its distinct words and trigrams once, the reports are
-summed by key, and each block gets back the sums of its own words alone; only
-the trigrams, bounded by the vocabulary, go to all workers.  So no word is held
-by one task more often than there are blocks, and no task holds more than its
-block.  Words are keyed by 64-bit hashes.
+score depends on it).  A block reports its distinct words and trigrams once,
+the reports are summed by key, and each block gets back the sums of its own
+words alone; only the trigrams, bounded by the vocabulary, go to all workers.
+So no word is held by one task more often than there are blocks, and no task
+holds more than its block.  Words are keyed by 64-bit hashes.
 
 Null texts count as empty.  Texts without a token have null scores.  Repeated
 rows count as often as they occur.  A null doc_id is no target.  With no target
