@@ -14,26 +14,59 @@ edges join on the url after producers are reduced to one run per url.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from runvault.operators.params import merge_layers
 
 # Report entity prefix and the summary header / line formats.
 REPORTS_PREFIX = "reports."
 SUMMARY_START, SUMMARY_END = "#### Step ", " has been built and checked"
 
-RUN_SCHEMA = T.StructType([
-    T.StructField("run_id", T.StringType()),
-    T.StructField("module", T.StringType()),
-    T.StructField("pipeline", T.StringType()),
-    T.StructField("step", T.StringType()),
-    T.StructField("commit", T.StringType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("start_time", T.TimestampType()),
-    T.StructField("duration_s", T.DoubleType()),
-    T.StructField("inputs", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("outputs", T.MapType(T.StringType(), T.StringType())),
-])
+# Endings of a module's report name, and of its input file.
+REPORT_SUFFIXES = ("", ".ipynb", ".py")
+
+
+# ------------------------------------------------------------------ S7 / K5
+
+def from_records(records: DataFrame) -> DataFrame:
+    """Stored run records (``sources.versions.read_run_records``) as ``runs`` rows.
+
+    The pipeline is ``pipeline_params['pipeline_name']``; run id and module come
+    from the record, else from the file name ``{run_id}_{module}.runinfo.json``.
+    A record without a status is ``RUNNING``.  ``duration_s`` and ``stop_time``
+    are null until the run has stopped.
+    """
+    start, stop = F.col("start_time").cast("timestamp"), F.col("stop_time").cast("timestamp")
+    source = F.col("source_file")
+    named = F.nullif(module_from_file_name(source), F.lit(""))
+    status = F.coalesce("status", F.lit("RUNNING"))
+    ended = F.when(status != "RUNNING", stop)
+    return records.select(
+        F.coalesce("run_id", F.nullif(run_id_from_file_name(source), F.lit(""))).alias("run_id"),
+        F.coalesce(named, F.regexp_replace("input_nb_name", r"\.(ipynb|py)$", "")).alias("module"),
+        F.col("pipeline_params")["pipeline_name"].alias("pipeline"),
+        F.col("step_name").alias("step"), "commit", status.alias("status"),
+        start.alias("start_time"), ended.alias("stop_time"),
+        ((F.unix_micros(ended) - F.unix_micros(start)) / 1e6).alias("duration_s"),
+        "inputs", "outputs")
+
+
+def with_custom(runs: DataFrame, custom: DataFrame) -> DataFrame:
+    """Runs whose lineage also holds custom entities under their bare names.
+
+    ``custom`` has run_id, direction ('input' | 'output'), name, url; one url per
+    name is kept (the greatest), and a custom name replaces an equal one.
+    """
+    one = custom.groupBy("run_id", "direction", "name").agg(F.max("url").alias("url"))
+    maps = one.groupBy("run_id").agg(*[
+        F.map_from_entries(F.collect_list(F.when(F.col("direction") == d, F.struct("name", "url")))).alias(f"_{d}")
+        for d in ("input", "output")])
+    joined = runs.join(maps, "run_id", "left")
+    return joined.select(*[merge_layers(c, f"_{c[:-1]}").alias(c) if c in ("inputs", "outputs") else c
+                           for c in runs.columns])
 
 
 # ------------------------------------------------------------------ A5 / A6
@@ -124,6 +157,11 @@ def run_id_from_file_name(name) -> F.Column:
     return F.regexp_extract(name, r".*(run-.*?)_", 1)
 
 
+def module_from_file_name(name) -> F.Column:
+    """Module cut out of ``.../{run_id}_{module}.runinfo.json`` or ``.metrics.json``; else empty."""
+    return F.regexp_extract(name, r"run-[^/]*?_([^/]+?)\.(?:runinfo|metrics)\.json$", 1)
+
+
 def last_run(file_names: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Newest run id by file name order (globally or per ``by`` group)."""
     x = file_names.withColumn("run_id", run_id_from_file_name(F.col("file_name")))
@@ -134,14 +172,17 @@ def last_run(file_names: DataFrame, by: list[str] | None = None) -> DataFrame:
                               F.max("file_name").alias("file_name"))
 
 
-def report_outputs(runs: DataFrame) -> DataFrame:
-    """Per run: the output named ``*.reports.{module}``; exactly one is required.
+def report_outputs(runs: DataFrame, suffixes=REPORT_SUFFIXES) -> DataFrame:
+    """Per run: the output named ``*.reports.{module}`` with one of the file
+    ``suffixes``; exactly one is required.
 
     ``run_id, module, n_reports, report_url`` (url only when exactly one),
     ``ok``.
     """
-    matches = F.map_filter("outputs", lambda k, v: k.endswith(
-        F.concat(F.lit("." + REPORTS_PREFIX), F.col("module"))))
+    def is_report(name, _url):
+        ends = [name.endswith(F.concat(F.lit("." + REPORTS_PREFIX), F.col("module"), F.lit(s))) for s in suffixes]
+        return reduce(lambda a, b: a | b, ends)
+    matches = F.map_filter("outputs", is_report)
     x = runs.select("run_id", "module", matches.alias("m"))
     n = F.size("m")
     return x.select("run_id", "module", n.alias("n_reports"),

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from runvault.operators import ledger as lg
 from runvault.plans import views as v
 from runvault.plans.registry import query
+from runvault.session import scratch_dir
+from runvault.sinks import publish as pub
+from runvault.sources import versions as vs
 
 _E = f"WITH e AS ({v.RUN_ENTITIES_SQL})"
 
@@ -90,3 +95,42 @@ def metric_snapshot(spark, sf_dir):
     """Each run's final metrics as one record."""
     snap = lg.metric_snapshot(lg.last_metrics(v.metric_log(spark, sf_dir)))
     return snap.select("run_id", "n_metrics", "snapshot")
+
+
+@query("ledger_records", f"""{_E},
+n AS (SELECT run_id, count(*) FILTER (direction = 'input') AS n_in,
+             count(*) FILTER (direction = 'output') AS n_out FROM e GROUP BY run_id)
+SELECT r.run_id, r.module, r.pipeline, r.step, r.commit, r.status,
+       CAST(r.start_time AS TIMESTAMP) AS start_time,
+       CASE WHEN r.status <> 'RUNNING' THEN floor(r.duration_s) END AS duration_s,
+       CAST(coalesce(n.n_in, 0) AS INTEGER) AS n_inputs, CAST(coalesce(n.n_out, 0) AS INTEGER) AS n_outputs
+FROM ({v.RUNS_SQL}) r LEFT JOIN n USING (run_id)""")
+def ledger_records(spark, sf_dir):
+    """Runs written as JSON records, read back, appended to a ledger, current record of each."""
+    folder = scratch_dir(spark, "ledger-records")
+    start = F.col("start_time").cast("timestamp")
+    stop = F.timestamp_micros(F.unix_micros(start) + F.floor("duration_s") * 1_000_000)
+    v.runs(spark, sf_dir).select(
+        "run_id", F.concat("module", F.lit(".ipynb")).alias("input_nb_name"), F.col("step").alias("step_name"),
+        "commit", "status", start.cast("string").alias("start_time"), stop.cast("string").alias("stop_time"),
+        F.create_map(F.lit("pipeline_name"), "pipeline").alias("pipeline_params"),
+        "inputs", "outputs").write.json(f"{folder}/records")
+    runs = lg.from_records(vs.read_run_records(spark, f"{folder}/records", lines=True))
+    pub.append_runs(runs, f"{folder}/ledger")
+    return pub.read_ledger(spark, f"{folder}/ledger").select(
+        "run_id", "module", "pipeline", "step", "commit", "status", "start_time", "duration_s",
+        F.size("inputs").alias("n_inputs"), F.size("outputs").alias("n_outputs"))
+
+
+@query("metric_files", f"""
+SELECT run_id, name, arg_max(value, (ts, seq)) AS value
+FROM ({v.METRIC_LOG_SQL}) m GROUP BY run_id, name""")
+def metric_files(spark, sf_dir):
+    """Each run's metrics written as JSON, read back, appended to the ledger, last writes."""
+    folder = scratch_dir(spark, "metric-files")
+    runs = lg.metric_snapshot(lg.last_metrics(v.metric_log(spark, sf_dir)))
+    values = F.transform_values("metrics", lambda k, x: x.cast("string"))
+    runs.select(F.to_json(F.map_concat(F.create_map(F.lit("run_id"), "run_id"), values))).write.text(
+        f"{folder}/metrics")
+    pub.append_metrics(vs.read_metrics_files(spark, f"{folder}/metrics", lines=True), f"{folder}/ledger")
+    return lg.last_metrics(pub.read_metrics(spark, f"{folder}/ledger")).select("run_id", "name", "value")

@@ -7,6 +7,7 @@
 * :func:`append_runs` appends run records to a ledger table partitioned by
   pipeline, so later scans prune by partition.
 * :func:`read_ledger` gives the current record of each run.
+* :func:`append_metrics` and :func:`read_metrics` do the same for metric writes.
 * :func:`collect_event_logs` copies event logs between the tmp and the stored
   layout through range reads + ordered writes.
 """
@@ -31,9 +32,13 @@ RUN_RECORD_SCHEMA = T.StructType([
     T.StructField("commit", T.StringType()),
     T.StructField("pipeline_params", T.MapType(T.StringType(), T.StringType())),
     T.StructField("step_params", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("substeps_params", T.ArrayType(T.StringType())),
+    T.StructField("input_nb_name", T.StringType()),
+    T.StructField("output_nb_name", T.StringType()),
     T.StructField("inputs", T.MapType(T.StringType(), T.StringType())),
     T.StructField("outputs", T.MapType(T.StringType(), T.StringType())),
     T.StructField("tmp", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("outputs_url", T.StringType()),
     T.StructField("notebook_report_url", T.StringType()),
 ])
 
@@ -100,6 +105,16 @@ def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
     return current_records(spark.read.parquet(ledger_path))
 
 
+def append_metrics(metrics: DataFrame, ledger_path: str) -> None:
+    """Append metric rows (run_id, name, value, ts, seq and more) to the metrics ledger."""
+    metrics.write.mode("append").parquet(ledger_path)
+
+
+def read_metrics(spark: SparkSession, ledger_path: str) -> DataFrame:
+    """Metric writes in the ledger; rows appended again by a repeated job count once."""
+    return spark.read.parquet(ledger_path).distinct()
+
+
 def collect_event_logs(spark: SparkSession, src_root: str, dest_root: str,
                        row_size: int = 1024 * 1024, src_layout: str = "tmp",
                        dest_layout: str = "tmp") -> None:

@@ -121,23 +121,61 @@ def tmp_run_ids(spark: SparkSession, step_cache_path: str, entity: str) -> DataF
     return _run_ids(spark, step_cache_path, entity, committed=False)
 
 
-def read_run_records(spark: SparkSession, pattern: str) -> DataFrame:
-    """Run-record JSON files (one object per file) with a fixed schema."""
+def read_run_records(spark: SparkSession, pattern: str, extra: tuple[str, ...] = (),
+                     lines: bool = False) -> DataFrame:
+    """Run-record JSON files (one object per file) with a fixed schema.
+
+    ``extra`` names further text fields, such as versions of the tools used.
+    With ``lines`` a file holds one record per line, as after compaction.
+    Malformed files are an error.
+    """
     from runvault.sinks.publish import RUN_RECORD_SCHEMA
-    return (spark.read.schema(RUN_RECORD_SCHEMA).option("multiLine", True).json(pattern)
-            .withColumn("source_file", F.input_file_name()))
+    schema = T.StructType(RUN_RECORD_SCHEMA.fields + [T.StructField(x, T.StringType()) for x in extra])
+    return (spark.read.schema(schema).option("multiLine", not lines).option("mode", "FAILFAST")
+            .json(pattern).withColumn("source_file", F.input_file_name()))
+
 
+def read_metrics_files(spark: SparkSession, pattern: str, lines: bool = False) -> DataFrame:
+    """Metrics files of many runs as metric writes.
 
-def read_params_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    A file (with ``lines``: a line) is one JSON object of metric values and the
+    key ``run_id``; without it the run id is taken from the file name.  A later
+    file of a run is a later write.  Malformed files are an error.
+    Output: run_id, module (where the file name holds it), name, value (null if
+    not a number), text (as stored), ts, seq.
+    """
+    from runvault.operators.ledger import module_from_file_name, run_id_from_file_name
+    from runvault.operators.params import parse_params
+    path = F.col("_metadata.file_path")
+    blank_is_null = lambda c: F.nullif(c, F.lit(""))
+    rows = spark.read.option("wholetext", not lines).text(pattern).select(
+        parse_params("value").alias("m"), blank_is_null(module_from_file_name(path)).alias("module"),
+        blank_is_null(run_id_from_file_name(path)).alias("named"),
+        F.col("_metadata.file_modification_time").alias("ts"))
+    return rows.select(
+        F.coalesce(F.col("m")["run_id"], "named").alias("run_id"), "module", "ts",
+        F.explode(F.map_filter("m", lambda k, v: k != "run_id")).alias("name", "text")).select(
+        "run_id", "module", "name", F.col("text").try_cast("double").alias("value"), "text", "ts",
+        F.lit(0).cast("long").alias("seq"))
+
+
+def read_params_files(spark: SparkSession, paths: list[str], pipeline_path: str | None = None) -> DataFrame:
     """Parameter files: JSON objects with ``pipeline_params``, ``step_params`` and
-    ``substeps_params``.  Other extensions are refused."""
-    bad = [p for p in paths if not p.lower().endswith(".json")]
+    ``substeps_params``.  Other extensions are refused, malformed files are an error.
+
+    The pipeline section of the file at ``pipeline_path`` replaces that of all others.
+    """
+    named = paths + ([pipeline_path] if pipeline_path else [])
+    bad = [p for p in named if not p.lower().endswith(".json")]
     if bad:
         raise ValueError(f"unsupported parameter file type: {bad}")
     schema = ("pipeline_params map<string,string>, step_params map<string,string>, "
               "substeps_params array<string>")
-    return (spark.read.schema(schema).option("multiLine", True).json(paths)
-            .withColumn("source_file", F.input_file_name()))
+    files = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST")
+    rows = files.json(paths).withColumn("source_file", F.input_file_name())
+    if pipeline_path:
+        rows = rows.withColumn("pipeline_params", files.json(pipeline_path).select("pipeline_params").scalar())
+    return rows
 
 
 def read_custom(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:

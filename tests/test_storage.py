@@ -93,6 +93,56 @@ def test_ledger_append_and_records(spark, tmp_path):
         vs.read_params_files(spark, [str(tmp_path / "params.yaml")])
 
 
+def test_run_files_to_ledger(spark, tmp_path):
+    """Record and metrics files -> ledger -> last metrics, summary, report check, lineage."""
+    from runvault.operators import ledger as lg
+    for run, module, stop, status in (("run-24-01-01-000001", "my_nb", "2024-01-01 00:01:30.5", "COMPLETE"),
+                                      ("run-24-01-02-000001", "job", "2024-01-02 00:00:09", "RUNNING")):
+        suffix = ".ipynb" if module == "my_nb" else ".py"
+        (tmp_path / f"{run}_{module}.runinfo.json").write_text(json.dumps(
+            {"start_time": f"20{run[4:12]} 00:00:00", "stop_time": stop, "status": status, "step_name": "s",
+             "commit": "c", "pipeline_params": {"pipeline_name": "p"}, "substeps_params": ["a"],
+             "tool_version": "7", "inputs": {"i": "/in"},
+             "outputs": {f"user.p.z.s.reports.{module}{suffix}": f"/store/{run}/reports"}}))
+        (tmp_path / f"{run}_{module}.metrics.json").write_text(json.dumps({"run_id": run, "acc": 0.5, "note": "x"}))
+    records = vs.read_run_records(spark, str(tmp_path / "*.runinfo.json"), extra=("tool_version",))
+    assert {r.tool_version for r in records.collect()} == {"7"}
+    ledger, metrics = str(tmp_path / "ledger"), str(tmp_path / "metrics")
+    pub.append_runs(lg.from_records(records), ledger)
+    pub.append_runs(lg.from_records(records), ledger)
+    runs = pub.read_ledger(spark, ledger)
+    assert {(r.run_id, r.module, r.pipeline, r.status, r.duration_s) for r in runs.collect()} == {
+        ("run-24-01-01-000001", "my_nb", "p", "COMPLETE", 90.5), ("run-24-01-02-000001", "job", "p", "RUNNING", None)}
+    assert {(r.run_id, r.ok, r.report_url) for r in lg.report_outputs(runs).collect()} == {
+        (r, True, f"/store/{r}/reports") for r in ("run-24-01-01-000001", "run-24-01-02-000001")}
+    assert lg.run_summary(runs).filter("header like '%p/s/c%'").count() == 2
+    custom = spark.createDataFrame(
+        [("run-24-01-01-000001", "input", "raw", "/custom/a"), ("run-24-01-01-000001", "input", "raw", "/custom/b"),
+         ("run-24-01-01-000001", "output", "table", "/custom/t"), ("run-24-01-01-000001", "input", "i", "/new")],
+        "run_id string, direction string, name string, url string")
+    got = {(r.run_id[-13:], r.direction, r.name, r.url) for r in lg.lineage(lg.with_custom(runs, custom)).collect()
+           if "reports" not in r.name}
+    assert got == {("24-01-01-000001"[-13:], "input", "i", "/new"), ("24-01-01-000001"[-13:], "input", "raw", "/custom/b"),
+                   ("24-01-01-000001"[-13:], "output", "table", "/custom/t"), ("24-01-02-000001"[-13:], "input", "i", "/in")}
+    pub.append_metrics(vs.read_metrics_files(spark, str(tmp_path / "*.metrics.json")), metrics)
+    pub.append_metrics(vs.read_metrics_files(spark, str(tmp_path / "*.metrics.json")), metrics)
+    last = {(r.run_id, r.name, r.value, r.n_writes) for r in lg.last_metrics(pub.read_metrics(spark, metrics)).collect()}
+    assert last == {(r, n, x, 1) for r in ("run-24-01-01-000001", "run-24-01-02-000001")
+                    for n, x in (("acc", 0.5), ("note", None))}
+    (tmp_path / "run-3_x.metrics.json").write_text("{broken")
+    with pytest.raises(Exception):
+        vs.read_metrics_files(spark, str(tmp_path / "*.metrics.json")).collect()
+
+
+def test_pipeline_parameter_file(spark, tmp_path):
+    for name, pipeline in (("a", "one"), ("b", "two"), ("shared", "three")):
+        (tmp_path / f"{name}.json").write_text(json.dumps(
+            {"pipeline_params": {"pipeline_name": pipeline}, "step_params": {"k": name}, "substeps_params": []}))
+    paths = [str(tmp_path / "a.json"), str(tmp_path / "b.json")]
+    rows = vs.read_params_files(spark, paths, str(tmp_path / "shared.json")).collect()
+    assert {(r.pipeline_params["pipeline_name"], r.step_params["k"]) for r in rows} == {("three", "a"), ("three", "b")}
+
+
 def test_event_logs(spark, tmp_path):
     src = tmp_path / "logs"
     for log in ("train", "eval"):
