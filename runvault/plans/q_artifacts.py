@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from runvault.operators import artifacts as ar
 from runvault.plans import views as v
 from runvault.plans.registry import query
+from runvault.session import scratch_dir
 
 _A = f"WITH a AS ({v.ARTIFACTS_SQL})"
 
@@ -60,3 +61,15 @@ GROUP BY bundle""")
 def bundle_latest(spark, sf_dir):
     """K7: newest version of every artefact bundle."""
     return ar.latest_bundles(v.artifacts(spark, sf_dir))
+
+
+@query("bundle_roundtrip", f"""{_A}
+SELECT bundle, name, kind, file_path, version, CAST(octet_length(content) AS BIGINT) AS n_bytes,
+       md5(content) AS md5
+FROM a""")
+def bundle_roundtrip(spark, sf_dir):
+    """K7: every artefact published in a bundle, the committed bundle loaded again."""
+    url = ar.publish_bundle(v.artifacts(spark, sf_dir), f"{scratch_dir(spark, 'bundles')}/all")
+    return ar.load_bundle(spark, url).select(
+        "bundle", "name", "kind", "file_path", "version",
+        F.octet_length("content").cast("long").alias("n_bytes"), F.md5("content").alias("md5"))

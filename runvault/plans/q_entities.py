@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from runvault.functions.names import path_part
 from runvault.operators import entities as en
 from runvault.plans import views as v
 from runvault.plans.registry import query
+from runvault.session import scratch_dir
+from runvault.sinks.publish import publish
+from runvault.sources.versions import scan_versions
 
 _V = f"WITH v AS ({v.ENTITY_VERSIONS_SQL})"
 _OVERRIDE = {"prod": "/mnt/prod"}
@@ -167,3 +174,25 @@ def declaration_violations(spark, sf_dir):
     """Required and allowed keys per declaration kind, names without '/'."""
     out = en.declaration_violations(_declarations(spark, sf_dir))
     return out.select("consumer", "step_name", "entity", "kind", "problem", "key")
+
+
+@query("published_scan", f"""
+SELECT env, 'writes' AS entity, 'run-24-01-02-000000' AS run_id, CAST(2 AS BIGINT) AS n_versions,
+       count(*) FILTER (committed) AS n_rows, sum(event_id) FILTER (committed) AS id_sum
+FROM ({v.ENTITY_EVENTS_SQL}) ee GROUP BY env""")
+def published_scan(spark, sf_dir):
+    """Two versions per environment published, found by their markers, the newest read back."""
+    root = scratch_dir(spark, "published-scan")
+    writes = v.entity_events(spark, sf_dir)
+    folder = "events/zone/step"
+    for env in v.ENV_PATHS:  # a version is one write job; the number of environments is fixed
+        for run, committed in (("run-24-01-01-000000", False), ("run-24-01-02-000000", True)):
+            part = writes.filter((F.col("env") == env) & (F.col("committed") == committed))
+            publish(part.select("event_id", "value"), f"{root}/{env}/{folder}/{run}/writes")
+    found = reduce(DataFrame.unionByName, [scan_versions(spark, e, f"{root}/{e}") for e in v.ENV_PATHS])
+    latest = en.latest_committed(found)
+    path = F.col("_metadata.file_path")
+    rows = spark.read.parquet(f"{root}/*/{folder}/*/writes").select(
+        path_part(path, -7).alias("env"), path_part(path, -3).alias("run_id"), "event_id")
+    sums = rows.groupBy("env", "run_id").agg(F.count("*").alias("n_rows"), F.sum("event_id").alias("id_sum"))
+    return latest.join(sums, ["env", "run_id"]).select("env", "entity", "run_id", "n_versions", "n_rows", "id_sum")

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from runvault.operators import chunks as ch
 from runvault.operators import ledger as lg
 from runvault.plans import views as v
 from runvault.plans.registry import query
 from runvault.session import scratch_dir
 from runvault.sinks import publish as pub
+from runvault.sinks.archive import write_files
 from runvault.sources import versions as vs
 
 _E = f"WITH e AS ({v.RUN_ENTITIES_SQL})"
@@ -134,3 +136,22 @@ def metric_files(spark, sf_dir):
         f"{folder}/metrics")
     pub.append_metrics(vs.read_metrics_files(spark, f"{folder}/metrics", lines=True), f"{folder}/ledger")
     return lg.last_metrics(pub.read_metrics(spark, f"{folder}/ledger")).select("run_id", "name", "value")
+
+
+@query("event_log_store", """
+SELECT source AS log_name, 'run-' || CAST(doc_id % 10 AS VARCHAR) AS run_id,
+       'events.out.' || CAST(doc_id AS VARCHAR) AS file_name,
+       CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS length
+FROM documents""")
+def event_log_store(spark, sf_dir):
+    """Documents as event logs, collected from the tmp into the stored layout and found there."""
+    root = scratch_dir(spark, "event-logs")
+    content = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    number = F.col("doc_id").cast("string")
+    logs = v.table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("/"), "source", F.lit("/run-"), (F.col("doc_id") % 10).cast("string"),
+                 F.lit("/events.out."), number).alias("rel_path"),
+        F.octet_length(content).cast("long").alias("length"), content.alias("content"))
+    write_files(ch.chunk_files(logs, 1 << 20), f"{root}/tmp")
+    pub.collect_event_logs(spark, f"{root}/tmp", f"{root}/store", dest_layout="stored")
+    return vs.event_logs(spark, f"{root}/store", layout="stored").select("log_name", "run_id", "file_name", "length")
