@@ -27,8 +27,8 @@ So no word is held by one task more often than there are blocks, and no task
 holds more than its block.  Words are keyed by 64-bit hashes.
 
 Null texts count as empty.  Texts without a token have null scores.  Repeated
-rows count as often as they occur.  A null doc_id is no target.  With no target
-document all scores are 0.
+rows count as often as they occur; rows of one doc_id share a block.  A null
+doc_id is no target.  With no target document all scores are 0.
 """
 
 from __future__ import annotations
