@@ -12,7 +12,11 @@ Equal fingerprints are joined first, so a group of equal texts is one entry.
 A bucket of one table with more than ``bucket`` distinct fingerprints is never
 paired: its entries get further masks over the bits that its mask left out,
 which keeps the guarantee, until buckets are small (distinct fingerprints in a
-bucket differ in the left-out bits only, so the bits run out).  Within small
+bucket differ in the left-out bits only, and every further mask keeps more of
+them, so the bits run out).  Where too few bits are left out for their vectors
+to span all dimensions, they are dealt to radius + 1 groups and each group is
+kept once: at most ``radius`` differing bits miss one group.  A bucket with at
+most ``radius`` bits left out is one star, whatever its size.  Within small
 buckets the bit distance is checked and a spanning forest kept.  Components of
 all links come from alternating large-star and small-star steps over
 checkpointed edges.
@@ -87,10 +91,17 @@ def _signed(x: int) -> int:
     return x - (1 << BITS) if x >> BITS - 1 else x
 
 
+def _finer(positions: list[int], radius: int) -> list[int]:
+    """Masks like covering_masks for more than ``radius`` positions, none of them empty."""
+    if len(positions) >= 1 << radius:  # the vectors span all dimensions: each v overlaps one oddly
+        return covering_masks(positions, radius)
+    return [sum(1 << p for p in positions[g::radius + 1]) for g in range(radius + 1)]
+
+
 def _refined(masks: list[int], radius: int) -> dict[int, list[int]]:
-    """For each mask, itself with covering masks over the positions it leaves out."""
+    """For each mask, itself with finer masks over the positions it leaves out (more than ``radius``)."""
     rest = {m: [p for p in range(BITS) if not m >> p & 1] for m in masks}
-    return {m: sorted({m | x for x in covering_masks(rest[m], radius)}) for m in masks}
+    return {m: sorted({m | x for x in _finer(rest[m], radius)}) for m in masks}
 
 
 def _forest(radius: int):
@@ -129,10 +140,12 @@ def covering_links(fps: DataFrame, radius: int, bucket: int = 512) -> DataFrame:
     while True:
         keyed = rows.select("fp", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"))
         shared = cut(keyed.groupBy("mask", "key").agg(F.count("*").alias("n")).filter("n > 1"))
-        small = shared.filter(F.col("n") <= bucket).select("mask", "key")
+        # with at most radius bits left out all are near: at most 2^radius, and their forest is a star
+        pairable = (F.col("n") <= bucket) | (F.bit_count("mask") >= BITS - radius)
+        small = shared.filter(pairable).select("mask", "key")
         buckets = keyed.join(small, ["mask", "key"]).groupBy("mask", "key").agg(F.collect_list("fp").alias("fps"))
         found.append(cut(buckets.select(F.explode(_forest(radius)("fps")).alias("link")).select("link.*").distinct()))
-        large = shared.filter(F.col("n") > bucket)
+        large = shared.filter(~pairable)
         if large.isEmpty():
             break
         # a list of masks, not of data: only those with a large bucket are refined

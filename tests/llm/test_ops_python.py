@@ -124,6 +124,40 @@ def test_covering_links_connect_like_all_pairs(spark, bucket):
     assert classes({s: got.get(s, s) for s in signed.values()}) == classes({signed[f]: signed[want[f]] for f in fps})
 
 
+def test_refined_masks_keep_more_bits_and_cover():
+    """Every refinement keeps more bits than its mask, and no near pair is missed, down to radius bits left."""
+    rnd = random.Random(2)
+    masks = simhash.covering_masks(list(range(64)), 4)
+    for _ in range(5):
+        finer = simhash._refined(masks, 4)
+        for m, xs in finer.items():
+            rest = [p for p in range(64) if not m >> p & 1]
+            assert all(x & m == m and x != m for x in xs)
+            for _ in range(20):
+                diff = sum(1 << p for p in rnd.sample(rest, 4))
+                assert any(x & diff == 0 for x in xs)
+        masks = sorted({x for xs in finer.values() for x in xs if x.bit_count() < 60})
+        masks = rnd.sample(masks, min(len(masks), 300))
+
+
+@pytest.mark.parametrize("bucket", [64, 3])
+def test_large_buckets_in_few_free_bits_end(spark, bucket):
+    """Fingerprints that all agree on the 49 kept bits of a second-level mask, and one group far from them."""
+    rnd = random.Random(6)
+    first = simhash.covering_masks(list(range(64)), 4)[0]
+    mask = next(m for m in simhash._refined([first], 4)[first] if m.bit_count() == 49)
+    free, centre = [p for p in range(64) if not mask >> p & 1], rnd.getrandbits(64) & mask
+    spread = lambda base, bits, k: {base ^ sum(1 << p for p in bits if rnd.random() < 0.5) for _ in range(k)}
+    fps = spread(centre, free, 2500 if bucket > 3 else 60) | spread(centre ^ mask, free[:4], 60) | {centre ^ mask ^ 0x1F << 59}
+    df = spark.createDataFrame([(simhash._signed(f),) for f in sorted(fps)], "fp long")
+    assert all(m not in xs for m, xs in simhash._refined([mask], 4).items())  # else it would not end
+    got = {r.node: r.root for r in simhash.components(simhash.covering_links(df, 4, bucket)).collect()}
+    want = plain_components(fps, 4)
+    classes = lambda m: sorted(sorted(k for k in m if m[k] == r) for r in set(m.values()))
+    assert classes({simhash._signed(f): got.get(simhash._signed(f), simhash._signed(f)) for f in fps}) == classes(
+        {simhash._signed(f): simhash._signed(want[f]) for f in fps})
+
+
 def test_near_duplicates_rows(spark, odd):
     got = simhash.near_duplicates(odd).collect()
     assert Counter(r.doc_id for r in got) == Counter(i for i, _ in ODD)
