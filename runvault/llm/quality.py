@@ -13,6 +13,14 @@ is divided (Bonferroni).  So with probability 1 - ``error`` no stratum loses
 more than ``risk`` of its good documents that pass the base rule.  A stratum
 with too few labels keeps its documents.
 
+The query and its SQL work so (``thresholds``).  Dividing asks for many labels,
+so the stage that filters (``keep_good``) tests whole configurations instead:
+from all rules off, one rule after the other goes one cutoff further, and a
+text is rejected if any rule rejects it.  This one fixed sequence per stratum
+is tested with the whole ``risk`` at level ``error`` / strata up to the first
+failure, which gives the same guarantee.  With four strata and no false
+rejection 217 labels are enough, against 1,495.
+
 Null texts have no words and fail the base rule.  Strata include null.
 A document is good if all its labels say so; labels without document count for
 nothing.  Repeated rows are judged alike and stay.  Repeated three-word
@@ -120,13 +128,18 @@ def binomial_cdf(k: Column, n: Column, p: Column) -> Column:
     return F.when(k >= n * p, F.lit(1.0)).otherwise(top * terms)
 
 
+def _held(counted: DataFrame, labels: DataFrame) -> DataFrame:
+    """The labelled good documents that pass the base rule."""
+    good = (pick(labels, "doc_id", "quality").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+            .filter("quality = 1").select("doc_id"))
+    return counted.filter(~base_failed()).join(good, "doc_id", "left_semi")
+
+
 def thresholds(counted: DataFrame, labels: DataFrame, stratum: str, risk: float = RISK, error: float = ERROR) -> DataFrame:
     """One row per stratum with labelled good documents: (stratum, <rule>_cutoff per rule, null: rule off).
 
     ``counted`` has doc_id, the stratum and the counts; labels (doc_id, quality)."""
-    good = (pick(labels, "doc_id", "quality").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-            .filter("quality = 1").select("doc_id"))
-    held = counted.filter(~base_failed()).join(good, "doc_id", "left_semi")
+    held = _held(counted, labels)
     lost = [F.struct(F.lit(rule[0]).alias("rule"), F.lit(j).alias("j"), F.lit(c).cast("long").alias("cutoff"),
                      F.count_if(_rejects(rule, c)).alias("k")) for rule in RULES for j, c in enumerate(rule[4])]
     per = cut(held.groupBy(F.col(stratum).alias("stratum")).agg(F.count("*").alias("n"), F.array(*lost).alias("lost")))
@@ -143,6 +156,25 @@ def thresholds(counted: DataFrame, labels: DataFrame, stratum: str, risk: float
         F.max(F.when(F.col("rule") == rule[0], cutoff)).alias(f"{rule[0]}_cutoff") for rule in RULES]))
 
 
+def configurations(counted: DataFrame, labels: DataFrame, stratum: str, risk: float = RISK,
+                   error: float = ERROR) -> DataFrame:
+    """Like ``thresholds``, from whole configurations: step t moves rule t % rules to its cutoff t // rules."""
+    turns = len(RULES)
+    first = F.least(*[F.coalesce(*[F.when(_rejects(rule, c), F.lit(j * turns + r)) for j, c in enumerate(rule[4])])
+                      for r, rule in enumerate(RULES)])  # the step that rejects a text first; null: none does
+    steps = [F.struct(F.lit(t).alias("t"), F.count_if(F.col("_first") <= t).alias("k"))
+             for t in range(turns * len(RULES[0][4]))]
+    per = cut(_held(counted, labels).withColumn("_first", first).groupBy(F.col(stratum).alias("stratum"))
+              .agg(F.count("*").alias("n"), F.array(*steps).alias("steps")))
+    tests = (per.crossJoin(F.broadcast(per.agg(F.count("*").alias("strata"))))  # times one row
+             .select("stratum", "n", "strata", F.inline("steps")))
+    fails = binomial_cdf(F.col("k"), F.col("n"), F.lit(risk)) > F.lit(error) / F.col("strata")
+    passed = tests.groupBy("stratum").agg(F.coalesce(F.min(F.when(fails, F.col("t"))), F.count("*").cast("int")).alias("p"))
+    return cut(passed.select("stratum", *[
+        F.get(F.array(*[F.lit(c).cast("long") for c in rule[4]]), F.ceil((F.col("p") - r) / turns).cast("int") - 1)
+        .alias(f"{rule[0]}_cutoff") for r, rule in enumerate(RULES)]))
+
+
 def judge(counted: DataFrame, limits: DataFrame, stratum: str) -> DataFrame:
     """``counted`` with ``base_failed`` and ``kept``."""
     few = hinted(limits.withColumnRenamed("stratum", "_stratum"), limits.count())
@@ -169,7 +201,7 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, stratum: str = "lang",
 def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK,
               error: float = ERROR) -> DataFrame:
     """The rows of ``docs`` that are kept, unchanged."""
-    limits = thresholds(count_texts(docs, "doc_id", stratum), labels, stratum, risk, error)
+    limits = configurations(count_texts(docs, "doc_id", stratum), labels, stratum, risk, error)
     whole = docs.toDF(*[f"_in{i}" for i in range(len(docs.columns))])
     at = {n: F.col(f"_in{docs.columns.index(n)}") for n in ("text", stratum)}
     counted = whole.withColumn("_c", text_counts(at["text"])).withColumn("_by", at[stratum]).select(

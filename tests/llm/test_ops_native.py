@@ -85,6 +85,25 @@ def test_keep_good_keeps_rows_whole(spark):
     assert quality.keep_good(df.filter("1 = 0"), labels).count() == 0
 
 
+def test_small_strata_get_cutoffs(spark):
+    """Four strata: 217 good labels without a false rejection turn the rules on, 216 do not; false rejections stop them."""
+    words = [f"word{i}" for i in range(60)]
+    noisy = " ".join([*words[:30], *[f"#{w}" for w in words[30:]]])  # 500 symbols per thousand words
+    junk = " ".join(f"#{w}#" for w in words)  # 2000
+    rows, n = [], {"a": 217, "b": 216, "c": 400, "d": 400}
+    for lang, size in n.items():
+        rows += [(len(rows) + i, noisy if lang == "d" and i < 20 else " ".join(words), lang) for i in range(size)]
+    labels = spark.createDataFrame([(r[0], 1) for r in rows], "doc_id long, quality int")
+    rows += [(-1 - i, junk, lang) for i, lang in enumerate(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    limits = quality.configurations(quality.count_texts(docs, "doc_id", "lang"), labels, "lang").collect()
+    got = {r.stratum: (r.symbols_cutoff, r.dup_lines_cutoff, r.short_words_cutoff) for r in limits}
+    # d: 5 % of the good have 500, so the step to 300 fails and all later ones with it
+    assert got == {"a": (20, 50, 4000), "b": (None, None, None), "c": (20, 50, 4000), "d": (500, 500, 2000)}
+    kept = Counter((r.lang, r.doc_id < 0) for r in quality.keep_good(docs, labels).collect())
+    assert kept == Counter({("a", False): 217, ("b", False): 216, ("b", True): 1, ("c", False): 400, ("d", False): 400})
+
+
 # -- surrogates -----------------------------------------------------------------
 def test_surrogates(spark):
     text = ("Mail Bob.Ray7@Mail.Example.com or bob.ray7@mail.example.com, +1 (229) 555-4838 or (229) 555-4838. "
