@@ -2,7 +2,8 @@
 
 Mentions (e-mail addresses, phone and card numbers, IPv4 addresses, social
 security numbers, credentials, and names after a title) are found by one
-pattern.  A mention is reduced to canonical entities: a phone number to its
+pattern; a number shaped like a card is one only if its Luhn sum is a multiple
+of ten.  A mention is reduced to canonical entities: a phone number to its
 national digits, a name to its given and family part, so different spellings
 of one entity agree.  Every distinct entity of the corpus gets a surrogate of
 its type drawn by a keyed hash: letters, digits, case and separators keep
@@ -73,6 +74,11 @@ def kind_of(mention: Column) -> Column:
     return out
 
 
+def is_mention(found: Column) -> Column:
+    """Whether a match of the pattern is a mention: a number shaped like a card only if its Luhn sum says so."""
+    return F.when(found.rlike(_whole(CARD)), _luhn_sum(_digits(found)) % 10 == 0).otherwise(F.lit(True))
+
+
 def _digits(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
 
@@ -243,12 +249,14 @@ def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
     found = F.regexp_extract_all(at, F.lit(PATTERN), F.lit(0))
     hit = whole.filter(F.col(at).rlike(PATTERN)).withColumn("_m", found).withColumn("_key", F.md5(F.array_join("_m", "\x01")))
     uses = cut(hit.select("_key", F.posexplode("_m").alias("_i", "mention")).distinct())
-    given = surrogate_map(uses.select("mention").distinct(), key)
+    mentions = cut(uses.select("mention").distinct().withColumn("real", is_mention(F.col("mention"))))
+    given = surrogate_map(mentions.filter("real").select("mention"), key).union(
+        mentions.filter("not real").select("mention", F.col("mention").alias("surrogate")))
     lists = cut(uses.join(given, "mention").groupBy("_key").agg(
         F.array_sort(F.collect_list(F.struct("_i", "surrogate"))).alias("_s")).select("_key", F.col("_s.surrogate").alias("_s")))
     pieces = F.split(at, PATTERN, -1)
     text = F.array_join(F.transform(pieces, lambda p, i: F.concat(p, F.coalesce(F.get("_s", i), F.lit("")))), "")
-    changed = hit.join(lists, "_key").withColumn("_n", F.size("_m").cast("long")).withColumn("_text", text)
+    changed = hit.join(lists, "_key").withColumn("_n", F.size(F.filter("_m", is_mention)).cast("long")).withColumn("_text", text)
     same = whole.filter(~F.coalesce(F.col(at).rlike(PATTERN), F.lit(False))).withColumn("_n", F.lit(0).cast("long"))
     back = lambda df, text: df.select(*[(F.col(text) if c == at else F.col(c)).alias(n)
                                         for c, n in zip(whole.columns, docs.columns)], F.col("_n").alias("n_mentions"))

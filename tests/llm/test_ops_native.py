@@ -148,6 +148,19 @@ def test_planted_values_are_gone(spark):
             assert out[r.doc_id].text == r.text
 
 
+def test_card_numbers_pass_luhn_or_stay(spark):
+    """16 digits (and 15 like Amex) are a card only by their check digit."""
+    plain = ["4111111111111112", "5105-1051-0510-5101", "3456 7890 1234 5678", "378282246310006", "6011111111111111"]
+    cards = ["4111111111111111", "5105-1051-0510-5100", "378282246310005", "6011111111111117"]
+    rows = [(i, f"no. {x}, end") for i, x in enumerate(plain + cards)] + [(99, f"{plain[0]} and {cards[0]} and a@b.org")]
+    out = {r.doc_id: r for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [(out[i].text, out[i].n_mentions) for i in range(len(plain))] == [(f"no. {x}, end", 0) for x in plain]
+    for i, x in enumerate(cards, len(plain)):
+        assert x not in out[i].text and out[i].n_mentions == 1
+        assert re.fullmatch("no. " + re.sub(r"\d", r"\\d", x) + ", end", out[i].text)
+    assert out[99].text.startswith(f"{plain[0]} and 4") and cards[0] not in out[99].text and out[99].n_mentions == 2
+
+
 # -- mixing ---------------------------------------------------------------------
 def test_poisson_counts(spark):
     rates = [0.0, 0.1, 1.5, 40.0, 900.0]
