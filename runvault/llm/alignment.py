@@ -40,6 +40,7 @@ from __future__ import annotations
 import hashlib
 import math
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -56,7 +57,9 @@ MARK = "▁"
 PIECE = 1 << 16  # code points
 FAN = 16
 BLOCK, STEP = 32 << 20, 2 << 20  # code points of a block, and of a step inside it
-CACHED_WORDS, CACHED_CHARS = 150_000, 64
+CACHED_WORDS, CACHED_CHARS = 500_000, 64
+LEARNT = 2000  # words that are encoded as one text
+TOUCHING = re.compile(r"\s | \s|^ | $|^$")  # a space that white space or an end of the text touches
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -163,6 +166,10 @@ class TwoTokenizers:
         self.size_b = self.b.get_piece_size()
         self.b_bytes = [bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace(MARK, " ").encode()
                         for i in range(self.size_b) for piece in [self.b.id_to_piece(i)]]
+        self.a_sizes, self.b_sizes = (np.array([len(x) for x in side], dtype=np.int64) for side in (self.a_bytes, self.b_bytes))
+        self.marks = [f"{i}{mark}" for side, end in ((self.a_bytes, "|"), (self.b_bytes, ";")) for i in range(len(side))
+                      for mark in (",", end)]
+        self.mark_sizes = np.array([len(x) for x in self.marks], dtype=np.int64)
         self.pair_type = np.dtype("<u4" if len(self.a_bytes) * self.size_b < 1 << 32 else "<u8")
         self.clear()
 
@@ -190,23 +197,73 @@ class TwoTokenizers:
                 and b"".join(map(self.b_bytes.__getitem__, run.b)) == body)
 
     def _learn(self, words: list[str]) -> None:
-        for word, run in zip(words, self.runs(words)):
-            at = len(self.groups)
-            self.place[word] = at
-            if not self.whole(word, run):
-                self.odd.add(at)
-                groups, links = [], {}
-            else:
-                groups, links = close(run)
-            self.groups.append(";".join(groups))
-            if at == len(self.counts):
-                self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
-            pairs = [a * self.size_b + b for (a, b), n in links.items() for _ in range(n)]
-            self.counts[at] = len(run.a), len(run.b), len(groups), len(pairs), self.n_pairs
-            while self.n_pairs + len(pairs) > len(self.pairs):
-                self.pairs = np.concatenate([self.pairs, np.zeros_like(self.pairs)])
-            self.pairs[self.n_pairs:self.n_pairs + len(pairs)] = pairs
-            self.n_pairs += len(pairs)
+        """Adds the rows of words that neither begin nor end with white space; a run of them is
+        encoded as one text, whose cuts at the spaces hold."""
+        for start in range(0, len(words), LEARNT):
+            some = words[start:start + LEARNT]
+            if not self._learn_run(some):
+                if len(some) == 1:
+                    self._add(some, np.zeros((1, 4), dtype=np.int64), np.zeros(0, dtype=np.int64), [""], odd=True)
+                else:  # an odd word among them
+                    half = len(some) // 2
+                    self._learn(some[:half])
+                    self._learn(some[half:])
+
+    def _learn_run(self, words: list[str]) -> bool:
+        text = " ".join(words)
+        a = np.array(self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, dtype=np.int64)
+        b = np.array(self.b.encode(text, num_threads=1), dtype=np.int64)
+        if not self.whole(text, Run(a.tolist(), [], b.tolist(), [])):
+            return False
+        a_end, b_end = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        edges = np.cumsum(np.fromiter((len(w.encode()) + 1 for w in words), np.int64, len(words)))
+        common = np.intersect1d(a_end, b_end, assume_unique=True)
+        per_word = [np.diff(np.searchsorted(ends, edges, side="right"), prepend=0) for ends in (a_end, b_end, common)]
+        first = np.searchsorted(b_end, a_end - self.a_sizes[a], side="right")
+        n = np.searchsorted(b_end - self.b_sizes[b], a_end, side="left") - first  # B tokens that an A token overlaps
+        links = np.concatenate([[0], np.cumsum(n)])
+        pairs = np.repeat(a, n) * self.size_b + b[np.repeat(first - links[:-1], n) + np.arange(links[-1])]
+        per_word.append(np.diff(links[np.cumsum(per_word[0])], prepend=0))
+        self._add(words, np.column_stack(per_word), pairs, self._strings(a, a_end, b, b_end, common, edges))
+        return True
+
+    def _strings(self, a, a_end, b, b_end, common, edges) -> list[str]:
+        """The groups of each word: ids with the mark that follows them (comma; bar or semicolon
+        after the last of a side) in the order of the groups, cut at the words' ends."""
+        of_a, of_b = np.searchsorted(common, a_end), np.searchsorted(common, b_end)
+        last_a, last_b = (np.append(np.diff(g) > 0, True) for g in (of_a, of_b))
+        code = np.empty(len(a) + len(b), dtype=np.int64)
+        code[np.arange(len(a)) + np.searchsorted(of_b, of_a, side="left")] = 2 * a + last_a
+        in_b = np.arange(len(b)) + np.searchsorted(of_a, of_b, side="right")
+        code[in_b] = 2 * (len(self.a_bytes) + b) + last_b
+        ends = np.searchsorted(of_b, np.searchsorted(common, edges), side="right") - 1  # each word's last B token
+        upto = np.cumsum(self.mark_sizes[code])[in_b[ends]].tolist()
+        whole = "".join(map(self.marks.__getitem__, code.tolist()))
+        return [whole[lo:hi - 1] for lo, hi in zip([0, *upto], upto)]
+
+    def _add(self, words: list[str], counts: np.ndarray, pairs: np.ndarray, strings: list[str], odd: bool = False) -> None:
+        at = len(self.groups)
+        while at + len(words) > len(self.counts):
+            self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
+        while self.n_pairs + len(pairs) > len(self.pairs):
+            self.pairs = np.concatenate([self.pairs, np.zeros_like(self.pairs)])
+        rows = self.counts[at:at + len(words)]
+        rows[:, :4] = counts
+        rows[:, 4] = self.n_pairs + np.cumsum(counts[:, 3]) - counts[:, 3]
+        self.pairs[self.n_pairs:self.n_pairs + len(pairs)] = pairs
+        self.n_pairs += len(pairs)
+        self.groups += strings
+        self.place.update(zip(words, range(at, at + len(words))))
+        if odd:
+            self.odd.update(range(at, at + len(words)))
+
+    def _learn_apart(self, word: str) -> None:
+        """Adds the row of a word that begins or ends with white space."""
+        run = self.runs([word])[0]
+        groups, links = close(run) if self.whole(word, run) else ([], {})
+        pairs = np.array([a * self.size_b + b for (a, b), n in links.items() for _ in range(n)], dtype=np.int64)
+        self._add([word], np.array([[len(run.a), len(run.b), len(groups), len(pairs)]]), pairs, [";".join(groups)],
+                  odd=not groups)
 
     def places(self, texts: list[str]) -> list[list[int]]:
         """The cache rows of each text's words; words that are missing are encoded together."""
@@ -214,18 +271,23 @@ class TwoTokenizers:
             self.clear()
         words = [t.split(" ") for t in texts]
         found = [list(map(self.place.get, w)) for w in words]
-        missing: dict[str, None] = {}
-        for k, f in enumerate(found):
-            if None in f:  # cached words neither begin nor end with white space, so all cuts of the others hold
+        # all words of a text are cached: none touches white space, so all cuts hold
+        lacking = [k for k, f in enumerate(found) if None in f]
+        missing: set[str] = set()
+        for k in lacking:
+            if TOUCHING.search(texts[k]):
                 words[k] = joined(words[k])
-                missing.update((w, None) for w in words[k] if w not in self.place)
-        if missing:
-            self._learn([*missing])
-            found = [list(map(self.place.__getitem__, w)) if None in f else f for w, f in zip(words, found)]
-            for w in [w for w in missing if len(w) > CACHED_CHARS or w[:1].isspace() or w[-1:].isspace() or not w]:
+            missing.update(words[k])
+        missing -= self.place.keys()
+        apart = {w for w in missing if not w or w[0].isspace() or w[-1].isspace()}
+        self._learn([*(missing - apart)])
+        for w in apart:
+            self._learn_apart(w)
+        for k in lacking:
+            found[k] = list(map(self.place.__getitem__, words[k]))
+        for w in missing:
+            if w in apart or len(w) > CACHED_CHARS:
                 del self.place[w]  # its row goes with the next clear
-        else:
-            found = [list(map(self.place.__getitem__, w)) if None in f else f for w, f in zip(words, found)]
         return found
 
 

@@ -39,6 +39,7 @@ from runvault.llm.registry import query, table
 SCALE, TOP, EVERY = 256, 5, 50
 LEVELS = (1, 4, 16)  # segments, coarse to fine
 SLICE, TURN = 4096, 8192  # rows and queries that meet in one task
+MOST_TASKS = 20_000
 STEP = 256  # queries whose coarse bounds are held at once
 
 
@@ -152,7 +153,9 @@ def top_k(vectors: DataFrame, is_query: str = f"vec_id % {EVERY} = 0", k: int =
         "slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)).cast("array<bigint>")))
     rows = rows.withColumn("slice", F.expr(f"number div {SLICE}")).withColumn(
         "turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1)).cast("array<bigint>")))
-    apart = lambda df: df.select(*[F.col(c).alias(c) for c in df.columns])  # noqa: E731  both sides come from one frame
+    # a cell is heavy beside its bytes: one task each up to a bound, never merged by size; both sides come from one frame
+    cells = min(turns * slices, MOST_TASKS)
+    apart = lambda df: df.select(*[F.col(c).alias(c) for c in df.columns]).repartition(cells, "turn", "slice")
     best = apart(queries).groupBy("turn", "slice").cogroup(apart(rows).groupBy("turn", "slice")).applyInArrow(
         _cell(k), "query long, query_id long, number long, vec_id long, score long")
     order = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"), "number")
