@@ -14,15 +14,11 @@ Scale notes
   ships at most ``n`` commits per map task.
 * The multiset line diff aggregates ``(pair, line)`` counts with map-side
   partial sums; a huge text is spread over many tasks by its lines.
-* The ordered unified diff needs both texts of a pair side by side: the two
-  sides are joined into one row per pair and diffed in ``mapInPandas``.
+* Ordered diffs are in ``ordered_diff``.
 """
 
 from __future__ import annotations
 
-import difflib
-
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -168,42 +164,3 @@ def cell_multiset_diff(cells: DataFrame) -> DataFrame:
         F.sum(F.greatest(F.col("c") - F.col("t"), F.lit(0))).alias("cells_added"),
         F.sum(F.greatest(F.col("t") - F.col("c"), F.lit(0))).alias("cells_removed"),
         F.sum(F.least("c", "t")).alias("cells_kept"))
-
-
-UNIFIED_DIFF_SCHEMA = "pair long, n_added long, n_removed long, diff string"
-
-
-def _unified_one(target: str | None, curr: str | None, drop_last: bool):
-    def body(t):
-        ls = (t or "").split("\n")
-        return ls[:-1] if drop_last else ls
-    out = list(difflib.unified_diff(body(target), body(curr), fromfile="target",
-                                    tofile="curr", lineterm="", n=1))
-    added = sum(1 for x in out if x.startswith("+") and not x.startswith("+++"))
-    removed = sum(1 for x in out if x.startswith("-") and not x.startswith("---"))
-    return added, removed, "\n".join(out)
-
-
-def unified_line_diff(texts: DataFrame, drop_last: bool = False) -> DataFrame:
-    """Ordered unified diff (target -> current) per pair, one row per pair.
-
-    The two sides are joined into one row per pair (a pair missing a side
-    diffs against an empty text); the diff then runs over Arrow batches of
-    pairs in ``mapInPandas``, without per-group Python overhead.
-    """
-    c = texts.filter(F.col("side") == "curr").select(
-        F.col("pair").cast("long").alias("pair"), F.col("text").alias("curr_text"))
-    t = texts.filter(F.col("side") == "target").select(
-        F.col("pair").cast("long").alias("pair"), F.col("text").alias("target_text"))
-    pairs = c.join(t, "pair", "full")
-
-    def run(batches):
-        for pdf in batches:
-            res = [_unified_one(a, b, drop_last)
-                   for a, b in zip(pdf["target_text"], pdf["curr_text"])]
-            yield pd.DataFrame({"pair": pdf["pair"].astype("int64"),
-                                "n_added": [r[0] for r in res],
-                                "n_removed": [r[1] for r in res],
-                                "diff": [r[2] for r in res]})
-
-    return pairs.mapInPandas(run, UNIFIED_DIFF_SCHEMA)

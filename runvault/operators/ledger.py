@@ -9,17 +9,18 @@ metric_log  run_id, name, value, ts, seq   (one row per metric write)
 
 Every operator is linear in its input: lineage is exploded to one row per
 (run, entity) rather than input x output pairs, and producer -> consumer
-edges join on the url after producers are reduced to one run per url.
+edges are window values over one table of inputs and outputs.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from runvault.operators.params import merge_layers
+from runvault.operators.ranges import PART, range_parts
 
 # Report entity prefix and the summary header / line formats.
 REPORTS_PREFIX = "reports."
@@ -110,20 +111,46 @@ def lineage(runs: DataFrame) -> DataFrame:
 
 
 def dependencies(runs: DataFrame) -> DataFrame:
-    """Producer -> consumer edges: a run's input url equals another run's output url.
-
-    ``consumer_run, input_name, url, producer_run, output_name``; inputs with
-    no known producer keep a null producer.  A custom url can be written by
-    many runs: its producer is the one with the greatest run id (then output
-    name), so the join never fans out.
+    """Producer -> consumer edges: a run's input url and the run that had written it by then.
+
+    ``consumer_run, input_name, url, producer_run, output_name``.  Runs are ordered
+    by their earliest ``start_time`` (where the column exists), then run id.  The
+    producer of an input is the last run before its consumer that wrote the url
+    (of several outputs with that url the one with the greatest name); a run never
+    produces its own input.  Inputs without one keep a null producer, as do null urls.
+
+    An as-of join without a theta join: inputs and outputs are one table in the
+    order (url, run), and the last output before an input is a window value.
+    A url with a third of all rows lies in many range parts; each part hands its
+    last output on to the parts after it (one row a part).
     """
-    ins = runs.select(F.col("run_id").alias("consumer_run"),
-                      F.explode("inputs").alias("input_name", "url"))
-    outs = runs.select(F.col("run_id").alias("producer_run"),
-                       F.explode("outputs").alias("output_name", "url"))
-    newest = outs.groupBy("url").agg(F.max(F.struct("producer_run", "output_name")).alias("p"))
-    return ins.join(newest, "url", "left").select(
-        "consumer_run", "input_name", "url", "p.producer_run", "p.output_name")
+    timed = "start_time" in runs.columns
+    start = F.min("start_time") if timed else F.lit(0)
+    begun = runs.groupBy("run_id").agg(start.alias("_at"))
+    ends = [runs.select("run_id", F.lit(k).alias("_out"), F.explode(m).alias("name", "url"))
+            for k, m in ((0, "inputs"), (1, "outputs"))]
+    rows = ends[0].filter("url is not null").unionByName(ends[1].filter("url is not null")).join(begun, "run_id")
+    order = ["_at", "run_id", "_out", "name"]  # a run's inputs come before its outputs
+    first = [F.asc_nulls_first(c) for c in ["url", *order]]
+    parts = range_parts(rows, first)
+    output = F.when(F.col("_out") == 1, F.struct("url", "run_id", "name"))
+    position = F.struct("url", *order)
+    summary = parts.groupBy(PART).agg(
+        F.min("url").alias("_first"), F.max_by(output, F.when(F.col("_out") == 1, position)).alias("_last"))
+    earlier = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)  # one row a part
+    heads = summary.select(PART, "_first", F.last("_last", ignorenulls=True).over(earlier).alias("_head"))
+    before = (Window.partitionBy(PART, "url").orderBy(*[F.asc_nulls_first(c) for c in order])
+              .rowsBetween(Window.unboundedPreceding, -1))
+    found = (parts.withColumn("_p", F.last(output, ignorenulls=True).over(before)).filter("_out = 0")
+             .join(F.broadcast(heads), PART))
+    head = F.when((F.col("url") == F.col("_first")) & (F.col("_head.url") == F.col("url")), F.col("_head"))
+    producer = F.coalesce("_p", head)
+    edges = found.select(F.col("run_id").alias("consumer_run"), F.col("name").alias("input_name"), "url",
+                         producer["run_id"].alias("producer_run"), producer["name"].alias("output_name"))
+    none = ends[0].filter("url is null").select(
+        F.col("run_id").alias("consumer_run"), F.col("name").alias("input_name"), "url",
+        F.lit(None).cast("string").alias("producer_run"), F.lit(None).cast("string").alias("output_name"))
+    return edges.unionByName(none)
 
 
 # ------------------------------------------------------------------ A7

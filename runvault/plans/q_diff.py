@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from runvault.operators import diff as df_
+from runvault.operators import ordered_diff as od
 from runvault.plans import views as v
 from runvault.plans.registry import query
 
@@ -132,7 +133,46 @@ def diff_cells(spark, sf_dir):
     return df_.cell_multiset_diff(c)
 
 
-@query("diff_unified")
-def diff_unified(spark, sf_dir):
-    """Ordered unified diff of every text pair (rows-only check)."""
-    return df_.unified_line_diff(v.texts(spark, sf_dir))
+@query("diff_ordered")
+def diff_ordered(spark, sf_dir):
+    """Edit script of every text pair, line by line (``diff_replayed`` has its SQL)."""
+    return od.ordered_line_diff(v.texts(spark, sf_dir))
+
+
+@query("diff_replayed", f"""
+WITH t AS ({v.TEXTS_SQL})
+SELECT pair, md5(coalesce(max(text) FILTER (WHERE side = 'curr'), '')) AS curr_md5,
+       md5(coalesce(max(text) FILTER (WHERE side = 'target'), '')) AS target_md5, true AS in_order,
+       true AS no_fewer
+FROM t GROUP BY pair HAVING count(text) > 0""")
+def diff_replayed(spark, sf_dir):
+    """The edit scripts put together again, both sides; none has fewer changes than the
+    order-free diff."""
+    texts = v.texts(spark, sf_dir)
+    script = od.ordered_line_diff(texts)
+    counts = script.groupBy("pair").agg(F.count_if(F.col("op") == "add").alias("added"),
+                                        F.count_if(F.col("op") == "remove").alias("removed"))
+    few = df_.line_multiset_diff(texts)
+    return od.replay(script).join(counts, "pair").join(few, "pair").select(
+        "pair", F.md5("curr_text").alias("curr_md5"), F.md5("target_text").alias("target_md5"), "in_order",
+        ((F.col("added") >= F.col("lines_added")) & (F.col("removed") >= F.col("lines_removed"))).alias("no_fewer"))
+
+
+@query("diff_cells_replayed", f"""
+WITH x AS (SELECT nb_id // 2 AS pair, CASE WHEN nb_id % 2 = 0 THEN 'curr' ELSE 'target' END AS side,
+             pos, coalesce(cell_type, '') || ':' || coalesce(source, '') AS cell,
+             max(pos) OVER (PARTITION BY nb_id) AS last FROM ({v.CELLS_SQL}))
+SELECT pair, md5(coalesce(string_agg(cell, chr(1) ORDER BY pos) FILTER (WHERE side = 'curr'), '')) AS curr_md5,
+       md5(coalesce(string_agg(cell, chr(1) ORDER BY pos) FILTER (WHERE side = 'target'), '')) AS target_md5,
+       true AS in_order
+FROM x WHERE pos < last GROUP BY pair""")
+def diff_cells_replayed(spark, sf_dir):
+    """Edit scripts of paired notebooks, without last cells and outputs, put together again."""
+    c = v.cells(spark, sf_dir).select(
+        F.expr("nb_id div 2").alias("pair"),
+        F.when(F.col("nb_id") % 2 == 0, "curr").otherwise("target").alias("side"),
+        "pos", "cell_type", "source")
+    script = od.ordered_cell_diff(c).withColumn(
+        "cell", F.concat(F.coalesce("cell_type", F.lit("")), F.lit(":"), F.coalesce("source", F.lit(""))))
+    return od.replay(script, "cell", "\x01").select(
+        "pair", F.md5("curr_text").alias("curr_md5"), F.md5("target_text").alias("target_md5"), "in_order")

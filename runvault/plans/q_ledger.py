@@ -31,12 +31,26 @@ SELECT 'run-' || lpad(CAST(x.l_orderkey AS VARCHAR), 19, '0') AS consumer_run,
        CASE WHEN p.o_orderkey IS NOT NULL THEN 'main' END AS output_name
 FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem) x
 JOIN orders c ON c.o_orderkey = x.l_orderkey
-LEFT JOIN orders p ON p.o_orderkey = x.l_suppkey""")
+LEFT JOIN orders p ON p.o_orderkey = x.l_suppkey
+  AND (p.o_orderdate, p.o_orderkey) < (c.o_orderdate, c.o_orderkey)""")
 def ledger_dependencies(spark, sf_dir):
-    """Producer -> consumer edges through shared entity urls."""
+    """Producer -> consumer edges through shared entity urls, as of the consumer's start."""
     return lg.dependencies(v.runs(spark, sf_dir))
 
 
+@query("ledger_producers", f"""
+WITH r AS ({v.SHARED_RUNS_SQL}),
+e AS (SELECT url, ts, run_id, 0 AS k, unnest(['in', 'also']) AS name, unnest([read, read2]) AS u FROM r, (SELECT '' AS url)
+      UNION ALL SELECT '', ts, run_id, 1, 'out', written FROM r),
+o AS (SELECT *, last_value(CASE WHEN k = 1 THEN run_id END IGNORE NULLS) OVER (
+        PARTITION BY u ORDER BY ts, run_id, k, name ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS producer FROM e)
+SELECT run_id AS consumer_run, name AS input_name, u AS url, producer AS producer_run,
+       CASE WHEN producer IS NOT NULL THEN 'out' END AS output_name FROM o WHERE k = 0""")
+def ledger_producers(spark, sf_dir):
+    """Producers of paths that many runs write and read."""
+    return lg.dependencies(v.shared_runs(spark, sf_dir))
+
+
 @query("run_summary", f"""{_E},
 t AS (SELECT run_id, direction,
              string_agg('- ' || name || ' : ' || url, chr(10) ORDER BY name) AS txt,

@@ -231,6 +231,30 @@ RUNS_SQL = """
     FROM orders
 """
 
+def shared_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs over fixed paths, one per event: each reads two and writes one of 21 paths, a third of
+    them ``/custom/0``."""
+    e = table(spark, sf_dir, "events")
+    path = lambda k, n: F.concat(F.lit("/custom/"), F.when(k % 3 == 0, F.lit(0)).otherwise(n % 20 + 1).cast("string"))
+    return e.select(
+        F.concat(F.lit("run-"), F.lpad(F.col("event_id").cast("string"), 12, "0")).alias("run_id"),
+        F.col("ts").alias("start_time"),
+        F.create_map(F.lit("in"), path(F.col("event_id"), F.col("user_id")),
+                     F.lit("also"), path(F.col("event_id") + 1, F.col("event_id"))).alias("inputs"),
+        F.create_map(F.lit("out"), path(F.col("event_id") + 2, F.col("user_id"))).alias("outputs"))
+
+
+def _path_sql(k, n):
+    return f"'/custom/' || CAST(CASE WHEN {k} % 3 = 0 THEN 0 ELSE {n} % 20 + 1 END AS VARCHAR)"
+
+
+SHARED_RUNS_SQL = f"""
+    SELECT 'run-' || lpad(CAST(event_id AS VARCHAR), 12, '0') AS run_id, ts,
+           {_path_sql('event_id', 'user_id')} AS read, {_path_sql('(event_id + 1)', 'event_id')} AS read2,
+           {_path_sql('(event_id + 2)', 'user_id')} AS written
+    FROM events
+"""
+
 # (run_id, direction, name, url) of every run entity, as plain rows.
 RUN_ENTITIES_SQL = """
     SELECT DISTINCT 'run-' || lpad(CAST(l_orderkey AS VARCHAR), 19, '0') AS run_id,

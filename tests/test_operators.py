@@ -13,6 +13,7 @@ from runvault.functions import names as nm
 from runvault.operators import artifacts as ar
 from runvault.operators import cells as ce
 from runvault.operators import diff as df_
+from runvault.operators import ordered_diff as od
 from runvault.operators import entities as en
 from runvault.operators import ledger as lg
 from runvault.operators import params as pa
@@ -176,9 +177,9 @@ def test_line_diffs(spark):
                               "pair long, side string, text string")
     r = df_.line_multiset_diff(t, drop_last=True).first()
     assert (r.lines_added, r.lines_removed, r.lines_kept) == (2, 1, 2)
-    u = df_.unified_line_diff(t, drop_last=True).first()
+    u = od.unified_text(od.ordered_line_diff(t, drop_last=True)).first()
     assert (u.n_added, u.n_removed) == (2, 1)
-    assert "+x" in u.diff and "-c" in u.diff and "trailer" not in u.diff
+    assert u.diff == "@@ -2 +2 @@\n b\n-c\n+b\n+x"
 
 
 def test_line_diff_keeps_every_pair_and_line(spark):
