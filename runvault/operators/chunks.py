@@ -13,12 +13,12 @@ least part 0.
 Scale notes
 -----------
 * Chunking is a narrow ``explode`` inside one stage; it never shuffles.
-* Chunks are at most ``row_size`` bytes, so a round-robin repartition of the
-  chunk rows gives near-equal partitions regardless of file-size skew.
+* Chunks are at most ``row_size`` bytes, so byte ranges of an archive are
+  near-equal partitions regardless of file-size skew.
 * :func:`restore_files` gathers one file's chunks into one group.  It is meant
-  for files that fit in a task (the binary column tops out near 2 GB); files
-  beyond ``max_file_bytes`` are left to :func:`runvault.sinks.files.write_files`
-  which streams the ordered chunks to storage without building the file.
+  for files that fit in a task: its hex string ends at 1 GiB, and a larger file
+  is an error that says so.  :func:`runvault.sinks.archive.write_files` restores files
+  of any size without building them.
 * :func:`chunk_digests` never builds a file: it hashes chunks in parallel and
   combines them with a per-file hash list (32 bytes per chunk).
 """
@@ -32,6 +32,10 @@ from pyspark.sql import types as T
 # Fixed defaults (settable per call): max chunk bytes and Parquet block size.
 DEFAULT_ROW_SIZE = 1024 * 1024
 DEFAULT_BLOCK_SIZE = 10 * 1024 * 1024
+# Bytes of a partition of a large archive, apart from the row groups in it.
+DEFAULT_PARTITION_SIZE = 256 * 1024 * 1024
+# Largest file that is put together in memory: its hex string must fit in 2 GiB.
+MAX_RESTORED = (1 << 30) - 64
 # Parallelism floor used when sizing an archive: partitions >= 3 x cores.
 PARTITIONS_PER_CORE = 3
 DEFAULT_CORES = 5
@@ -140,7 +144,9 @@ def restore_files(chunks: DataFrame) -> DataFrame:
               F.sum(F.col("length").cast("long")).alias("length"),
               F.count(F.lit(1)).alias("n_chunks"),
               F.max("modification_time").alias("modification_time")))
-    content = F.unhex(F.array_join(F.transform("parts", lambda p: F.hex(p["content"])), ""))
+    content = F.when(F.col("length") <= MAX_RESTORED, F.unhex(F.array_join(
+        F.transform("parts", lambda p: F.hex(p["content"])), ""))).otherwise(F.raise_error(F.concat(
+            "rel_path", F.lit(" is too large to restore in memory: write it with write_files"))))
     return g.select("rel_path", "length", F.col("n_chunks").cast("int").alias("n_chunks"),
                     "modification_time", content.alias("content"))
 

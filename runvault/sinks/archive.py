@@ -1,11 +1,13 @@
 """Pack folders into chunked Parquet archives and restore them.
 
-pack:    listing -> sizing -> chunk plan -> round-robin -> range reads -> Parquet
-unpack:  Parquet -> (rel_path hash partitions, sorted by part) -> ordered
-         appends into the destination, one writer per file
-
-Every step runs on executors; the driver sees one sizing row.  Files of any
-size are supported: no file is ever held whole in memory.
+pack:    listing -> byte offset of every file in path order -> chunk plan dealt by
+         byte ranges -> range reads -> Parquet
+unpack:  Parquet -> every task writes its chunks at their offsets -> one commit
+
+Files next to each other stay together, so a folder is a run of row groups, and a
+filter on ``rel_path`` reads only those.  Every step runs on executors; the driver
+sees one sizing row and what the writers report.  Files of any size are
+supported: no file is ever held whole in memory.
 """
 
 from __future__ import annotations
@@ -15,42 +17,58 @@ import posixpath
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runvault.operators.chunks import (CHUNK_SCHEMA, DEFAULT_BLOCK_SIZE, DEFAULT_ROW_SIZE,
-                                       archive_sizing, chunk_plan)
+from runvault.operators.chunks import (CHUNK_SCHEMA, DEFAULT_BLOCK_SIZE, DEFAULT_PARTITION_SIZE,
+                                       DEFAULT_ROW_SIZE, PARTITIONS_PER_CORE, check_chunks, chunk_plan)
+from runvault.operators.ranges import prefix_sum
+from runvault.sinks.files import restore_at_offsets, safe_rel
 from runvault.sources.files import list_files, read_ranges
 
 
+def partition_size(total_bytes: int, block_size: int = DEFAULT_BLOCK_SIZE, cores: int = 1,
+                   most: int = DEFAULT_PARTITION_SIZE) -> int:
+    """Bytes of a partition: ``most`` for large archives; small ones get
+    ``PARTITIONS_PER_CORE`` partitions a core, but none below a row group."""
+    return max(1, min(most, max(block_size, -(-total_bytes // (PARTITIONS_PER_CORE * cores)))))
+
+
 def pack_frame(spark: SparkSession, src_root: str, row_size: int = DEFAULT_ROW_SIZE,
                block_size: int = DEFAULT_BLOCK_SIZE, cores: int | None = None,
-               files: DataFrame | None = None) -> DataFrame:
-    """Chunk rows of every file under ``src_root``, repartitioned for writing.
+               files: DataFrame | None = None, most: int = DEFAULT_PARTITION_SIZE) -> DataFrame:
+    """Chunk rows of every file under ``src_root``, in path order and dealt by byte ranges.
 
-    The partition count follows the archive size (``archive_sizing``): one
-    aggregate row reaches the driver.
+    Running sums over the file lengths give every chunk its offset in the whole
+    archive; a partition is a range of ``partition_size`` bytes of it.  Only plan rows are
+    shuffled, contents are read where they are written.
     """
     if files is None:
         files = list_files(spark, src_root)
     cores = cores or max(1, spark.sparkContext.defaultParallelism)
-    n = archive_sizing(files, block_size, cores).first()["n_partitions"]
-    plan = chunk_plan(files, row_size).repartition(int(n))
+    taken = F.col("length").cast("long") + 1  # empty files take a place, too
+    placed = prefix_sum(files, [F.asc("rel_path")], taken, "start")
+    total = placed.agg(F.coalesce(F.max(F.col("start") + taken), F.lit(0))).first()[0]
+    size = partition_size(total, block_size, cores, most)
+    slot = F.expr(f"cast((start + offset) div {size} as int)")
+    plan = (chunk_plan(placed, row_size).withColumn("slot", slot)
+            .repartitionById(max(1, -(-total // size)), "slot").sortWithinPartitions("rel_path", "part"))
     return read_ranges(plan, src_root)
 
 
+def _write(chunks: DataFrame, store_path: str, row_size: int, block_size: int, mode: str) -> None:
+    # the writer looks at a row group's size after so many rows: two rows of the largest kind a look
+    look = max(1, min(100, block_size // (2 * row_size)))
+    (chunks.write.option("parquet.block.size", int(block_size))
+     .option("parquet.page.size.row.check.min", look).mode(mode).parquet(store_path))
+
+
 def pack(spark: SparkSession, src_root: str, store_path: str,
          row_size: int = DEFAULT_ROW_SIZE, block_size: int = DEFAULT_BLOCK_SIZE,
-         cores: int | None = None, mode: str = "errorifexists") -> None:
-    """Archive ``src_root`` into Parquet at ``store_path`` (row groups of ``block_size``).
+         cores: int | None = None, mode: str = "errorifexists", most: int = DEFAULT_PARTITION_SIZE) -> None:
+    """Archive ``src_root`` into Parquet at ``store_path`` (row groups of ``block_size`` in
+    files of up to ``most`` bytes).
 
     The default mode refuses to overwrite: published versions are immutable.
-    The listing is kept for the sizing pass and the write, then released.
     """
-    files = list_files(spark, src_root).persist()
-    try:
-        chunks = pack_frame(spark, src_root, row_size, block_size, cores, files=files)
-        (chunks.write.option("parquet.block.size", int(block_size)).mode(mode)
-         .parquet(store_path))
-    finally:
-        files.unpersist()
+    _write(pack_frame(spark, src_root, row_size, block_size, cores, most=most), store_path, row_size, block_size, mode)
 
 
 def read_archive(spark: SparkSession, store_path: str) -> DataFrame:
@@ -58,20 +76,26 @@ def read_archive(spark: SparkSession, store_path: str) -> DataFrame:
     return spark.read.schema(CHUNK_SCHEMA).parquet(store_path)
 
 
-def _safe_rel(rel: str) -> str:
-    """Relative path without leading ``/``; rejects ``..`` and empty parts."""
-    r = rel.strip("/")
-    parts = r.split("/")
-    if not r or any(p in ("", ".", "..") for p in parts):
-        raise ValueError(f"unsafe path in archive: {rel!r}")
-    return r
-
-
 def write_files(chunks: DataFrame, dest_root: str, n_partitions: int | None = None) -> None:
     """Write chunk rows back as files under ``dest_root``.
 
-    Chunks are hash-partitioned by file and sorted by part, so each file is
-    written by one task as a stream of ordered appends.  On file systems
+    A folder that all executors mount (a plain path or ``file:``) gets the chunks at
+    their offsets, without a shuffle and all or nothing (``sinks.files``).  Other stores
+    take no writes at an offset, and chunks without ``offset`` have none; there every
+    file is streamed by one task (``stream_files``, in ``n_partitions`` tasks).
+    """
+    from pyarrow import fs as pafs
+    fs, base = pafs.FileSystem.from_uri(dest_root.rstrip("/"))
+    if fs.type_name == "local" and "offset" in chunks.columns:
+        restore_at_offsets(chunks, base)
+    else:
+        stream_files(chunks, dest_root, n_partitions)
+
+
+def stream_files(chunks: DataFrame, dest_root: str, n_partitions: int | None = None) -> None:
+    """Write chunk rows back as files, each by one task as a stream of ordered appends.
+
+    Chunks are hash-partitioned by file and sorted by part.  On file systems
     with atomic rename a file is written under a hidden attempt-specific name
     and renamed when complete, so a lost task never leaves a partial file
     under the real name; a retried task rewrites its files from the start.
@@ -108,7 +132,7 @@ def write_files(chunks: DataFrame, dest_root: str, n_partitions: int | None = No
                 if r.rel_path != cur:
                     close()
                     cur = r.rel_path
-                    target = posixpath.join(base, _safe_rel(cur))
+                    target = posixpath.join(base, safe_rel(cur))
                     parent, name = posixpath.split(target)
                     fs.create_dir(parent, recursive=True)
                     tmp = (posixpath.join(parent, f".{name}.inprogress-{attempt}") if via_tmp
@@ -133,9 +157,19 @@ def write_files(chunks: DataFrame, dest_root: str, n_partitions: int | None = No
     ordered.foreachPartition(writer)
 
 
+def checked(chunks: DataFrame) -> DataFrame:
+    """``chunks``, or an error that names files whose parts are not all there exactly once.
+
+    Only the columns beside the contents are read."""
+    bad = check_chunks(chunks).orderBy("rel_path").take(20)
+    if bad:
+        raise IOError("; ".join(f"{r.rel_path}: {r.problem}" for r in bad))
+    return chunks
+
+
 def unpack(spark: SparkSession, store_path: str, dest_root: str) -> None:
     """Restore every file of the archive at ``store_path`` under ``dest_root``."""
-    write_files(read_archive(spark, store_path), dest_root)
+    write_files(checked(read_archive(spark, store_path)), dest_root)
 
 
 def archive_files(spark: SparkSession, store_path: str) -> DataFrame:
@@ -163,13 +197,8 @@ def pack_selected(spark: SparkSession, folder: str, globs: list[str] | str, stor
     """
     from runvault.sources.files import select_files
     globs = [globs] if isinstance(globs, str) else list(globs)
-    files = select_files(spark, folder, globs).persist()
-    try:
-        chunks = pack_frame(spark, folder, row_size, block_size, files=files)
-        (chunks.write.option("parquet.block.size", int(block_size)).mode(mode)
-         .parquet(store_path))
-    finally:
-        files.unpersist()
+    chunks = pack_frame(spark, folder, row_size, block_size, files=select_files(spark, folder, globs))
+    _write(chunks, store_path, row_size, block_size, mode)
 
 
 def unpack_selected(spark: SparkSession, store_path: str, dest_root: str,
@@ -182,4 +211,4 @@ def unpack_selected(spark: SparkSession, store_path: str, dest_root: str,
     chunks = read_archive(spark, store_path).filter(_name_matches("rel_path", globs))
     if chunks.select("rel_path").isEmpty():
         raise FileNotFoundError(f"no archived file matches {globs}")
-    write_files(chunks, dest_root)
+    write_files(checked(chunks), dest_root)
