@@ -11,14 +11,18 @@ numbers without trailing zeros.
 Everything is keyed by (conversation, call id), never by conversation alone,
 so a conversation with a third of all rows is spread like any other.
 
-Rules for odd input: several results of one id count, the first by turn and
-text is linked; several calls with one id stay rows, and as a parent the one
-with the smallest parent id stands for them; a result without a call gives a
-row of kind ``orphan``.  A parent that does not exist makes a root with the
-error ``unknown parent``; calls on or below a cycle have a null depth and the
-error ``cycle``.  Null ids link to nothing.  Null, malformed or non-object
-arguments give one error and null canonical JSON (repeated keys count as
-malformed).
+Rules for odd input: every result comes back once.  The first by turn and text
+(nulls first) of a call's results is linked in its message; each further one is a row of
+kind ``result``, each result without a call a row of kind ``orphan``, both with their
+text.  Several calls with one id stay rows, each with the depth and errors of its own
+parent; where others follow that id, the one with the smallest known parent
+stands for it.  A parent that does not exist makes a root with the error
+``unknown parent``; calls on or below a cycle have a null depth and the error
+``cycle``.  Null ids link to nothing.  Null, malformed or non-object arguments give
+one error and null canonical JSON (repeated keys count as malformed).  Texts of any
+length stay whole, empty tables give no rows, extra columns are not read.  In a
+transcript, turns without a role count as results; a turn that opens a
+conversation answers nothing.
 """
 
 from __future__ import annotations
@@ -73,60 +77,73 @@ def validated(calls: DataFrame, schemas: dict[str, dict[str, dict]]) -> DataFram
 
 
 def depths(calls: DataFrame) -> DataFrame:
-    """(conv_id, call_id, depth, parent_known) for the distinct non-null ids of ``calls``.
+    """(conv_id, call_id, depth) for the distinct non-null ids of ``calls``; null below a cycle.
 
     Every node points at an ancestor with its distance to it; each round a node takes over its
     target's pointer.  Roots end the walk.  After log2(calls) + 1 rounds only nodes that lead
     into a cycle still point at anything.
     """
-    ids = calls.filter(F.col("conv_id").isNotNull() & F.col("call_id").isNotNull())
-    nodes = cut(ids.groupBy(*ID).agg(F.min("parent_id").alias("parent_id")))
-    known = nodes.select("conv_id", F.col("call_id").alias("parent_id"), F.lit(True).alias("parent_known"))
-    state = cut(nodes.join(known, ["conv_id", "parent_id"], "left").select(
-        *ID, F.when(F.col("parent_known"), F.col("parent_id")).alias("to"),
-        F.when(F.col("parent_known"), 1).otherwise(0).cast("long").alias("far"),
-        (F.col("parent_known").isNotNull() | F.col("parent_id").isNull()).alias("parent_known")))
+    named = calls.filter(F.col("conv_id").isNotNull() & F.col("call_id").isNotNull())
+    ids = cut(named.groupBy(*ID).agg(F.lit(1).alias("_one")).drop("_one"))
+    parents = ids.select("conv_id", F.col("call_id").alias("parent_id"))
+    links = named.join(parents, ["conv_id", "parent_id"], "left_semi").groupBy(*ID).agg(F.min("parent_id").alias("to"))
+    state = cut(ids.join(links, ID, "left").select(*ID, "to", F.when(F.col("to").isNull(), 0).otherwise(1).cast("long").alias("far")))
     n = state.count()
     for _ in range(max(n, 1).bit_length() + 1):
         if state.filter("to is not null").isEmpty():
             break
         step = state.select("conv_id", F.col("call_id").alias("to"), F.col("to").alias("to2"), F.col("far").alias("far2"))
         state = cut(state.join(step, ["conv_id", "to"], "left").select(
-            *ID, F.col("to2").alias("to"), (F.col("far") + F.coalesce("far2", F.lit(0))).alias("far"), "parent_known"))
-    return state.select(*ID, F.when(F.col("to").isNull(), F.col("far")).alias("depth"), "parent_known")
+            *ID, F.col("to2").alias("to"), (F.col("far") + F.coalesce("far2", F.lit(0))).alias("far")))
+    return state.select(*ID, F.when(F.col("to").isNull(), F.col("far")).alias("depth"))
+
+
+def _quoted(name: str) -> Column:
+    """A column as a JSON string, or null."""
+    return F.coalesce(F.expr(f"substring(to_json(to_variant_object(array({name}))), 2, "
+                             f"length(to_json(to_variant_object(array({name})))) - 2)"), F.lit("null"))
 
 
 def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict[str, dict]]) -> DataFrame:
-    """One row for each call, and one for each result id without a call.
+    """One row for each call, and one for each result that no call's message holds.
 
     ``calls``: conv_id, call_id, turn, name, arguments (JSON text), parent_id; ``results``:
-    conv_id, call_id, turn, content.  Columns: conv_id, call_id, kind (call or orphan), depth,
-    turn, name, valid, errors, n_results, message (canonical JSON of the linked call).
-    Sorting a conversation by (depth, turn, call_id) is a topological order.
+    conv_id, call_id, turn, content.  Columns: conv_id, call_id, kind (call, result or orphan), depth,
+    turn, name, valid, errors, n_results (of the id; 1 for null ids), message (canonical JSON of the
+    linked call, or of the result).  Sorting a conversation by (depth, turn, call_id) is a topological order.
     """
     calls = cut(pick(calls, *ID, "turn", "name", "arguments", "parent_id"))
-    first = F.min(F.struct("turn", "content"))["content"]
-    found = cut(pick(results, *ID, "turn", "content").groupBy(*ID).agg(
-        F.count("*").alias("n_results"), first.alias("content"), F.min("turn").alias("result_turn")))
-    rows = (validated(calls, schemas).join(depths(calls), ID, "left")
-            .join(found.drop("result_turn"), ID, "left"))
-    more = F.array_compact(F.array(
-        F.when(~F.col("parent_known"), F.lit("parent_id: unknown parent")),
-        F.when(F.col("parent_known").isNotNull() & F.col("depth").isNull(), F.lit("parent_id: cycle"))))
-    errors = F.concat(F.col("errors"), more)
-    quoted = lambda c: F.coalesce(F.expr(f"substring(to_json(to_variant_object(array({c}))), 2, length(to_json(to_variant_object(array({c})))) - 2)"), F.lit("null"))
+    named = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
+    texts = cut(pick(results, *ID, "turn", "content").groupBy(*ID, "turn", "content").agg(F.count("*").alias("copies")))
+    found = cut(texts.filter(named).groupBy(*ID).agg(
+        F.sum("copies").alias("n_results"), F.min(F.struct("turn", "content")).alias("first")))
+    known = depths(calls)
+    parents = known.select("conv_id", F.col("call_id").alias("parent_id"), F.col("depth").alias("above"), F.lit(True).alias("has_parent"))
+    rows = (validated(calls, schemas).join(parents, ["conv_id", "parent_id"], "left").join(found, ID, "left")
+            .withColumn("depth", F.when(named, F.when(F.col("has_parent"), F.col("above") + 1).otherwise(0)).cast("long")))
+    more = F.when(named, F.array_compact(F.array(
+        F.when(F.col("parent_id").isNotNull() & F.col("has_parent").isNull(), F.lit("parent_id: unknown parent")),
+        F.when(F.col("depth").isNull(), F.lit("parent_id: cycle"))))).otherwise(F.array().cast("array<string>"))
+    rows = rows.withColumn("errors", F.concat("errors", more)).withColumn("content", F.col("first.content"))
     message = F.concat(F.lit('{"arguments":'), F.coalesce("canonical", F.lit("null")), F.lit(',"depth":'),
-                       F.coalesce(F.col("depth").cast("string"), F.lit("null")), F.lit(',"id":'), quoted("call_id"),
-                       F.lit(',"name":'), quoted("name"), F.lit(',"parent":'), quoted("parent_id"),
-                       F.lit(',"result":'), quoted("content"), F.lit("}"))
-    linked = rows.withColumn("errors", errors).select(
+                       F.coalesce(F.col("depth").cast("string"), F.lit("null")), F.lit(',"id":'), _quoted("call_id"),
+                       F.lit(',"name":'), _quoted("name"), F.lit(',"parent":'), _quoted("parent_id"),
+                       F.lit(',"result":'), _quoted("content"), F.lit("}"))
+    linked = rows.select(
         *ID, F.lit("call").alias("kind"), "depth", "turn", "name", (F.size("errors") == 0).alias("valid"), "errors",
         F.coalesce("n_results", F.lit(0)).alias("n_results"), message.alias("message"))
-    lost = found.join(calls.select(*ID).distinct(), ID, "left_anti").select(
-        *ID, F.lit("orphan").alias("kind"), F.lit(None).cast("long").alias("depth"), F.col("result_turn").alias("turn"),
+    ids = known.select(*ID, F.lit(True).alias("called"))
+    same = F.col("turn").eqNullSafe(F.col("first.turn")) & F.col("content").eqNullSafe(F.col("first.content"))
+    of_ids = texts.filter(named).join(found, ID).join(ids, ID, "left").withColumn(
+        "copies", F.col("copies") - F.when(F.col("called") & same, 1).otherwise(0)).drop("first")
+    of_none = texts.filter(~named).withColumn("n_results", F.lit(1).cast("long")).withColumn("called", F.lit(None).cast("boolean"))
+    rest = of_ids.unionByName(of_none).filter("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    further = rest.select(
+        *ID, F.when(F.col("called"), "result").otherwise("orphan").alias("kind"), F.lit(None).cast("long").alias("depth"), "turn",
         F.lit(None).cast("string").alias("name"), F.lit(False).alias("valid"),
-        F.array(F.lit("call_id: no call")).alias("errors"), "n_results", F.lit(None).cast("string").alias("message"))
-    return linked.union(lost)
+        F.array(F.when(F.col("called"), "call_id: repeated result").otherwise("call_id: no call")).alias("errors"), "n_results",
+        F.concat(F.lit('{"id":'), _quoted("call_id"), F.lit(',"result":'), _quoted("content"), F.lit("}")).alias("message"))
+    return linked.union(further)
 
 
 # -- calls and results in the conversations table -----------------------------------
@@ -156,7 +173,7 @@ def transcript(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     calls = rows.filter("role = 'assistant'").select("conv_id", at(0).alias("call_id"), "turn", name.alias("name"),
                                                      arguments.alias("arguments"),
                                                      F.when(F.col("turn") >= 2, at(2)).alias("parent_id"))
-    results = rows.filter("role <> 'assistant' and turn > 0").select(
+    results = rows.filter("not (role <=> 'assistant') and turn > 0").select(
         "conv_id", at(1).alias("call_id"), "turn", F.col("text").alias("content"))
     return calls, results
 
@@ -169,8 +186,10 @@ c AS (SELECT conv_id, 'c' || turn AS call_id, turn, CASE turn % 4 WHEN 1 THEN 's
     WHEN 3 THEN '{"kind":"todo","text":' || to_json(t) || ',"weight":1}'
     ELSE '{"again":"no","path":' || to_json(t) || ',"to":1}' END AS canonical
   FROM m WHERE role = 'assistant'),
-r AS (SELECT conv_id, 'c' || (turn - 1) AS call_id, count(*) AS n_results, arg_min(text, (turn, text)) AS content, min(turn) AS turn
-  FROM m WHERE role <> 'assistant' AND turn > 0 GROUP BY ALL),
+res AS (SELECT conv_id, 'c' || (turn - 1) AS call_id, turn, text AS content FROM m
+  WHERE role IS DISTINCT FROM 'assistant' AND turn > 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY conv_id, call_id ORDER BY turn NULLS FIRST, content NULLS FIRST) AS n,
+  count(*) OVER (PARTITION BY conv_id, call_id) AS n_results FROM res),
 ids AS (SELECT conv_id, call_id, min(parent_id) AS parent_id FROM c GROUP BY ALL),
 link AS (SELECT i.*, p.call_id IS NOT NULL AS known FROM ids i LEFT JOIN ids p ON p.conv_id = i.conv_id AND p.call_id = i.parent_id),
 d AS (SELECT conv_id, call_id, 0::BIGINT AS depth FROM link WHERE NOT known UNION ALL
@@ -183,9 +202,11 @@ e AS (SELECT c.*, d.depth, list_concat(
 SELECT e.conv_id, e.call_id, 'call' AS kind, depth, e.turn, name, len(errors) = 0 AS valid, errors, coalesce(n_results, 0) AS n_results,
   '{"arguments":' || canonical || ',"depth":' || depth || ',"id":"' || e.call_id || '","name":"' || name || '","parent":' ||
   coalesce('"' || e.parent_id || '"', 'null') || ',"result":' || coalesce(to_json(content)::VARCHAR, 'null') || '}' AS message
-FROM e LEFT JOIN r USING (conv_id, call_id)
-UNION ALL SELECT conv_id, call_id, 'orphan', NULL, turn, NULL, false, ['call_id: no call'], n_results, NULL FROM r
-WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.conv_id = r.conv_id AND c.call_id = r.call_id)
+FROM e LEFT JOIN r ON r.conv_id = e.conv_id AND r.call_id = e.call_id AND r.n = 1
+UNION ALL SELECT r.conv_id, r.call_id, CASE WHEN i.call_id IS NULL THEN 'orphan' ELSE 'result' END, NULL, turn, NULL, false,
+  [CASE WHEN i.call_id IS NULL THEN 'call_id: no call' ELSE 'call_id: repeated result' END], n_results,
+  '{"id":"' || r.call_id || '","result":' || coalesce(to_json(content)::VARCHAR, 'null') || '}'
+FROM r LEFT JOIN ids i ON i.conv_id = r.conv_id AND i.call_id = r.call_id WHERE i.call_id IS NULL OR n > 1
 """
 
 

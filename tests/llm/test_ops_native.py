@@ -163,25 +163,59 @@ def test_card_numbers_pass_luhn_or_stay(spark):
 
 # -- mixing ---------------------------------------------------------------------
 def test_poisson_counts(spark):
-    rates = [0.0, 0.1, 1.5, 40.0, 900.0]
+    rates = [0.0, 0.1, 1.5, 40.0, 900.0, 3e5]
     df = spark.createDataFrame([(r, i) for r in rates for i in range(3000)], "rate double, doc_id long")
-    df = df.withColumn("n", F.when(F.col("rate") > 0, mixing.copies("doc_id", mixing.poisson_cdf(F.col("rate")))).otherwise(0))
+    df = df.withColumn("n", mixing.copies("doc_id", F.col("rate")))
     for r in df.groupBy("rate").agg(F.avg("n").alias("m"), F.var_samp("n").alias("v")).collect():
         assert r.m == pytest.approx(r.rate, abs=5 * math.sqrt(r.rate / 3000) + 1e-9)
         assert r.v == pytest.approx(r.rate, rel=0.2, abs=1e-9)
 
 
+def test_poisson_inverse_is_exact(spark):
+    """Against cumulative sums of the terms in exact decimal arithmetic."""
+    from decimal import Decimal, getcontext
+    getcontext().prec = 60
+    rows = [(rate, u) for rate in (0.03, 1.0, 7.25, 180.0, 400.0, 5000.0) for u in (0.0, 1e-9, 0.0123, 0.5, 0.77, 0.999999, 1 - 2**-52)]
+    got = spark.createDataFrame(rows, "rate double, u double").withColumn("k", mixing.poisson_inverse(F.col("rate"), F.col("u"))).collect()
+    for r in got:
+        rate, k = Decimal(r.rate), 0
+        term = total = (-rate).exp()
+        while total < Decimal(r.u) and k < 10**5:
+            k += 1
+            term = term * rate / k
+            total += term
+        if 0 < r.u < 0.99999999:
+            assert r.k == k
+        elif r.u == 0:  # the lower end of the bracket
+            assert r.k <= max(0, r.rate - 12 * math.sqrt(r.rate) - 40)
+        else:  # the upper end, where a double cannot tell neighbours apart
+            assert abs(r.k - k) <= max(3, 4 * math.sqrt(r.rate))
+
+
 def test_mix_odd_rows(spark):
-    rows = [(i, "a" * 100, "big", "old") for i in range(300)] + [(None, "b" * 100, None, "old")] * 3 + [(900, None, "empty", "old"), (901, "", "empty", "old")]
+    rows = [(i, "a" * 100, "big", "old") for i in range(300)] + [(None, "b" * 100, None, "old")] * 3
+    rows += [(900 + i, None if i % 2 else "", "empty", "old") for i in range(300)] + [(900, "", "empty", "old")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, copy string")
     out = mixing.mix(df, {"big": 1.0})
     assert out.columns == ["doc_id", "text", "source", "copy", "shuffle_key"]
     got = out.collect()
     assert [r.shuffle_key for r in got] == sorted(r.shuffle_key for r in got)
-    assert {r.source for r in got} == {"big", "empty"} and 200 < len(got) < 420
+    assert {r.source for r in got} == {"big", "empty"} and 200 < sum(r.source == "big" for r in got) < 420
+    # a source without text: every document stays exactly once
+    assert sorted(r.doc_id for r in got if r.source == "empty") == sorted([900 + i for i in range(300)] + [900])
+    assert all(r.copy == 1 for r in got if r.source == "empty")
     assert mixing.mix(df.filter("1 = 0")).collect() == []
 
 
+def test_mix_of_a_tiny_source_has_the_right_count(spark):
+    """One character beside 2 MB: a rate of a million copies, spread over tasks."""
+    df = spark.createDataFrame([(1, "x", "tiny"), (2, "y" * 2_000_000, "large")], "doc_id long, text string, source string")
+    n = dict(mixing.mix(df).select("source", "copy").groupBy("source").agg(F.count_distinct("copy")).collect())
+    assert abs(n["tiny"] - 1_000_000) < 6 * 1000
+    long = spark.createDataFrame([(5, "z" * 100_000, "s")] * 2, "doc_id long, text string, source string")
+    assert {r.text for r in mixing.mix(long, total=10**6).collect()} == {"z" * 100_000}  # whole texts, equal counts
+
+
 # -- tool calls -----------------------------------------------------------------
 def test_links(spark):
     calls = [(1, "a", 1, "note", '{"text":"x","weight":1.50}', None), (1, "b", 3, "note", '{"text":5}', "a"), (1, "c", 5, "none", "{}", "b"),
@@ -192,8 +226,12 @@ def test_links(spark):
     c = spark.createDataFrame([(*x, "n") for x in calls], "conv_id long, call_id string, turn long, name string, arguments string, parent_id string, depth string")
     r = spark.createDataFrame(results, "conv_id long, call_id string, turn long, content string")
     out = toolcalls.link_tool_calls(c, r, toolcalls.SCHEMAS).collect()
-    assert len(out) == len(calls) + 1
-    by = {(x.conv_id, x.call_id): x for x in out}
+    assert len(out) == len(calls) + 2
+    by = {(x.conv_id, x.call_id): x for x in out if x.kind != "result"}
+    again, = (x for x in out if x.kind == "result")
+    assert (again.call_id, again.turn, again.n_results, again.valid) == ("a", 4, 2, False)
+    assert again.errors == ["call_id: repeated result"] and again.message == '{"id":"a","result":"two"}'
+    assert by[1, "lost"].message == '{"id":"lost","result":null}'
     assert [by[2, f"k{i}"].depth for i in range(40)] == list(range(40))
     assert by[1, "a"].valid and by[1, "a"].n_results == 2 and '"result":"one"' in by[1, "a"].message
     assert by[1, "a"].message.startswith('{"arguments":{"text":"x","weight":1.5},"depth":0,"id":"a"')
@@ -205,6 +243,45 @@ def test_links(spark):
     assert toolcalls.link_tool_calls(c.filter("1 = 0"), r.filter("1 = 0"), toolcalls.SCHEMAS).collect() == []
 
 
+def test_every_result_comes_back_once(spark):
+    calls = [(1, "a", 1, "note", '{"text":"x"}', None)] * 2
+    results = [(1, "a", 2, "one")] * 3 + [(1, "a", None, None), (1, "z", 5, "p"), (1, "z", 5, "p"), (1, "z", 6, "q"), (None, "a", 1, "n"),
+               (1, None, 1, "m"), (1, None, 1, "m")]
+    c = spark.createDataFrame(calls, "conv_id long, call_id string, turn long, name string, arguments string, parent_id string")
+    r = spark.createDataFrame(results, "conv_id long, call_id string, turn long, content string")
+    out = toolcalls.link_tool_calls(c, r, toolcalls.SCHEMAS).collect()
+    kinds = {k: sorted(((x.call_id, x.turn, x.n_results, x.message) for x in out if x.kind == k), key=repr) for k in ("call", "result", "orphan")}
+    assert [x[2] for x in kinds["call"]] == [4, 4] and all('"result":null' in x[3] for x in kinds["call"])  # null turns come first
+    assert [x[1:3] for x in kinds["result"]] == [(2, 4)] * 3
+    assert kinds["orphan"] == sorted([("z", 5, 3, '{"id":"z","result":"p"}')] * 2 + [("z", 6, 3, '{"id":"z","result":"q"}'),
+                                     ("a", 1, 1, '{"id":"a","result":"n"}')] + [(None, 1, 1, '{"id":null,"result":"m"}')] * 2, key=repr)
+    assert {x.errors[0] for x in out if x.kind == "orphan"} == {"call_id: no call"}
+
+
+def test_each_call_row_follows_its_own_parent(spark):
+    calls = [(1, "r", 0, None), (1, "a", 1, "r"), (1, "x", 2, "a"), (1, "x", 3, "gone"), (1, "x", 4, "loop1"), (1, "x", 5, None),
+             (1, "loop1", 6, "loop2"), (1, "loop2", 7, "loop1"), (1, "y", 8, "x")]
+    c = spark.createDataFrame([(v, i, t, "note", '{"text":"x"}', p) for v, i, t, p in calls],
+                              "conv_id long, call_id string, turn long, name string, arguments string, parent_id string")
+    r = spark.createDataFrame([], "conv_id long, call_id string, turn long, content string")
+    got = {x.turn: (x.depth, x.errors) for x in toolcalls.link_tool_calls(c, r, toolcalls.SCHEMAS).collect()}
+    cycle = ["parent_id: cycle"]
+    assert got == {0: (0, []), 1: (1, []), 2: (2, []), 3: (0, ["parent_id: unknown parent"]), 4: (None, cycle), 5: (0, []),
+                   6: (None, cycle), 7: (None, cycle), 8: (3, [])}
+
+
+def test_turns_without_role_are_results(spark):
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "call"), (1, 2, None, "answer"), (1, 3, "assistant", "long " * 50_000), (2, 0, None, None)]
+    talk = spark.createDataFrame([(*x, "extra") for x in rows], "conv_id long, turn long, role string, text string, Role string")
+    calls, results = toolcalls.transcript(talk)
+    assert calls.count() == 2 and [tuple(r) for r in results.collect()] == [(1, "c1", 2, "answer")]
+    out = toolcalls.link_tool_calls(calls, results, toolcalls.SCHEMAS).collect()
+    assert '"result":"answer"' in next(x.message for x in out if x.turn == 1)
+    assert len(next(x.message for x in out if x.turn == 3)) > 250_000
+    calls, results = toolcalls.transcript(talk.filter("1 = 0"))
+    assert toolcalls.link_tool_calls(calls, results, toolcalls.SCHEMAS).collect() == []
+
+
 # -- pipeline -------------------------------------------------------------------
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
