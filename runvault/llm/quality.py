@@ -1,30 +1,26 @@
 """Quality rules with risk-controlled thresholds.
 
 Each rule compares two counts of a text with a cutoff from a fixed grid that
-runs from lenient to strict.  On labelled documents of good quality (all
-labels count, none is used to fit anything else) the false rejections of every
-cutoff are counted per stratum.  A cutoff passes if the exact binomial test
-rejects "false rejection rate above ``risk`` / rules" at level ``error`` /
-(strata * rules): the chance of as few or fewer false rejections, had the rate
-been that high, is below the level (a Clopper-Pearson bound).  Within a rule
-cutoffs are tested from lenient to strict up to the first failure, a fixed
-sequence that needs no further correction; across rules and strata the level
-is divided (Bonferroni).  So with probability 1 - ``error`` no stratum loses
-more than ``risk`` of its good documents that pass the base rule.  A stratum
-with too few labels keeps its documents.
-
-The query and its SQL work so (``thresholds``).  Dividing asks for many labels,
-so the stage that filters (``keep_good``) tests whole configurations instead:
-from all rules off, one rule after the other goes one cutoff further, and a
-text is rejected if any rule rejects it.  This one fixed sequence per stratum
-is tested with the whole ``risk`` at level ``error`` / strata up to the first
-failure, which gives the same guarantee.  With four strata and no false
-rejection 217 labels are enough, against 1,495.
+runs from lenient to strict.  Configurations of all rules form one fixed
+sequence: from all rules off, one rule after the other goes one cutoff further.  A
+text is rejected if any rule rejects it.  On labelled documents of good quality
+(all labels count, none is used to fit anything else) that pass the base rule
+the false rejections of every configuration are counted per stratum.  A configuration
+passes if the exact binomial test rejects "false rejection rate above ``risk``" at level
+``error`` / strata: the chance of as few or fewer false rejections, had the rate
+been that high, is below the level (a Clopper-Pearson bound).  Configurations are
+tested in their order up to the first failure, a fixed sequence that needs no
+further correction; across strata the level is divided (Bonferroni).  So with
+probability 1 - ``error`` no stratum loses more than ``risk`` of its good documents
+that pass the base rule.  A stratum with too few labels keeps its documents: with
+four strata and no false rejection 217 labels turn the rules on.
 
 Null texts have no words and fail the base rule.  Strata include null.
 A document is good if all its labels say so; labels without document count for
-nothing.  Repeated rows are judged alike and stay.  Repeated three-word
-windows are found by 64-bit hashes of their words.
+nothing.  Repeated rows are judged alike and stay.  Ratios equal to a cutoff
+pass.  Texts are counted whole, whatever their length.  Repeated three-word
+windows are found by 64-bit hashes of their words.  Empty tables give no rows;
+extra columns are not read, or kept as they are by ``keep_good``.
 """
 
 from __future__ import annotations
@@ -128,43 +124,25 @@ def binomial_cdf(k: Column, n: Column, p: Column) -> Column:
     return F.when(k >= n * p, F.lit(1.0)).otherwise(top * terms)
 
 
-def _held(counted: DataFrame, labels: DataFrame) -> DataFrame:
-    """The labelled good documents that pass the base rule."""
-    good = (pick(labels, "doc_id", "quality").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+def good_ids(labels: DataFrame) -> DataFrame:
+    """The doc_ids whose labels all say good."""
+    return (pick(labels, "doc_id", "quality").groupBy("doc_id").agg(F.min("quality").alias("quality"))
             .filter("quality = 1").select("doc_id"))
-    return counted.filter(~base_failed()).join(good, "doc_id", "left_semi")
-
-
-def thresholds(counted: DataFrame, labels: DataFrame, stratum: str, risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """One row per stratum with labelled good documents: (stratum, <rule>_cutoff per rule, null: rule off).
-
-    ``counted`` has doc_id, the stratum and the counts; labels (doc_id, quality)."""
-    held = _held(counted, labels)
-    lost = [F.struct(F.lit(rule[0]).alias("rule"), F.lit(j).alias("j"), F.lit(c).cast("long").alias("cutoff"),
-                     F.count_if(_rejects(rule, c)).alias("k")) for rule in RULES for j, c in enumerate(rule[4])]
-    per = cut(held.groupBy(F.col(stratum).alias("stratum")).agg(F.count("*").alias("n"), F.array(*lost).alias("lost")))
-    tests = (per.crossJoin(F.broadcast(per.agg(F.count("*").alias("strata"))))  # times one row
-             .select("stratum", "n", "strata", F.inline("lost")))
-    p, level = F.lit(risk / len(RULES)), F.lit(error / len(RULES)) / F.col("strata")
-    tests = tests.withColumn("fails", binomial_cdf(F.col("k"), F.col("n"), p) > level)
-    # of each rule the cutoffs before its first failure, ended by the strictest
-    rules = tests.groupBy("stratum", "rule").agg(
-        F.sort_array(F.collect_list(F.struct("j", "cutoff"))).alias("grid"),
-        F.coalesce(F.min(F.when(F.col("fails"), F.col("j"))), F.count("*").cast("int")).alias("first"))
-    cutoff = F.get(F.col("grid"), F.col("first") - 1)["cutoff"]
-    return cut(rules.groupBy("stratum").agg(*[
-        F.max(F.when(F.col("rule") == rule[0], cutoff)).alias(f"{rule[0]}_cutoff") for rule in RULES]))
 
 
 def configurations(counted: DataFrame, labels: DataFrame, stratum: str, risk: float = RISK,
                    error: float = ERROR) -> DataFrame:
-    """Like ``thresholds``, from whole configurations: step t moves rule t % rules to its cutoff t // rules."""
+    """One row per stratum with labelled good documents: (stratum, <rule>_cutoff per rule, null: rule off).
+
+    ``counted`` has doc_id, the stratum and the counts; labels (doc_id, quality).  Step t of the
+    sequence moves rule t % rules to its cutoff t // rules."""
     turns = len(RULES)
     first = F.least(*[F.coalesce(*[F.when(_rejects(rule, c), F.lit(j * turns + r)) for j, c in enumerate(rule[4])])
                       for r, rule in enumerate(RULES)])  # the step that rejects a text first; null: none does
     steps = [F.struct(F.lit(t).alias("t"), F.count_if(F.col("_first") <= t).alias("k"))
              for t in range(turns * len(RULES[0][4]))]
-    per = cut(_held(counted, labels).withColumn("_first", first).groupBy(F.col(stratum).alias("stratum"))
+    held = counted.filter(~base_failed()).join(good_ids(labels), "doc_id", "left_semi")
+    per = cut(held.withColumn("_first", first).groupBy(F.col(stratum).alias("stratum"))
               .agg(F.count("*").alias("n"), F.array(*steps).alias("steps")))
     tests = (per.crossJoin(F.broadcast(per.agg(F.count("*").alias("strata"))))  # times one row
              .select("stratum", "n", "strata", F.inline("steps")))
@@ -186,40 +164,45 @@ def judge(counted: DataFrame, limits: DataFrame, stratum: str) -> DataFrame:
             .select(*counted.columns, "base_failed", "kept"))
 
 
+def counted_once(rows: DataFrame, text: str) -> DataFrame:
+    """``rows`` with the counts of a text column.  They come out of a generator of one row, through
+    which the optimizer moves no filter, so later conditions do not count a text again."""
+    return rows.withColumn("_c", F.explode(F.array(text_counts(F.col(text))))).select(
+        *[c for c in rows.columns], *[f"_c.{f}" for f in FEATURES])
+
+
 def count_texts(docs: DataFrame, *keep: str) -> DataFrame:
-    return pick(docs, *keep, "text").select(*keep, text_counts(F.col("text")).alias("c")).select(
-        *keep, *[f"c.{f}" for f in FEATURES])
+    return counted_once(pick(docs, *keep, "text"), "text").drop("text")
 
 
 def quality_verdicts(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK,
                      error: float = ERROR) -> DataFrame:
     """(doc_id, stratum, counts, base_failed, kept) for every row of ``docs``; counts are made once."""
     counted = cut(count_texts(docs, "doc_id", stratum))
-    return judge(counted, thresholds(counted, labels, stratum, risk, error), stratum)
+    return judge(counted, configurations(counted, labels, stratum, risk, error), stratum)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK,
               error: float = ERROR) -> DataFrame:
     """The rows of ``docs`` that are kept, unchanged."""
-    limits = configurations(count_texts(docs, "doc_id", stratum), labels, stratum, risk, error)
+    labelled = pick(docs, "doc_id", stratum, "text").join(good_ids(labels), "doc_id", "left_semi")
+    limits = configurations(count_texts(labelled, "doc_id", stratum), labels, stratum, risk, error)
     whole = docs.toDF(*[f"_in{i}" for i in range(len(docs.columns))])
-    at = {n: F.col(f"_in{docs.columns.index(n)}") for n in ("text", stratum)}
-    counted = whole.withColumn("_c", text_counts(at["text"])).withColumn("_by", at[stratum]).select(
-        *whole.columns, "_by", *[f"_c.{f}" for f in FEATURES])
+    text, by = (f"_in{docs.columns.index(n)}" for n in ("text", stratum))
+    counted = counted_once(whole.withColumn("_by", F.col(by)), text)
     kept = judge(counted, limits, "_by").filter("kept")
     return kept.select(*[F.col(f"_in{i}").alias(n) for i, n in enumerate(docs.columns)])
 
 
 def _sql() -> str:
-    cells = [(r, j, rule, c) for r, rule in enumerate(RULES) for j, c in enumerate(rule[4])]
     op = {True: ">", False: "<"}
-    counts = ", ".join(f"count(*) FILTER (WHERE 1000*{x[1]} {op[x[3]]} {c}*{x[2]}) AS k{r}_{j}" for r, j, x, c in cells)
-    tests = " UNION ALL ".join(f"SELECT lang, n, strata, {r} AS r, {j} AS j, {c} AS c, k{r}_{j} AS k FROM per" for r, j, x, c in cells)
-    p = f"({RISK}/{len(RULES)})"
+    turns, steps = len(RULES), len(RULES) * len(RULES[0][4])
+    first = ", ".join(f"CASE WHEN 1000*{x[1]} {op[x[3]]} {c}*{x[2]} THEN {j * turns + r} END"
+                      for r, x in enumerate(RULES) for j, c in enumerate(x[4]))
     cdf = (f"list_sum(list_transform(range(0, k+1), lambda i: exp(lgamma(n+1) - lgamma(i+1) - lgamma(n-i+1) "
-           f"+ i*ln({p}) + (n-i)*ln(1-{p}))))")
+           f"+ i*ln({RISK}) + (n-i)*ln(1-{RISK}))))")
     bad = " OR ".join(f"coalesce(1000*{x[1]} {op[x[3]]} c{r}*{x[2]}, false)" for r, x in enumerate(RULES))
-    wide = ", ".join(f"max(c) FILTER (WHERE r = {r}) AS c{r}" for r in range(len(RULES)))
+    cutoffs = ", ".join(f"[{', '.join(map(str, x[4]))}][ceil((p - {r}) / {turns}.0)::INT] AS c{r}" for r, x in enumerate(RULES))
     return rf"""
 WITH t AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS text FROM documents),
 w AS (SELECT rid, doc_id, lang, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws,
@@ -235,13 +218,11 @@ f AS (SELECT w.rid, doc_id, lang, len(ws)::BIGINT AS n_words,
         coalesce(cov.n, 0)::BIGINT AS n_repeat_words FROM w LEFT JOIN cov ON w.rid = cov.rid),
 b AS (SELECT *, n_words < 50 OR 100*n_repeat_words > 50*n_words AS base_failed FROM f),
 good AS (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1),
-per0 AS (SELECT lang, count(*) AS n, {counts} FROM b WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM good) GROUP BY lang),
-per AS (SELECT *, count(*) OVER () AS strata FROM per0),
-tests AS ({tests}),
-passed AS (SELECT *, k < n*{p} AND {cdf} <= {ERROR}/{len(RULES)}/strata AS ok FROM tests),
-chosen AS (SELECT lang, r, c FROM (SELECT *, min(CASE WHEN NOT ok THEN j END) OVER (PARTITION BY lang, r) AS f FROM passed)
-        WHERE j = coalesce(f, {len(RULES[0][4])}) - 1),
-lim AS (SELECT lang, {wide} FROM chosen GROUP BY lang)
+held AS (SELECT lang, list_min([{first}]) AS first FROM b WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM good)),
+per AS (SELECT lang, count(*) AS n, list(first) AS firsts, count(*) OVER () AS strata FROM held GROUP BY lang),
+tests AS (SELECT lang, n, strata, t, len(list_filter(firsts, lambda x: x <= t)) AS k FROM per, (SELECT unnest(range({steps})) AS t)),
+lim AS (SELECT lang, {cutoffs} FROM (SELECT lang,
+        coalesce(min(t) FILTER (WHERE NOT (k < n*{RISK} AND {cdf} <= {ERROR}/strata)), {steps}) AS p FROM tests GROUP BY lang))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT (base_failed OR {bad}) AS kept FROM b LEFT JOIN lim ON b.lang IS NOT DISTINCT FROM lim.lang
 """

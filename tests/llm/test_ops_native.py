@@ -67,9 +67,9 @@ def test_thresholds_hold_the_risk(spark):
     counted = spark.createDataFrame(rows, "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
                                           "n_repeat_words long, n_lines long")
     labels = spark.createDataFrame([(i, 1) for i in range(5000)] + [(None, 1), (7, 0)], "doc_id long, quality int")
-    limits = quality.thresholds(counted, labels, "lang")
-    row = limits.collect()
-    assert len(row) == 1 and row[0].symbols_cutoff == 100 and row[0].dup_lines_cutoff == 50
+    limits = quality.configurations(counted, labels, "lang")
+    row = limits.collect()  # the sequence stops where symbols would go to 50
+    assert len(row) == 1 and row[0].symbols_cutoff == 100 and row[0].dup_lines_cutoff == 200
     judged = quality.judge(counted, limits, "lang")
     assert judged.filter("kept").count() == 5001  # no limit is known for the null stratum
     assert quality.judge(counted.filter("1 = 0"), limits, "lang").count() == 0
@@ -161,6 +161,27 @@ def test_card_numbers_pass_luhn_or_stay(spark):
     assert out[99].text.startswith(f"{plain[0]} and 4") and cards[0] not in out[99].text and out[99].n_mentions == 2
 
 
+def test_every_stratum_rejects_more_than_the_base_rule(spark):
+    """On sf0.1 query, stage and SQL agree, and the cutoffs catch documents in every stratum."""
+    import duckdb
+    sf = "/root/testdata/sf0.1"
+    got = quality.quality_verdicts(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")).collect()
+    con = duckdb.connect()
+    for t in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+    want = {r[0]: r[-2:] for r in con.execute(quality._sql()).fetchall()}
+    assert len(want) == len(got) and {r.doc_id: (r.base_failed, r.kept) for r in got} == want
+    caught = Counter(r.lang for r in got if not r.base_failed and not r.kept)
+    assert set(caught) == {r.lang for r in got}
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    stage = quality.keep_good(spark.read.parquet(f"{sf}/documents.parquet"), labels).select("doc_id").collect()
+    assert sorted(r.doc_id for r in stage) == sorted(r.doc_id for r in got if r.kept)
+    good = {r.doc_id for r in labels.collect() if r.quality == 1}
+    for lang in caught:  # the guarantee, as it shows on the labels
+        held = [r.kept for r in got if r.lang == lang and r.doc_id in good and not r.base_failed]
+        assert held.count(False) <= quality.RISK * len(held)
+
+
 # -- mixing ---------------------------------------------------------------------
 def test_poisson_counts(spark):
     rates = [0.0, 0.1, 1.5, 40.0, 900.0, 3e5]
