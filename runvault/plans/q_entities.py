@@ -13,6 +13,9 @@ from runvault.plans import views as v
 from runvault.plans.registry import query
 from runvault.session import scratch_dir
 from runvault.sinks.publish import publish
+from runvault.functions.names import COMMIT_MARKER
+from runvault.sinks.archive import write_files
+from runvault.sources.folders import VERSION_LEVELS, folders
 from runvault.sources.versions import scan_versions
 
 _V = f"WITH v AS ({v.ENTITY_VERSIONS_SQL})"
@@ -196,3 +199,28 @@ def published_scan(spark, sf_dir):
         path_part(path, -7).alias("env"), path_part(path, -3).alias("run_id"), "event_id")
     sums = rows.groupBy("env", "run_id").agg(F.count("*").alias("n_rows"), F.sum("event_id").alias("id_sum"))
     return latest.join(sums, ["env", "run_id"]).select("env", "entity", "run_id", "n_versions", "n_rows", "id_sum")
+
+
+@query("version_folders", f"""
+WITH k AS (SELECT env, pipeline, zone, step, entity, max(run_id) AS newest,
+                  max(run_id) FILTER (committed) AS newest_committed
+           FROM ({v.ENTITY_VERSIONS_SQL}) GROUP BY ALL)
+SELECT DISTINCT env, pipeline, zone, step, entity, run_id, run_id = newest_committed IS TRUE AS committed
+FROM (SELECT *, unnest([newest, newest_committed]) AS run_id FROM k)
+WHERE run_id IS NOT NULL AND step = 'step_3' AND env IN ('user', 'prod') AND pipeline >= 'p'""")
+def version_folders(spark, sf_dir):
+    """The newest and the newest committed version of every entity as folders (the former
+    often without a marker), read as a table whose filters prune the walk."""
+    versions = v.entity_versions(spark, sf_dir)
+    key = ["env", "pipeline", "zone", "step", "entity"]
+    newest = versions.groupBy(*key).agg(
+        F.max("run_id").alias("any"), F.max(F.when(F.col("committed"), F.col("run_id"))).alias("done"))
+    kept = newest.select(*key, "done", F.explode(F.array_distinct(F.array_compact(F.array("any", "done")))).alias("run_id"))
+    name = F.when(F.col("run_id") == F.col("done"), COMMIT_MARKER).otherwise("part-0")
+    files = kept.select(F.concat(F.lit("/"), F.concat_ws("/", "env", "pipeline", "zone", "step", "run_id", "entity", name)).alias("rel_path"),
+                        F.lit(0).alias("part"), F.lit(0).cast("long").alias("offset"), F.lit(0).alias("length"),
+                        F.lit(0).cast("long").alias("file_length"), F.lit(b"").alias("content"))
+    root = scratch_dir(spark, "version-folders")
+    write_files(files, root)
+    found = folders(spark, root, f"env/{VERSION_LEVELS}", ahead=4)
+    return found.filter("step = 'step_3' and env in ('user', 'prod') and pipeline >= 'p'").select(*key, "run_id", "committed")
