@@ -138,6 +138,35 @@ def ledger_records(spark, sf_dir):
         F.size("inputs").alias("n_inputs"), F.size("outputs").alias("n_outputs"))
 
 
+@query("ledger_merged", f"""
+WITH r AS ({v.RUNS_SQL}), phase AS (SELECT unnest(['appended', 'merged', 'appended again']) AS phase)
+SELECT phase, pipeline, strftime(start_time, '%Y-%m') AS month, status, count(*) AS n_runs,
+       CAST(sum(CASE WHEN status <> 'RUNNING' THEN floor(duration_s) END) AS DOUBLE) AS seconds
+FROM r, phase GROUP BY ALL""")
+def ledger_merged(spark, sf_dir):
+    """K5: runs appended as running, merged, appended again when they have ended; the ledger read
+    from the tail beside merged records, after a second merge, and with repeated records after it."""
+    ledger = f"{scratch_dir(spark, 'ledger-merged')}/runs"
+    start = F.col("start_time").cast("timestamp")
+    runs = v.runs(spark, sf_dir).select("run_id", "module", "pipeline", "status", start.alias("start_time"),
+                                        F.timestamp_micros(F.unix_micros(start) + F.floor("duration_s") * 1_000_000).alias("stop_time"))
+    pub.append_runs(runs.withColumn("status", F.lit("RUNNING")).withColumn("stop_time", F.lit(None).cast("timestamp")), ledger)
+    pub.merge_ledger(spark, ledger)
+    ended = runs.filter("status <> 'RUNNING'")
+    pub.append_runs(ended, ledger)
+
+    def counted(phase):
+        rows = pub.read_ledger(spark, ledger)
+        return pub.cut_lineage(rows.groupBy(
+            F.lit(phase).alias("phase"), "pipeline", F.date_format("start_time", "yyyy-MM").alias("month"), "status").agg(
+            F.count("*").alias("n_runs"), F.sum(F.unix_seconds("stop_time") - F.unix_seconds("start_time")).cast("double").alias("seconds")))
+    before = counted("appended")
+    pub.merge_ledger(spark, ledger)
+    merged = counted("merged")
+    pub.append_runs(ended, ledger)
+    return before.union(merged).union(counted("appended again"))
+
+
 @query("metric_files", f"""
 SELECT run_id, name, arg_max(value, (ts, seq)) AS value
 FROM ({v.METRIC_LOG_SQL}) m GROUP BY run_id, name""")

@@ -4,9 +4,9 @@
   committer writes ``_SUCCESS`` last, which is what readers require.
 * :func:`write_tmp` writes under the shared temporary root (overwrite
   allowed); :func:`cut_lineage` checkpoints into ``spark.checkpoint.dir``.
-* :func:`append_runs` appends run records to a ledger table partitioned by
-  pipeline, so later scans prune by partition.
-* :func:`read_ledger` gives the current record of each run.
+* :func:`append_runs` appends run records to a ledger's tail, :func:`merge_ledger` folds
+  the tail into partitions of current records by pipeline and month, rewriting those it touches.
+* :func:`read_ledger` gives the current record of each run, from both.
 * :func:`append_metrics` and :func:`read_metrics` do the same for metric writes.
 * :func:`collect_event_logs` copies event logs between the tmp and the stored
   layout through range reads + ordered writes.
@@ -14,6 +14,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,13 +79,24 @@ def run_records(runs: DataFrame) -> DataFrame:
     return out
 
 
-def append_runs(runs: DataFrame, ledger_path: str, partition_by=("pipeline",)) -> None:
-    """Append run records to the ledger (Parquet, partitioned by pipeline).
+def has_data(spark: SparkSession, folder: str) -> bool:
+    """Whether ``folder`` exists and holds more than marker files."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(at) and any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(at))
+
+
+def append_runs(runs: DataFrame, ledger_path: str) -> None:
+    """Append run records to the ledger's tail.
 
     A run may be appended again, e.g. at its start and at its end, or by a
-    repeated job: :func:`read_ledger` keeps its current record.
+    repeated job: :func:`read_ledger` keeps its current record.  Small tasks share a file.
     """
-    runs.write.mode("append").partitionBy(*partition_by).parquet(ledger_path)
+    runs.hint("rebalance").write.mode("append").parquet(f"{ledger_path}/tail")
+
+
+def _run_key(records: DataFrame) -> list[str]:
+    return [c for c in ("pipeline", "run_id", "module") if c in records.columns]
 
 
 def current_records(records: DataFrame) -> DataFrame:
@@ -92,7 +105,7 @@ def current_records(records: DataFrame) -> DataFrame:
     A finished record beats an unfinished one, a later stop an earlier one.
     Partial maxima are taken before the shuffle.
     """
-    key = [c for c in ("pipeline", "run_id", "module") if c in records.columns]
+    key = _run_key(records)
     order = [F.col(c) for c in ("stop_time", "start_time") if c in records.columns]
     done = order[0].isNotNull() if "stop_time" in records.columns else F.lit(True)
     last = records.groupBy(*key).agg(F.max_by(F.struct(*records.columns), F.struct(
@@ -100,9 +113,90 @@ def current_records(records: DataFrame) -> DataFrame:
     return last.select("r.*")
 
 
-def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
-    """Current record of every run in the ledger."""
-    return current_records(spark.read.parquet(ledger_path))
+# Partition columns of merged records; the prefixes keep Spark from reading numbers out of them.
+_PLACE = ["p_pipeline", "p_month"]
+
+
+def _pipeline_place(pipeline):
+    return F.concat(F.lit("p-"), F.coalesce(pipeline, F.lit("")))
+
+
+def _same_run(left: DataFrame, right: DataFrame, key: list[str]):
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[f"_{c}"]) for c in key])
+
+
+def _keys(records: DataFrame, key: list[str]) -> DataFrame:
+    return records.select(*[F.col(c).alias(f"_{c}") for c in key])
+
+
+def _part(spark: SparkSession, ledger_path: str, name: str, pipeline: str | None) -> DataFrame | None:
+    if not has_data(spark, f"{ledger_path}/{name}"):
+        return None
+    rows = spark.read.parquet(f"{ledger_path}/{name}")
+    if pipeline is None:
+        return rows
+    if name == "merged":
+        rows = rows.filter(F.col("p_pipeline") == f"p-{pipeline}")
+    return rows.filter(F.col("pipeline") == pipeline)
+
+
+def read_ledger(spark: SparkSession, ledger_path: str, pipeline: str | None = None) -> DataFrame:
+    """Current record of every run in the ledger, or of one pipeline's runs.
+
+    Merged records are current already, one a run: only runs that the tail names again are
+    aggregated with it, the others are read without a shuffle where the tail is small.
+    """
+    tail, merged = (_part(spark, ledger_path, n, pipeline) for n in ("tail", "merged"))
+    if merged is None:
+        if tail is None:
+            raise FileNotFoundError(f"no ledger at {ledger_path}")
+        return current_records(tail)
+    merged = merged.drop(*_PLACE)
+    if tail is None:
+        return merged
+    key = _run_key(merged)
+    named = _keys(tail, key).distinct()
+    again = merged.join(named, _same_run(merged, named, key), "left_semi")
+    rest = merged.join(named, _same_run(merged, named, key), "left_anti")
+    return rest.unionByName(current_records(again.unionByName(tail)))
+
+
+def merge_ledger(spark: SparkSession, ledger_path: str) -> None:
+    """Fold the tail into the merged records: one current record a run, partitioned by pipeline and month.
+
+    Only partitions that the tail's runs belong to are rewritten (dynamic partition
+    overwrite); the others keep their files.  A run stays in the partition of the
+    month in which it was first known to start.  The tail's files are removed last, and
+    those appended meanwhile are left: a merge that ends early, or is run
+    again, changes no result, as readers take the current record of both.  One merge at a
+    time; a reader that runs while partitions are replaced should be run again.
+    """
+    if not has_data(spark, f"{ledger_path}/tail"):
+        return
+    files = spark.read.parquet(f"{ledger_path}/tail").inputFiles()
+    if not files:
+        return
+    new = cut_lineage(current_records(spark.read.parquet(*files)))
+    key = _run_key(new)
+    month = F.coalesce(F.date_format("start_time", "yyyy-MM"), F.lit("")) if "start_time" in new.columns else F.lit("")
+    pipeline = F.col("pipeline") if "pipeline" in new.columns else F.lit("")
+    placed = new.withColumn("p_pipeline", _pipeline_place(pipeline)).withColumn("p_month", F.concat(F.lit("m-"), month))
+    if has_data(spark, f"{ledger_path}/merged"):
+        old = spark.read.parquet(f"{ledger_path}/merged")
+        named = _keys(new, key)
+        again = cut_lineage(old.join(named, _same_run(old, named, key), "left_semi"))
+        homes = again.select(*[F.col(c).alias(f"_{c}") for c in key], *[F.col(c).alias(f"_{c}") for c in _PLACE])
+        first = placed.join(homes, _same_run(placed, homes, key), "left").select(
+            *new.columns, *[F.coalesce(f"_{c}", c).alias(c) for c in _PLACE])
+        now = current_records(first.unionByName(again))
+        touched = first.select(*_PLACE).distinct()
+        rest = old.join(touched, _PLACE, "left_semi")
+        placed = cut_lineage(now.unionByName(rest.join(named, _same_run(rest, named, key), "left_anti").select(*now.columns)))
+    (placed.hint("rebalance", *_PLACE).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*_PLACE).parquet(f"{ledger_path}/merged"))
+    for f in files:
+        at = spark._jvm.org.apache.hadoop.fs.Path(f)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, False)
 
 
 def append_metrics(metrics: DataFrame, ledger_path: str) -> None:
