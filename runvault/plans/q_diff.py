@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from runvault.operators import diff as df_
+from runvault.operators import history as hi
 from runvault.operators import ordered_diff as od
 from runvault.plans import views as v
 from runvault.plans.registry import query
@@ -31,6 +32,23 @@ def diff_top_tag(spark, sf_dir):
     return df_.top_tagged_run(v.commits(spark, sf_dir), v.tags(spark, sf_dir), LOOKBACK)
 
 
+@query("history_top_tag", f"""
+WITH RECURSIVE {v.COMMIT_GRAPH_SQL},
+reach AS (SELECT branch, commit_id FROM heads
+          UNION SELECT r.branch, p.parent_id FROM reach r JOIN parents p ON p.commit_id = r.commit_id
+          WHERE p.parent_id >= 0),
+c AS (SELECT branch, commit_id, row_number() OVER (PARTITION BY branch ORDER BY ts DESC) AS pos
+      FROM reach JOIN events ON event_id = commit_id),
+j AS (SELECT c.branch, c.pos, t.* FROM c JOIN ({v.TAGS_SQL}) t USING (commit_id)
+      WHERE pos <= {LOOKBACK} AND starts_with(tag_name, 'run-'))
+SELECT branch, arg_max(tag_name, (-pos, tag_name)) AS run_id, arg_max(message, (-pos, tag_name)) AS run_path,
+       arg_max(commit_id, (-pos, tag_name)) AS commit_id, CAST(arg_max(pos, (-pos, tag_name)) AS INTEGER) AS pos
+FROM j GROUP BY branch""")
+def history_top_tag(spark, sf_dir):
+    """Newest run-tagged commit of every branch on a graph with merges and shared history."""
+    return hi.newest_tagged_run(*v.commit_graph(spark, sf_dir), v.tags(spark, sf_dir), LOOKBACK)
+
+
 _MOD_DIFF_SQL = f"""
 WITH m AS ({v.MODULES_SQL}),
 n AS (SELECT DISTINCT pair, side, module FROM m),

@@ -314,6 +314,26 @@ def commits(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("event_id").alias("seq"))
 
 
+def commit_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(heads, commits, parents) over shared history: a commit per event, one to four events after its
+    parent; every sixth also merges one 7 to 17 events before it.  A head per branch: its newest event."""
+    ev = table(spark, sf_dir, "events")
+    commit = F.col("event_id")
+    heads = ev.groupBy(_branch().alias("branch")).agg(F.max("event_id").alias("commit_id"))
+    parent = F.explode(F.array_compact(F.array(
+        commit - 1 - commit % 4, F.when(commit % 6 == 0, commit - 7 - commit % 11)))).alias("parent_id")
+    parents = ev.select(commit.alias("commit_id"), parent).filter("parent_id >= 0")
+    return heads, ev.select(commit.alias("commit_id"), "ts"), parents
+
+
+COMMIT_GRAPH_SQL = """
+    heads AS (SELECT event_type || '-u' || CAST(user_id % 30 AS VARCHAR) AS branch, max(event_id) AS commit_id
+              FROM events GROUP BY 1),
+    parents AS (SELECT event_id AS commit_id, unnest([event_id - 1 - event_id % 4,
+                  CASE WHEN event_id % 6 = 0 THEN event_id - 7 - event_id % 11 END]) AS parent_id FROM events)
+"""
+
+
 def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tags: value >= 95 tags a run; >= 200 adds a second run tag on the same
     commit; >= 150 adds a non-run ``diff.`` tag."""
