@@ -3,13 +3,19 @@
 Mentions (e-mail addresses, phone and card numbers, IPv4 addresses, social
 security numbers, credentials, and names after a title) are found by one
 pattern; a number shaped like a card is one only if its Luhn sum is a multiple
-of ten.  A mention is reduced to canonical entities: a phone number to its
-national digits, a name to its given and family part, so different spellings
+of ten.  In a text with a found name, capitalised words elsewhere in it that repeat
+the given or family part get that part's surrogate too (of equal parts of
+several names the first's), so that a person stays one person; they are no
+mentions of their own in ``n_mentions``.  Names that never follow a title
+in their text, and credentials without a name before them or with signs other
+than letters, digits and ``_-/+``, are not detected.  A mention is reduced to canonical entities: a phone number to its
+national digits, a credential to its value, a name to its given and family part, so different spellings
 of one entity agree.  Every distinct entity of the corpus gets a surrogate of
 its type drawn by a keyed hash: letters, digits, case and separators keep
-their places, card numbers keep their check digit, given names keep gender and
+their places, card numbers keep their network and check digit, given names keep gender and
 script, family names their script, and e-mail domains end in ``example`` with
-their own top level.
+their own top level.  After four refused draws an address of the internet keeps its four
+numbers but not their lengths, after six an e-mail address gets a longer local part.
 
 Collision check: a candidate is refused if it is an entity of the corpus, if
 it is given out already, or if another entity drew it too and sorts first; the
@@ -50,17 +56,25 @@ FAMILY_END = {("latin", "f"): "en", ("latin", "m"): "en", ("latin", "u"): "en",
 GIVEN_END = {("latin", "f"): "a", ("latin", "m"): "o", ("cyrillic", "f"): "ия", ("cyrillic", "m"): "ей"}
 
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-EMAIL = r"[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}"
-SECRET = (r"AKIA[0-9A-Z]{16}|(?i:password|passwd|token|secret|api_key)\s{0,2}[=:]\s{0,2}[\x22']?"
-          r"(?=[A-Za-z_\-/+]*[0-9])[0-9A-Za-z_\-/+]{8,}")
+#: starts at the front of a run of its signs only, so that long runs are read once
+EMAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}"
+#: a credential's name and what stands between it and the value; other words may run into the name
+ASSIGNED = r"(?i:password|passwd|token|secret|api[_\-]?key)[\x22']?\s{0,2}[=:]\s{0,2}[\x22']?"
+VALUE = r"(?=[A-Za-z_\-/+]*[0-9])[0-9A-Za-z_\-/+]{8,}"
+SECRET = rf"AKIA[0-9A-Z]{{16}}|{ASSIGNED}{VALUE}"
 IP = rf"{OCTET}(?:\.{OCTET}){{3}}(?![0-9]|\.[0-9])"
-CARD = r"[3-6][0-9]{3}(?:[ \-]?[0-9]{4}){3}(?![0-9])|3[47][0-9]{13}(?![0-9])"
+CARD = (r"(?:[3-6][0-9]{3}|2(?:22[1-9]|2[3-9][0-9]|[3-6][0-9]{2}|7[01][0-9]|720))(?:[ \-]?[0-9]{4}){3}(?![0-9])"
+        r"|3[47][0-9]{2}[ \-]?[0-9]{6}[ \-]?[0-9]{5}(?![0-9])")
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])"
 PHONE = r"(?:\+[0-9]{1,3}[ .\-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .\-])[0-9]{3}[ .\-][0-9]{4}(?![0-9])|\+[0-9]{1,3}(?:[ .\-]?[0-9]{2,4}){2,4}(?![0-9])"
 TITLE = "(?:" + "|".join(FEMALE_TITLES + MALE_TITLES + OTHER_TITLES) + r")\.?"
-NAME = rf"{TITLE} \p{{Lu}}[\p{{L}}'’\-]+(?: \p{{Lu}}[\p{{L}}'’\-]+)?"
-#: a mention starts where no letter, digit or dot runs into it
-PATTERN = rf"(?<![\p{{L}}0-9_.])(?:{EMAIL}|{SECRET}|{IP}|{CARD}|{SSN}|{PHONE}|{NAME})"
+#: a part of a name, without a possessive ending; up to five pieces joined by hyphens or apostrophes
+PART = r"\p{Lu}(?=['’\-]?\p{L})\p{L}*+(?:(?:-|['’](?!s(?!\p{L})))\p{L}++){0,4}"
+NAME = rf"{TITLE} {PART}(?: {PART})?"
+#: a mention starts where no letter, digit or dot runs into it; a credential's name may have others before it
+PATTERN = rf"(?<![\p{{L}}0-9_.])(?:{EMAIL}|{SECRET}|{IP}|{CARD}|{SSN}|{PHONE}|{NAME})|{ASSIGNED}{VALUE}"
+#: a word that may repeat a part of a name
+WORD = rf"(?<![\p{{L}}0-9_]){PART}"
 
 
 def _whole(pattern: str) -> str:
@@ -79,6 +93,11 @@ def is_mention(found: Column) -> Column:
     return F.when(found.rlike(_whole(CARD)), _luhn_sum(_digits(found)) % 10 == 0).otherwise(F.lit(True))
 
 
+def _lead() -> str:
+    """What a credential's mention has before its value."""
+    return f"^(?:AKIA|{ASSIGNED})"
+
+
 def _digits(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
 
@@ -105,7 +124,8 @@ def entities_of(mention: Column, kind: Column) -> Column:
         F.array(part(F.concat_ws("|", F.lit("family"), _script(family),
                                  F.when(_script(family) == "latin", F.lit("u")).otherwise(gender)), family)))
     canon = (F.when(kind == "email", F.lower(mention)).when(kind == "phone", F.right(_digits(mention), F.lit(10)))
-             .when(kind.isin("card", "ssn"), _digits(mention)).otherwise(mention))
+             .when(kind.isin("card", "ssn"), _digits(mention)).when(kind == "secret", F.regexp_replace(mention, _lead(), ""))
+             .otherwise(mention))
     return F.when(kind == "name", named).otherwise(F.array(part(kind, canon)))
 
 
@@ -160,14 +180,13 @@ def candidate(type_: Column, canon: Column, attempt: Column, key: str = KEY) ->
         tail = F.when(attempt < 6, F.lit("")).otherwise(F.concat(F.lit("."), F.substring(stream, 1, 12)))
         email = F.concat(_shaped(local, stream), tail, F.lit("@"), F.when(F.size(hosts) > 0, F.concat(host, F.lit("."))).otherwise(""),
                          F.lit("example."), F.element_at(labels, -1))
-        # credentials: the name before the value stays
-        lead = F.regexp_extract(canon, r"^(AKIA|[A-Za-z_]+\s{0,2}[=:]\s{0,2}[\x22']?)", 1)
-        value = F.substring(canon, F.length(lead) + 1, F.length(canon))
-        secret = F.concat(lead, _shaped(value, stream, value.rlike("^[0-9a-f]+$")))
+        secret = _shaped(canon, stream, canon.rlike("^[0-9a-f]+$"))
         octets = F.transform(F.split(canon, r"\."), lambda o, i: let(_byte(stream, i), lambda b: (
             F.when(attempt >= 4, 1 + b % 254).when(F.length(o) == 1, 1 + b % 9).when(F.length(o) == 2, 10 + b % 90)
             .otherwise(100 + b % 155)).cast("string")))
-        number = F.concat(F.substring(canon, 1, 1), _shaped(F.expr("substring(canon, 2)"), stream))
+        # the digits that name a card's network stay
+        network = F.when(F.length(canon) == 15, 2).when(F.substring(canon, 1, 1) == "2", 4).otherwise(1)
+        number = F.concat(F.substring(canon, F.lit(1), network), _shaped(F.substring(canon, network + 1, F.length(canon)), stream))
         body = F.expr("length(canon) - 1")
         bare = F.concat(F.substring(number, F.lit(1), body), F.lit("0"))
         card = F.when(_luhn_sum(canon) % 10 == 0, F.concat(F.substring(number, F.lit(1), body),
@@ -229,6 +248,7 @@ def render(mention: Column, kind: Column, parts: Column) -> Column:
     name = F.concat_ws(" ", F.get(words, 0), F.array_join(F.transform(parts, lambda p, i: _cased(p, F.get(words, i + 1))), " "))
     one = F.get(parts, 0)
     return (F.when(kind == "name", name).when(kind.isin("phone", "card", "ssn"), _fill(mention, one))
+            .when(kind == "secret", F.concat(F.regexp_extract(mention, _lead(), 0), one))
             .when((kind == "email") & (mention == F.upper(mention)), F.upper(one)).otherwise(one))
 
 
@@ -242,6 +262,26 @@ def surrogate_map(mentions: DataFrame, key: str = KEY) -> DataFrame:
     return whole.select("mention", render(F.col("mention"), F.col("kind"), F.col("s.surrogate")).alias("surrogate"))
 
 
+def _known(uses: Column) -> Column:
+    """(word, surrogate), lower case, of the parts of all names among a text's uses (mention, surrogate)."""
+    names = F.filter(uses, lambda u: u["mention"].rlike(_whole(NAME)))
+    pairs = F.transform(names, lambda u: F.slice(F.arrays_zip(
+        F.split(F.lower(u["mention"]), " ").alias("word"), F.split(F.lower(u["surrogate"]), " ").alias("surrogate")), 2, 2))
+    return F.array_distinct(F.flatten(pairs))
+
+
+def _repeats(piece: Column, known: Column) -> Column:
+    """The piece of a text between mentions with capitalised repeats of a known name's parts replaced."""
+    words, keys = F.regexp_extract_all(piece, F.lit(WORD), F.lit(0)), F.transform(known, lambda k: k["word"])
+
+    def swapped(word: Column) -> Column:
+        return let(F.array_position(keys, F.lower(word)),
+                   lambda at: F.when(at > 0, _cased(F.get(known, at.cast("int") - 1)["surrogate"], word)).otherwise(word))
+    done = let(F.transform(words, swapped), lambda w: F.array_join(F.transform(
+        F.split(piece, WORD, -1), lambda gap, j: F.concat(gap, F.coalesce(F.get(w, j), F.lit("")))), ""))
+    return F.when((F.size(known) > 0) & piece.rlike(WORD), done).otherwise(piece)
+
+
 def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
     """All columns of ``docs`` (text among them) with mentions replaced, and ``n_mentions``."""
     whole = docs.toDF(*[f"_in{i}" for i in range(len(docs.columns))])
@@ -253,9 +293,10 @@ def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
     given = surrogate_map(mentions.filter("real").select("mention"), key).union(
         mentions.filter("not real").select("mention", F.col("mention").alias("surrogate")))
     lists = cut(uses.join(given, "mention").groupBy("_key").agg(
-        F.array_sort(F.collect_list(F.struct("_i", "surrogate"))).alias("_s")).select("_key", F.col("_s.surrogate").alias("_s")))
+        F.array_sort(F.collect_list(F.struct("_i", "surrogate", "mention"))).alias("_s"))
+        .select("_key", F.col("_s.surrogate").alias("_s"), _known(F.col("_s")).alias("_known")))
     pieces = F.split(at, PATTERN, -1)
-    text = F.array_join(F.transform(pieces, lambda p, i: F.concat(p, F.coalesce(F.get("_s", i), F.lit("")))), "")
+    text = F.array_join(F.transform(pieces, lambda p, i: F.concat(_repeats(p, F.col("_known")), F.coalesce(F.get("_s", i), F.lit("")))), "")
     changed = hit.join(lists, "_key").withColumn("_n", F.size(F.filter("_m", is_mention)).cast("long")).withColumn("_text", text)
     same = whole.filter(~F.coalesce(F.col(at).rlike(PATTERN), F.lit(False))).withColumn("_n", F.lit(0).cast("long"))
     back = lambda df, text: df.select(*[(F.col(text) if c == at else F.col(c)).alias(n)

@@ -130,6 +130,30 @@ def test_surrogates(spark):
     assert pii.pseudonymise(df.filter("1 = 0")).collect() == []
 
 
+def test_credentials_cards_and_repeats_of_names(spark):
+    """Hand-marked texts: what is between the groups stays, the groups hold surrogates."""
+    text = ("DB_PASSWORD=abc12345x and access_token=abc12345x; spring.api-key: q1w2e3r4t5, {\"client_secret\": \"zz9zz8zz7\"}; "
+            "Smith first. Mr John Smith came. Later Smith's son John left Smithson, and smith or SMITH. "
+            "Dr O'Brien-Lee's and O'Brien-Lee; card 2223003122003222, 3782 822463 10005, 2223003122003223")
+    rows = [(1, text), (2, "Smith and John are no mentions here"), (3, "again accessToken='abc12345x', Mrs Smith"),
+            (4, "Mr " + "A-b" * 50_000 + " Word" * 50_000), (5, text), (6, "token_count: twelve, password = none")]
+    out = {r.doc_id: r for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    form = (r"DB_PASSWORD=([a-z]{3}\d{5}[a-z]) and access_token=([a-z]{3}\d{5}[a-z]); spring\.api-key: ([a-z]\d[a-z]\d[a-z]\d[a-z]\d[a-z]\d), "
+            r"\{\"client_secret\": \"([a-z]{2}\d[a-z]{2}\d[a-z]{2}\d)\"\}; "
+            r"(\w+) first\. Mr (\w+) (\w+) came\. Later (\w+)'s son (\w+) left Smithson, and smith or ([A-Z]+)\. "
+            r"Dr (\w+)'s and (\w+); card (2223\d{12}), (37\d\d \d{6} \d{5}), 2223003122003223")
+    m = re.fullmatch(form, out[1].text)
+    assert m and m[1] == m[2] != "abc12345x" and m[3] != "q1w2e3r4t5" and m[4] != "zz9zz8zz7"
+    assert m[5] == m[7] == m[8] != "Smith" and m[6] == m[9] != "John" and m[10] == m[7].upper() and m[11] == m[12]
+    assert m[13] != "2223003122003222" and m[14] != "3782 822463 10005"
+    for card in (m[13], m[14].replace(" ", "")):
+        assert sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(int(c) for c in reversed(card))) % 10 == 0
+    assert out[5].text == out[1].text and out[1].n_mentions == 8
+    assert (out[2].text, out[2].n_mentions) == (rows[1][1], 0) and (out[6].text, out[6].n_mentions) == (rows[5][1], 0)
+    assert out[3].text == f"again accessToken='{m[1]}', Mrs {m[7]}"
+    assert out[4].n_mentions == 1 and len(out[4].text) > 300_000
+
+
 def test_surrogates_are_distinct_in_a_tight_format(spark):
     """Most of the 9^4 one-digit addresses: draws collide, surrogates do not."""
     canon = [f"{a}.{b}.{c}.{d}" for a in range(1, 10) for b in range(1, 10) for c in range(1, 10) for d in range(1, 4)]
