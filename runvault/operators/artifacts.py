@@ -7,6 +7,7 @@ import io
 import threading
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +25,8 @@ KIND_TEXT, KIND_JSON, KIND_BINARY = "text", "json", "binary"
 PROFILE_KEY = "bentoservice_profile"
 # Default upper bound on classes x features of a model that is shipped by broadcast.
 MAX_MODEL_CELLS = 50_000_000
+# Feature rows that one task scores at once with a model of its own.
+ROWS_PER_GROUP = 20_000
 
 
 def _c(x):
@@ -69,15 +72,16 @@ def profile(name: str | Column, params: str | Column) -> Column:
 
 # ------------------------------------------------------------------ G6 model
 
-def train_centroids(features: DataFrame, vec: str = "embedding", label: str = "label") -> DataFrame:
-    """Nearest-centroid model: mean feature vector per label.
+def train_centroids(features: DataFrame, vec: str = "embedding", label: str = "label",
+                    by: tuple[str, ...] = ()) -> DataFrame:
+    """Nearest-centroid model: mean feature vector per label, one model for each value of ``by``.
 
     ``(label, i)`` means aggregate with map-side partials; each label's
     vector is then gathered from ``dim`` values.
     """
-    x = features.select(label, F.posexplode(vec).alias("i", "v"))
-    m = x.groupBy(label, "i").agg(F.avg(F.col("v").cast("double")).alias("c"))
-    return m.groupBy(label).agg(
+    x = features.select(*by, label, F.posexplode(vec).alias("i", "v"))
+    m = x.groupBy(*by, label, "i").agg(F.avg(F.col("v").cast("double")).alias("c"))
+    return m.groupBy(*by, label).agg(
         F.transform(F.sort_array(F.collect_list(F.struct("i", "c"))), lambda s: s["c"])
         .alias("centroid"))
 
@@ -152,6 +156,61 @@ def score_linear(spark: SparkSession, features: DataFrame, model: bytes,
     return features.select(*cols, vec).mapInPandas(run, schema)
 
 
+def score_many(models: DataFrame, features: DataFrame, by: tuple[str, ...] = ("bundle", "version"),
+               vec: str = "embedding", label: str = "label", keep: tuple[str, ...] = ("vec_id", "label"),
+               rows_per_group: int = ROWS_PER_GROUP, max_cells: int = MAX_MODEL_CELLS) -> DataFrame:
+    """Score every feature row with the model of its ``by`` columns: ``keep, by, predicted, score``.
+
+    ``models`` has a row for each class of each model (``by``, label, centroid);
+    models stay rows and meet their feature rows in a cogroup, nothing passes
+    through the driver.  The rows of a model are counted and dealt to as many
+    groups of about ``rows_per_group`` as it needs, each with its own copy of
+    the model, so a hot model is scored by many tasks and a group's size is
+    bounded.  A model of more than ``max_cells`` numbers is an error.
+
+    A class counts ``w.x - |w|^2 / 2``; ties go to the smallest label.  Rows
+    without a model, with a null vector or key, or with a vector of another length
+    than the model's stay, with null results; repeated rows stay repeated.  Rows are dealt by their
+    place, so ``features`` should be a stored table, whose rows a repeated task finds in the same order.
+    """
+    out = [f"{c} {features.schema[c].dataType.simpleString()}" for c in (*keep, *by)]
+    schema = ", ".join(out) + ", predicted long, score double"
+    names = [f"k{i}" for i in range(len(by))]
+    kept = [f"r{i}" for i in range(len(keep))]
+    rows = features.select(*[F.col(c).alias(n) for c, n in zip(by, names)],
+                           *[F.col(c).alias(n) for c, n in zip(keep, kept)], F.col(vec).alias("x")).withColumn(
+        "at", F.monotonically_increasing_id())
+    classes = models.select(*[F.col(c).alias(n) for c, n in zip(by, names)],
+                            F.col(label).cast("long").alias("class"), F.col("centroid").alias("w"))
+    groups = rows.groupBy(*names).agg(F.ceil(F.count(F.lit(1)) / rows_per_group).cast("int").alias("n_groups"))
+    same = [F.col(f"a.{n}").eqNullSafe(F.col(f"b.{n}")) for n in names]
+    both = rows.alias("a").join(groups.alias("b"), same, "left").select("a.*", "b.n_groups")
+    dealt = both.withColumn("part", F.pmod(F.xxhash64("at"), "n_groups").cast("int")).drop("n_groups", "at")
+    copies = classes.alias("a").join(groups.alias("b"), [F.col(f"a.{n}") == F.col(f"b.{n}") for n in names]).select(
+        "a.*", F.explode(F.sequence(F.lit(0), F.col("n_groups") - 1)).alias("part"))
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        result = left[kept + names].copy()
+        result["predicted"] = pd.array([None] * len(left), dtype="Int64")
+        result["score"] = pd.array([None] * len(left), dtype="Float64")
+        result.columns = [*keep, *by, "predicted", "score"]
+        model = right[right["w"].notna()].sort_values("class")
+        if not len(model) or not len(left):
+            return result
+        w = np.stack(model["w"].to_numpy()).astype(np.float64)
+        if w.size > max_cells:
+            raise ValueError(f"model too large to score with (more than {max_cells} numbers)")
+        fits = np.array([x is not None and len(x) == w.shape[1] for x in left["x"]])
+        if fits.any():
+            s = np.stack(left["x"].to_numpy()[fits]).astype(np.float64) @ w.T - 0.5 * (w * w).sum(axis=1)
+            best = s.argmax(axis=1)
+            result.loc[fits, "predicted"] = model["class"].to_numpy()[best]
+            result.loc[fits, "score"] = s[np.arange(len(best)), best]
+        return result
+
+    return dealt.groupBy(*names, "part").cogroup(copies.groupBy(*names, "part")).applyInPandas(run, schema)
+
+
 # ------------------------------------------------------------------ K7 / G4 bundles
 
 ARTIFACT_COLUMNS = ("bundle", "version", "name", "kind", "ext", "file_path", "content")

@@ -86,3 +86,45 @@ def last_output(cells: DataFrame) -> DataFrame:
     return with_out.groupBy("nb_id").agg(
         F.max("pos").alias("pos"),
         F.max_by(F.element_at("outputs", 1), "pos").alias("result"))
+
+
+def _unescaped(piece: Column) -> Column:
+    """A piece of a quoted text between escaped backslashes, its other escapes resolved."""
+    for sign, char in (("n", "\n"), ("r", "\r"), ("t", "\t"), ("'", "'"), ('"', '"')):
+        piece = F.replace(piece, F.lit("\\" + sign), F.lit(char))
+    return piece
+
+
+def last_result(cells: DataFrame, data: str = "data", mime: str = "text/plain") -> DataFrame:
+    """Per notebook: the result of the last cell whose first output has data of ``mime``, and its value.
+
+    ``data`` is an array with a map (mime type -> text) for each output of a
+    cell; outputs without data (logs, errors) are null or empty maps.  Cells whose first output
+    has no such data are passed over, whatever their later outputs hold.
+
+    Output: nb_id, pos, result (the text), kind (``int``, ``float``, ``bool``,
+    ``none``, ``str`` or ``other``: not one of these literals, say a list)
+    and the value in the column of its kind (``int_value``, ``float_value``,
+    ``bool_value``, ``str_value``).  Whole numbers beyond 64 bits are ``other``.  Of equal positions
+    the greatest text is taken.  Of the escapes in a quoted text ``\\\\``, ``\\'``,
+    ``\\"``, ``\\n``, ``\\r`` and ``\\t`` are resolved, others stay as they are.
+    """
+    text = F.try_element_at(F.get(data, F.lit(0)), F.lit(mime))
+    last = (cells.withColumn("_text", text).filter(F.col("_text").isNotNull())
+            .groupBy("nb_id").agg(F.max(F.struct("pos", "_text")).alias("l"))
+            .select("nb_id", "l.pos", F.col("l._text").alias("result")))
+    t = F.trim("result")
+    whole, real = r"^[+-]?[0-9]+$", r"^[+-]?(?:[0-9]+\.[0-9]*|\.[0-9]+|[0-9]+(?=[eE]))(?:[eE][+-]?[0-9]+)?$"
+    number = F.when(t.rlike(whole), t.try_cast("long"))
+    quote, inner = F.substring(t, 1, 1), F.substring(t, F.lit(2), F.length(t) - 2)
+    bare = F.regexp_replace(inner, r"(?s)\\.", "")
+    quoted = (quote.isin("'", '"') & (F.length(t) > 1) & (F.right(t, F.lit(1)) == quote)
+              & ~F.contains(bare, quote) & ~F.contains(bare, F.lit("\\")))
+    plain = F.array_join(F.transform(F.split(inner, r"\\\\"), _unescaped), "\\")
+    kind = (F.when(number.isNotNull(), "int").when(t.rlike(real), "float").when(t.isin("True", "False"), "bool")
+            .when(t == "None", "none").when(quoted, "str").otherwise("other"))
+    return last.withColumn("kind", kind).select(
+        "nb_id", "pos", "result", "kind", number.alias("int_value"),
+        F.when(F.col("kind") == "float", t.try_cast("double")).alias("float_value"),
+        F.when(F.col("kind") == "bool", t == "True").alias("bool_value"),
+        F.when(F.col("kind") == "str", plain).alias("str_value"))

@@ -54,6 +54,27 @@ def model_score(spark, sf_dir):
     return ar.score_linear(spark, feats, model).select("vec_id", "label", "predicted")
 
 
+@query("model_score_many", """
+WITH f AS (SELECT vec_id, label, embedding, vec_id % 4 AS fold FROM embeddings),
+x AS (SELECT vec_id, label, fold, embedding, generate_subscripts(embedding, 1) AS i FROM f),
+x2 AS (SELECT vec_id, label, fold, i, CAST(embedding[i] AS DOUBLE) AS v FROM x),
+cen AS (SELECT (fold + 1) % 4 AS scored, label AS cl, i, avg(v) AS c FROM x2 GROUP BY fold, label, i),
+nrm AS (SELECT scored, cl, sum(c * c) AS n2 FROM cen GROUP BY scored, cl),
+sc AS (SELECT x2.vec_id, x2.fold, cen.cl, sum(x2.v * cen.c) AS dot
+       FROM x2 JOIN cen ON x2.i = cen.i AND x2.fold = cen.scored GROUP BY x2.vec_id, x2.fold, cen.cl)
+SELECT f.vec_id, f.label, 'fold' || f.fold AS bundle, 'v1' AS version,
+       CAST(arg_max(sc.cl, sc.dot - 0.5 * nrm.n2) AS BIGINT) AS predicted
+FROM f LEFT JOIN sc ON sc.vec_id = f.vec_id LEFT JOIN nrm ON nrm.cl = sc.cl AND nrm.scored = sc.fold
+GROUP BY f.vec_id, f.label, f.fold""")
+def model_score_many(spark, sf_dir):
+    """A model for each of four folds, trained on the fold before it, scores all rows of its fold."""
+    feats = v.table(spark, sf_dir, "embeddings").withColumn("version", F.lit("v1"))
+    fold = lambda n: F.concat(F.lit("fold"), (n % 4).cast("string"))
+    models = ar.train_centroids(feats.withColumn("bundle", fold(F.col("vec_id") + 1)), by=("bundle", "version"))
+    scored = ar.score_many(models, feats.withColumn("bundle", fold(F.col("vec_id"))))
+    return scored.select("vec_id", "label", "bundle", "version", "predicted")
+
+
 @query("bundle_latest", f"""{_A}
 SELECT bundle, arg_max(version, version) AS version, arg_max(n, version) AS n_artifacts
 FROM (SELECT bundle, version, count(*) AS n FROM a GROUP BY bundle, version)

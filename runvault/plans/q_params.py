@@ -122,3 +122,32 @@ WHERE len(outputs) > 0 GROUP BY nb_id""")
 def cells_last_output(spark, sf_dir):
     """M7: first output of the last cell with output, per notebook."""
     return ce.last_output(v.cells(spark, sf_dir))
+
+
+#: outputs of assistant turns: a whole number, a quoted text, an image before a text, a fraction, a list
+_DATA_SQL = f"""
+WITH o AS (SELECT nb_id, pos, source, (nb_id + pos) % 5 AS form FROM ({v.CELLS_SQL})
+           WHERE len(outputs) > 0 AND source IS NOT NULL AND (nb_id + pos) % 5 <> 2),
+l AS (SELECT nb_id, max(pos) AS pos, arg_max(source, pos) AS source, arg_max(form, pos) AS form FROM o GROUP BY nb_id)"""
+
+
+@query("cells_last_result", f"""{_DATA_SQL}
+SELECT nb_id, pos, CASE form WHEN 0 THEN 'int' WHEN 1 THEN 'str' WHEN 3 THEN 'float' ELSE 'other' END AS kind,
+       CASE WHEN form = 0 THEN CAST(length(source) AS BIGINT) END AS int_value,
+       CASE WHEN form = 3 THEN length(source) + 0.25::DOUBLE END AS float_value,
+       CASE WHEN form = 1 THEN md5(source) END AS str_md5
+FROM l""")
+def cells_last_result(spark, sf_dir):
+    """M7: text result of the last cell that has one as its first output, parsed."""
+    n, form = F.length("source").cast("string"), (F.col("nb_id") + F.col("pos")) % 5
+    escaped = F.col("source")
+    for char, sign in (("\\", "\\\\"), ("'", "\\'"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        escaped = F.replace(escaped, F.lit(char), F.lit(sign))
+    quoted = F.concat(F.lit("'"), escaped, F.lit("'"))
+    text = F.when(form == 0, n).when(form == 1, quoted).when(form == 3, F.concat(n, F.lit(".25"))).otherwise(
+        F.concat(F.lit("["), n, F.lit("]")))
+    plain, image = F.create_map(F.lit("text/plain"), text), F.create_map(F.lit("image/png"), F.lit("iVBORw0KGgo="))
+    data = F.when(F.size("outputs") == 0, F.array().cast("array<map<string,string>>")).when(
+        form == 2, F.array(image, plain)).otherwise(F.array(plain))
+    cells = v.cells(spark, sf_dir).withColumn("data", data)
+    return ce.last_result(cells).select("nb_id", "pos", "kind", "int_value", "float_value", F.md5("str_value").alias("str_md5"))

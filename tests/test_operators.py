@@ -272,3 +272,43 @@ def test_model_size_check(spark, monkeypatch):
     monkeypatch.setattr(ar, "MAX_MODEL_CELLS", 1)
     with pytest.raises(ValueError):
         ar.pack_centroid_model(ar.train_centroids(feats))
+
+
+def test_last_result_is_the_first_text_output_parsed(spark):
+    plain = lambda x: {"text/plain": x}
+    image = {"image/png": "AA"}
+    rows = [("a", 1, [plain("1")]), ("a", 2, [image, plain("9")]), ("a", 3, [None]), ("a", 4, []), ("a", 5, None),
+            ("b", 1, [plain("'x'")]), ("b", 2, [plain(" -12 "), image]), ("b", 3, [{}]),
+            ("c", 1, [plain(r"'it\'s \\n \n\\'")]), ("d", 1, [plain('"a\'b"')]), ("e", 1, [plain("'a' + 'b'")]),
+            ("f", 1, [plain("1e3")]), ("g", 1, [plain("True")]), ("h", 1, [plain("None")]), ("i", 1, [plain("9" * 30)]),
+            ("j", 1, [plain("'")]), ("k", 1, [plain("")]), ("l", 1, [plain("'" + "\\'" * 100_000 + "'")]),
+            ("m", 1, [image]), ("n", 1, [plain("x")]), ("n", 1, [plain("y")]), (None, 1, [plain("3.")])]
+    df = spark.createDataFrame(rows, "nb_id string, pos int, data array<map<string,string>>")
+    out = {r.nb_id: r for r in ce.last_result(df).collect()}
+    got = {k: (r.pos, r.kind, next((x for x in r[4:] if x is not None), None)) for k, r in out.items()}
+    assert got == {"a": (1, "int", 1), "b": (2, "int", -12), "c": (1, "str", "it's \\n \n\\"), "d": (1, "str", "a'b"),
+                   "e": (1, "other", None), "f": (1, "float", 1000.0), "g": (1, "bool", True), "h": (1, "none", None),
+                   "i": (1, "other", None), "j": (1, "other", None), "k": (1, "other", None),
+                   "l": (1, "str", "'" * 100_000), "n": (1, "other", None), None: (1, "float", 3.0)}
+    assert out["n"].result == "y" and ce.last_result(df.filter("1 = 0")).collect() == []
+
+
+def test_many_models_score_their_own_rows(spark):
+    models = [("hot", 1, 7, [1.0, 0.0]), ("hot", 1, 3, [0.0, 1.0]), ("hot", 2, 5, [0.0, 0.0]), ("cold", 1, 9, [2.0, 2.0]),
+              (None, 1, 4, [0.0, 0.0]), ("unused", 1, 1, [1.0])]
+    m = spark.createDataFrame(models, "bundle string, version int, label int, centroid array<double>")
+    rows = [(i, "hot", 1, [float(i % 3 == 0), float(i % 3 == 1)]) for i in range(1000)]
+    rows += [(2000, "hot", 2, [1.0, 5.0]), (2001, "cold", 1, [1.0, 0.0]), (2001, "cold", 1, [1.0, 0.0]), (2002, "none", 1, [1.0, 0.0]),
+             (2003, None, 1, [1.0, 0.0]), (2004, "hot", 1, None), (2005, "hot", 1, [1.0]), (2006, "hot", None, [1.0, 0.0])]
+    f = spark.createDataFrame(rows, "vec_id long, bundle string, version int, embedding array<float>")
+    score = lambda **kw: ar.score_many(m, f, keep=("vec_id",), **kw)
+    got = sorted(map(tuple, score(rows_per_group=64).collect()), key=str)
+    # ties between the two classes go to the smaller label
+    want = [(i, "hot", 1, 7 if i % 3 == 0 else 3, -0.5 if i % 3 == 2 else 0.5) for i in range(1000)]
+    want += [(2000, "hot", 2, 5, 0.0), (2001, "cold", 1, 9, -2.0), (2001, "cold", 1, 9, -2.0), (2002, "none", 1, None, None),
+             (2003, None, 1, None, None), (2004, "hot", 1, None, None), (2005, "hot", 1, None, None), (2006, "hot", None, None, None)]
+    assert got == sorted(want, key=str) == sorted(map(tuple, score().collect()), key=str)
+    assert ar.score_many(m, f.filter("1 = 0"), keep=("vec_id",)).collect() == []
+    assert ar.score_many(m.filter("1 = 0"), f, keep=("vec_id",)).filter("predicted is not null").collect() == []
+    with pytest.raises(Exception, match="model too large"):
+        score(max_cells=3).collect()
