@@ -9,6 +9,8 @@ from runvault.operators import history as hi
 from runvault.operators import ordered_diff as od
 from runvault.plans import views as v
 from runvault.plans.registry import query
+from runvault.session import scratch_dir
+from runvault.sinks import reports as rp
 
 LOOKBACK = df_.DEFAULT_LOOKBACK
 
@@ -194,3 +196,46 @@ def diff_cells_replayed(spark, sf_dir):
         "cell", F.concat(F.coalesce("cell_type", F.lit("")), F.lit(":"), F.coalesce("source", F.lit(""))))
     return od.replay(script, "cell", "\x01").select(
         "pair", F.md5("curr_text").alias("curr_md5"), F.md5("target_text").alias("target_md5"), "in_order")
+
+
+@query("diff_reports", f"""
+WITH x AS ({_MOD_DIFF_SQL}),
+c AS (SELECT pair, side, module, string_agg(DISTINCT run_id, chr(10) ORDER BY run_id) AS text,
+             list(DISTINCT run_id) AS ids FROM ({v.MODULES_SQL}) GROUP BY pair, side, module),
+f AS (SELECT x.*, x.curr_run_path || '/diff.' || x.curr_run || '.' || x.target_run AS dir,
+             a.text AS curr_text, b.text AS target_text,
+             len(list_filter(a.ids, lambda i: NOT list_contains(b.ids, i))) AS n_added,
+             len(list_filter(b.ids, lambda i: NOT list_contains(a.ids, i))) AS n_removed
+      FROM x LEFT JOIN c a ON a.pair = x.pair AND a.module = x.module AND a.side = 'curr'
+             LEFT JOIN c b ON b.pair = x.pair AND b.module = x.module AND b.side = 'target')
+SELECT dir || '/' || split_part(module, '.', 2) || ending AS report_file,
+       CASE WHEN ending IN ('.added.html', '.curr.html') THEN md5(curr_text)
+            WHEN ending <> '.diff.txt' THEN md5(target_text) END AS md5,
+       CASE WHEN ending = '.diff.txt' THEN CAST(n_added AS BIGINT) END AS n_added,
+       CASE WHEN ending = '.diff.txt' THEN CAST(n_removed AS BIGINT) END AS n_removed
+FROM f JOIN (VALUES ('added', '.added.html'), ('removed', '.removed.html'), ('changed', '.curr.html'),
+                    ('changed', '.target.html'), ('changed', '.diff.txt')) AS e(kind, ending) ON e.kind = f.status
+UNION ALL
+SELECT DISTINCT dir || '/diff_info.json',
+       md5('{{"curr_run_path":"' || curr_run_path || '","target_run_path":"' || target_run_path || '"}}'), NULL, NULL
+FROM f""")
+def diff_reports(spark, sf_dir):
+    """D3 / K3: reports of all pairs published to a store and read back; a module's contents are the
+    runs that wrote it, a line each."""
+    modules = v.modules(spark, sf_dir)
+    diff = df_.module_diff(modules)
+    manifest = df_.diff_manifest(diff)
+    lines = F.array_join(F.sort_array(F.collect_set("run_id")), "\n").alias("text")
+    paths = manifest.select("pair", "module", F.inline(F.array(
+        F.struct(F.lit("curr").alias("side"), F.col("curr_source").alias("source")),
+        F.struct(F.lit("target").alias("side"), F.col("target_source").alias("source"))))).distinct()
+    contents = modules.groupBy("pair", "side", "module").agg(lines).join(paths, ["pair", "side", "module"])
+    root = scratch_dir(spark, "reports")
+    rp.publish_reports(diff, manifest, contents.select("source", "text"), root)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    text, is_diff = F.col("content").cast("string"), F.col("path").endswith(".diff.txt")
+    count = lambda sign: F.when(is_diff, F.size(F.filter(
+        F.split(text, "\n"), lambda x: x.startswith(sign))).cast("long"))
+    return files.select(F.substring_index("path", root.rsplit("/", 1)[1], -1).alias("report_file"),
+                        F.when(~is_diff, F.md5("content")).alias("md5"),
+                        count("+").alias("n_added"), count("-").alias("n_removed"))
