@@ -7,7 +7,7 @@ and its captures enter the capture table through Spark's commit, so files of
 lost task attempts are never referenced.
 
 Index: captures are sorted by a key of the reversed host and the rest of the
-URL, then page_id.  Sorted lines go in blocks of ``BLOCK_LINES`` into
+URL, then by the row number of the capture.  Sorted lines go in blocks of ``BLOCK_LINES`` into
 compressed blocks of an index file per range partition; a sparse directory
 keeps the first key of each block beside the file.  The list of index files
 with their first keys, one entry a file, is the only part that reaches the
@@ -31,8 +31,9 @@ import json
 import posixpath
 import uuid
 import zlib
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import islice
 from urllib.parse import urlsplit
 
 import pyarrow as pa
@@ -45,6 +46,7 @@ from runvault.session import scratch_dir
 BLOCK_LINES = 256
 LEVEL = 3
 ROLL_BYTES = 1 << 30
+READ_BYTES = 1 << 27  # of archives, for each task that reads records back
 GAP = 1 << 16  # ranges this near to each other are read at once
 CAPTURE = "key string, page_id long, row long, file string, offset long, length long"
 
@@ -223,28 +225,74 @@ class IndexReader:
         self.firsts = [(k, r) for k, r, _ in files]
         self.name, self.directory, self.block_at, self.block = None, [], None, []
 
-    def find(self, key: str, row: int):
-        """(page_id, file, offset, length) of a capture, or None."""
-        at = bisect_right(self.firsts, (key, row)) - 1
-        if at < 0:
-            return None
+    def _enter(self, at: int) -> None:
+        """Directory and blocks of the ``at``-th index file."""
         if self.files[at][2] != self.name:
             self.name, self.block_at = self.files[at][2], None
             with self.fs.open_input_stream(posixpath.join(self.base, "index", f"{self.name}.directory"), compression=None) as d:
                 self.directory = [((k, r), o, n) for k, r, o, n in json.loads(zlib.decompress(d.read()))]
             self.starts = [x[0] for x in self.directory]
             self.blocks = self.fs.open_input_file(posixpath.join(self.base, "index", f"{self.name}.blocks"))
-        b = bisect_right(self.starts, (key, row)) - 1
-        if b < 0:
-            return None
+
+    def _unpack(self, b: int) -> None:
+        """Lines of the ``b``-th block of the file."""
         if b != self.block_at:
             _, offset, length = self.directory[b]
             lines = zlib.decompress(self.blocks.read_at(length, offset)).decode().split("\n")
             self.block_at, self.block = b, [json.loads(x) for x in lines]
             self.keys = [(x[0], x[1]) for x in self.block]
+
+    def find(self, key: str, row: int):
+        """(page_id, file, offset, length) of a capture, or None."""
+        at = bisect_right(self.firsts, (key, row)) - 1
+        if at < 0:
+            return None
+        self._enter(at)
+        b = bisect_right(self.starts, (key, row)) - 1
+        if b < 0:
+            return None
+        self._unpack(b)
         k = bisect_right(self.keys, (key, row)) - 1
         return tuple(self.block[k][2:]) if k >= 0 and self.keys[k] == (key, row) else None
 
+    def find_all(self, key: str) -> Iterator[tuple]:
+        """(page_id, file, offset, length) of every capture of a key, block after block and file after file."""
+        least = (key, -1)
+        at = max(0, bisect_left(self.firsts, least) - 1)
+        while at < len(self.files) and self.firsts[at][0] <= key:
+            self._enter(at)
+            b = max(0, bisect_left(self.starts, least) - 1)
+            while b < len(self.starts) and self.starts[b][0] <= key:
+                self._unpack(b)
+                for k in range(bisect_left(self.keys, least), len(self.keys)):
+                    if self.keys[k][0] != key:
+                        break
+                    yield tuple(self.block[k][2:])
+                b += 1
+            at += 1
+
+
+def look_up_urls(urls: DataFrame, folder: str, files: list[tuple[str, int, str]]) -> DataFrame:
+    """(url, page_id, file, offset, length) of all captures that have the key of a ``url`` of ``urls``.
+
+    Equal URLs are looked up once each; a null URL finds the captures without one.
+    """
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _batches([(u, url_key(u)) for u in batch.column(0).to_pylist()], ["url", "key"], [pa.string(), pa.string()])
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader, names = IndexReader(folder, files), ["url", "page_id", "file", "offset", "length"]
+        types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
+        for batch in batches:
+            for url, key in zip(*[batch.column(c).to_pylist() for c in (0, 1)]):
+                hits = ((url, *hit) for hit in reader.find_all(key))
+                while rows := list(islice(hits, 10_000)):
+                    yield _batches(rows, names, types)
+    ordered = (pick(urls, "url").mapInArrow(keyed, "url string, key string")
+               .repartitionByRange("key", "url").sortWithinPartitions("key", "url"))
+    return ordered.mapInArrow(find, "url string, page_id long, file string, offset long, length long")
+
 
 def look_up(wanted: DataFrame, folder: str, files: list[tuple[str, int, str]]) -> DataFrame:
     """(page_id, file, offset, length) of every (key, row) of ``wanted`` that is in the index."""
@@ -300,7 +348,11 @@ def read_records(captures: DataFrame, folder: str) -> DataFrame:
                 yield _batches(out, names, types)
         if handle is not None:
             handle.close()
-    ordered = captures.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    # dealt by the bytes to read: the pointers are far smaller, and Spark would merge them into few tasks
+    captures = cut(captures)
+    size = captures.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    tasks = max(captures.sparkSession.sparkContext.defaultParallelism, -(-size // READ_BYTES))
+    ordered = captures.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     return ordered.mapInArrow(fetch, "page_id long, url string, record_type string, payload binary, payload_bytes long, "
                                      "payload_digest string, refers_to long")
 
@@ -312,7 +364,21 @@ def archive_and_read(spark: SparkSession, pages: DataFrame, folder: str, least:
     return read_records(look_up(captures, folder, files), folder)
 
 
-@query("op8_warc")
+# base32 takes five bits a sign: 20 bits are five hexadecimal digits and four signs
+OP8_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+h AS (SELECT page_id, octet_length(encode(payload)) AS payload_bytes, sha1(payload) AS sha,
+             min(page_id) OVER (PARTITION BY payload) AS first FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+       list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
+           ((CAST('0x' || substr(sha, 5 * (i // 4) + 1, 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31) + 1 AS BIGINT), 1)),
+           'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM h"""
+
+
+@query("op8_warc", OP8_SQL)
 def op8_warc(spark, sf_dir):
     rows = archive_and_read(spark, table(spark, sf_dir, "pages"), scratch_dir(spark, "warc"))
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -372,3 +372,34 @@ def test_archives_round_trip(spark, monkeypatch):
     small = warc.archive_and_read(spark, df, scratch_dir(spark, "warc-test"), least=5).collect()
     assert [r for r in small if r.record_type == "revisit"] == []
     assert warc.archive_and_read(spark, empty(df), scratch_dir(spark, "warc-test")).collect() == []
+
+
+def test_captures_of_a_url_across_blocks_and_files(spark, monkeypatch):
+    from runvault.session import scratch_dir
+    monkeypatch.setattr(warc, "BLOCK_LINES", 3)
+    rows = [(i, f"http://h{i % 7}.org/p") for i in range(40)] + [(100 + i, "http://hot.org/") for i in range(60)]
+    rows += [(300, None), (301, None)]
+    captures = [(warc.url_key(u), p, n, "f", n, 1) for n, (p, u) in enumerate(rows)]
+    folder, merge = scratch_dir(spark, "warc-test"), "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merge, "false")  # so that there are several index files
+    try:
+        files = warc.build_index(spark.createDataFrame(captures, warc.CAPTURE).repartition(8), folder)
+    finally:
+        spark.conf.set(merge, "true")
+    assert len(files) > 1
+    wanted = ["http://HOT.org/", "http://h3.org/p", "http://h3.org/p", "http://no.org/", "http://zz.org/", None, ""]
+    df = spark.createDataFrame([(1, u) for u in wanted], "URL long, url string")
+    got = sorted((r.url or "", r.page_id) for r in warc.look_up_urls(df, folder, files).collect())
+    hits = [(u or "", p) for u in wanted for p, v in rows if warc.url_key(u) == warc.url_key(v)]
+    assert got == sorted(hits) and len(hits) == 60 + 2 * 6 + 2 * 2
+
+
+def test_warc_query_sql_on_equal_payloads(spark, tmp_path):
+    import duckdb
+    rows = [(5, "u", "same"), (2, "v", "same"), (9, None, "same"), (1, "w", "other"), (3, "x", None), (4, "y", ""), (7, "z", "é" * 5000)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    want = sorted(con.execute(warc.OP8_SQL).fetchall())
+    assert sorted(map(tuple, warc.op8_warc(spark, str(tmp_path)).collect())) == want
+    assert {r[0]: r[4] for r in want} == {5: 2, 2: None, 9: 2, 1: None, 3: None, 4: 3, 7: None}
