@@ -9,15 +9,15 @@ requests   consumer, cur_env, cur_pipeline, cur_zone, step_name, entity,
            f_env?, f_pipeline?, f_zone?, f_run?   (the consumer's call filters)
 env_paths  env, env_path
 
-Resolution is one plan: two equi-joins against per-key aggregates (latest
-committed run, exact pinned version) and a per-call zone count.  Nothing is
-collected; AQE picks broadcast for the small sides at run time from measured
-sizes and falls back to sort-merge joins beyond the threshold.
+Resolution is one plan: one aggregation of the versions, which answers latest
+and pinned requests alike, one equi-join with it and a per-call zone count.
+Nothing is collected; AQE picks broadcast for the small sides at run time from
+measured sizes and falls back to sort-merge joins beyond the threshold.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from runvault.functions.names import entity_full_name, entity_url, normalize_entity
@@ -140,6 +140,38 @@ def declaration_violations(decls: DataFrame, kind_col: str = "kind",
 
 # ------------------------------------------------------------------ P8 P9 A8 J1
 
+LATEST = "latest"
+
+
+def _run_slot(run_id: Column | str) -> Column:
+    return F.concat(F.lit("="), run_id)
+
+
+def version_slots(versions: DataFrame) -> DataFrame:
+    """(key, slot, run): what a request of a key gets, pinned to a run or for the latest one.
+
+    Every committed version offers itself under its own run id and under
+    ``latest``, and one aggregation by (key, slot) answers both: the latest run
+    combines to one row per task and key before the shuffle.  Over a version
+    table bucketed by the key (``bucket_versions``) there is no shuffle.
+    """
+    v = versions.filter(F.col("committed") & F.col("run_id").isNotNull())
+    return (v.select(*KEY, "run_id", F.explode(F.array(F.lit(LATEST), _run_slot("run_id"))).alias("slot"))
+            .groupBy(*KEY, "slot").agg(F.max("run_id").alias("run")))
+
+
+def bucket_versions(versions: DataFrame, name: str, buckets: int, path: str | None = None) -> DataFrame:
+    """Write ``versions`` as table ``name``, bucketed by the key, and read it.
+
+    ``resolve_inputs`` then neither shuffles the table to aggregate it nor, with
+    ``spark.sql.requireAllClusterKeysForCoPartition=false``, to join it; leave
+    that setting alone where one key holds a large share of the requests.
+    """
+    w = versions.write.format("parquet").bucketBy(buckets, *KEY).mode("overwrite")
+    (w.option("path", path) if path else w).saveAsTable(name)
+    return versions.sparkSession.table(name)
+
+
 def resolve_inputs(requests: DataFrame, versions: DataFrame,
                    env_paths: DataFrame) -> DataFrame:
     """Resolve declared inputs to concrete versions and URLs.
@@ -178,33 +210,22 @@ def resolve_inputs(requests: DataFrame, versions: DataFrame,
     r = r.withColumn("passes", passes).withColumn("entity_key", normalize_entity("entity"))
     key_l = [F.col("r_env"), F.col("r_pipeline"), F.col("r_zone"), F.col("step_name"),
              F.col("entity_key")]
-    # Only versions of requested keys matter: a semi join (broadcast by AQE
-    # when the requested keys are few) cuts the version table before the
-    # per-key aggregation and the pinned-version lookup.
-    wanted = r.filter("passes").select(*[c.alias(k) for c, k in zip(key_l, KEY)]).distinct()
-
     call = ["consumer", "step_name"]
     per_call = r.groupBy(*call).agg(
         F.size(F.collect_set("r_zone")).alias("n_zones"),
         F.max((F.col("passes") & (F.col("r_zone") == F.col("call_zone"))).cast("int"))
         .alias("has_cur_zone"))
-    r = r.filter("passes").join(per_call, call, "left")
-
-    r = r.withColumn("pin", F.coalesce("f_run", "decl_run"))
-    relevant = (versions.filter(F.col("committed")).select(*KEY, "run_id")
-                .join(wanted, KEY, "left_semi"))
-    latest = (relevant.groupBy(*KEY).agg(F.max("run_id").alias("latest_run"))
-              .select(*[F.col(c).alias(f"l_{c}") for c in KEY], "latest_run"))
-    pinned = (relevant.distinct()
-              .select(*[F.col(c).alias(f"p_{c}") for c in KEY],
-                      F.col("run_id").alias("pinned_run")))
-    cond_l = [a == F.col(f"l_{c}") for a, c in zip(key_l, KEY)]
-    cond_p = [a == F.col(f"p_{c}") for a, c in zip(key_l, KEY)] + [
-        F.col("pin") == F.col("pinned_run")]
-    j = (r.join(latest, cond_l, "left").join(pinned, cond_p, "left")
+    pin = F.coalesce("f_run", "decl_run")
+    r = (r.filter("passes").join(per_call, call, "left")
+         .withColumn("slot", F.when(pin.isNull(), F.lit(LATEST)).otherwise(_run_slot(pin))))
+
+    a = version_slots(versions).select(*[F.col(c).alias(f"a_{c}") for c in (*KEY, "slot")], "run")
+    asked = [F.col("r_env"), F.col("r_pipeline"), F.col("r_zone"), F.col("step_name"),
+             F.col("entity_key"), F.col("slot")]
+    j = (r.join(a, [x == F.col(f"a_{c}") for x, c in zip(asked, (*KEY, "slot"))], "left")
          .join(F.broadcast(env_paths.withColumnRenamed("env", "r_env")), "r_env", "left"))
 
-    run = F.when(F.col("pin").isNotNull(), F.col("pinned_run")).otherwise(F.col("latest_run"))
+    run = F.col("run")
     status = (F.when(F.instr("entity", "/") > 0, "invalid_name")
               .when(F.col("env_path").isNull(), "unknown_env")
               .when((F.col("n_zones") > 1) & (F.col("r_zone") != F.col("call_zone"))

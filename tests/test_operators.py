@@ -71,6 +71,51 @@ def test_resolve_or_filters_and_defaults(spark):
     assert got[("e", "z0", "prod")][1] == "run-24-02-01-000000"
 
 
+def _plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _exchanges(plan):
+    return plan.count("Exchange hashpartitioning")
+
+
+def test_version_slots_answer_latest_and_pins(spark):
+    rows = [tuple(r) for r in _versions(spark).collect()]
+    odd = [("user", "p", "z0", "s", "e", None, True), ("user", "p", "z0", "s", "e", "latest", None)]
+    got = {(r.env, r.zone, r.slot): r.run
+           for r in en.version_slots(spark.createDataFrame(rows + rows + odd, VER)).collect()}
+    assert got[("user", "z0", "latest")] == "run-24-01-02-000000"
+    assert got[("user", "z0", "=run-24-01-01-000000")] == "run-24-01-01-000000"
+    assert ("user", "z0", "=run-24-01-03-000000") not in got
+    assert len(got) == 7
+
+
+def test_resolve_plans(spark, tmp_path):
+    rows = [("c", "user", "p", "z0", "s", "e") + (None,) * 8,
+            ("c", "user", "p", "z0", "s", "e", None, None, None, "run-24-01-01-000000", None, None, None, None),
+            ("d", "user", "p", "z0", "s", "e", None, None, None, "run-24-01-03-000000", None, None, None, None)]
+    paths = en.env_paths_frame(spark, base={"user": "/u", "prod": "/p"})
+    settings = {"spark.sql.adaptive.enabled": "false",
+                "spark.sql.requireAllClusterKeysForCoPartition": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    bucketed = en.bucket_versions(_versions(spark), "resolve_versions", 4, str(tmp_path / "v"))
+    requests = spark.createDataFrame(rows, REQ)
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        plain = en.resolve_inputs(requests, _versions(spark), paths)
+        fixed = en.resolve_inputs(requests, bucketed, paths)
+        assert _exchanges(_plan(plain)) <= 4
+        assert _exchanges(_plan(fixed)) < _exchanges(_plan(plain))
+        assert _exchanges(_plan(en.version_slots(bucketed))) == 0
+        assert sorted(map(tuple, plain.collect()), key=str) == sorted(map(tuple, fixed.collect()), key=str)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        spark.sql("drop table resolve_versions")
+
+
 def test_resolve_pins(spark):
     rows = [("c", "user", "p", "z0", "s", "e", None, None, None, "run-24-01-01-000000",
              None, None, None, None),
