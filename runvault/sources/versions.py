@@ -11,7 +11,11 @@ the ledger table written by :mod:`runvault.sinks.publish`.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+from functools import reduce
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -140,7 +144,9 @@ def read_metrics_files(spark: SparkSession, pattern: str, lines: bool = False) -
 
     A file (with ``lines``: a line) is one JSON object of metric values and the
     key ``run_id``; without it the run id is taken from the file name.  A later
-    file of a run is a later write.  Malformed files are an error.
+    file of a run is a later write, and so is a later line of a file: ``seq`` is
+    the line's number (whole files: 0), the same in every reading.  Lines are
+    shuffled by file for it.  Malformed files are an error.
     Output: run_id, module (where the file name holds it), name, value (null if
     not a number), text (as stored), ts, seq.
     """
@@ -148,33 +154,69 @@ def read_metrics_files(spark: SparkSession, pattern: str, lines: bool = False) -
     from runvault.operators.params import parse_params
     path = F.col("_metadata.file_path")
     blank_is_null = lambda c: F.nullif(c, F.lit(""))
-    rows = spark.read.option("wholetext", not lines).text(pattern).select(
+    line = F.row_number().over(Window.partitionBy(path).orderBy("block", "at"))
+    rows = spark.read.text(pattern, wholetext=not lines).select(
+        "value", "_metadata", F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at")).select(
         parse_params("value").alias("m"), blank_is_null(module_from_file_name(path)).alias("module"),
         blank_is_null(run_id_from_file_name(path)).alias("named"),
-        F.col("_metadata.file_modification_time").alias("ts"))
+        F.col("_metadata.file_modification_time").alias("ts"), (line - 1 if lines else F.lit(0)).cast("long").alias("seq"))
     return rows.select(
-        F.coalesce(F.col("m")["run_id"], "named").alias("run_id"), "module", "ts",
+        F.coalesce(F.col("m")["run_id"], "named").alias("run_id"), "module", "ts", "seq",
         F.explode(F.map_filter("m", lambda k, v: k != "run_id")).alias("name", "text")).select(
         "run_id", "module", "name", F.col("text").try_cast("double").alias("value"), "text", "ts",
-        F.lit(0).cast("long").alias("seq"))
+        "seq")
+
+
+PARAMS_SCHEMA = ("pipeline_params map<string,string>, step_params map<string,string>, "
+                 "substeps_params array<string>")
+
+
+def _yaml_as_json(text: pd.Series) -> pd.Series:
+    """YAML documents as JSON objects; dates as ISO text, an empty document as ``{}``."""
+    import yaml
+
+    def convert(doc: str) -> str:
+        found = yaml.safe_load(doc)
+        if not isinstance(found, (dict, type(None))):
+            raise ValueError(f"parameter file is no mapping: {doc[:80]!r}")
+        return json.dumps(found or {}, default=lambda x: x.isoformat())
+    return text.map(convert)
+
+
+def _params(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(*PARAMS_SCHEMA, source_file), one row per file."""
+    as_json = [p for p in paths if p.lower().endswith(".json")]
+    as_yaml = [p for p in paths if p.lower().endswith((".yml", ".yaml"))]
+    bad = sorted(set(paths) - set(as_json) - set(as_yaml))
+    if bad:
+        raise ValueError(f"unsupported parameter file type: {bad}")
+    source = F.col("_metadata.file_path").alias("source_file")
+    found = []
+    if as_json:
+        files = spark.read.schema(PARAMS_SCHEMA).option("multiLine", True).option("mode", "FAILFAST")
+        found.append(files.json(as_json).select("*", source))
+    if as_yaml:
+        try:
+            import yaml  # noqa: F401
+        except ImportError as missing:
+            raise ValueError(f"YAML parameter files need PyYAML: {as_yaml}") from missing
+        one = F.from_json(F.pandas_udf(_yaml_as_json, "string")("value"), PARAMS_SCHEMA, {"mode": "FAILFAST"})
+        found.append(spark.read.text(as_yaml, wholetext=True).select(one.alias("p"), source)
+                     .select("p.*", "source_file"))
+    return reduce(DataFrame.unionByName, found)
 
 
 def read_params_files(spark: SparkSession, paths: list[str], pipeline_path: str | None = None) -> DataFrame:
-    """Parameter files: JSON objects with ``pipeline_params``, ``step_params`` and
-    ``substeps_params``.  Other extensions are refused, malformed files are an error.
+    """Parameter files: JSON or YAML objects with ``pipeline_params``, ``step_params`` and
+    ``substeps_params``.  Other extensions are refused, malformed files are an error;
+    a file without a byte gives no row.
 
     The pipeline section of the file at ``pipeline_path`` replaces that of all others.
     """
-    named = paths + ([pipeline_path] if pipeline_path else [])
-    bad = [p for p in named if not p.lower().endswith(".json")]
-    if bad:
-        raise ValueError(f"unsupported parameter file type: {bad}")
-    schema = ("pipeline_params map<string,string>, step_params map<string,string>, "
-              "substeps_params array<string>")
-    files = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST")
-    rows = files.json(paths).withColumn("source_file", F.input_file_name())
+    rows = _params(spark, paths + ([pipeline_path] if pipeline_path and not paths else []))
     if pipeline_path:
-        rows = rows.withColumn("pipeline_params", files.json(pipeline_path).select("pipeline_params").scalar())
+        rows = rows.withColumn("pipeline_params", _params(spark, [pipeline_path]).select("pipeline_params").scalar())
     return rows
 
 

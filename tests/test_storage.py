@@ -90,7 +90,45 @@ def test_ledger_append_and_records(spark, tmp_path):
                              "step_params": {}, "substeps_params": ["a"]}))
     assert vs.read_params_files(spark, [str(p)]).first().pipeline_params["pipeline_name"] == "p"
     with pytest.raises(ValueError):
-        vs.read_params_files(spark, [str(tmp_path / "params.yaml")])
+        vs.read_params_files(spark, [str(tmp_path / "params.toml")])
+
+
+def test_yaml_parameter_files(spark, tmp_path):
+    pytest.importorskip("yaml")
+    (tmp_path / "a.yml").write_text(
+        "pipeline_params:\n  pipeline_name: p\n  day: 2024-01-02\n  n: 3\nstep_params: {k: \"a: b\"}\n"
+        "substeps_params:\n- first\n- second\n")
+    (tmp_path / "b.json").write_text(json.dumps({"pipeline_params": {"pipeline_name": "q"}, "step_params": {}}))
+    (tmp_path / "empty.YAML").write_text("# nothing\n")
+    paths = [str(tmp_path / x) for x in ("a.yml", "b.json", "empty.YAML")]
+    rows = {r.source_file.rsplit("/", 1)[1]: r for r in vs.read_params_files(spark, paths).collect()}
+    assert rows["a.yml"].pipeline_params == {"pipeline_name": "p", "day": "2024-01-02", "n": "3"}
+    assert rows["a.yml"].step_params == {"k": "a: b"} and rows["a.yml"].substeps_params == ["first", "second"]
+    assert rows["b.json"].pipeline_params == {"pipeline_name": "q"}
+    assert rows["empty.YAML"].pipeline_params is None
+    shared = vs.read_params_files(spark, paths[1:2], paths[0]).first()
+    assert shared.pipeline_params["day"] == "2024-01-02" and shared.step_params == {}
+    for broken in ("a: [1", "- only\n- a list\n"):
+        (tmp_path / "bad.yml").write_text(broken)
+        with pytest.raises(Exception):
+            vs.read_params_files(spark, [str(tmp_path / "bad.yml")]).collect()
+
+
+def test_metrics_lines_follow_each_other(spark, tmp_path):
+    """Of two writes in one file the later line wins, also in a file of many splits."""
+    from runvault.operators import ledger as lg
+    lines = [json.dumps({"run_id": f"run-{i % 7}", "acc": i, "pad": "x" * (i % 50)}) for i in range(3000)]
+    (tmp_path / "m.json").write_text("\n".join(lines) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        writes = vs.read_metrics_files(spark, str(tmp_path / "m.json"), lines=True).cache()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert {(r.seq, r.value) for r in writes.filter("name = 'acc'").collect()} == {(i, float(i)) for i in range(3000)}
+    last = {r.run_id: r.value for r in lg.last_metrics(writes.filter("name = 'acc'")).collect()}
+    assert last == {f"run-{k}": float(max(range(k, 3000, 7))) for k in range(7)}
+    writes.unpersist()
 
 
 def test_run_files_to_ledger(spark, tmp_path):
@@ -104,7 +142,7 @@ def test_run_files_to_ledger(spark, tmp_path):
              "commit": "c", "pipeline_params": {"pipeline_name": "p"}, "substeps_params": ["a"],
              "tool_version": "7", "inputs": {"i": "/in"},
              "outputs": {f"user.p.z.s.reports.{module}{suffix}": f"/store/{run}/reports"}}))
-        (tmp_path / f"{run}_{module}.metrics.json").write_text(json.dumps({"run_id": run, "acc": 0.5, "note": "x"}))
+        (tmp_path / f"{run}_{module}.metrics.json").write_text(json.dumps({"run_id": run, "acc": 0.5, "note": "x"}, indent=1))
     records = vs.read_run_records(spark, str(tmp_path / "*.runinfo.json"), extra=("tool_version",))
     assert {r.tool_version for r in records.collect()} == {"7"}
     ledger, metrics = str(tmp_path / "ledger"), str(tmp_path / "metrics")
