@@ -248,10 +248,10 @@ class Model:
     """
 
     def __init__(self, grams: np.ndarray, target: np.ndarray, everything: np.ndarray,
-                 words: tuple[float, float], kinds: tuple[float, float], thinned: float):
+                 words: tuple[float, float], kinds: tuple[float, float], thinned: float, prior: float = PRIOR):
         order = np.argsort(grams)
         self.grams, self.target, self.everything = grams[order], target[order], everything[order]
-        self.words, self.kinds, self.thinned = words, kinds, thinned
+        self.words, self.kinds, self.thinned, self.prior = words, kinds, thinned, prior
         self.tables = None
 
     def __getstate__(self):
@@ -278,9 +278,9 @@ class Model:
 
     def pair_losses(self, counts: np.ndarray, before: np.ndarray, word: np.ndarray) -> np.ndarray:
         """Loss in bits of tokens with these counts after a token with counts ``before``; ``word`` is their own loss."""
-        total = before + PRIOR
-        p = (counts + PRIOR * np.exp2(-word)) / total
-        return np.where(counts > 0, -np.log2(np.where(counts > 0, p, 1)), word + np.log2(total / PRIOR))
+        total = before + self.prior
+        p = (counts + self.prior * np.exp2(-word)) / total
+        return np.where(counts > 0, -np.log2(np.where(counts > 0, p, 1)), word + np.log2(total / self.prior))
 
     def score_block(self, keys: Keys, rows: pa.Table, sums: pa.Table) -> pa.Table:
         """(doc_id, ``SCORES``) of one block's texts, given the corpus sums of its words and pairs."""
@@ -340,7 +340,7 @@ def blocks(docs: DataFrame, target_ids: DataFrame) -> tuple[DataFrame, Keys]:
     return rows.select(F.pmod(by, F.lit(n)).cast("int").alias("block"), "doc_id", "text"), Keys(total, parts)
 
 
-def train(rows: DataFrame, keys: Keys) -> tuple[Model, DataFrame]:
+def train(rows: DataFrame, keys: Keys, prior: float = PRIOR) -> tuple[Model, DataFrame]:
     """The model of ``blocks``, and (block, kind, part, n, target, everything): corpus counts of each block's words and pairs."""
     spark = rows.sparkSession
 
@@ -360,16 +360,17 @@ def train(rows: DataFrame, keys: Keys) -> tuple[Model, DataFrame]:
     grams = whole.filter(F.col("kind") == GRAM).select("n", "keys", "target", "everything").toArrow().to_pylist()  # 2^24 counts at most
     columns = [np.concatenate([unpack(r[c], r["n"]) for r in grams] or [np.empty(0)]).astype(np.int64)
                for c in ("keys", "target", "everything")]
-    model = Model(*columns, (in_target, in_all * thinned), (kinds, seen), thinned)
+    model = Model(*columns, (in_target, in_all * thinned), (kinds, seen), thinned, prior)
     return model, sums.filter("block is not null").select("block", "kind", "part", "n", "target", "everything")
 
 
-def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
+def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, prior: float = PRIOR) -> DataFrame:
     """(doc_id, n_tokens, target_loss, background_loss, score) for every row of ``docs`` (doc_id, text).
 
-    The target is the rows whose doc_id is in ``target_ids`` (doc_id)."""
+    The target is the rows whose doc_id is in ``target_ids`` (doc_id); ``prior`` is the weight
+    of a word's own chance within a pair, in occurrences."""
     rows, keys = blocks(docs, target_ids)
-    model, sums = train(rows, keys)
+    model, sums = train(rows, keys, prior)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def scores(texts: pa.Table, known: pa.Table) -> pa.Table:
