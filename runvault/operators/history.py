@@ -15,7 +15,9 @@ ancestors within ``2 ** DOUBLINGS`` steps and keeps the first ``lookback`` of ea
 exact, as nothing beyond a commit comes before it.  So a branch has ``lookback`` rows at
 most, whatever the length of its history, and history that many branches share is
 looked up, not copied.  It ends when no branch changes.  The ancestors are found once for all
-branches, by joining the table of near ancestors with itself.
+branches, by joining the table of near ancestors with itself.  That table grows with the history:
+it is written once, and a round reads it past the commits found so far, which are broadcast, and
+shuffles only those (with more than ``BROADCAST_ROWS`` of them to be kept, it is shuffled, too).
 """
 
 from __future__ import annotations
@@ -24,9 +26,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from runvault.operators.diff import DEFAULT_LOOKBACK, RUN_TAG_PREFIX
+from runvault.session import scratch_dir
 from runvault.sinks.publish import cut_lineage
 
-DOUBLINGS = 3
+# Each doubling halves the rounds and more than doubles the table of near ancestors.
+DOUBLINGS = 2
+# Most rows that a round may broadcast.
+BROADCAST_ROWS = 500_000
 
 
 def _order():
@@ -39,18 +45,25 @@ def _nearest(found: DataFrame, *key: str) -> DataFrame:
     return best.select(*key, "b.since", (-F.col("b.less")).alias("steps"), "b.ts")
 
 
+def _written(near: DataFrame) -> DataFrame:
+    """``near`` as Parquet in the checkpoint folder: rounds read it again and again, and by columns."""
+    folder = scratch_dir(near.sparkSession, "near-ancestors")
+    near.write.parquet(folder)
+    return near.sparkSession.read.parquet(folder)
+
+
 def near_ancestors(commits: DataFrame, parents: DataFrame, doublings: int = DOUBLINGS) -> DataFrame:
     """``commit_id, ancestor, since, steps, ts``: ancestors within ``2 ** doublings`` steps, with the oldest date on
     the way (the commit itself not counted)."""
     dated = commits.select(F.col("commit_id").alias("ancestor"), F.col("ts").alias("since"), F.lit(1).alias("steps"), "ts")
-    near = cut_lineage(parents.withColumnRenamed("parent_id", "ancestor").distinct().join(dated, "ancestor").select(
+    near = _written(parents.withColumnRenamed("parent_id", "ancestor").distinct().join(dated, "ancestor").select(
         "commit_id", "ancestor", "since", "steps", "ts"))
     for _ in range(doublings):
         on = near.toDF("ancestor", "further", "since2", "steps2", "ts2")
         more = near.join(on, "ancestor").select(
             "commit_id", F.col("further").alias("ancestor"), F.least("since", "since2").alias("since"),
             (F.col("steps") + F.col("steps2")).alias("steps"), F.col("ts2").alias("ts"))
-        near = cut_lineage(_nearest(near.unionByName(more), "commit_id", "ancestor"))
+        near = _written(_nearest(near.unionByName(more), "commit_id", "ancestor"))
     return near
 
 
@@ -73,10 +86,12 @@ def branch_history(heads: DataFrame, commits: DataFrame, parents: DataFrame,
         return found.agg(F.count("*"), F.sum(F.xxhash64("branch", "commit_id", "since", "steps").cast("decimal(38,0)"))).first()
     state = cut_lineage(kept(heads.select("branch", "commit_id").distinct().join(commits, "commit_id").select(
         "branch", "commit_id", F.col("ts").alias("since"), F.lit(0).alias("steps"), "ts")))
+    small = state.count() * lookback <= BROADCAST_ROWS  # a row a branch so far
     before = None
     while (now := mark(state)) != before:
         before = now
-        step = state.alias("s").join(near.alias("n"), "commit_id").select(
+        found = F.broadcast(state) if small else state
+        step = found.alias("s").join(near.alias("n"), "commit_id").select(
             "branch", F.col("n.ancestor").alias("commit_id"), F.least("s.since", "n.since").alias("since"),
             (F.col("s.steps") + F.col("n.steps")).alias("steps"), "n.ts")
         state = cut_lineage(kept(state.unionByName(step)))

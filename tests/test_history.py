@@ -56,3 +56,22 @@ def test_clocks_ahead_and_long_chains(spark):
     assert got == {("b", "run-3", "/p3", 40, 41), ("other", "run-3", "/p3", 40, 21)}
     assert hi.newest_tagged_run(*frames, tags, 30).count() == 1
     assert hi.newest_tagged_run(*(f.limit(0) for f in frames), tags).collect() == []
+
+
+def test_rounds_shuffle_none_of_the_history(spark, monkeypatch):
+    plans, real = [], hi.cut_lineage
+
+    def planned(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df)
+    monkeypatch.setattr(hi, "cut_lineage", planned)
+    frames = (spark.createDataFrame([("b", 59), ("other", 20)], "branch string, commit_id long"),
+              spark.createDataFrame([(i, T0 + timedelta(minutes=i)) for i in range(60)], "commit_id long, ts timestamp"),
+              spark.createDataFrame([(i, i - 1) for i in range(1, 60)], "commit_id long, parent_id long"))
+    rows = hi.branch_history(*frames, 30).collect()
+    assert sorted(r.commit_id for r in rows if r.branch == "b") == list(range(30, 60))
+    assert len([r for r in rows if r.branch == "other"]) == 21
+    rounds = plans[-3:]
+    assert all("BroadcastHashJoin" in p and "SortMergeJoin" not in p for p in rounds)
+    monkeypatch.setattr(hi, "BROADCAST_ROWS", 0)
+    assert {tuple(r) for r in hi.branch_history(*frames, 30).collect()} == {tuple(r) for r in rows}
