@@ -130,7 +130,7 @@ def ledger_records(spark, sf_dir):
         "run_id", F.concat("module", F.lit(".ipynb")).alias("input_nb_name"), F.col("step").alias("step_name"),
         "commit", "status", start.cast("string").alias("start_time"), stop.cast("string").alias("stop_time"),
         F.create_map(F.lit("pipeline_name"), "pipeline").alias("pipeline_params"),
-        "inputs", "outputs").write.json(f"{folder}/records")
+        "inputs", "outputs").write.json(f"{folder}/records", compression="gzip")
     runs = lg.from_records(vs.read_run_records(spark, f"{folder}/records", lines=True))
     pub.append_runs(runs, f"{folder}/ledger")
     return pub.read_ledger(spark, f"{folder}/ledger").select(

@@ -22,6 +22,9 @@ from pyspark.sql import types as T
 
 from runvault.session import ensure_checkpoint_dir
 
+# Most keys (one long each) that are broadcast to tell rows apart.
+BROADCAST_KEYS = 2_000_000
+
 RUN_RECORD_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()),
     T.StructField("step_name", T.StringType()),
@@ -66,6 +69,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def repeated_keys(rows: DataFrame, key: list[str]) -> DataFrame:
+    """``_key``: hashes (``xxhash64``) of the values of ``key`` that several rows share, kept in the checkpoint folder.
+
+    One long a row is shuffled.  Keys that differ may share a hash, so these are candidates.
+    """
+    return cut_lineage(rows.groupBy(F.xxhash64(*key).alias("_key")).count().filter("count > 1").select("_key"))
+
+
 def run_records(runs: DataFrame) -> DataFrame:
     """Normalise ledger rows: ``RUNNING`` until a stop time is known, duration in seconds."""
     stop = F.col("stop_time") if "stop_time" in runs.columns else F.lit(None).cast("timestamp")
@@ -113,6 +124,21 @@ def current_records(records: DataFrame) -> DataFrame:
     return last.select("r.*")
 
 
+def _current_of_stored(records: DataFrame) -> DataFrame:
+    """:func:`current_records` of records that can be read twice: those of runs named once, which
+    are most, are passed on as they are, and only the others are shuffled."""
+    key = _run_key(records)
+    again = repeated_keys(records, key)
+    n = again.count()
+    if n > BROADCAST_KEYS:
+        return current_records(records)
+    if n == 0:
+        return records
+    keyed, again = records.withColumn("_key", F.xxhash64(*key)), F.broadcast(again)
+    return keyed.join(again, "_key", "left_anti").drop("_key").unionByName(
+        current_records(keyed.join(again, "_key", "left_semi").drop("_key")))
+
+
 # Partition columns of merged records; the prefixes keep Spark from reading numbers out of them.
 _PLACE = ["p_pipeline", "p_month"]
 
@@ -143,6 +169,7 @@ def _part(spark: SparkSession, ledger_path: str, name: str, pipeline: str | None
 def read_ledger(spark: SparkSession, ledger_path: str, pipeline: str | None = None) -> DataFrame:
     """Current record of every run in the ledger, or of one pipeline's runs.
 
+    Of a tail alone, only runs that it names several times are shuffled, found by one long a record.
     Merged records are current already, one a run: only runs that the tail names again are
     aggregated with it, the others are read without a shuffle where the tail is small.
     """
@@ -150,7 +177,7 @@ def read_ledger(spark: SparkSession, ledger_path: str, pipeline: str | None = No
     if merged is None:
         if tail is None:
             raise FileNotFoundError(f"no ledger at {ledger_path}")
-        return current_records(tail)
+        return _current_of_stored(tail)
     merged = merged.drop(*_PLACE)
     if tail is None:
         return merged
@@ -176,7 +203,7 @@ def merge_ledger(spark: SparkSession, ledger_path: str) -> None:
     files = spark.read.parquet(f"{ledger_path}/tail").inputFiles()
     if not files:
         return
-    new = cut_lineage(current_records(spark.read.parquet(*files)))
+    new = cut_lineage(_current_of_stored(spark.read.parquet(*files)))
     key = _run_key(new)
     month = F.coalesce(F.date_format("start_time", "yyyy-MM"), F.lit("")) if "start_time" in new.columns else F.lit("")
     pipeline = F.col("pipeline") if "pipeline" in new.columns else F.lit("")

@@ -68,3 +68,26 @@ def test_a_merge_that_ended_early_changes_nothing(spark, tmp_path):
     assert sorted((tuple(r) for r in pub.read_ledger(spark, ledger).collect()), key=str) == sorted(rows, key=str)
     pub.merge_ledger(spark, ledger)
     assert sorted((tuple(r) for r in pub.read_ledger(spark, ledger).collect()), key=str) == sorted(rows, key=str)
+
+
+def test_runs_named_once_are_read_without_a_shuffle(spark, tmp_path, monkeypatch):
+    ledger = str(tmp_path / "ledger")
+    rows = [run(p, k, 1) for p in ("a", None) for k in range(20)]
+    pub.append_runs(spark.createDataFrame(rows, SCHEMA), ledger)
+    once = pub.read_ledger(spark, ledger)
+    assert "Exchange" not in once._jdf.queryExecution().executedPlan().toString()
+    assert sorted((tuple(r) for r in once.collect()), key=str) == sorted(rows, key=str)
+    ended = [run(None, 3, 1, "COMPLETE"), run("a", 5, 1, "FAILED"), run("a", 5, 1)]
+    pub.append_runs(spark.createDataFrame(ended, SCHEMA), ledger)
+    want = [r for r in rows if r[:2] not in ((None, "run-3"), ("a", "run-5"))] + ended[:2]
+    assert sorted((tuple(r) for r in pub.read_ledger(spark, ledger).collect()), key=str) == sorted(want, key=str)
+    monkeypatch.setattr(pub, "BROADCAST_KEYS", 0)
+    assert sorted((tuple(r) for r in pub.read_ledger(spark, ledger).collect()), key=str) == sorted(want, key=str)
+
+
+def test_run_records_are_stored_compressed(spark, tmp_path, monkeypatch):
+    from runvault.plans import q_ledger
+    monkeypatch.setattr(q_ledger, "scratch_dir", lambda spark, name: str(tmp_path / name))
+    assert q_ledger.ledger_records(spark, "/root/testdata/sf0.001").count() > 0
+    names = [n for n in os.listdir(tmp_path / "ledger-records" / "records") if n.startswith("part-")]
+    assert names and all(n.endswith(".json.gz") for n in names)
