@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 from runvault.operators.params import merge_layers
 from runvault.operators.ranges import PART, range_parts
+from runvault.session import scratch_dir
+from runvault.sinks.publish import BROADCAST_KEYS, cut_lineage, repeated_keys
 
 # Report entity prefix and the summary header / line formats.
 REPORTS_PREFIX = "reports."
@@ -110,6 +112,21 @@ def lineage(runs: DataFrame) -> DataFrame:
                                                    entries("output", "outputs"))))
 
 
+def _begun(stored: DataFrame, timed: bool) -> DataFrame:
+    """``stored`` with each run's earliest ``_at``; only run ids with several records are aggregated."""
+    again = repeated_keys(stored, ["run_id"]) if timed else None
+    n = again.count() if timed else 0
+    if n == 0:
+        return stored
+    named = stored
+    if small := n <= BROADCAST_KEYS:
+        named = stored.withColumn("_key", F.xxhash64("run_id")).join(F.broadcast(again), "_key", "left_semi")
+    first = named.groupBy(F.col("run_id").alias("_run")).agg(F.min("_at").alias("_first"))
+    at = F.when(F.col("_run").isNull(), F.col("_at")).otherwise(F.col("_first")).alias("_at")
+    return stored.join(F.broadcast(first) if small else first, F.col("run_id") == F.col("_run"), "left").select(
+        "run_id", at, "inputs", "outputs")
+
+
 def dependencies(runs: DataFrame) -> DataFrame:
     """Producer -> consumer edges: a run's input url and the run that had written it by then.
 
@@ -123,13 +140,28 @@ def dependencies(runs: DataFrame) -> DataFrame:
     order (url, run), and the last output before an input is a window value.
     A url with a third of all rows lies in many range parts; each part hands its
     last output on to the parts after it (one row a part).
+
+    The runs are evaluated once, into the checkpoint folder.  Where up to ``BROADCAST_KEYS`` urls are
+    read, only outputs that some run reads and inputs that some run writes are ordered: their
+    hashes are broadcast, and inputs that no run writes go to the result without a shuffle.
     """
+    spark, folder = runs.sparkSession, scratch_dir(runs.sparkSession, "dependencies")
     timed = "start_time" in runs.columns
-    start = F.min("start_time") if timed else F.lit(0)
-    begun = runs.groupBy("run_id").agg(start.alias("_at"))
-    ends = [runs.select("run_id", F.lit(k).alias("_out"), F.explode(m).alias("name", "url"))
+    runs.select("run_id", (F.col("start_time") if timed else F.lit(0)).alias("_at"), "inputs", "outputs").write.parquet(folder)
+    stored = spark.read.parquet(folder)
+    begun = _begun(stored.filter("run_id is not null"), timed)
+    ends = [begun.select("_at", "run_id", F.lit(k).alias("_out"), F.explode(m).alias("name", "url")).filter("url is not null")
             for k, m in ((0, "inputs"), (1, "outputs"))]
-    rows = ends[0].filter("url is not null").unionByName(ends[1].filter("url is not null")).join(begun, "run_id")
+    url = F.xxhash64("url").alias("_key")
+    read = cut_lineage(ends[0].select(url).distinct())
+    unwritten = None
+    if read.count() <= BROADCAST_KEYS:
+        outputs = ends[1].withColumn("_key", url).join(F.broadcast(read), "_key", "left_semi").drop("_key")
+        written = F.broadcast(cut_lineage(outputs.select(url).distinct()))
+        keyed = ends[0].withColumn("_key", url)
+        unwritten = keyed.join(written, "_key", "left_anti")
+        ends = [keyed.join(written, "_key", "left_semi").drop("_key"), outputs]
+    rows = ends[0].unionByName(ends[1])
     order = ["_at", "run_id", "_out", "name"]  # a run's inputs come before its outputs
     first = [F.asc_nulls_first(c) for c in ["url", *order]]
     parts = range_parts(rows, first)
@@ -147,10 +179,12 @@ def dependencies(runs: DataFrame) -> DataFrame:
     producer = F.coalesce("_p", head)
     edges = found.select(F.col("run_id").alias("consumer_run"), F.col("name").alias("input_name"), "url",
                          producer["run_id"].alias("producer_run"), producer["name"].alias("output_name"))
-    none = ends[0].filter("url is null").select(
-        F.col("run_id").alias("consumer_run"), F.col("name").alias("input_name"), "url",
-        F.lit(None).cast("string").alias("producer_run"), F.lit(None).cast("string").alias("output_name"))
-    return edges.unionByName(none)
+    none = stored.select("run_id", F.explode("inputs").alias("name", "url")).filter("url is null")
+    for alone in [none] if unwritten is None else [none, unwritten]:
+        edges = edges.unionByName(alone.select(
+            F.col("run_id").alias("consumer_run"), F.col("name").alias("input_name"), "url",
+            F.lit(None).cast("string").alias("producer_run"), F.lit(None).cast("string").alias("output_name")))
+    return edges
 
 
 # ------------------------------------------------------------------ A7

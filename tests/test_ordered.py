@@ -3,6 +3,7 @@
 import random
 from datetime import datetime, timedelta
 
+import pytest
 from hypothesis import given, settings, strategies as st
 
 from runvault.operators import ledger as lg
@@ -170,3 +171,20 @@ def test_prefix_sums_run_over_all_parts(spark):
         assert r.start == total
         total += r.size
     assert len(rows) == 2000
+
+
+@pytest.mark.parametrize("keys", [100, 0])
+def test_only_urls_that_are_read_and_written_are_ordered(spark, monkeypatch, keys):
+    placed, real = [], lg.range_parts
+    monkeypatch.setattr(lg, "range_parts", lambda df, order: placed.append(df.count()) or real(df, order))
+    monkeypatch.setattr(lg, "BROADCAST_KEYS", keys)
+    runs = [("w", "2024-01-05", {}, {"main": "/w", "part": "/never-read"}),
+            ("w", "2024-01-02", {}, {"again": "/w"}),  # the run began here
+            ("r", "2024-01-03", {"a": "/w", "b": "/never-written", "n": None}, {"own": "/r"}),
+            (None, "2024-01-04", {"a": "/w", "b": "/never-written", "n": None}, {"own": "/w"}),
+            ("early", None, {"a": "/w"}, {})]
+    df = spark.createDataFrame(runs, "run_id string, start_time string, inputs map<string,string>, outputs map<string,string>")
+    got = sorted((tuple(e) for e in lg.dependencies(df).collect()), key=str)
+    assert got == sorted([("r", "a", "/w", "w", "main"), ("r", "b", "/never-written", None, None), ("r", "n", None, None, None),
+                          (None, "n", None, None, None), ("early", "a", "/w", None, None)], key=str)
+    assert placed == [4 if keys else 7]  # /w: read twice, written twice
