@@ -84,9 +84,10 @@ class StagedWriter(DataSourceArrowWriter):
         empty: set[str] = set()
         try:
             for batch in iterator:
-                for row in zip(*(batch.column(c).to_pylist() for c in COLUMNS)):
-                    rel, offset, length, file_length, content = row
-                    content = content or b""
+                contents = batch.column(COLUMNS[-1])
+                for i, row in enumerate(zip(*(batch.column(c).to_pylist() for c in COLUMNS[:-1]))):
+                    rel, offset, length, file_length = row
+                    content = contents[i].as_buffer() or b""  # not copied
                     if len(content) != length or offset + length > file_length:
                         raise IOError(f"{rel}: {len(content)} bytes at {offset} where {length} of {file_length} were expected")
                     if rel != current:

@@ -34,7 +34,7 @@ LISTING_BATCH = 10_000  # rows a task gives on at once
 _LISTING_COLUMNS = ["path", "rel_path", "length", "modification_time", "is_folder"]
 _LISTING_DDL = "path string, rel_path string, length long, modification_time timestamp"
 # Bytes per yielded Arrow batch when reading ranges (bounds worker memory).
-READ_BATCH_BYTES = 64 * 1024 * 1024
+READ_BATCH_BYTES = 8 * 1024 * 1024
 
 
 def _fs(root: str):

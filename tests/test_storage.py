@@ -260,3 +260,24 @@ def test_bundle_publish_load_export(spark, tmp_path):
                         .withColumnRenamed("rel_path", "file_path"), str(tmp_path / "out"))
     assert (tmp_path / "out" / "model.bin").read_bytes() == b"\x00\x01"
     assert ar.latest_bundles(back).first().n_artifacts == 2
+
+
+def test_restore_copies_no_batch(tmp_path):
+    import tracemalloc
+
+    import pyarrow as pa
+    from runvault.sinks.files import COLUMNS, StagedWriter
+    n, size = 32, 1 << 20
+    content = pa.array([bytes([i]) * size for i in range(n)] + [None], pa.binary())
+    batch = pa.RecordBatch.from_arrays([
+        pa.array([f"/f/{i}" for i in range(n + 1)]), pa.array([0] * (n + 1), pa.int64()), pa.array([size] * n + [0], pa.int32()),
+        pa.array([size] * n + [0], pa.int64()), content], COLUMNS)
+    writer = StagedWriter(str(tmp_path / "out"))
+    tracemalloc.start()
+    done = writer.write(iter([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    writer.commit([done])
+    assert done.whole == n + 1 and peak < 4 * size
+    assert all((tmp_path / "out" / "f" / str(i)).read_bytes() == bytes([i]) * size for i in range(n))
+    assert (tmp_path / "out" / "f" / str(n)).read_bytes() == b""
