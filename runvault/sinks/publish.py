@@ -101,9 +101,10 @@ def append_runs(runs: DataFrame, ledger_path: str) -> None:
     """Append run records to the ledger's tail.
 
     A run may be appended again, e.g. at its start and at its end, or by a
-    repeated job: :func:`read_ledger` keeps its current record.  Small tasks share a file.
+    repeated job: :func:`read_ledger` keeps its current record.  Small tasks share a file;
+    rows are dealt by run, as dealing them in turn would sort every task's rows first.
     """
-    runs.hint("rebalance").write.mode("append").parquet(f"{ledger_path}/tail")
+    runs.hint("rebalance", *_run_key(runs)).write.mode("append").parquet(f"{ledger_path}/tail")
 
 
 def _run_key(records: DataFrame) -> list[str]:
